@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _gammaincc(a: float, x: float) -> float:
@@ -54,7 +55,7 @@ def chi2_survival(stat: float, dof: int) -> float:
     return _gammaincc(dof / 2.0, stat / 2.0)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_sf(stat: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(
         [chi2_survival(float(s), int(d)) if pd.notna(s) and pd.notna(d) else np.nan for s, d in zip(stat, dof)],

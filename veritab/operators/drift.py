@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 from veritab.functions.columns import clip_lower, hash_hex, hash_threshold_hex, strip
 from veritab.functions.search import count_less_than
 from veritab.operators.cumulative import exact_quantiles
+from veritab.operators.sampling import weighted_choice
 from veritab.spec import CREDIT_SPEC, TableSpec
 
 # Thresholds, smoothing constant and report labels of the drift rules.
@@ -343,18 +344,3 @@ def simulate_drifted_copy(
     if target_col and target_col in cols:
         out = out.withColumn(target_col, weighted_choice(f"{seed}:target", key_cols, target_values, target_weights))
     return out
-
-
-def weighted_choice(seed: int | str, key_cols: Sequence[str], values: Sequence, weights: Sequence[float]) -> Column:
-    """Pick one of ``values`` per row with the given probabilities, from the key hash."""
-    if abs(sum(weights) - 1.0) > 1e-9:
-        raise ValueError("weights must sum to 1")
-    h = hash_hex(seed, *key_cols)
-    expr = None
-    acc = 0.0
-    for v, w in zip(values[:-1], weights[:-1]):
-        acc += w
-        cond = h < F.lit(hash_threshold_hex(acc))
-        expr = F.when(cond, F.lit(v)) if expr is None else expr.when(cond, F.lit(v))
-    last = F.lit(values[-1])
-    return last if expr is None else expr.otherwise(last)
