@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -344,3 +344,45 @@ def simulate_drifted_copy(
     if target_col and target_col in cols:
         out = out.withColumn(target_col, weighted_choice(f"{seed}:target", key_cols, target_values, target_weights))
     return out
+
+
+def drift_decisions(
+    report: DataFrame,
+    run_cols: Sequence[str],
+    critical_features: Sequence[str],
+    incident_ratio: float = 0.30,
+) -> DataFrame:
+    """Decision rules over a run history of drift rows (D-8).
+
+    Per run: drift ratio > ``incident_ratio`` → ``incident``; a critical feature drifted in this and
+    the previous run → ``retrain``; no drifted feature → ``keep``; otherwise ``monitor``. The previous
+    run comes from ``lag`` over each feature's runs (one window partition per feature, as long as the
+    history).
+    """
+    run_cols = list(run_cols)
+    summ = report.groupBy(*run_cols).agg(
+        F.count(F.lit(1)).alias("features_evaluated"),
+        F.count_if(F.col("drift_detected")).alias("features_with_drift"),
+    )
+    w = Window.partitionBy("feature").orderBy(*run_cols)
+    crit = (
+        report.where(F.col("feature").isin(*critical_features))
+        .withColumn("_prev", F.lag("drift_detected").over(w))
+        .groupBy(*run_cols)
+        .agg(F.max(F.col("drift_detected") & F.coalesce(F.col("_prev"), F.lit(False))).alias("retrain"))
+    )
+    out = summ.join(crit, run_cols, "left").withColumn("retrain", F.coalesce(F.col("retrain"), F.lit(False)))
+    ratio = F.round(F.col("features_with_drift") / F.col("features_evaluated"), 4)
+    return out.select(
+        *run_cols,
+        "features_evaluated",
+        "features_with_drift",
+        ratio.alias("drift_ratio"),
+        (ratio > F.lit(incident_ratio)).alias("incident"),
+        "retrain",
+        F.when(ratio > F.lit(incident_ratio), "incident")
+        .when(F.col("retrain"), "retrain")
+        .when(F.col("features_with_drift") == 0, "keep")
+        .otherwise("monitor")
+        .alias("decision"),
+    )

@@ -95,3 +95,17 @@ def per_class_recall(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
         F.count(F.lit(1)).alias("support"),
         F.avg((F.col(y_pred) == F.col(y_true)).cast("double")).alias("recall"),
     )
+
+
+def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
+    """``(label, n, weight)`` with weight = n_rows / (n_classes · n_class)."""
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.select(F.sum("n")).scalar()
+    k = counts.select(F.count(F.lit(1))).scalar()
+    return counts.withColumn("weight", total / (k * F.col("n")))
+
+
+def add_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
+    """Per-row balanced class weight (the class table is joined back; its size is the class count)."""
+    w = balanced_class_weights(df, label).select(label, F.col("weight").alias(out))
+    return df.join(w, label, "left")

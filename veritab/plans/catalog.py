@@ -1,4 +1,4 @@
 """All registered queries: importing this module fills the registry."""
 
-from veritab.plans import catalog_drift, catalog_features, catalog_profile, catalog_quality  # noqa: F401
+from veritab.plans import catalog_drift, catalog_features, catalog_profile, catalog_quality, catalog_sampling  # noqa: F401
 from veritab.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -37,3 +37,41 @@ s AS (SELECT coalesce(rn / nullif(sum(rn) OVER (), 0), 0) AS rs, coalesce(cn / n
 t AS (SELECT 0.5 * sum(abs(rs - cs)) AS score FROM s)
 SELECT '{feature}' AS feature, '{method}' AS method, round(score, 6) + 0.0 AS score, CAST({threshold} AS DOUBLE) AS threshold,
        score >= {threshold} AS drift_detected FROM t)"""
+
+
+def psi_by_run_sql(feature: str, ref_sql: str, cur_sql: str, run: str, bins: int = 10, threshold: float = 0.2) -> str:
+    """PSI per run; ``cur_sql`` selects ``run, v``."""
+    p = probs_list(bins)
+    return f"""(WITH ref AS (SELECT CAST(v AS DOUBLE) v FROM ({ref_sql}) WHERE v IS NOT NULL AND NOT isnan(CAST(v AS DOUBLE))),
+cur AS (SELECT run, CAST(v AS DOUBLE) v FROM ({cur_sql}) WHERE v IS NOT NULL AND NOT isnan(CAST(v AS DOUBLE))),
+e AS (SELECT list_sort(list_distinct(quantile_cont(v, {p}))) AS e FROM ref),
+rb AS (SELECT greatest(1, len(list_filter(e.e, lambda x: x < v))) AS bin, count(*) AS n FROM ref, e
+       WHERE v >= e.e[1] AND v <= e.e[len(e.e)] GROUP BY 1),
+cb AS (SELECT run, greatest(1, len(list_filter(e.e, lambda x: x < v))) AS bin, count(*) AS n FROM cur, e
+       WHERE v >= e.e[1] AND v <= e.e[len(e.e)] GROUP BY ALL),
+runs AS (SELECT DISTINCT run FROM cur),
+grid AS (SELECT runs.run, rb.bin FROM runs CROSS JOIN rb UNION SELECT run, bin FROM cb),
+j AS (SELECT g.run, coalesce(rb.n, 0) AS rn, coalesce(cb.n, 0) AS cn FROM grid g
+      LEFT JOIN rb ON g.bin = rb.bin LEFT JOIN cb ON g.run = cb.run AND g.bin = cb.bin),
+s AS (SELECT run, coalesce(rn / nullif(sum(rn) OVER (PARTITION BY run), 0), 0) AS r,
+             coalesce(cn / nullif(sum(cn) OVER (PARTITION BY run), 0), 0) AS c FROM j),
+t AS (SELECT run, CASE WHEN (SELECT len(e) FROM e) < 3 THEN 0.0 ELSE sum((c - r) * ln((c + 1e-6) / (r + 1e-6))) END AS score
+      FROM s GROUP BY run)
+SELECT run AS {run}, '{feature}' AS feature, 'PSI' AS method, round(score, 6) + 0.0 AS score, CAST({threshold} AS DOUBLE) AS threshold,
+       score >= {threshold} AS drift_detected FROM t)"""
+
+
+def tvd_by_run_sql(feature: str, ref_sql: str, cur_sql: str, run: str, threshold: float = 0.15) -> str:
+    """TVD per run; ``cur_sql`` selects ``run, v``."""
+    clean = "coalesce(" + STRIP.format(c="v") + ", '<NA>')"
+    return f"""(WITH r AS (SELECT {clean} AS k, count(*) AS n FROM ({ref_sql}) GROUP BY 1),
+c AS (SELECT run, {clean} AS k, count(*) AS n FROM ({cur_sql}) GROUP BY ALL),
+runs AS (SELECT DISTINCT run FROM c),
+grid AS (SELECT runs.run, r.k FROM runs CROSS JOIN r UNION SELECT run, k FROM c),
+j AS (SELECT g.run, coalesce(r.n, 0) AS rn, coalesce(c.n, 0) AS cn FROM grid g
+      LEFT JOIN r ON g.k = r.k LEFT JOIN c ON g.run = c.run AND g.k = c.k),
+s AS (SELECT run, coalesce(rn / nullif(sum(rn) OVER (PARTITION BY run), 0), 0) AS rs,
+             coalesce(cn / nullif(sum(cn) OVER (PARTITION BY run), 0), 0) AS cs FROM j),
+t AS (SELECT run, 0.5 * sum(abs(rs - cs)) AS score FROM s GROUP BY run)
+SELECT run AS {run}, '{feature}' AS feature, 'TVD' AS method, round(score, 6) + 0.0 AS score, CAST({threshold} AS DOUBLE) AS threshold,
+       score >= {threshold} AS drift_detected FROM t)"""
