@@ -8,6 +8,8 @@ never with an unpartitioned window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +20,9 @@ def _d(c: Column) -> Column:
     return c.cast("double")
 
 
-def confusion_counts(df: DataFrame, y_true: str, y_pred: str, positive=1) -> DataFrame:
+def confusion_counts(df: DataFrame, y_true: str, y_pred: str, positive=1, by: Sequence[str] = ()) -> DataFrame:
     y, p = F.col(y_true) == F.lit(positive), F.col(y_pred) == F.lit(positive)
-    return df.agg(
+    return df.groupBy(*by).agg(
         F.count_if(y & p).alias("tp"),
         F.count_if(~y & p).alias("fp"),
         F.count_if(y & ~p).alias("fn"),
@@ -41,47 +43,55 @@ def _metric_cols(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Co
     }
 
 
-def ranking_metrics(df: DataFrame, y_true: str, y_prob: str, positive=1) -> DataFrame:
-    """One row ``roc_auc, avg_precision`` (NULL when a class is absent)."""
+def ranking_metrics(df: DataFrame, y_true: str, y_prob: str, positive=1, by: Sequence[str] = ()) -> DataFrame:
+    """``by…, roc_auc, avg_precision`` (NULL when a class is absent)."""
+    by = list(by)
     y = F.col(y_true) == F.lit(positive)
-    by_score = df.where(F.col(y_prob).isNotNull()).groupBy(F.col(y_prob).cast("double").alias("_s")).agg(
+    by_score = df.where(F.col(y_prob).isNotNull()).groupBy(*by, F.col(y_prob).cast("double").alias("_s")).agg(
         F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg")
     )
-    rt = running_totals(by_score, [], "_s", ["_pos", "_neg"])
+    rt = running_totals(by_score, by, "_s", ["_pos", "_neg"])
     P, N = _d(F.col("total__pos")), _d(F.col("total__neg"))
     pos, neg = _d(F.col("_pos")), _d(F.col("_neg"))
     neg_below = _d(F.col("cum__neg")) - neg
     tp_at = P - (_d(F.col("cum__pos")) - pos)  # positives scored >= s
     fp_at = N - (_d(F.col("cum__neg")) - neg)
     terms = rt.select(
+        *by,
         (pos * (neg_below + 0.5 * neg)).alias("_auc"),
         F.when(pos > 0, pos * (tp_at / (tp_at + fp_at))).otherwise(0.0).alias("_ap"),
         P.alias("_P"),
         N.alias("_N"),
     )
-    agg = terms.agg(F.sum("_auc").alias("_auc"), F.sum("_ap").alias("_ap"), F.max("_P").alias("_P"), F.max("_N").alias("_N"))
+    agg = terms.groupBy(*by).agg(F.sum("_auc").alias("_auc"), F.sum("_ap").alias("_ap"), F.max("_P").alias("_P"), F.max("_N").alias("_N"))
     ok = (F.col("_P") > 0) & (F.col("_N") > 0)
     return agg.select(
+        *by,
         F.when(ok, F.col("_auc") / (F.col("_P") * F.col("_N"))).alias("roc_auc"),
         F.when(F.col("_P") > 0, F.col("_ap") / F.col("_P")).alias("avg_precision"),
     )
 
 
 def classification_metrics(
-    df: DataFrame, y_true: str, y_pred: str, y_prob: str | None = None, prefix: str = "", positive=1
+    df: DataFrame, y_true: str, y_pred: str, y_prob: str | None = None, prefix: str = "", positive=1, by: Sequence[str] = ()
 ) -> DataFrame:
-    """accuracy, precision, recall, f1, mcc (+ roc_auc, avg_precision when ``y_prob`` is given); one row.
+    """accuracy, precision, recall, f1, mcc (+ roc_auc, avg_precision when ``y_prob`` is given).
 
-    Zero denominators give 0 (MCC too). ``prefix`` prepends ``<prefix>_`` to every name.
+    One row, or one per ``by`` group. Zero denominators give 0 (MCC too). ``prefix`` prepends
+    ``<prefix>_`` to every metric name.
     """
-    cm = confusion_counts(df, y_true, y_pred, positive)
+    by = list(by)
+    cm = confusion_counts(df, y_true, y_pred, positive, by)
     cols = _metric_cols(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
-    out = cm.select(*[v.alias(k) for k, v in cols.items()])
+    out = cm.select(*by, *[v.alias(k) for k, v in cols.items()])
     if y_prob is not None:
-        rk = ranking_metrics(df, y_true, y_prob, positive)
-        out = out.select(*out.columns, rk.select("roc_auc").scalar().alias("roc_auc"), rk.select("avg_precision").scalar().alias("avg_precision"))
+        rk = ranking_metrics(df, y_true, y_prob, positive, by)
+        if by:
+            out = out.join(rk, by, "left")
+        else:
+            out = out.select(*out.columns, rk.select("roc_auc").scalar().alias("roc_auc"), rk.select("avg_precision").scalar().alias("avg_precision"))
     p = f"{prefix}_" if prefix else ""
-    return out.select(*[F.col(c).alias(p + c) for c in out.columns])
+    return out.select(*by, *[F.col(c).alias(p + c) for c in out.columns if c not in by])
 
 
 def evaluation_report(df: DataFrame, y_true: str, y_pred: str, y_prob: str, positive=1) -> DataFrame:
