@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.functions.columns import clip_lower, strip
@@ -36,15 +36,23 @@ def strip_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: strip(F.col(c)) for c in cols if c in df.columns})
 
 
-def clip_negatives(df: DataFrame, cols: Sequence[str], lower: float = 0, name: str = "clipped") -> tuple[DataFrame, Observation]:
-    """Clip ``cols`` at ``lower``; the returned Observation holds ``negatives_<col>`` counts once the
-    DataFrame has been acted on (counted in the same pass, no extra job)."""
+def negative_counts(df: DataFrame, cols: Sequence[str], lower: float = 0) -> DataFrame:
+    """One row ``negatives_<col>`` = values below ``lower`` per column (lazy; evaluated only if used)."""
     cols = [c for c in cols if c in df.columns]
-    obs = Observation(name)
+    return df.agg(*[F.count_if(F.col(c) < F.lit(lower)).alias(f"negatives_{c}") for c in cols]) if cols else df.limit(0).select()
+
+
+def clip_negatives(df: DataFrame, cols: Sequence[str], lower: float = 0) -> tuple[DataFrame, DataFrame]:
+    """Clip ``cols`` at ``lower``; also returns the (lazy) counts of values that were below it.
+
+    The counts are a separate aggregate rather than a ``DataFrame.observe`` metric: on Spark 4.1 an
+    observation registered on the session makes later ML fits fail to serialise their tasks.
+    """
+    cols = [c for c in cols if c in df.columns]
+    counts = negative_counts(df, cols, lower)
     if not cols:
-        return df, obs
-    counted = df.observe(obs, *[F.count_if(F.col(c) < F.lit(lower)).alias(f"negatives_{c}") for c in cols])
-    return counted.withColumns({c: clip_lower(F.col(c), lower) for c in cols}), obs
+        return df, counts
+    return df.withColumns({c: clip_lower(F.col(c), lower) for c in cols}), counts
 
 
 def apply_quality_fixes(df: DataFrame, col: str = "residential_assets_value") -> DataFrame:
@@ -52,7 +60,7 @@ def apply_quality_fixes(df: DataFrame, col: str = "residential_assets_value") ->
     return df.withColumn(col, clip_lower(F.col(col), 0)) if col in df.columns else df
 
 
-def clean_table(df: DataFrame, spec: TableSpec = CREDIT_SPEC) -> tuple[DataFrame, Observation]:
+def clean_table(df: DataFrame, spec: TableSpec = CREDIT_SPEC) -> tuple[DataFrame, DataFrame]:
     """Strip header names, strip categorical and target values, clip the configured columns."""
     df = strip_column_names(df)
     df = strip_values(df, list(spec.categorical) + [spec.target])

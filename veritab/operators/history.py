@@ -83,11 +83,11 @@ def best_runs(runs: DataFrame, metrics: DataFrame, metric: str = "test_roc_auc",
     return ok.orderBy(F.col(metric).desc(), "run_id").limit(n)
 
 
-def register_versions(versions: DataFrame, candidates: DataFrame) -> DataFrame:
-    """New version rows for ``candidates(name, run_id, registered_at)``: next numbers after the highest
-    existing version of each name, in registration order (H2)."""
+def register_versions(versions: DataFrame, candidates: DataFrame, order: Sequence[str] = ("registered_at", "run_id")) -> DataFrame:
+    """New version rows for ``candidates(name, run_id, registered_at, …)``: next numbers after the highest
+    existing version of each name, in registration order (``order``) (H2)."""
     top = versions.groupBy("name").agg(F.max("version").alias("_top"))
-    w = Window.partitionBy("name").orderBy("registered_at", "run_id")
+    w = Window.partitionBy("name").orderBy(*order)
     return (
         candidates.join(top, "name", "left")
         .withColumn("version", (F.coalesce(F.col("_top"), F.lit(0)) + F.row_number().over(w)).cast("int"))

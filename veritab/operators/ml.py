@@ -99,7 +99,8 @@ class RffSvm(Estimator):
         n = self.n_train or df.count()
         feats = _rff(df, self.featuresCol, W, b)
         svm = LinearSVC(featuresCol="__rff", labelCol=self.labelCol, regParam=1.0 / (self.C * n), maxIter=self.maxIter).fit(feats)
-        margin = svm.transform(feats).withColumn("__m", array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
+        margin = svm.transform(feats).withColumn("__m", array_to_vector(F.array(vector_to_array("rawPrediction")[1]))).drop(
+            "prediction", "rawPrediction")
         platt = LogisticRegression(featuresCol="__m", labelCol=self.labelCol, regParam=0.0, maxIter=100).fit(margin)
         return RffSvmModel(W, b, svm, platt, self.featuresCol)
 
