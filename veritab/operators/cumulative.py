@@ -25,6 +25,9 @@ from veritab.session import shuffle_partitions
 
 _BOUNDS_ACCURACY = 10000
 _MAX_BOUND_ROWS = 100_000  # groups whose bucket bounds are fetched in one go
+# A group measured at or below this many (pre-aggregated) rows is ordered inside one task, a few tens
+# of MB; larger groups are split into buckets.
+SINGLE_TASK_ROWS = 1_000_000
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -33,10 +36,16 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def _bucket_bounds(df: DataFrame, by: Sequence[str], order: str, buckets: int):
-    """Approximate ``1/B`` quantiles of ``order`` per group, materialised as a small local table."""
+    """Rows per group and approximate ``1/B`` quantiles of ``order``, materialised as a small local table."""
     probs = [i / buckets for i in range(1, buckets)]
     q = F.percentile_approx(F.col(order).cast("double"), probs, _BOUNDS_ACCURACY)
-    rows = df.where(F.col(order).isNotNull()).groupBy(*by).agg(F.array_sort(q).alias("_bounds")).limit(_MAX_BOUND_ROWS + 1).collect()
+    rows = (
+        df.where(F.col(order).isNotNull())
+        .groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.array_sort(q).alias("_bounds"))
+        .limit(_MAX_BOUND_ROWS + 1)
+        .collect()
+    )
     if len(rows) > _MAX_BOUND_ROWS:
         raise ValueError(f"running totals support at most {_MAX_BOUND_ROWS} groups; got more")
     return rows
@@ -50,11 +59,15 @@ def running_totals(
     buckets: int | None = None,
     prefix: str = "cum_",
     total_prefix: str = "total_",
+    single_task_rows: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<v>`` (inclusive running sum of ``v`` in ``order`` within ``by``) and ``total_<v>``.
 
     Rows must be unique per ``(by, order)`` (pre-aggregate ties first); rows with a NULL order are
-    dropped. ``order`` must be numeric.
+    dropped. ``order`` must be numeric. When every group was measured to hold at most
+    ``single_task_rows`` rows (default :data:`SINGLE_TASK_ROWS`; ignored when ``buckets`` is given), each
+    group is one window partition; otherwise groups are cut into buckets so that no task receives
+    more than about ``1/B`` of a group.
     """
     by = list(by)
     values = list(values)
@@ -62,9 +75,18 @@ def running_totals(
     b = buckets or default_buckets(df)
     src = df.where(F.col(order).isNotNull())
     rows = _bucket_bounds(src, by, order, b)
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    if buckets is None and all(r["_rows"] <= limit for r in rows):
+        wg = Window.partitionBy(*by) if by else Window.partitionBy()
+        w = wg.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return src.select(
+            *src.columns,
+            *[F.sum(v).over(w).alias(f"{prefix}{v}") for v in values],
+            *[F.sum(v).over(wg).alias(f"{total_prefix}{v}") for v in values],
+        )
     if by:
         schema = src.select(*by).schema.add("_bounds", ArrayType(DoubleType()))
-        bounds = spark.createDataFrame([tuple(r) for r in rows], schema)
+        bounds = spark.createDataFrame([tuple(r[c] for c in by) + (r["_bounds"],) for r in rows], schema)
         tagged = src.join(F.broadcast(bounds), by, "inner")  # bounded: one row per group, checked above
     else:
         arr = rows[0]["_bounds"] if rows else []

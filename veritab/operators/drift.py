@@ -86,9 +86,12 @@ def psi_scores(
         q = ref.groupBy("feature").agg(F.percentile_approx("value", probs, 100000).alias("_q"))
     else:
         raise ValueError("quantile_method must be 'exact' or 'approx'")
-    # One row per feature: the broadcast is bounded by the number of requested columns.
+    # One row of at most bins+1 edges per requested column: fetched once, so the quantile job runs once
+    # however many branches below use the edges, and broadcast with a size bounded by the column list.
+    spark = reference.sparkSession
+    edge_rows = q.select("feature", F.array_distinct(F.array_sort(F.col("_q").cast("array<double>"))).alias("_e")).collect()
     edges = F.broadcast(
-        q.select("feature", F.array_distinct(F.array_sort(F.col("_q").cast("array<double>"))).alias("_e"))
+        spark.createDataFrame([(r["feature"], r["_e"]) for r in edge_rows], "feature string, _e array<double>")
         .withColumn("_ne", F.size("_e"))
     )
 
