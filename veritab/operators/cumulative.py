@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from veritab.functions.search import count_less_than
-from veritab.session import shuffle_partitions
+from veritab.session import checkpoint_dir, shuffle_partitions
 
 _BOUNDS_ACCURACY = 10000
 _MAX_BOUND_ROWS = 100_000  # groups whose bucket bounds are fetched in one go
@@ -74,9 +74,16 @@ def running_totals(
     spark = df.sparkSession
     b = buckets or default_buckets(df)
     src = df.where(F.col(order).isNotNull())
-    rows = _bucket_bounds(src, by, order, b)
+    if checkpoint_dir(spark):
+        # The input (usually pre-aggregated, far smaller than the raw table) is read by the size check
+        # and twice by the final plan: write it once to the shared checkpoint folder instead of
+        # re-running the upstream scan and shuffle; this also cuts the lineage for task retries.
+        src = src.checkpoint(eager=True)
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if buckets is None and all(r["_rows"] <= limit for r in rows):
+    sizes = src.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).limit(_MAX_BOUND_ROWS + 1).collect()
+    if len(sizes) > _MAX_BOUND_ROWS:
+        raise ValueError(f"running totals support at most {_MAX_BOUND_ROWS} groups; got more")
+    if buckets is None and all(r["_rows"] <= limit for r in sizes):
         wg = Window.partitionBy(*by) if by else Window.partitionBy()
         w = wg.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return src.select(
@@ -84,6 +91,7 @@ def running_totals(
             *[F.sum(v).over(w).alias(f"{prefix}{v}") for v in values],
             *[F.sum(v).over(wg).alias(f"{total_prefix}{v}") for v in values],
         )
+    rows = _bucket_bounds(src, by, order, b)
     if by:
         schema = src.select(*by).schema.add("_bounds", ArrayType(DoubleType()))
         bounds = spark.createDataFrame([tuple(r[c] for c in by) + (r["_bounds"],) for r in rows], schema)

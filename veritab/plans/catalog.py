@@ -1,4 +1,13 @@
 """All registered queries: importing this module fills the registry."""
 
-from veritab.plans import catalog_drift, catalog_features, catalog_history, catalog_ml, catalog_profile, catalog_quality, catalog_sampling  # noqa: F401
+from veritab.plans import (  # noqa: F401
+    catalog_drift,
+    catalog_features,
+    catalog_history,
+    catalog_jobs,
+    catalog_ml,
+    catalog_profile,
+    catalog_quality,
+    catalog_sampling,
+)
 from veritab.plans.registry import ORACLES, QUERIES  # noqa: F401
