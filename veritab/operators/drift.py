@@ -18,12 +18,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from veritab.functions.columns import clip_lower, hash_hex, hash_threshold_hex, strip
 from veritab.functions.search import count_less_than
 from veritab.operators.cumulative import exact_quantiles
 from veritab.operators.sampling import weighted_choice
+from veritab.session import checkpoint_dir
 from veritab.spec import CREDIT_SPEC, TableSpec
 
 # Thresholds, smoothing constant and report labels of the drift rules.
@@ -58,81 +58,84 @@ def _f(r: Column, c: Column) -> Column:
     return (c - r) * F.log((c + F.lit(EPSILON)) / (r + F.lit(EPSILON)))
 
 
-def psi_scores(
-    reference: DataFrame,
-    current: DataFrame,
-    cols: Sequence[str],
-    by: Sequence[str] = (),
-    bins: int = 10,
-    quantile_method: str = "exact",
-) -> DataFrame:
-    """PSI per ``(by…, feature)``; reference deciles (de-duplicated) are the bin edges.
+def _edges(reference: DataFrame, cols: Sequence[str], bins: int, quantile_method: str) -> DataFrame:
+    """De-duplicated reference quantile edges per numeric column: ``feature, _e, _ne``.
 
-    Bins are right-closed with the first closed on both sides; current values outside the reference
-    range are dropped before shares are taken; fewer than three edges or an empty side give 0.
-    """
-    by = list(by)
-    if not cols:
-        raise ValueError("no numeric columns to score")
+    One row of at most bins+1 edges per requested column: fetched once, so the quantile job runs once
+    however many branches use the edges, and broadcast with a size bounded by the column list."""
     probs = [i / bins for i in range(bins + 1)]
     ref = _long(reference, cols, [], None, "numeric").where(F.col("value").isNotNull() & ~F.isnan("value"))
-    cur = _long(current, cols, by, None, "numeric").withColumn(
-        "value", F.when(~F.isnan("value"), F.col("value"))
-    )
-
     if quantile_method == "exact":
         q = exact_quantiles(ref, ["feature"], "value", probs, out="_q")
     elif quantile_method == "approx":
         q = ref.groupBy("feature").agg(F.percentile_approx("value", probs, 100000).alias("_q"))
     else:
         raise ValueError("quantile_method must be 'exact' or 'approx'")
-    # One row of at most bins+1 edges per requested column: fetched once, so the quantile job runs once
-    # however many branches below use the edges, and broadcast with a size bounded by the column list.
+    rows = q.select("feature", F.array_distinct(F.array_sort(F.col("_q").cast("array<double>"))).alias("_e")).collect()
     spark = reference.sparkSession
-    edge_rows = q.select("feature", F.array_distinct(F.array_sort(F.col("_q").cast("array<double>"))).alias("_e")).collect()
-    edges = F.broadcast(
-        spark.createDataFrame([(r["feature"], r["_e"]) for r in edge_rows], "feature string, _e array<double>")
-        .withColumn("_ne", F.size("_e"))
+    return F.broadcast(
+        spark.createDataFrame([(r["feature"], r["_e"]) for r in rows], "feature string, _e array<double>").withColumn("_ne", F.size("_e"))
     )
 
-    def binned(long_df: DataFrame) -> DataFrame:
-        d = long_df.join(edges, "feature", "left")
-        d = count_less_than(d, "_e", F.col("value"), bins + 1, "_lt")
+
+def _side_long(df: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequence[str], side: str, by_types) -> DataFrame:
+    """One long form per side for numeric and categorical columns together:
+    ``_side, by…, feature, kind, x (double), s (cleaned text)``; the reference side has NULL run keys."""
+    structs = [
+        F.struct(F.lit(c).alias("feature"), F.lit("num").alias("kind"), F.col(c).cast("double").alias("x"), F.lit(None).cast("string").alias("s"))
+        for c in num
+    ] + [
+        F.struct(F.lit(c).alias("feature"), F.lit("cat").alias("kind"), F.lit(None).cast("double").alias("x"),
+                 F.coalesce(strip(F.col(c).cast("string")), F.lit(MISSING_CATEGORY)).alias("s"))
+        for c in cat
+    ]
+    keys = [F.col(b) if side == "cur" else F.lit(None).cast(by_types[b]).alias(b) for b in by]
+    out = df.select(F.lit(side).alias("_side"), *keys, F.inline(F.array(*structs)))
+    return out.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+
+
+def _side_counts(reference: DataFrame, current: DataFrame, num, cat, by, bins: int, quantile_method: str):
+    """The only aggregation over the input rows: counts per ``(_side, by…, feature, kind, key)`` where
+    key is the PSI bin (as text; NULL when missing or out of range) or the category. Every score
+    below derives from this one shuffle, which the planner reuses across branches."""
+    by_types = {b: current.schema[b].dataType for b in by}
+    long = _side_long(reference, num, cat, by, "ref", by_types).unionByName(_side_long(current, num, cat, by, "cur", by_types))
+    edges = None
+    if num:
+        edges = _edges(reference, num, bins, quantile_method)
+        long = long.join(edges, "feature", "left")
+        long = count_less_than(long, "_e", F.col("x"), bins + 1, "_lt")
         in_range = (
-            (F.col("_ne") >= 3)
-            & F.col("value").isNotNull()
-            & (F.col("value") >= F.element_at("_e", 1))
-            & (F.col("value") <= F.element_at("_e", -1))
+            (F.col("_ne") >= 3) & F.col("x").isNotNull()
+            & (F.col("x") >= F.element_at("_e", 1)) & (F.col("x") <= F.element_at("_e", -1))
         )
-        return d.withColumn("bin", F.when(in_range, F.greatest(F.col("_lt"), F.lit(1)))).drop("_e", "_lt")
-
-    rb = binned(ref).groupBy("feature", "bin", "_ne").agg(F.count(F.lit(1)).alias("_n"))
-    r_tot = rb.groupBy("feature").agg(
-        F.sum(F.when(F.col("bin").isNotNull(), F.col("_n"))).alias("_rin"), F.sum("_n").alias("_rall")
-    )
-    r_share = (
-        rb.where(F.col("bin").isNotNull())
-        .join(r_tot, "feature")
-        .select("feature", "bin", (F.col("_n") / F.col("_rin")).alias("_r"))
+        key = F.when(F.col("kind") == "num", F.when(in_range, F.greatest(F.col("_lt"), F.lit(1)).cast("string"))).otherwise(F.col("s"))
+    else:
+        key = F.col("s")
+    counts = long.groupBy("_side", *by, "feature", "kind", key.alias("key")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.count("x").alias("_nx")
     )
-    s_ref = r_share.groupBy("feature").agg(F.sum(_f(F.col("_r"), F.lit(0.0))).alias("_sref"))
+    return counts, edges
 
-    cb = binned(cur).groupBy(*by, "feature", "bin").agg(
-        F.count(F.lit(1)).alias("_rows"), F.count("value").alias("_n")
-    )
-    c_tot = cb.groupBy(*by, "feature").agg(
-        F.sum(F.when(F.col("bin").isNotNull(), F.col("_n"))).alias("_cin"), F.sum("_n").alias("_call")
-    )
+
+def _psi_from_counts(counts: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
+    num = counts.where(F.col("kind") == "num")
+    ref = num.where(F.col("_side") == "ref")
+    cur = num.where(F.col("_side") == "cur")
+    r_tot = ref.groupBy("feature").agg(
+        F.sum(F.when(F.col("key").isNotNull(), F.col("_rows"))).alias("_rin"), F.sum("_nx").alias("_rall"))
+    r_share = ref.where(F.col("key").isNotNull()).join(r_tot, "feature").select(
+        "feature", "key", (F.col("_rows") / F.col("_rin")).alias("_r"))
+    s_ref = r_share.groupBy("feature").agg(F.sum(_f(F.col("_r"), F.lit(0.0))).alias("_sref"))
+    c_tot = cur.groupBy(*by, "feature").agg(
+        F.sum(F.when(F.col("key").isNotNull(), F.col("_rows"))).alias("_cin"), F.sum("_nx").alias("_call"))
     corr = (
-        cb.where(F.col("bin").isNotNull())
+        cur.where(F.col("key").isNotNull())
         .join(c_tot, by + ["feature"])
-        .join(r_share, ["feature", "bin"], "left")
-        .select(
-            *by,
-            "feature",
-            F.coalesce(F.col("_r"), F.lit(0.0)).alias("_r"),
-            F.coalesce(F.try_divide(F.col("_n"), F.col("_cin")), F.lit(0.0)).alias("_c"),
-        )
+        .join(r_share, ["feature", "key"], "left")
+        .select(*by, "feature",
+                F.coalesce(F.col("_r"), F.lit(0.0)).alias("_r"),
+                F.coalesce(F.try_divide(F.col("_rows"), F.col("_cin")), F.lit(0.0)).alias("_c"))
         .groupBy(*by, "feature")
         .agg(F.sum(_f(F.col("_r"), F.col("_c")) - _f(F.col("_r"), F.lit(0.0))).alias("_corr"))
     )
@@ -143,12 +146,66 @@ def psi_scores(
         .join(corr, by + ["feature"], "left")
     )
     usable = (F.coalesce(F.col("_ne"), F.lit(0)) >= 3) & (F.col("_call") > 0) & (F.coalesce(F.col("_rall"), F.lit(0)) > 0)
-    score = F.when(usable, F.coalesce(F.col("_sref"), F.lit(0.0)) + F.coalesce(F.col("_corr"), F.lit(0.0))).otherwise(
-        F.lit(0.0)
-    )
+    score = F.when(usable, F.coalesce(F.col("_sref"), F.lit(0.0)) + F.coalesce(F.col("_corr"), F.lit(0.0))).otherwise(F.lit(0.0))
     return out.select(*by, "feature", score.alias("score"))
 
 
+def _tvd_from_counts(counts: DataFrame, by: Sequence[str]) -> DataFrame:
+    cat = counts.where(F.col("kind") == "cat")
+    ref = cat.where(F.col("_side") == "ref")
+    cur = cat.where(F.col("_side") == "cur")
+    r_t = ref.groupBy("feature").agg(F.sum("_rows").alias("_t"))
+    r = ref.join(r_t, "feature").select("feature", "key", (F.col("_rows") / F.col("_t")).alias("_r"))
+    c_t = cur.groupBy(*by, "feature").agg(F.sum("_rows").alias("_t"))
+    c = cur.join(c_t, by + ["feature"]).select(*by, "feature", "key", (F.col("_rows") / F.col("_t")).alias("_c"))
+    r_sum = r.groupBy("feature").agg(F.sum("_r").alias("_rsum"))
+    rr = F.coalesce(F.col("_r"), F.lit(0.0))
+    corr = (
+        c.join(r, ["feature", "key"], "left")
+        .select(*by, "feature", (F.abs(rr - F.col("_c")) - rr).alias("_d"))
+        .groupBy(*by, "feature")
+        .agg(F.sum("_d").alias("_corr"))
+    )
+    return corr.join(r_sum, "feature", "left").select(
+        *by, "feature", (F.lit(0.5) * (F.coalesce(F.col("_rsum"), F.lit(0.0)) + F.col("_corr"))).alias("score")
+    )
+
+
+def drift_scores(reference: DataFrame, current: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequence[str] = (),
+                 bins: int = 10, quantile_method: str = "exact") -> tuple[DataFrame | None, DataFrame | None]:
+    """(PSI scores, TVD scores) per ``(by…, feature)`` from one shared aggregation of both tables.
+
+    PSI: reference deciles (de-duplicated) are the bin edges; bins are right-closed with the first
+    closed on both sides; current values outside the reference range are dropped before shares are
+    taken; fewer than three edges or an empty side give 0. TVD: ½Σ|r − c| over the union of
+    categories (stripped, missing → ``<NA>``)."""
+    by = list(by)
+    counts, edges = _side_counts(reference, current, list(num), list(cat), by, bins, quantile_method)
+    if checkpoint_dir(reference.sparkSession):
+        # The counts (sides × runs × features × bins/categories) are small; every score branch filters
+        # them by side and kind, and those filters would otherwise be pushed below the aggregation,
+        # giving each branch its own scan of the inputs. Written once, the inputs are scanned once.
+        counts = counts.checkpoint(eager=True)
+    psi = _psi_from_counts(counts, edges, by) if num else None
+    tvd = _tvd_from_counts(counts, by) if cat else None
+    return psi, tvd
+
+
+def psi_scores(reference: DataFrame, current: DataFrame, cols: Sequence[str], by: Sequence[str] = (), bins: int = 10,
+               quantile_method: str = "exact") -> DataFrame:
+    """PSI per ``(by…, feature)`` (see :func:`drift_scores`)."""
+    if not cols:
+        raise ValueError("no numeric columns to score")
+    return drift_scores(reference, current, cols, [], by, bins, quantile_method)[0]
+
+
+def tvd_scores(reference: DataFrame, current: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Total variation distance per ``(by…, feature)`` (see :func:`drift_scores`)."""
+    if not cols:
+        raise ValueError("no categorical columns to score")
+    return drift_scores(reference, current, [], cols, by)[1]
+
+
 def category_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str], by: Sequence[str] = ()):
     """Shares per category on each side: ``(feature, value, r)`` and ``(by…, feature, value, c)``."""
     by = list(by)
@@ -163,22 +220,6 @@ def category_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str
     return r, c
 
 
-def tvd_scores(reference: DataFrame, current: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Total variation distance ½Σ|r − c| over the union of categories (stripped, missing → ``<NA>``)."""
-    by = list(by)
-    r, c = category_counts(reference, current, cols, by)
-    r_sum = r.groupBy("feature").agg(F.sum("_r").alias("_rsum"))
-    corr = (
-        c.join(r, ["feature", "value"], "left")
-        .select(*by, "feature", (F.abs(F.coalesce(F.col("_r"), F.lit(0.0)) - F.col("_c")) - F.coalesce(F.col("_r"), F.lit(0.0))).alias("_d"))
-        .groupBy(*by, "feature")
-        .agg(F.sum("_d").alias("_corr"))
-    )
-    return corr.join(r_sum, "feature", "left").select(
-        *by, "feature", (F.lit(0.5) * (F.coalesce(F.col("_rsum"), F.lit(0.0)) + F.col("_corr"))).alias("score")
-    )
-
-
 def category_shares(reference: DataFrame, current: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Both distributions over the union of categories: ``feature, value, reference_share, current_share``.
 
@@ -227,10 +268,12 @@ def drift_report(
     num, miss_n = _present(reference, current, numeric_cols)
     cat, miss_c = _present(reference, current, categorical_cols)
     parts = []
-    if num:
-        parts.append(_decorate(psi_scores(reference, current, num, by, bins, quantile_method), "PSI", numeric_threshold, by))
-    if cat:
-        parts.append(_decorate(tvd_scores(reference, current, cat, by), "TVD", categorical_threshold, by))
+    if num or cat:
+        psi, tvd = drift_scores(reference, current, num, cat, by, bins, quantile_method)
+        if psi is not None:
+            parts.append(_decorate(psi, "PSI", numeric_threshold, by))
+        if tvd is not None:
+            parts.append(_decorate(tvd, "TVD", categorical_threshold, by))
     if not parts:
         return reference.sparkSession.createDataFrame([], REPORT_SCHEMA), sorted(set(miss_n + miss_c))
     out = parts[0]
