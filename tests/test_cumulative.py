@@ -45,3 +45,24 @@ def test_row_ranks(spark):
     for g in (0, 1):
         vals = sorted(o for (gg, o) in got if gg == g)
         assert [got[(g, o)] for o in vals] == list(range(1, len(vals) + 1))
+
+
+def test_hot_group_is_split_and_matches_fast_path(spark):
+    # One key holds most of the rows; force the bucketed path with a tiny single-task limit.
+    rows = [("hot", float(i), 1) for i in range(3000)] + [("cold", float(i), 2) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, o double, v long").repartition(5)
+    fast = {(r["g"], r["o"]): (r["cum_v"], r["total_v"]) for r in running_totals(df, ["g"], "o", ["v"]).collect()}
+    split = running_totals(df, ["g"], "o", ["v"], single_task_rows=100)
+    assert "_bucket" not in split.columns
+    got = {(r["g"], r["o"]): (r["cum_v"], r["total_v"]) for r in split.collect()}
+    assert got == fast
+    assert got[("hot", 2999.0)] == (3000, 3000) and got[("cold", 49.0)] == (100, 100)
+
+
+def test_quantiles_same_for_any_partitioning(spark):
+    rng = np.random.default_rng(5)
+    vals = [(int(g), float(v)) for g, v in zip(rng.integers(0, 4, 800), np.round(rng.exponential(size=800), 2))]
+    df = spark.createDataFrame(vals, "g int, v double")
+    a = {r["g"]: r["quantiles"] for r in exact_quantiles(df.repartition(1), ["g"], "v", [0.1, 0.5, 0.9]).collect()}
+    b = {r["g"]: r["quantiles"] for r in exact_quantiles(df.repartition(9), ["g"], "v", [0.1, 0.5, 0.9], buckets=6).collect()}
+    assert a == b

@@ -149,3 +149,12 @@ def test_snapshot_report_row(spark, reference, tmp_path):
     assert r["prediction_drift"]["status"] == "estable"
     back = spark.read.json(str(tmp_path / "rep")).first()
     assert back["summary"]["features_with_drift"] == 1
+
+
+def test_report_same_for_any_partitioning(spark, reference):
+    cur = reference.withColumn("cibil_score", F.col("cibil_score") + 15)
+    a, _ = D.drift_report(reference.repartition(1), cur.repartition(1))
+    b, _ = D.drift_report(reference.repartition(7), cur.repartition(5))
+    key = lambda r: (r["feature"], r["method"])
+    assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+    assert any(r["feature"] == "cibil_score" and r["score"] > 0 for r in a.collect())
