@@ -235,11 +235,12 @@ def category_shares(reference: DataFrame, current: DataFrame, cols: Sequence[str
 
 
 def _decorate(scores: DataFrame, method: str, threshold: float, by: Sequence[str]) -> DataFrame:
+    # Scores are rounded half-to-even (as Python's round); the flag uses the unrounded score.
     return scores.select(
         *by,
         "feature",
         F.lit(method).alias("method"),
-        (F.round("score", 6) + F.lit(0.0)).alias("score"),
+        (F.bround("score", 6) + F.lit(0.0)).alias("score"),
         F.lit(threshold).alias("threshold"),
         (F.col("score") >= F.lit(threshold)).alias("drift_detected"),
     )
@@ -296,7 +297,7 @@ def drift_summary(report: DataFrame, missing_columns: Sequence[str] = (), by: Se
         "total_features_evaluated",
         "features_with_drift",
         F.coalesce(
-            F.round(F.try_divide(F.col("features_with_drift"), F.col("total_features_evaluated")), 4), F.lit(0.0)
+            F.bround(F.try_divide(F.col("features_with_drift"), F.col("total_features_evaluated")), 4), F.lit(0.0)
         ).alias("drift_ratio"),
         F.array(*[F.lit(c) for c in sorted(set(missing_columns))]).cast("array<string>").alias("missing_columns"),
     )
@@ -349,7 +350,7 @@ def prediction_drift(
         F.when(F.col("_s") * 0.5 >= threshold, F.lit(STATUS_DRIFT)).otherwise(F.lit(STATUS_STABLE)).alias("status"),
         F.lit("TVD").alias("method"),
         F.lit(target_col).alias("target_col"),
-        (F.round(F.col("_s") * 0.5, 6) + F.lit(0.0)).alias("score"),
+        (F.bround(F.col("_s") * 0.5, 6) + F.lit(0.0)).alias("score"),
         F.lit(threshold).alias("threshold"),
         (F.col("_s") * 0.5 >= threshold).alias("drift_detected"),
         F.lit(None).cast("string").alias("reason"),
@@ -418,7 +419,7 @@ def drift_decisions(
         .agg(F.max(F.col("drift_detected") & F.coalesce(F.col("_prev"), F.lit(False))).alias("retrain"))
     )
     out = summ.join(crit, run_cols, "left").withColumn("retrain", F.coalesce(F.col("retrain"), F.lit(False)))
-    ratio = F.round(F.col("features_with_drift") / F.col("features_evaluated"), 4)
+    ratio = F.bround(F.col("features_with_drift") / F.col("features_evaluated"), 4)
     return out.select(
         *run_cols,
         "features_evaluated",

@@ -309,7 +309,7 @@ def score(model, df: DataFrame, positive_label: str = "Approved", negative_label
     return s.select(
         *keep,
         F.col("prediction").cast("int").alias("prediction"),
-        F.round("p1", 4).alias("probability"),
+        F.bround("p1", 4).alias("probability"),
         F.when(F.col("prediction") == 1, F.lit(positive_label)).otherwise(F.lit(negative_label)).alias("label_text"),
     )
 

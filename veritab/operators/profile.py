@@ -42,7 +42,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def majority_share(df: DataFrame, col: str, places: int = 4) -> DataFrame:
     """Top normalised frequency of ``col`` (one row ``majority_share``)."""
     vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return vc.agg(F.round(F.max("n") / F.sum("n"), places).alias("majority_share"))
+    return vc.agg(F.bround(F.max("n") / F.sum("n"), places).alias("majority_share"))
 
 
 def _long_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -108,6 +108,6 @@ def etl_report(raw: DataFrame, processed: DataFrame, numeric: Sequence[str], tar
         F.lit("nulls_total").alias("metric"), F.lit(TABLE).alias("column"), "value")
     vc = processed.groupBy(target).agg(F.count(F.lit(1)).alias("n"))
     bal = vc.agg((F.max("n") / F.sum("n")).alias("v")).select(
-        F.lit("target_balance").alias("metric"), F.lit(target).alias("column"), F.round("v", 4).alias("value"))
+        F.lit("target_balance").alias("metric"), F.lit(target).alias("column"), F.bround("v", 4).alias("value"))
     cols_raw = spark.createDataFrame([("cols_raw", TABLE, float(len(raw.columns)))], "metric string, column string, value double")
     return before_long.unionByName(facts).unionByName(nulls).unionByName(bal).unionByName(cols_raw)
