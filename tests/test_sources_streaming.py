@@ -69,3 +69,32 @@ def test_stream_validation_and_window_tvd(spark, tmp_path):
     tvd = {str(r["window_start"])[:10]: r["score"] for r in spark.read.parquet(str(tmp_path / "tvd")).collect()}
     # Windows close once the watermark passes them; the last window stays open.
     assert tvd["2024-01-01"] == 0.0 and tvd["2024-01-02"] == 0.5
+
+
+def test_etl_job_records_run(spark, tmp_path):
+    from veritab.operators import history as H
+
+    p = tmp_path / "loans.csv"
+    p.write_text(CSV)
+    store = H.RunStore(spark, str(tmp_path / "runs"))
+    run_etl(spark, str(p), str(tmp_path / "processed"), store=store)
+    runs = store.read(H.RUNS).collect()
+    assert len(runs) == 1 and runs[0]["run_name"] == "etl" and runs[0]["tags"]["phase"] == "etl"
+    m = {r["key"]: r["value"] for r in store.read(H.METRICS).collect()}
+    assert m["rows_raw::*"] == 2.0 and m["duplicates::*"] == 0.0
+    assert {r["key"] for r in store.read(H.PARAMS).collect()} == {"source", "output"}
+
+
+def test_scoring_runs_on_a_stream(spark, tmp_path):
+    from veritab.operators import ml as ML
+
+    rows = [(float(i), "a" if i % 2 else "b", 1 if i % 2 else 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, c string, label int")
+    model = ML.model_pipeline(ML.make_estimator("logistic_regression", {}, 40), ["x"], ["c"], 40).fit(df)
+    src = tmp_path / "stream_in"
+    df.drop("label").write.parquet(str(src))
+    stream = spark.readStream.schema(df.drop("label").schema).parquet(str(src))
+    q = ML.score(model, stream, keep=["x"]).writeStream.format("memory").queryName("scored").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    out = spark.sql("select * from scored")
+    assert out.count() == 40 and set(out.columns) == {"x", "prediction", "probability", "label_text"}
