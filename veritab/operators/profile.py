@@ -35,7 +35,7 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bo
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """``(value, count, share)`` with NULLs excluded; share = count / non-null rows."""
     vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    total = df.select(F.count(col)).scalar()
+    total = vc.select(F.sum("count")).scalar()  # from the aggregated counts, not another scan of the table
     return vc.withColumn("share", F.col("count") / total)
 
 
@@ -150,11 +150,12 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = 0.05, yates:
     plain = joined.agg(F.sum(F.col("o") * F.col("o") / F.col("e")).alias("_s"))
     stat_plain = F.col("_s") - n
     if yates:
-        # 2×2 case: build the four expected cells from the (two) row and column totals.
-        rt = rows.agg(F.array_sort(F.collect_list(F.struct(F.col(a).alias("k"), F.col("_rt").alias("t")))).alias("R"))
-        ct = cols.agg(F.array_sort(F.collect_list(F.struct(F.col(b).alias("k"), F.col("_ct").alias("t")))).alias("C"))
+        # 2×2 case: build the four expected cells from the (two) row and column totals. The lists are
+        # only used when dof = 1 (two rows, two columns), so a few entries always suffice.
+        rt = rows.limit(3).agg(F.array_sort(F.collect_list(F.struct(F.col(a).alias("k"), F.col("_rt").alias("t")))).alias("R"))
+        ct = cols.limit(3).agg(F.array_sort(F.collect_list(F.struct(F.col(b).alias("k"), F.col("_ct").alias("t")))).alias("C"))
         key = lambda x, y: F.concat_ws("\u0001", x.cast("string"), y.cast("string"))
-        obs = cells.agg(F.map_from_entries(F.collect_list(F.struct(key(F.col(a), F.col(b)), F.col("count")))).alias("O"))
+        obs = cells.limit(5).agg(F.map_from_entries(F.collect_list(F.struct(key(F.col(a), F.col(b)), F.col("count")))).alias("O"))
         R = rt.select("R").scalar()
         C = ct.select("C").scalar()
         O = obs.select("O").scalar()
