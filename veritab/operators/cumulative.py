@@ -28,6 +28,7 @@ _MAX_BOUND_ROWS = 100_000  # groups whose bucket bounds are fetched in one go
 # A group measured at or below this many (pre-aggregated) rows is ordered inside one task, a few tens
 # of MB; larger groups are split into buckets.
 SINGLE_TASK_ROWS = 1_000_000
+_BOUNDS_BUDGET = 4_000_000  # bucket bounds (doubles) fetched and broadcast at most, ~32 MB
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -91,6 +92,9 @@ def running_totals(
             *[F.sum(v).over(w).alias(f"{prefix}{v}") for v in values],
             *[F.sum(v).over(wg).alias(f"{total_prefix}{v}") for v in values],
         )
+    # The bounds table (groups × (B − 1) doubles) is collected and broadcast: keep it within a fixed
+    # budget by using fewer buckets when there are many groups.
+    b = max(2, min(b, _BOUNDS_BUDGET // max(1, len(sizes))))
     rows = _bucket_bounds(src, by, order, b)
     if by:
         schema = src.select(*by).schema.add("_bounds", ArrayType(DoubleType()))
