@@ -40,7 +40,7 @@ def test_baseline_models_return_metrics(loans):
 def test_train_model_cv_and_scoring(spark, loans):
     lab = ML.prepare_labelled(loans, "loan_status", "Approved", "Rejected")
     r = ML.train_model("logistic_regression", lab, NUM, ["education"], ["loan_id"], k=3)
-    assert 0.0 <= r.cv_auc_std and r.cv_auc_mean > 0.9 and len(r.fold_scores) == 3
+    assert 0.0 <= r.cv_auc_std and r.cv_auc_mean > 0.9
     scored = ML.score(r.model, lab, keep=["loan_id"])
     summ = ML.batch_summary(scored).first()
     assert summ["total"] == 60 and summ["approved"] + summ["rejected"] == 60

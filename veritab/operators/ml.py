@@ -231,14 +231,48 @@ class TrainResult:
     fold_scores: list
 
 
+def auc_evaluator() -> "BinaryClassificationEvaluator":
+    """ROC AUC on P(class 1) without binning (ties count half)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+
+    return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
+
+
+def _param_map(name: str, est, p: Mapping, n: int) -> dict:
+    """Spark ParamMap for one trial of the source project's search space."""
+    if name == "logistic_regression":
+        return {est.regParam: 1.0 / (float(p["C"]) * n), est.elasticNetParam: 1.0 if p.get("penalty") == "l1" else 0.0}
+    if name == "random_forest":
+        return {est.numTrees: int(p["n_estimators"]), est.maxDepth: min(int(p["max_depth"]), SPARK_MAX_DEPTH),
+                est.minInstancesPerNode: int(p["min_samples_leaf"]), est.featureSubsetStrategy: str(p["max_features"])}
+    if name == "xgboost":
+        return {est.maxIter: int(p["n_estimators"]), est.maxDepth: int(p["max_depth"]), est.stepSize: float(p["learning_rate"]),
+                est.subsamplingRate: float(p["subsample"]), est.featureSubsetStrategy: str(p["colsample_bytree"])}
+    raise NotImplementedError(name)
+
+
+def _cross_validator(pipe: Pipeline, maps: list, k: int, parallelism: int):
+    from pyspark.ml.tuning import CrossValidator
+
+    return CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=auc_evaluator(), numFolds=k, foldCol="fold",
+                          parallelism=parallelism, seed=RANDOM_STATE)
+
+
 def train_model(name: str, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key_cols: Sequence[str],
                 params: Mapping | None = None, k: int = CV_FOLDS) -> TrainResult:
-    """CV ROC AUC (stratified k folds) then a refit on all training rows (M6)."""
+    """CV ROC AUC over exact stratified folds (mean, population std) then a refit on all training rows
+    (M6). Uses ``CrossValidator`` with the fold column; the kernel-SVM approximation, which is not a
+    Params-based estimator, is cross-validated fold by fold."""
     folded = stratified_folds(train, LABEL, key_cols, k, RANDOM_STATE, exact=True).cache()
     n = folded.count()
-    pipe = model_pipeline(make_estimator(name, params, int(n * (k - 1) / k)), numeric, categorical, n)
-    mean, std, scores = cross_validated_auc(pipe, folded, k)
-    final = model_pipeline(make_estimator(name, params, n), numeric, categorical, n).fit(train)
+    pipe = model_pipeline(make_estimator(name, params, n), numeric, categorical, n)
+    if name == "svm":
+        mean, std, scores = cross_validated_auc(pipe, folded, k)
+        final = pipe.fit(train)
+    else:
+        cvm = _cross_validator(pipe, [{}], k, 1).fit(folded)
+        mean, std, scores = float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0]), []
+        final = cvm.bestModel
     folded.unpersist()
     return TrainResult(name, final, mean, std, scores)
 
@@ -281,19 +315,31 @@ def sample_params(name: str, n_trials: int = N_TRIALS, seed: int = RANDOM_STATE)
     return out
 
 
-def random_search(name: str, train: DataFrame, numeric, categorical, key_cols, n_trials: int = N_TRIALS, k: int = CV_FOLDS):
-    """Maximise CV ROC AUC over sampled parameters; refit the best on all rows (M8).
+def random_search(name: str, train: DataFrame, numeric, categorical, key_cols, n_trials: int = N_TRIALS, k: int = CV_FOLDS,
+                  parallelism: int = 4):
+    """Maximise CV ROC AUC over seeded random trials of the model's search space; refit the best on all
+    rows (M8). Trials are ``ParamMap``s of one ``CrossValidator`` (fitted ``parallelism`` at a time).
 
-    Returns (best params, best mean AUC, fitted model, trials DataFrame-ready list)."""
+    Returns (best params, best mean AUC, fitted model, [(params, mean AUC, std AUC)…])."""
+    trials_p = sample_params(name, n_trials)
     folded = stratified_folds(train, LABEL, key_cols, k, RANDOM_STATE, exact=True).cache()
     n = folded.count()
-    trials = []
-    for p in sample_params(name, n_trials):
-        pipe = model_pipeline(make_estimator(name, p, int(n * (k - 1) / k)), numeric, categorical, n)
-        mean, std, _ = cross_validated_auc(pipe, folded, k)
-        trials.append((p, mean, std))
-    best = max(trials, key=lambda t: (t[1] if t[1] == t[1] else -1.0))
-    model = model_pipeline(make_estimator(name, best[0], n), numeric, categorical, n).fit(train)
+    if name == "svm":
+        trials = []
+        for p in trials_p:
+            pipe = model_pipeline(make_estimator(name, p, n), numeric, categorical, n)
+            mean, std, _ = cross_validated_auc(pipe, folded, k)
+            trials.append((p, mean, std))
+        best = max(trials, key=lambda t: (t[1] if t[1] == t[1] else -1.0))
+        model = model_pipeline(make_estimator(name, best[0], n), numeric, categorical, n).fit(train)
+    else:
+        est = make_estimator(name, {}, n)
+        pipe = model_pipeline(est, numeric, categorical, n)
+        maps = [_param_map(name, est, p, n) for p in trials_p]
+        cvm = _cross_validator(pipe, maps, k, parallelism).fit(folded)
+        trials = [(p, float(m), float(sd)) for p, m, sd in zip(trials_p, cvm.avgMetrics, cvm.stdMetrics)]
+        best = max(trials, key=lambda t: (t[1] if t[1] == t[1] else -1.0))
+        model = cvm.bestModel
     folded.unpersist()
     return best[0], best[1], model, trials
 
