@@ -72,3 +72,14 @@ def test_etl_report_measures_before_and_after(spark):
     assert rep[("rows_raw", "*")] == 3 and rep[("cols_raw", "*")] == 9
     assert rep[("duplicates", "*")] == 1
     assert rep[("target_balance", "loan_status")] == 1.0
+
+
+def test_single_pass_etl_report_equals_report(spark):
+    raw = spark.createDataFrame(F1_ROWS, F1_SCHEMA).withColumn("loan_status", F.lit("Approved"))
+    num = ["residential_assets_value", "income_annum"]
+    df, _ = C.clip_negatives(raw.drop("loan_id"), ["residential_assets_value"])
+    tagged = Q.tag_raw_negatives(raw.drop("loan_id"), num)
+    tagged, _ = C.clip_negatives(tagged, ["residential_assets_value"])
+    a = {(r["metric"], r["column"]): r["value"] for r in Q.etl_report(raw, df, num, "loan_status").collect()}
+    b = {(r["metric"], r["column"]): r["value"] for r in Q.etl_report_single_pass(tagged, num, "loan_status", len(raw.columns)).collect()}
+    assert a == b

@@ -111,3 +111,49 @@ def etl_report(raw: DataFrame, processed: DataFrame, numeric: Sequence[str], tar
         F.lit("target_balance").alias("metric"), F.lit(target).alias("column"), F.bround("v", 4).alias("value"))
     cols_raw = spark.createDataFrame([("cols_raw", TABLE, float(len(raw.columns)))], "metric string, column string, value double")
     return before_long.unionByName(facts).unionByName(nulls).unionByName(bal).unionByName(cols_raw)
+
+
+RAW_FLAG = "__neg_raw_"
+
+
+def tag_raw_negatives(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Add hidden ``__neg_raw_<col>`` flags (value < 0 before any cleaning) for :func:`etl_report_single_pass`."""
+    return df.withColumns({f"{RAW_FLAG}{c}": (F.col(c) < 0).cast("long") for c in cols if c in df.columns})
+
+
+def etl_report_single_pass(tagged: DataFrame, numeric: Sequence[str], target: str, raw_columns: int) -> DataFrame:
+    """The ETL report (as :func:`etl_report`) from one scan and one shuffle.
+
+    ``tagged`` is the processed table (row for row with the raw one) carrying the hidden raw-negative
+    flags of :func:`tag_raw_negatives`. Rows are grouped once by all processed columns (duplicates);
+    raw counts, nulls, negatives and the target balance are all sums over that grouped table, whose
+    shuffle the two aggregations below share.
+    """
+    flags = [c for c in tagged.columns if c.startswith(RAW_FLAG)]
+    visible = [c for c in tagged.columns if c not in flags]
+    num = [c for c in numeric if c in visible]
+    grouped = tagged.groupBy(*[F.col(f"`{c}`") for c in visible]).agg(
+        F.count(F.lit(1)).alias("__n"), *[F.sum(f).alias(f) for f in flags]
+    )
+    n = F.col("__n")
+    wide = grouped.agg(
+        F.sum(n).alias("rows"),
+        F.sum(n - 1).alias("dups"),
+        sum((F.sum(F.when(_missing(tagged, c), n).otherwise(0)) for c in visible), F.lit(0)).alias("nulls"),
+        *[F.sum(F.when(F.col(f"`{c}`") < 0, n).otherwise(0)).alias(f"after::{c}") for c in num],
+        *[F.sum(f).alias(f"before::{f[len(RAW_FLAG):]}") for f in flags],
+    )
+    entries = [
+        _row("rows_raw", TABLE, F.col("rows"), "double"),
+        _row("cols_raw", TABLE, F.lit(raw_columns), "double"),
+        _row("rows_processed", TABLE, F.col("rows"), "double"),
+        _row("cols_processed", TABLE, F.lit(len(visible)), "double"),
+        _row("duplicates", TABLE, F.col("dups"), "double"),
+        _row("nulls_total", TABLE, F.col("nulls"), "double"),
+    ]
+    entries += [_row("negative_before", f[len(RAW_FLAG):], F.col(f"`before::{f[len(RAW_FLAG):]}`"), "double") for f in flags]
+    entries += [_row("negative_after", c, F.col(f"`after::{c}`"), "double") for c in num]
+    long = wide.select(F.inline(F.array(*entries))).where(~F.col("metric").startswith("negative_") | (F.col("value") > 0))
+    bal = grouped.groupBy(target).agg(F.sum("__n").alias("n")).agg((F.max("n") / F.sum("n")).alias("v")).select(
+        F.lit("target_balance").alias("metric"), F.lit(target).alias("column"), F.bround("v", 4).alias("value"))
+    return long.unionByName(bal)

@@ -128,8 +128,10 @@ A3_SQL = " UNION ALL ".join(
 @register("a3_etl_report_customer", A3_SQL)
 def a3_etl_report_customer(spark, sf):
     raw = table(spark, sf, "customer")
-    processed, _ = C.clean_table(C.drop_columns(raw, CUSTOMER_SPEC.id_cols), CUSTOMER_SPEC.with_(categorical=["c_name"]))
-    return Q.etl_report(raw, processed, CUSTOMER_SPEC.numeric, CUSTOMER_SPEC.target)
+    spec = CUSTOMER_SPEC.with_(categorical=["c_name"])
+    tagged = Q.tag_raw_negatives(C.drop_columns(raw, spec.id_cols), spec.numeric)
+    processed, _ = C.clean_table(tagged, spec)
+    return Q.etl_report_single_pass(processed, spec.numeric, spec.target, len(raw.columns))
 
 
 ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]

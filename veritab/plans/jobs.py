@@ -17,13 +17,17 @@ from veritab.spec import CREDIT_SPEC, TableSpec
 
 def transform(raw: DataFrame, spec: TableSpec = CREDIT_SPEC, encode: bool = True):
     """Strip header names, drop ids, strip text values, clip configured negatives, encode the target by
-    sorted class order. Returns (processed, report DataFrame, counts of the clipped values)."""
-    df = C.drop_columns(C.strip_column_names(raw), spec.id_cols)
-    df, obs = C.clean_table(df, spec)
+    sorted class order. Returns (processed, report DataFrame, counts of the clipped values); the report
+    is computed in one pass over the data."""
+    named = C.strip_column_names(raw)
+    df = C.drop_columns(named, spec.id_cols)
+    tagged = Q.tag_raw_negatives(df, spec.numeric)
+    tagged, counts = C.clean_table(tagged, spec)
     if encode:
-        df, _ = C.encode_target_sorted(df, spec.target)
-    report = Q.etl_report(C.strip_column_names(raw), df, spec.numeric, spec.target)
-    return df, report, obs
+        tagged, _ = C.encode_target_sorted(tagged, spec.target)
+    report = Q.etl_report_single_pass(tagged, spec.numeric, spec.target, len(named.columns))
+    processed = tagged.drop(*[c for c in tagged.columns if c.startswith(Q.RAW_FLAG)])
+    return processed, report, counts
 
 
 def run_etl(spark: SparkSession, data_path: str, output_path: str, spec: TableSpec = CREDIT_SPEC, fmt: str = "parquet",
