@@ -126,8 +126,7 @@ def etl_report_single_pass(tagged: DataFrame, numeric: Sequence[str], target: st
 
     ``tagged`` is the processed table (row for row with the raw one) carrying the hidden raw-negative
     flags of :func:`tag_raw_negatives`. Rows are grouped once by all processed columns (duplicates);
-    raw counts, nulls, negatives and the target balance are all sums over that grouped table, whose
-    shuffle the two aggregations below share.
+    raw counts, nulls, negatives and the target balance are all sums over that grouped table.
     """
     flags = [c for c in tagged.columns if c.startswith(RAW_FLAG)]
     visible = [c for c in tagged.columns if c not in flags]
@@ -136,13 +135,20 @@ def etl_report_single_pass(tagged: DataFrame, numeric: Sequence[str], target: st
         F.count(F.lit(1)).alias("__n"), *[F.sum(f).alias(f) for f in flags]
     )
     n = F.col("__n")
-    wide = grouped.agg(
+    # One chain, no branches: per-target sums over the distinct rows, then the global report.
+    per_target = grouped.groupBy(F.col(f"`{target}`").alias("__t")).agg(
         F.sum(n).alias("rows"),
         F.sum(n - 1).alias("dups"),
         sum((F.sum(F.when(_missing(tagged, c), n).otherwise(0)) for c in visible), F.lit(0)).alias("nulls"),
         *[F.sum(F.when(F.col(f"`{c}`") < 0, n).otherwise(0)).alias(f"after::{c}") for c in num],
         *[F.sum(f).alias(f"before::{f[len(RAW_FLAG):]}") for f in flags],
     )
+    known = F.col("__t").isNotNull()
+    sums = [c for c in per_target.columns if c != "__t"]
+    wide = per_target.agg(
+        *[F.sum(f"`{c}`").alias(c) for c in sums],
+        F.bround(F.max(F.when(known, F.col("rows"))) / F.sum(F.when(known, F.col("rows"))), 4).alias("balance"),
+    )
     entries = [
         _row("rows_raw", TABLE, F.col("rows"), "double"),
         _row("cols_raw", TABLE, F.lit(raw_columns), "double"),
@@ -150,10 +156,8 @@ def etl_report_single_pass(tagged: DataFrame, numeric: Sequence[str], target: st
         _row("cols_processed", TABLE, F.lit(len(visible)), "double"),
         _row("duplicates", TABLE, F.col("dups"), "double"),
         _row("nulls_total", TABLE, F.col("nulls"), "double"),
+        _row("target_balance", target, F.col("balance"), "double"),
     ]
     entries += [_row("negative_before", f[len(RAW_FLAG):], F.col(f"`before::{f[len(RAW_FLAG):]}`"), "double") for f in flags]
     entries += [_row("negative_after", c, F.col(f"`after::{c}`"), "double") for c in num]
-    long = wide.select(F.inline(F.array(*entries))).where(~F.col("metric").startswith("negative_") | (F.col("value") > 0))
-    bal = grouped.groupBy(target).agg(F.sum("__n").alias("n")).agg((F.max("n") / F.sum("n")).alias("v")).select(
-        F.lit("target_balance").alias("metric"), F.lit(target).alias("column"), F.bround("v", 4).alias("value"))
-    return long.unionByName(bal)
+    return wide.select(F.inline(F.array(*entries))).where(~F.col("metric").startswith("negative_") | (F.col("value") > 0))
