@@ -61,6 +61,7 @@ def running_totals(
     prefix: str = "cum_",
     total_prefix: str = "total_",
     single_task_rows: int | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """Add ``cum_<v>`` (inclusive running sum of ``v`` in ``order`` within ``by``) and ``total_<v>``.
 
@@ -75,7 +76,7 @@ def running_totals(
     spark = df.sparkSession
     b = buckets or default_buckets(df)
     src = df.where(F.col(order).isNotNull())
-    if checkpoint_dir(spark):
+    if materialize and checkpoint_dir(spark):
         # The input (usually pre-aggregated, far smaller than the raw table) is read by the size check
         # and twice by the final plan: write it once to the shared checkpoint folder instead of
         # re-running the upstream scan and shuffle; this also cuts the lineage for task retries.
@@ -127,6 +128,13 @@ def running_totals(
     return out
 
 
+def value_counts_table(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
+    """``by…, _v, _n``: occurrences of each non-null value (as double) per group, combined map-side."""
+    return df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -141,12 +149,22 @@ def exact_quantiles(
     result ``x[floor h] + (x[ceil h] - x[floor h])·(h - floor h)``. Returns ``by`` + an array
     column ``out`` aligned with ``probs``.
     """
+    return quantiles_from_counts(value_counts_table(df, by, value), by, probs, buckets, out)
+
+
+def quantiles_from_counts(
+    counts: DataFrame,
+    by: Sequence[str],
+    probs: Sequence[float],
+    buckets: int | None = None,
+    out: str = "quantiles",
+    materialize: bool = True,
+) -> DataFrame:
+    """:func:`exact_quantiles` from a :func:`value_counts_table` (``materialize=False`` when the
+    counts are already checkpointed)."""
     by = list(by)
     probs = [float(p) for p in probs]
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    rt = running_totals(counts, by, "_v", ["_n"], buckets=buckets)
+    rt = running_totals(counts, by, "_v", ["_n"], buckets=buckets, materialize=materialize)
     # Each distinct value covers ranks [cum - n, cum); find which wanted ranks it covers.
     n_all = F.col("total__n")
     wanted = F.transform(
