@@ -54,28 +54,29 @@ def _long_numeric(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> Data
 def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, sample std, min, exact linear-interpolated quantiles, max per (by…, column).
 
-    Everything comes from one table of value counts per column (one scan of the input, combined
-    map-side and checkpointed when a shared folder is configured): moments as weighted sums (the
-    standard deviation in two passes over the counts, for accuracy) and quantiles from running counts.
+    Moments are one aggregate over the raw values (plain double summation, as pandas and SQL engines
+    do; a sum over distinct-value products rounds differently at exact ties). Quantiles come from a
+    table of value counts per column, combined map-side and checkpointed when a shared folder is
+    configured, then ranked by running counts.
     """
     by = list(by)
     g = by + ["column"]
     long = _long_numeric(df, cols, by).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    first = long.groupBy(*g).agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
     counts = value_counts_table(long, g, "value")
     materialized = bool(checkpoint_dir(df.sparkSession))
     if materialized:
         counts = counts.checkpoint(eager=True)
-    n, v = F.col("_n"), F.col("_v")
-    first = counts.groupBy(*g).agg(
-        F.sum(n).alias("count"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
-    )
-    spread = counts.join(first.select(*g, "mean", "count"), g).groupBy(*g).agg(
-        F.when(F.first("count") > 1, F.sqrt(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))) / (F.first("count") - 1))).alias("std")
-    )
     q = quantiles_from_counts(counts, g, quantiles, out="_q", materialize=not materialized)
     names = [f"p{int(round(p * 100))}" for p in quantiles]
     q = q.select(*g, *[F.element_at("_q", i + 1).alias(nm) for i, nm in enumerate(names)])
-    out = first.join(spread, g).join(q, g, "left")
+    out = first.join(q, g, "left")
     return out.select(*by, "column", "count", "mean", "std", "min", *names, "max")
 
 
