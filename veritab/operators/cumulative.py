@@ -82,9 +82,7 @@ def running_totals(
         # re-running the upstream scan and shuffle; this also cuts the lineage for task retries.
         src = src.checkpoint(eager=True)
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    sizes = src.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).limit(_MAX_BOUND_ROWS + 1).collect()
-    if len(sizes) > _MAX_BOUND_ROWS:
-        raise ValueError(f"running totals support at most {_MAX_BOUND_ROWS} groups; got more")
+    sizes = group_sizes(src, by)
     if buckets is None and all(r["_rows"] <= limit for r in sizes):
         wg = Window.partitionBy(*by) if by else Window.partitionBy()
         w = wg.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -152,6 +150,14 @@ def exact_quantiles(
     return quantiles_from_counts(value_counts_table(df, by, value), by, probs, buckets, out)
 
 
+def group_sizes(df: DataFrame, by: Sequence[str]) -> list:
+    """Rows per group (a bounded, checked list of at most ``_MAX_BOUND_ROWS`` groups)."""
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).limit(_MAX_BOUND_ROWS + 1).collect()
+    if len(sizes) > _MAX_BOUND_ROWS:
+        raise ValueError(f"running totals support at most {_MAX_BOUND_ROWS} groups; got more")
+    return sizes
+
+
 def quantiles_from_counts(
     counts: DataFrame,
     by: Sequence[str],
@@ -161,9 +167,22 @@ def quantiles_from_counts(
     materialize: bool = True,
 ) -> DataFrame:
     """:func:`exact_quantiles` from a :func:`value_counts_table` (``materialize=False`` when the
-    counts are already checkpointed)."""
+    counts are already checkpointed).
+
+    When every group was measured to hold at most :data:`SINGLE_TASK_ROWS` distinct values, the
+    quantiles are one aggregate: built-in ``percentile`` weighted by the counts (same linear
+    interpolation), whose buffer per group is that bounded value→count map. Larger groups take the
+    bucketed running-count path, where no task holds more than about ``1/B`` of a group."""
     by = list(by)
     probs = [float(p) for p in probs]
+    spark = counts.sparkSession
+    if buckets is None:
+        if materialize and checkpoint_dir(spark):
+            counts = counts.checkpoint(eager=True)  # read by the size check and by the quantile job
+            materialize = False
+        if all(r["_rows"] <= SINGLE_TASK_ROWS for r in group_sizes(counts, by)):
+            q = F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in probs]), F.col("_n"))
+            return counts.groupBy(*by).agg(q.alias(out))
     rt = running_totals(counts, by, "_v", ["_n"], buckets=buckets, materialize=materialize)
     # Each distinct value covers ranks [cum - n, cum); find which wanted ranks it covers.
     n_all = F.col("total__n")
