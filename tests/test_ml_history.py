@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators import history as H
 from veritab.operators import ml as ML
+from tests.conftest import SF_SMALL
 from veritab.plans.jobs import registry_job
 
 NUM = ["no_of_dependents", "income_annum", "loan_amount", "loan_term", "cibil_score", "residential_assets_value",
@@ -76,3 +77,29 @@ def test_run_store_and_registry(spark, tmp_path):
     assert card["metrics"]["test_roc_auc"] == 0.97 and card["params"]["C"] == "1"
     with pytest.raises(LookupError):
         H.best_runs(store.read(H.RUNS), store.read(H.METRICS), "missing_metric")
+
+
+def test_random_search_query_picks_best_trial(spark):
+    import __spark_entry__ as E
+
+    rows = E.queries()["m8_random_search_orders"](spark, SF_SMALL).collect()
+    assert len(rows) == 4
+    best = [r for r in rows if r["best"]]
+    assert len(best) == 1
+    assert best[0]["cv_auc_mean"] == max(r["cv_auc_mean"] for r in rows)
+    assert all(0.0 <= r["cv_auc_mean"] <= 1.0 for r in rows)
+
+
+def test_rank_models_orders_by_metric_then_name(spark):
+    from veritab.operators.ml import rank_models
+
+    df = spark.createDataFrame([("b", 0.9), ("a", 0.9), ("c", None), ("d", 0.95)], "model string, roc_auc double")
+    got = [(r["model"], r["rank"]) for r in rank_models(df).orderBy("rank").collect()]
+    assert got == [("d", 1), ("a", 2), ("b", 3), ("c", 4)]
+
+
+def test_checkpoint_dir_is_kept_when_set(spark):
+    from veritab.session import ensure_checkpoint_dir
+
+    before = spark.sparkContext.getCheckpointDir()
+    assert ensure_checkpoint_dir(spark) == before

@@ -349,6 +349,17 @@ def compare_models(metrics: DataFrame, by: str = "roc_auc") -> DataFrame:
     return metrics.orderBy(F.col(by).desc_nulls_last(), "model")
 
 
+def rank_models(metrics: DataFrame, by: str = "roc_auc") -> DataFrame:
+    """:func:`compare_models` with an explicit 1-based ``rank`` column (ties broken by ``model``).
+
+    The input is a model / run table (one row per trained model), which does not grow with the data,
+    so one ordered window over it is bounded."""
+    from pyspark.sql import Window
+
+    w = Window.orderBy(F.col(by).desc_nulls_last(), F.col("model"))
+    return metrics.withColumn("rank", F.row_number().over(w))
+
+
 def score(model, df: DataFrame, positive_label: str = "Approved", negative_label: str = "Rejected", keep: Sequence[str] = ()) -> DataFrame:
     """Predicted class, P(class 1) to 4 places and the text label (M10); works on streaming input too."""
     s = positive_probability(model.transform(df))

@@ -169,3 +169,30 @@ FROM summ s LEFT JOIN crit c ON s.month = c.month""",
 )
 def d8_drift_decisions_orders(spark, sf):
     return D.drift_decisions(monthly_drift(spark, sf), ["month"], ["o_orderstatus"])
+
+
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+LI_CAT = ["l_returnflag", "l_linestatus"]
+
+
+def lineitem_split(spark, sf):
+    li = table(spark, sf, "lineitem")
+    cut = F.lit(SPLIT).cast("timestamp_ntz")
+    return li.where(F.col("l_shipdate") < cut), li.where(F.col("l_shipdate") >= cut)
+
+
+def _li(col, op):
+    return f"SELECT {col} AS v FROM lineitem WHERE l_shipdate {op} TIMESTAMP '{SPLIT}'"
+
+
+@register("d2_psi_lineitem", " UNION ALL ".join(psi_sql(c, _li(c, "<"), _li(c, ">=")) for c in LI_NUM))
+def d2_psi_lineitem(spark, sf):
+    """PSI alone, four numeric columns (quantity has 50 values, so its deciles collapse to fewer edges)."""
+    ref, cur = lineitem_split(spark, sf)
+    return D._decorate(D.psi_scores(ref, cur, LI_NUM), "PSI", D.NUMERIC_DRIFT_THRESHOLD, [])
+
+
+@register("d3_tvd_lineitem", " UNION ALL ".join(tvd_sql(c, _li(c, "<"), _li(c, ">=")) for c in LI_CAT))
+def d3_tvd_lineitem(spark, sf):
+    ref, cur = lineitem_split(spark, sf)
+    return D._decorate(D.tvd_scores(ref, cur, LI_CAT), "TVD", D.CATEGORICAL_DRIFT_THRESHOLD, [])

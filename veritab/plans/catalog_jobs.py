@@ -13,6 +13,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from veritab.operators import history as H
 from veritab.operators import ml as ML
 from veritab.plans import jobs as J
+from veritab.plans.catalog_drift import DRIFT_ORDERS_SQL
 from veritab.plans.catalog_history import _MONTHLY_AUC_SQL, monthly_runs
 from veritab.plans.catalog_ml import CATEGORICAL, KEYS, NUMERIC, _split, labelled
 from veritab.plans.catalog_quality import CUSTOMER_SPEC
@@ -101,3 +102,102 @@ def h5_registry_job_orders(spark, sf):
     store.append(H.METRICS, metrics)
     out = J.registry_job(store, "credit_model", "test_roc_auc", 4, "price_band_score", at=dt.datetime(2024, 1, 1))
     return out.select("name", "version", "stage")
+
+
+@register(
+    "s6_load_and_clean_customer",
+    f"""SELECT {STRIP.format(c='c_name')} AS c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN 0 ELSE c_acctbal END AS c_acctbal,
+  CAST(dense_rank() OVER (ORDER BY {STRIP.format(c='c_mktsegment')}) - 1 AS INTEGER) AS c_mktsegment FROM customer""",
+)
+def s6_load_and_clean_customer(spark, sf):
+    df, _ = J.load_and_clean(spark, customer_csv(spark, sf), CUSTOMER_SPEC, schema=CUSTOMER_SCHEMA)
+    return df
+
+
+def _padded_csv(spark, df, name: str) -> str:
+    """Write ``df`` as headed CSV whose header names carry surrounding blanks (kept verbatim)."""
+    path = scratch_path(spark, name)
+    padded = df.select(*[F.col(c).alias(f"  {c} ") for c in df.columns])
+    files.write_table(padded, path, fmt="csv", options={"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    return path
+
+
+def _monitoring_inputs(spark, sf):
+    from veritab.plans.catalog_drift import orders_split
+
+    ref, cur = orders_split(spark, sf)
+    cols = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus"]
+    return (files.read_monitoring_csv(spark, _padded_csv(spark, ref.select(*cols), "monitor-ref")),
+            files.read_monitoring_csv(spark, _padded_csv(spark, cur.select(*cols), "monitor-cur")))
+
+
+@register("s2_monitoring_csv_drift_orders", DRIFT_ORDERS_SQL)
+def s2_monitoring_csv_drift_orders(spark, sf):
+    """Reference and current tables read back from CSV with padded headers (names stripped, values as
+    text), then the feature drift report."""
+    from veritab.operators import drift as D
+    from veritab.plans.catalog_drift import CAT, NUM
+
+    ref, cur = _monitoring_inputs(spark, sf)
+    report, _ = D.drift_report(ref, cur, NUM, CAT)
+    return report
+
+
+@register("s4_report_json_orders", DRIFT_ORDERS_SQL)
+def s4_report_json_orders(spark, sf):
+    """The snapshot report written as one JSON document, read back and flattened to feature rows."""
+    from veritab.plans.catalog_drift import CAT, NUM, orders_split
+
+    ref, cur = orders_split(spark, sf)
+    spec = CUSTOMER_SPEC.with_(target="o_orderstatus", numeric=NUM, categorical=CAT)
+    path = scratch_path(spark, "report-json")
+    J.monitoring_snapshot(ref, cur, spec, out_path=path)
+    doc = spark.read.json(path)
+    rows = doc.select(F.explode(F.concat("numeric_features", "categorical_features")).alias("f"))
+    return rows.select(
+        F.col("f.feature").alias("feature"), F.col("f.method").alias("method"), F.col("f.score").cast("double").alias("score"),
+        F.col("f.threshold").cast("double").alias("threshold"), F.col("f.drift_detected").alias("drift_detected"),
+    )
+
+
+@register(
+    "s7_run_metrics_orders",
+    _MONTHLY_AUC_SQL + "\nSELECT run_id, 'test_roc_auc' AS key, round(auc, 6) AS value FROM a",
+)
+def s7_run_metrics_orders(spark, sf):
+    """Run rows and metrics appended to the run tables, read back: finished runs' test ROC AUC."""
+    store = H.RunStore(spark, scratch_path(spark, "run-records"))
+    runs, metrics = monthly_runs(spark, sf)
+    store.append(H.RUNS, runs)
+    store.append(H.METRICS, metrics)
+    done = store.read(H.RUNS).where(F.col("status") == H.STATUS_OK).select("run_id")
+    m = store.read(H.METRICS).where(F.col("key") == "test_roc_auc").join(done, "run_id", "left_semi")
+    return m.select("run_id", "key", F.round("value", 6).alias("value"))
+
+
+_MONTHLY_F1_SQL = """WITH b AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(o_orderstatus = 'F' AS INTEGER) AS y,
+  CAST(floor(o_totalprice / 5000.0) / 100.0 >= 0.5 AS INTEGER) AS yhat FROM orders),
+c AS (SELECT 'run-' || month AS run_id, count_if(y = 1 AND yhat = 1) AS tp, count_if(y = 0 AND yhat = 1) AS fp,
+  count_if(y = 1 AND yhat = 0) AS fn FROM b GROUP BY month),
+f AS (SELECT run_id, coalesce(2.0 * tp / nullif(2 * tp + fp + fn, 0), 0.0) AS f1 FROM c)
+SELECT run_id, round(f1, 6) AS test_f1, CAST(row_number() OVER (ORDER BY f1 DESC, run_id) AS INTEGER) AS rank FROM f"""
+
+
+@register("m9_compare_runs_f1_orders", _MONTHLY_F1_SQL)
+def m9_compare_runs_f1_orders(spark, sf):
+    """All monthly runs ranked by test F1, best first (the baseline comparison ranks by F1)."""
+    from veritab.operators.history import metrics_wide
+
+    runs, metrics = monthly_runs(spark, sf)
+    wide = metrics_wide(metrics.join(runs.select("run_id"), "run_id", "left_semi"), ["test_f1"])
+    ranked = ML.rank_models(wide.withColumnRenamed("run_id", "model"), "test_f1")
+    return ranked.select(F.col("model").alias("run_id"), F.round("test_f1", 6).alias("test_f1"), "rank")
+
+
+@register("m8_random_search_orders")
+def m8_random_search_orders(spark, sf):
+    """Seeded random search over the logistic-regression space by cross-validated ROC AUC, best refit."""
+    train, _ = _split(spark, sf)
+    best, auc, _, trials = ML.random_search("logistic_regression", train, NUMERIC, CATEGORICAL, KEYS, n_trials=4, k=3)
+    rows = [(i, str(sorted(p.items())), float(m), float(sd), p == best) for i, (p, m, sd) in enumerate(trials)]
+    return spark.createDataFrame(rows, "trial int, params string, cv_auc_mean double, cv_auc_std double, best boolean")

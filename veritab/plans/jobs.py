@@ -46,9 +46,10 @@ def run_etl(spark: SparkSession, data_path: str, output_path: str, spec: TableSp
     return written, report
 
 
-def load_and_clean(spark: SparkSession, data_path: str, spec: TableSpec = CREDIT_SPEC):
+def load_and_clean(spark: SparkSession, data_path: str, spec: TableSpec = CREDIT_SPEC, schema=None):
     """Read, drop ids, clean and label-encode the target; returns (DataFrame, fitted indexer)."""
-    df = C.drop_columns(C.strip_column_names(read_csv(spark, data_path)), spec.id_cols)
+    raw = read_csv(spark, data_path, schema) if schema is not None else read_csv(spark, data_path)
+    df = C.drop_columns(C.strip_column_names(raw), spec.id_cols)
     df, _ = C.clean_table(df, spec)
     return C.encode_target_sorted(df, spec.target)
 

@@ -64,3 +64,15 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The shared checkpoint folder; on a local master with none configured, a fresh local one.
+
+    A cluster must name its shared folder in ``spark.checkpoint.dir``; nothing local is installed there."""
+    current = checkpoint_dir(spark)
+    if current or not spark.sparkContext.master.startswith("local"):
+        return current
+    import tempfile
+
+    return checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="veritab-ckpt-"))

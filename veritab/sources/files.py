@@ -50,9 +50,10 @@ def read_monitoring_csv(spark: SparkSession, path: str, schema: StructType | Non
     return df
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: list[str] | None = None) -> None:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite", partition_by: list[str] | None = None,
+                options: dict[str, str] | None = None) -> None:
     """Write a processed table (Parquet by default; ``fmt='csv'`` writes headed CSV parts)."""
-    w = df.write.mode(mode)
+    w = df.write.mode(mode).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
