@@ -149,8 +149,14 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = 0.05, yates:
 
     Uses Σ o²/e − N over observed cells (unobserved cells need no materialisation). With one degree
     of freedom the Yates continuity correction is applied over all four cells.
+
+    The observed cells (one row per pair of values present) are the only aggregate over the input; they
+    are written once to the shared checkpoint folder, so the totals, margins and the statistic below
+    read that small table instead of each re-running the scan.
     """
     cells = crosstab_long(df, a, b)
+    if checkpoint_dir(df.sparkSession):
+        cells = cells.checkpoint(eager=True)
     rows = cells.groupBy(a).agg(F.sum("count").alias("_rt"))
     cols = cells.groupBy(b).agg(F.sum("count").alias("_ct"))
     n = cells.select(F.sum("count")).scalar()
