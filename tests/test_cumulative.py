@@ -66,3 +66,29 @@ def test_quantiles_same_for_any_partitioning(spark):
     a = {r["g"]: r["quantiles"] for r in exact_quantiles(df.repartition(1), ["g"], "v", [0.1, 0.5, 0.9]).collect()}
     b = {r["g"]: r["quantiles"] for r in exact_quantiles(df.repartition(9), ["g"], "v", [0.1, 0.5, 0.9], buckets=6).collect()}
     assert a == b
+
+
+def test_quantiles_mix_small_and_hot_groups(spark, monkeypatch):
+    # A hot group above the single-task limit takes the bucketed path, the others one weighted
+    # percentile aggregate; a NULL group key stays its own group. All must equal numpy's quantiles.
+    import veritab.operators.cumulative as C
+
+    monkeypatch.setattr(C, "SINGLE_TASK_ROWS", 200)
+    rng = np.random.default_rng(11)
+    rows = [("hot", float(v)) for v in rng.integers(0, 5000, 4000)]
+    rows += [("cold", float(v)) for v in rng.integers(0, 50, 300)]
+    rows += [(None, float(v)) for v in rng.normal(size=40).round(3)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r["g"]: r["quantiles"] for r in C.exact_quantiles(df, ["g"], "v", probs).collect()}
+    for g in ("hot", "cold", None):
+        exp = np.quantile([v for gg, v in rows if gg == g], probs)
+        assert np.allclose(got[g], exp, rtol=0, atol=1e-9), g
+
+
+def test_many_groups_take_the_single_task_path(spark):
+    # Far more groups than any collected list would hold comfortably; only one count reaches the driver.
+    df = spark.range(0, 60000).select((F.col("id") % 20000).alias("g"), F.col("id").cast("double").alias("o"), F.lit(1).alias("v"))
+    out = running_totals(df, ["g"], "o", ["v"])
+    assert out.where(F.col("cum_v") != F.col("total_v")).count() == 40000
+    assert out.agg(F.max("total_v")).first()[0] == 3

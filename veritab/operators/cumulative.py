@@ -52,48 +52,24 @@ def _bucket_bounds(df: DataFrame, by: Sequence[str], order: str, buckets: int):
     return rows
 
 
-def running_totals(
-    df: DataFrame,
-    by: Sequence[str],
-    order: str,
-    values: Sequence[str],
-    buckets: int | None = None,
-    prefix: str = "cum_",
-    total_prefix: str = "total_",
-    single_task_rows: int | None = None,
-    materialize: bool = True,
-) -> DataFrame:
-    """Add ``cum_<v>`` (inclusive running sum of ``v`` in ``order`` within ``by``) and ``total_<v>``.
+def _window_running(src: DataFrame, by: list[str], order: str, values: list[str], prefix: str, total_prefix: str) -> DataFrame:
+    """Running and total sums with each group as one window partition (groups measured small)."""
+    wg = Window.partitionBy(*by) if by else Window.partitionBy()
+    w = wg.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return src.select(
+        *src.columns,
+        *[F.sum(v).over(w).alias(f"{prefix}{v}") for v in values],
+        *[F.sum(v).over(wg).alias(f"{total_prefix}{v}") for v in values],
+    )
 
-    Rows must be unique per ``(by, order)`` (pre-aggregate ties first); rows with a NULL order are
-    dropped. ``order`` must be numeric. When every group was measured to hold at most
-    ``single_task_rows`` rows (default :data:`SINGLE_TASK_ROWS`; ignored when ``buckets`` is given), each
-    group is one window partition; otherwise groups are cut into buckets so that no task receives
-    more than about ``1/B`` of a group.
-    """
-    by = list(by)
-    values = list(values)
-    spark = df.sparkSession
-    b = buckets or default_buckets(df)
-    src = df.where(F.col(order).isNotNull())
-    if materialize and checkpoint_dir(spark):
-        # The input (usually pre-aggregated, far smaller than the raw table) is read by the size check
-        # and twice by the final plan: write it once to the shared checkpoint folder instead of
-        # re-running the upstream scan and shuffle; this also cuts the lineage for task retries.
-        src = src.checkpoint(eager=True)
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    sizes = group_sizes(src, by)
-    if buckets is None and all(r["_rows"] <= limit for r in sizes):
-        wg = Window.partitionBy(*by) if by else Window.partitionBy()
-        w = wg.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return src.select(
-            *src.columns,
-            *[F.sum(v).over(w).alias(f"{prefix}{v}") for v in values],
-            *[F.sum(v).over(wg).alias(f"{total_prefix}{v}") for v in values],
-        )
+
+def _bucketed_running(src: DataFrame, by: list[str], order: str, values: list[str], b: int, n_groups: int,
+                      prefix: str, total_prefix: str) -> DataFrame:
+    """Running sums with each group cut into ``b`` buckets at approximate quantiles of ``order``."""
+    spark = src.sparkSession
     # The bounds table (groups × (B − 1) doubles) is collected and broadcast: keep it within a fixed
     # budget by using fewer buckets when there are many groups.
-    b = max(2, min(b, _BOUNDS_BUDGET // max(1, len(sizes))))
+    b = max(2, min(b, _BOUNDS_BUDGET // max(1, n_groups)))
     rows = _bucket_bounds(src, by, order, b)
     if by:
         schema = src.select(*by).schema.add("_bounds", ArrayType(DoubleType()))
@@ -106,6 +82,7 @@ def running_totals(
 
     keys = by + ["_bucket"]
     per_bucket = tagged.groupBy(*keys).agg(*[F.sum(v).alias(f"_b_{v}") for v in values])
+    # One row per (group, bucket): these windows order at most B rows per group.
     wb = Window.partitionBy(*by).orderBy("_bucket") if by else Window.orderBy("_bucket")
     wg = Window.partitionBy(*by) if by else Window.partitionBy()
     offsets = per_bucket.select(
@@ -118,11 +95,72 @@ def running_totals(
     )
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = tagged.join(offsets, keys, "inner")
-    out = out.select(
+    return out.select(
         *[c for c in tagged.columns if c != "_bucket"],
         *[(F.col(f"_o_{v}") + F.sum(v).over(w)).alias(f"{prefix}{v}") for v in values],
         *[F.col(f"{total_prefix}{v}") for v in values],
     )
+
+
+def split_by_size(df: DataFrame, by: Sequence[str], limit: int) -> tuple[int, DataFrame | None, DataFrame | None]:
+    """Measure groups against ``limit`` rows: ``(number of groups above it, small-group rows, large-group rows)``.
+
+    Only the count of oversized groups reaches the driver (one row), so any number of groups is fine.
+    Without oversized groups both frames are None. Otherwise the rows are split by a semi / anti join
+    on the oversized keys (null-safe); those keys are broadcast because their number is measured and
+    bounded (each holds more than ``limit`` rows)."""
+    by = list(by)
+    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    n_big = sizes.where(F.col("_rows") > limit).select(F.count(F.lit(1))).first()[0]
+    if n_big == 0:
+        return 0, None, None
+    if n_big > _MAX_BOUND_ROWS:
+        raise ValueError(f"more than {_MAX_BOUND_ROWS} groups hold over {limit} rows each; raise the limit")
+    if not by:
+        return n_big, None, df
+    big = F.broadcast(sizes.where(F.col("_rows") > limit).select(*[F.col(k).alias(f"_bk_{k}") for k in by]))
+    cond = [F.col(k).eqNullSafe(F.col(f"_bk_{k}")) for k in by]
+    return n_big, df.join(big, cond, "left_anti"), df.join(big, cond, "left_semi")
+
+
+def running_totals(
+    df: DataFrame,
+    by: Sequence[str],
+    order: str,
+    values: Sequence[str],
+    buckets: int | None = None,
+    prefix: str = "cum_",
+    total_prefix: str = "total_",
+    single_task_rows: int | None = None,
+    materialize: bool = True,
+) -> DataFrame:
+    """Add ``cum_<v>`` (inclusive running sum of ``v`` in ``order`` within ``by``) and ``total_<v>``.
+
+    Rows must be unique per ``(by, order)`` (pre-aggregate ties first); rows with a NULL order are
+    dropped. ``order`` must be numeric. Groups measured to hold at most ``single_task_rows`` rows
+    (default :data:`SINGLE_TASK_ROWS`) are each one window partition, however many groups there are;
+    larger groups (a hot key) are cut into buckets so that no task receives more than about ``1/B``
+    of a group. ``buckets`` forces the bucketed path for every group.
+    """
+    by = list(by)
+    values = list(values)
+    spark = df.sparkSession
+    b = buckets or default_buckets(df)
+    src = df.where(F.col(order).isNotNull())
+    if materialize and checkpoint_dir(spark):
+        # The input (usually pre-aggregated, far smaller than the raw table) is read by the size check
+        # and again by the final plan: write it once to the shared checkpoint folder instead of
+        # re-running the upstream scan and shuffle; this also cuts the lineage for task retries.
+        src = src.checkpoint(eager=True)
+    if buckets is not None:
+        return _bucketed_running(src, by, order, values, b, len(group_sizes(src, by)), prefix, total_prefix)
+    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
+    n_big, small, large = split_by_size(src, by, limit)
+    if n_big == 0:
+        return _window_running(src, by, order, values, prefix, total_prefix)
+    out = _bucketed_running(large, by, order, values, b, n_big, prefix, total_prefix)
+    if small is not None:
+        out = _window_running(small, by, order, values, prefix, total_prefix).unionByName(out)
     return out
 
 
@@ -169,21 +207,31 @@ def quantiles_from_counts(
     """:func:`exact_quantiles` from a :func:`value_counts_table` (``materialize=False`` when the
     counts are already checkpointed).
 
-    When every group was measured to hold at most :data:`SINGLE_TASK_ROWS` distinct values, the
-    quantiles are one aggregate: built-in ``percentile`` weighted by the counts (same linear
-    interpolation), whose buffer per group is that bounded value→count map. Larger groups take the
+    Groups measured to hold at most :data:`SINGLE_TASK_ROWS` distinct values take one aggregate: the
+    built-in ``percentile`` weighted by the counts (same linear interpolation), whose buffer per group
+    is that bounded value→count map. Larger groups (and every group when ``buckets`` is given) take the
     bucketed running-count path, where no task holds more than about ``1/B`` of a group."""
     by = list(by)
     probs = [float(p) for p in probs]
     spark = counts.sparkSession
-    if buckets is None:
-        if materialize and checkpoint_dir(spark):
-            counts = counts.checkpoint(eager=True)  # read by the size check and by the quantile job
-            materialize = False
-        if all(r["_rows"] <= SINGLE_TASK_ROWS for r in group_sizes(counts, by)):
-            q = F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in probs]), F.col("_n"))
-            return counts.groupBy(*by).agg(q.alias(out))
-    rt = running_totals(counts, by, "_v", ["_n"], buckets=buckets, materialize=materialize)
+    if buckets is not None:
+        return _quantiles_by_running_counts(counts, by, probs, buckets, out, materialize)
+    if materialize and checkpoint_dir(spark):
+        counts = counts.checkpoint(eager=True)  # read by the size check and by the quantile jobs
+    n_big, small, large = split_by_size(counts, by, SINGLE_TASK_ROWS)
+    q = F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in probs]), F.col("_n")).alias(out)
+    if n_big == 0:
+        return counts.groupBy(*by).agg(q)
+    res = _quantiles_by_running_counts(large, by, probs, None, out, False)
+    if small is not None:
+        res = small.groupBy(*by).agg(q).unionByName(res)
+    return res
+
+
+def _quantiles_by_running_counts(counts: DataFrame, by: list[str], probs: list[float], buckets: int | None, out: str,
+                                 materialize: bool) -> DataFrame:
+    """Quantiles read off running counts of distinct values (groups cut into buckets)."""
+    rt = running_totals(counts, by, "_v", ["_n"], buckets=buckets or default_buckets(counts), materialize=materialize)
     # Each distinct value covers ranks [cum - n, cum); find which wanted ranks it covers.
     n_all = F.col("total__n")
     wanted = F.transform(
