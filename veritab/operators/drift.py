@@ -206,12 +206,17 @@ def tvd_scores(reference: DataFrame, current: DataFrame, cols: Sequence[str], by
     return drift_scores(reference, current, [], cols, by)[1]
 
 
-def category_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str], by: Sequence[str] = ()):
-    """Shares per category on each side: ``(feature, value, r)`` and ``(by…, feature, value, c)``."""
-    by = list(by)
+def reference_shares(reference: DataFrame, cols: Sequence[str], out: str = "r") -> DataFrame:
+    """Share of each category (stripped, missing → ``<NA>``) per column: ``(feature, value, <out>)``."""
     ref = _long(reference, cols, [], None, "categorical").groupBy("feature", "value").agg(F.count(F.lit(1)).alias("_n"))
     ref_tot = ref.groupBy("feature").agg(F.sum("_n").alias("_t"))
-    r = ref.join(ref_tot, "feature").select("feature", "value", (F.col("_n") / F.col("_t")).alias("_r"))
+    return ref.join(ref_tot, "feature").select("feature", "value", (F.col("_n") / F.col("_t")).alias(out))
+
+
+def category_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str], by: Sequence[str] = ()):
+    """Shares per category on each side: ``(feature, value, _r)`` and ``(by…, feature, value, _c)``."""
+    by = list(by)
+    r = reference_shares(reference, cols, "_r")
     cur = _long(current, cols, by, None, "categorical").groupBy(*by, "feature", "value").agg(
         F.count(F.lit(1)).alias("_n")
     )

@@ -9,5 +9,6 @@ from veritab.plans import (  # noqa: F401
     catalog_profile,
     catalog_quality,
     catalog_sampling,
+    catalog_streaming,
 )
 from veritab.plans.registry import ORACLES, QUERIES  # noqa: F401
