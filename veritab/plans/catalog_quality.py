@@ -190,9 +190,7 @@ ORDER_RULES = (
 )
 
 
-@register(
-    "p9_p10_quarantine_orders",
-    f"""SELECT o_orderkey, v AS violations FROM (
+QUARANTINE_SQL = f"""SELECT o_orderkey, v AS violations FROM (
   SELECT o_orderkey, concat_ws(',',
     CASE WHEN o_totalprice IS NULL THEN 'o_totalprice:required' END,
     CASE WHEN o_orderpriority IS NULL THEN 'o_orderpriority:required' END,
@@ -200,8 +198,10 @@ ORDER_RULES = (
     CASE WHEN o_totalprice < 1000 OR o_totalprice > 450000 THEN 'o_totalprice:1000..450000' END,
     CASE WHEN {STRIP.format(c='o_orderpriority')} NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'o_orderpriority:domain' END,
     CASE WHEN {STRIP.format(c='o_orderstatus')} NOT IN ('F', 'O') THEN 'o_orderstatus:domain' END) AS v
-  FROM orders) WHERE v <> ''""",
-)
+  FROM orders) WHERE v <> ''"""
+
+
+@register("p9_p10_quarantine_orders", QUARANTINE_SQL)
 def p9_p10_quarantine_orders(spark, sf):
     _, bad = V.split_valid(table(spark, sf, "orders"), ORDER_RULES)
     return bad.select("o_orderkey", F.array_join("violations", ",").alias("violations"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from veritab.operators import drift as D
 from veritab.plans.catalog_drift import _EV_SPLIT
+from veritab.plans.catalog_quality import ORDER_RULES, QUARANTINE_SQL
 from veritab.plans.oracle_sql import STRIP
 from veritab.plans.registry import register, table
 from veritab.plans.scratch import scratch_path
@@ -52,3 +53,23 @@ def st_window_tvd_events(spark, sf):
         raise RuntimeError(f"streaming query failed: {q.exception()}")
     res = spark.read.parquet(out).drop("batch_id")
     return res.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@register("st_quarantine_orders", QUARANTINE_SQL)
+def st_quarantine_orders(spark, sf):
+    """Record rules on a stream of orders (one file per micro-batch): valid rows and quarantined rows
+    with their violations go to two sinks; the quarantine sink is read back."""
+    cols = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus"]
+    source = scratch_path(spark, "orders-stream-src")
+    table(spark, sf, "orders").select(*cols).repartition(4).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    valid, quarantine = scratch_path(spark, "orders-valid"), scratch_path(spark, "orders-quarantine")
+    q = monitor.write_valid_and_quarantine(stream, ORDER_RULES, valid, quarantine, scratch_path(spark, "orders-stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(f"streaming query failed: {q.exception()}")
+    bad = spark.read.schema(f"{', '.join(f'{c} {t}' for c, t in _ORDER_TYPES)}, violations array<string>, batch_id long").parquet(quarantine)
+    return bad.select("o_orderkey", F.array_join("violations", ",").alias("violations"))
+
+
+_ORDER_TYPES = [("o_orderkey", "bigint"), ("o_totalprice", "double"), ("o_orderpriority", "string"), ("o_orderstatus", "string")]
