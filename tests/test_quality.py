@@ -83,3 +83,18 @@ def test_single_pass_etl_report_equals_report(spark):
     a = {(r["metric"], r["column"]): r["value"] for r in Q.etl_report(raw, df, num, "loan_status").collect()}
     b = {(r["metric"], r["column"]): r["value"] for r in Q.etl_report_single_pass(tagged, num, "loan_status", len(raw.columns)).collect()}
     assert a == b
+
+
+def test_duplicate_count_matches_pandas_with_nulls_nan_and_signed_zero(spark):
+    import math
+
+    import pandas as pd
+
+    from veritab.operators.quality import duplicate_count
+
+    rows = [(1, "a", 0.0), (1, "a", -0.0), (1, "a", 0.0), (None, "b", None), (None, "b", None), (2, None, math.nan),
+            (2, None, math.nan), (3, "c", 1.5)] + [(i % 7, "k", float(i % 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a long, b string, c double").repartition(3)
+    got = duplicate_count(df).first()["duplicate_rows"]
+    exp = int(pd.DataFrame(rows, columns=["a", "b", "c"]).duplicated().sum())
+    assert got == exp

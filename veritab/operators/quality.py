@@ -45,9 +45,27 @@ def quality_report(df: DataFrame, negative_check: Sequence[str] | None = None) -
     return wide.select(F.inline(F.array(*stack))).select("metric", "column", F.col("value").cast("long").alias("value"))
 
 
+def _row_hash(df: DataFrame):
+    """64-bit hash of a whole row. Floating zeros are normalised first (``-0.0`` groups with ``0.0``)."""
+    parts = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        parts.append(F.when(c == 0, F.lit(0).cast(f.dataType)).otherwise(c) if isinstance(f.dataType, (DoubleType, FloatType)) else c)
+    return F.xxhash64(*parts)
+
+
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows after the first among fully equal rows (NULLs equal each other); one row ``duplicate_rows``."""
-    grouped = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows after the first among fully equal rows (NULLs equal each other); one row ``duplicate_rows``.
+
+    Exact, without shuffling whole rows of a mostly unique table: rows are first counted per 64-bit
+    row hash (only the hash crosses the shuffle), and only rows whose hash occurs more than once
+    (true duplicates plus hash collisions) are grouped by all their columns, which resolves collisions.
+    Adaptive execution broadcasts the candidate hashes when they turn out few."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.select(_row_hash(df).alias("__h"), *cols)
+    shared = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__k")).where(F.col("__k") > 1).select("__h")
+    candidates = hashed.join(shared, "__h", "left_semi")
+    grouped = candidates.groupBy("__h", *cols).agg(F.count(F.lit(1)).alias("__n"))
     return grouped.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
