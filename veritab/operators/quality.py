@@ -28,23 +28,33 @@ def _missing(df: DataFrame, c: str):
 
 
 def quality_report(df: DataFrame, negative_check: Sequence[str] | None = None) -> DataFrame:
-    """Rows, columns, duplicate rows, nulls per column, negatives per checked column (absent ones skipped)."""
+    """Rows, columns, duplicate rows, nulls per column, negatives per checked column (absent ones skipped).
+
+    Row, null and negative counts are one global aggregate (partial sums per task, a tiny shuffle);
+    duplicates come from :func:`duplicate_count` as a scalar subquery, so whole rows never cross a
+    shuffle unless their row hash is shared."""
     negative_check = [c for c in (negative_check if negative_check is not None else CREDIT_SPEC.negative_check) if c in df.columns]
     cols = df.columns
-    grouped = df.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.count(F.lit(1)).alias("__n"))
-    n = F.col("__n")
-    aggs = [F.sum(n).alias("rows"), F.sum(n - 1).alias("duplicate_rows")]
-    aggs += [F.sum(F.when(_missing(df, c), n).otherwise(0)).alias(f"null::{c}") for c in cols]
-    aggs += [F.sum(F.when(F.col(f"`{c}`") < 0, n).otherwise(0)).alias(f"neg::{c}") for c in negative_check]
-    wide = grouped.agg(*aggs)
-    stack = [_row("rows", TABLE, F.coalesce(F.col("rows"), F.lit(0))),
+    wide = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count_if(_missing(df, c)).alias(f"null::{c}") for c in cols],
+        *[F.count_if(F.col(f"`{c}`") < 0).alias(f"neg::{c}") for c in negative_check],
+    )
+    stack = [_row("rows", TABLE, F.col("__rows")),
              _row("columns", TABLE, F.lit(len(cols))),
-             _row("duplicate_rows", TABLE, F.coalesce(F.col("duplicate_rows"), F.lit(0)))]
-    stack += [_row("null_count", c, F.coalesce(F.col(f"`null::{c}`"), F.lit(0))) for c in cols]
-    stack += [_row("negative_count", c, F.coalesce(F.col(f"`neg::{c}`"), F.lit(0))) for c in negative_check]
+             _row("duplicate_rows", TABLE, duplicate_count(df).select("duplicate_rows").scalar())]
+    stack += [_row("null_count", c, F.col(f"`null::{c}`")) for c in cols]
+    stack += [_row("negative_count", c, F.col(f"`neg::{c}`")) for c in negative_check]
     return wide.select(F.inline(F.array(*stack))).select("metric", "column", F.col("value").cast("long").alias("value"))
 
 
+def _duplicates_among(hashed: DataFrame, shared: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``duplicate_rows`` (one row) among the rows of ``hashed`` whose ``keys`` occur in ``shared``."""
+    candidates = hashed.join(shared, list(keys), "left_semi")
+    grouped = candidates.groupBy(*[F.col(f"`{c}`") for c in hashed.columns]).agg(F.count(F.lit(1)).alias("__n"))
+    return grouped.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+
+
 def _row_hash(df: DataFrame):
     """64-bit hash of a whole row. Floating zeros are normalised first (``-0.0`` groups with ``0.0``)."""
     parts = []
@@ -61,12 +71,9 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     row hash (only the hash crosses the shuffle), and only rows whose hash occurs more than once
     (true duplicates plus hash collisions) are grouped by all their columns, which resolves collisions.
     Adaptive execution broadcasts the candidate hashes when they turn out few."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    hashed = df.select(_row_hash(df).alias("__h"), *cols)
+    hashed = df.select(_row_hash(df).alias("__h"), *[F.col(f"`{c}`") for c in df.columns])
     shared = hashed.groupBy("__h").agg(F.count(F.lit(1)).alias("__k")).where(F.col("__k") > 1).select("__h")
-    candidates = hashed.join(shared, "__h", "left_semi")
-    grouped = candidates.groupBy("__h", *cols).agg(F.count(F.lit(1)).alias("__n"))
-    return grouped.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
+    return _duplicates_among(hashed, shared, ["__h"])
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -143,30 +150,27 @@ def etl_report_single_pass(tagged: DataFrame, numeric: Sequence[str], target: st
     """The ETL report (as :func:`etl_report`) from one scan and one shuffle.
 
     ``tagged`` is the processed table (row for row with the raw one) carrying the hidden raw-negative
-    flags of :func:`tag_raw_negatives`. Rows are grouped once by all processed columns (duplicates);
-    raw counts, nulls, negatives and the target balance are all sums over that grouped table.
+    flags of :func:`tag_raw_negatives`. Raw counts, nulls, negatives and the target balance are sums
+    per target class; duplicates use :func:`duplicate_count`.
     """
     flags = [c for c in tagged.columns if c.startswith(RAW_FLAG)]
     visible = [c for c in tagged.columns if c not in flags]
     num = [c for c in numeric if c in visible]
-    grouped = tagged.groupBy(*[F.col(f"`{c}`") for c in visible]).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.sum(f).alias(f) for f in flags]
-    )
-    n = F.col("__n")
-    # One chain, no branches: per-target sums over the distinct rows, then the global report.
-    per_target = grouped.groupBy(F.col(f"`{target}`").alias("__t")).agg(
-        F.sum(n).alias("rows"),
-        F.sum(n - 1).alias("dups"),
-        sum((F.sum(F.when(_missing(tagged, c), n).otherwise(0)) for c in visible), F.lit(0)).alias("nulls"),
-        *[F.sum(F.when(F.col(f"`{c}`") < 0, n).otherwise(0)).alias(f"after::{c}") for c in num],
+    # Sums per target class (few groups, combined map-side), then the global report; duplicates come
+    # from the row-hash path, so whole rows only cross a shuffle when their hash is shared.
+    per_target = tagged.groupBy(F.col(f"`{target}`").alias("__t")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        sum((F.count_if(_missing(tagged, c)) for c in visible), F.lit(0)).alias("nulls"),
+        *[F.count_if(F.col(f"`{c}`") < 0).alias(f"after::{c}") for c in num],
         *[F.sum(f).alias(f"before::{f[len(RAW_FLAG):]}") for f in flags],
     )
     known = F.col("__t").isNotNull()
     sums = [c for c in per_target.columns if c != "__t"]
+    dups = duplicate_count(tagged.select(*[F.col(f"`{c}`") for c in visible])).select("duplicate_rows").scalar()
     wide = per_target.agg(
         *[F.sum(f"`{c}`").alias(c) for c in sums],
         F.bround(F.max(F.when(known, F.col("rows"))) / F.sum(F.when(known, F.col("rows"))), 4).alias("balance"),
-    )
+    ).withColumn("dups", dups)
     entries = [
         _row("rows_raw", TABLE, F.col("rows"), "double"),
         _row("cols_raw", TABLE, F.lit(raw_columns), "double"),
