@@ -37,7 +37,10 @@ FROM t WHERE ws + INTERVAL 1 DAY <= (SELECT w FROM wm)"""
 
 @register("st_window_tvd_events", _WINDOW_TVD_SQL)
 def st_window_tvd_events(spark, sf):
-    """Per closed daily event-time window, TVD of `event_type` shares against the reference period."""
+    """Per closed daily event-time window, TVD of `event_type` shares against the reference period.
+
+    Daily windows follow the session time zone (UTC in the sessions built here and by default on this
+    host), which is also how the wall-clock `ts` values are read."""
     ev = table(spark, sf, "events")
     cut = F.lit(_EV_SPLIT).cast("timestamp_ntz")
     source = scratch_path(spark, "events-stream-src")
