@@ -122,3 +122,24 @@ FROM orders GROUP BY o_orderstatus""",
 def m12_balanced_weights_orders(spark, sf):
     w = M.balanced_class_weights(table(spark, sf, "orders"), "o_orderstatus")
     return w.withColumn("weight", F.round("weight", 6))
+
+
+_LABELS_SCORED_SQL = """SELECT l.doc_id, l.quality AS y, floor(d.n_chars * 1000.0 / (d.n_chars + 5000.0)) / 1000.0 AS p,
+  CAST(floor(d.n_chars * 1000.0 / (d.n_chars + 5000.0)) / 1000.0 >= 0.5 AS INTEGER) AS yhat
+FROM labels l JOIN documents d ON l.doc_id = d.doc_id"""
+
+
+def scored_documents(spark, sf):
+    """Second stand-in: label = `labels.quality`, score = a monotone function of the document length
+    (ties in 0.001 steps). Only `doc_id` and `n_chars` of `documents` are read."""
+    d = table(spark, sf, "documents").select("doc_id", "n_chars")
+    p = F.floor(F.col("n_chars") * 1000.0 / (F.col("n_chars") + 5000.0)) / 1000.0
+    return table(spark, sf, "labels").join(d, "doc_id").select(
+        "doc_id", F.col("quality").alias("y"), p.alias("p"), (p >= 0.5).cast("int").alias("yhat")
+    )
+
+
+@register("e1_e7_metrics_labels_documents", E_SQL.replace(_SCORED_SQL, _LABELS_SCORED_SQL))
+def e1_e7_metrics_labels_documents(spark, sf):
+    m = M.classification_metrics(scored_documents(spark, sf), "y", "yhat", "p")
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
