@@ -92,3 +92,11 @@ def test_many_groups_take_the_single_task_path(spark):
     out = running_totals(df, ["g"], "o", ["v"])
     assert out.where(F.col("cum_v") != F.col("total_v")).count() == 40000
     assert out.agg(F.max("total_v")).first()[0] == 3
+
+
+def test_global_running_total_over_the_single_task_limit(spark):
+    # No group keys and more rows than the single-task limit: the one global group is bucketed.
+    df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5000).cast("double").alias("o"), F.lit(2).alias("v")).repartition(4)
+    out = {r["o"]: (r["cum_v"], r["total_v"]) for r in running_totals(df, [], "o", ["v"], single_task_rows=500).collect()}
+    assert len(out) == 5000
+    assert all(out[float(i)] == (2 * (i + 1), 10000) for i in range(5000))
