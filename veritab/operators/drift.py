@@ -118,57 +118,54 @@ def _side_counts(reference: DataFrame, current: DataFrame, num, cat, by, bins: i
     return counts, edges
 
 
-def _psi_from_counts(counts: DataFrame, edges: DataFrame, by: Sequence[str]) -> DataFrame:
-    num = counts.where(F.col("kind") == "num")
-    ref = num.where(F.col("_side") == "ref")
-    cur = num.where(F.col("_side") == "cur")
-    r_tot = ref.groupBy("feature").agg(
-        F.sum(F.when(F.col("key").isNotNull(), F.col("_rows"))).alias("_rin"), F.sum("_nx").alias("_rall"))
-    r_share = ref.where(F.col("key").isNotNull()).join(r_tot, "feature").select(
-        "feature", "key", (F.col("_rows") / F.col("_rin")).alias("_r"))
-    s_ref = r_share.groupBy("feature").agg(F.sum(_f(F.col("_r"), F.lit(0.0))).alias("_sref"))
-    c_tot = cur.groupBy(*by, "feature").agg(
-        F.sum(F.when(F.col("key").isNotNull(), F.col("_rows"))).alias("_cin"), F.sum("_nx").alias("_call"))
+def _scores_from_counts(counts: DataFrame, edges: DataFrame | None, by: Sequence[str]) -> DataFrame:
+    """PSI (numeric) and TVD (categorical) per ``(by…, feature, kind)`` from the shared counts, through
+    one chain of totals, shares and corrections for both kinds.
+
+    A share is rows of a key over the side's keyed rows (PSI: in-range values; TVD: every row, missing
+    being the ``<NA>`` category). Reference totals are per feature only (the reference has no run keys).
+    """
+    k = ["feature", "kind"]
+    keyed = F.col("key").isNotNull()
+    ref = counts.where(F.col("_side") == "ref")
+    cur = counts.where(F.col("_side") == "cur")
+    r_tot = ref.groupBy(*k).agg(F.sum(F.when(keyed, F.col("_rows"))).alias("_rin"), F.sum("_nx").alias("_rall"))
+    r_share = ref.where(keyed).join(r_tot, k).select(*k, "key", (F.col("_rows") / F.col("_rin")).alias("_r"))
+    # Reference-only part: Σ f(r, 0) for PSI, Σ r for TVD.
+    is_num = F.col("kind") == "num"
+    s_ref = r_share.groupBy(*k).agg(F.sum(F.when(is_num, _f(F.col("_r"), F.lit(0.0))).otherwise(F.col("_r"))).alias("_sref"))
+    c_tot = cur.groupBy(*by, *k).agg(F.sum(F.when(keyed, F.col("_rows"))).alias("_cin"), F.sum("_nx").alias("_call"))
+    r, c = F.coalesce(F.col("_r"), F.lit(0.0)), F.coalesce(F.try_divide(F.col("_rows"), F.col("_cin")), F.lit(0.0))
+    term = F.when(is_num, _f(r, c) - _f(r, F.lit(0.0))).otherwise(F.abs(r - c) - r)
     corr = (
-        cur.where(F.col("key").isNotNull())
-        .join(c_tot, by + ["feature"])
-        .join(r_share, ["feature", "key"], "left")
-        .select(*by, "feature",
-                F.coalesce(F.col("_r"), F.lit(0.0)).alias("_r"),
-                F.coalesce(F.try_divide(F.col("_rows"), F.col("_cin")), F.lit(0.0)).alias("_c"))
-        .groupBy(*by, "feature")
-        .agg(F.sum(_f(F.col("_r"), F.col("_c")) - _f(F.col("_r"), F.lit(0.0))).alias("_corr"))
-    )
-    out = (
-        c_tot.join(r_tot, "feature", "left")
-        .join(edges.select("feature", "_ne"), "feature", "left")
-        .join(s_ref, "feature", "left")
-        .join(corr, by + ["feature"], "left")
+        cur.where(keyed)
+        .join(c_tot, by + k)
+        .join(r_share, k + ["key"], "left")
+        .groupBy(*by, *k)
+        .agg(F.sum(term).alias("_corr"))
     )
+    out = c_tot.join(r_tot, k, "left").join(s_ref, k, "left").join(corr, by + k, "left")
+    if edges is not None:
+        out = out.join(edges.select("feature", "_ne"), "feature", "left")
+    else:
+        out = out.withColumn("_ne", F.lit(None).cast("int"))
+    total = F.coalesce(F.col("_sref"), F.lit(0.0)) + F.coalesce(F.col("_corr"), F.lit(0.0))
     usable = (F.coalesce(F.col("_ne"), F.lit(0)) >= 3) & (F.col("_call") > 0) & (F.coalesce(F.col("_rall"), F.lit(0)) > 0)
-    score = F.when(usable, F.coalesce(F.col("_sref"), F.lit(0.0)) + F.coalesce(F.col("_corr"), F.lit(0.0))).otherwise(F.lit(0.0))
-    return out.select(*by, "feature", score.alias("score"))
-
-
-def _tvd_from_counts(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    cat = counts.where(F.col("kind") == "cat")
-    ref = cat.where(F.col("_side") == "ref")
-    cur = cat.where(F.col("_side") == "cur")
-    r_t = ref.groupBy("feature").agg(F.sum("_rows").alias("_t"))
-    r = ref.join(r_t, "feature").select("feature", "key", (F.col("_rows") / F.col("_t")).alias("_r"))
-    c_t = cur.groupBy(*by, "feature").agg(F.sum("_rows").alias("_t"))
-    c = cur.join(c_t, by + ["feature"]).select(*by, "feature", "key", (F.col("_rows") / F.col("_t")).alias("_c"))
-    r_sum = r.groupBy("feature").agg(F.sum("_r").alias("_rsum"))
-    rr = F.coalesce(F.col("_r"), F.lit(0.0))
-    corr = (
-        c.join(r, ["feature", "key"], "left")
-        .select(*by, "feature", (F.abs(rr - F.col("_c")) - rr).alias("_d"))
-        .groupBy(*by, "feature")
-        .agg(F.sum("_d").alias("_corr"))
-    )
-    return corr.join(r_sum, "feature", "left").select(
-        *by, "feature", (F.lit(0.5) * (F.coalesce(F.col("_rsum"), F.lit(0.0)) + F.col("_corr"))).alias("score")
-    )
+    score = F.when(is_num, F.when(usable, total).otherwise(F.lit(0.0))).otherwise(F.lit(0.5) * total)
+    return out.select(*by, "feature", "kind", score.alias("score"))
+
+
+def _scores_by_kind(reference: DataFrame, current: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequence[str],
+                    bins: int, quantile_method: str) -> DataFrame:
+    """``(by…, feature, kind, score)`` for every requested column (see :func:`drift_scores`)."""
+    by = list(by)
+    counts, edges = _side_counts(reference, current, list(num), list(cat), by, bins, quantile_method)
+    if checkpoint_dir(reference.sparkSession):
+        # The counts (sides × runs × features × bins/categories) are small; every score branch filters
+        # them by side, and those filters would otherwise be pushed below the aggregation, giving each
+        # branch its own scan of the inputs. Written once, the inputs are scanned once.
+        counts = counts.checkpoint(eager=True)
+    return _scores_from_counts(counts, edges, by)
 
 
 def drift_scores(reference: DataFrame, current: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequence[str] = (),
@@ -179,15 +176,9 @@ def drift_scores(reference: DataFrame, current: DataFrame, num: Sequence[str], c
     closed on both sides; current values outside the reference range are dropped before shares are
     taken; fewer than three edges or an empty side give 0. TVD: ½Σ|r − c| over the union of
     categories (stripped, missing → ``<NA>``)."""
-    by = list(by)
-    counts, edges = _side_counts(reference, current, list(num), list(cat), by, bins, quantile_method)
-    if checkpoint_dir(reference.sparkSession):
-        # The counts (sides × runs × features × bins/categories) are small; every score branch filters
-        # them by side and kind, and those filters would otherwise be pushed below the aggregation,
-        # giving each branch its own scan of the inputs. Written once, the inputs are scanned once.
-        counts = counts.checkpoint(eager=True)
-    psi = _psi_from_counts(counts, edges, by) if num else None
-    tvd = _tvd_from_counts(counts, by) if cat else None
+    scores = _scores_by_kind(reference, current, num, cat, by, bins, quantile_method)
+    psi = scores.where(F.col("kind") == "num").drop("kind") if num else None
+    tvd = scores.where(F.col("kind") == "cat").drop("kind") if cat else None
     return psi, tvd
 
 
@@ -273,19 +264,22 @@ def drift_report(
     categorical_cols = list(categorical_cols or spec.categorical)
     num, miss_n = _present(reference, current, numeric_cols)
     cat, miss_c = _present(reference, current, categorical_cols)
-    parts = []
-    if num or cat:
-        psi, tvd = drift_scores(reference, current, num, cat, by, bins, quantile_method)
-        if psi is not None:
-            parts.append(_decorate(psi, "PSI", numeric_threshold, by))
-        if tvd is not None:
-            parts.append(_decorate(tvd, "TVD", categorical_threshold, by))
-    if not parts:
-        return reference.sparkSession.createDataFrame([], REPORT_SCHEMA), sorted(set(miss_n + miss_c))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out, sorted(set(miss_n + miss_c))
+    missing = sorted(set(miss_n + miss_c))
+    if not (num or cat):
+        return reference.sparkSession.createDataFrame([], REPORT_SCHEMA), missing
+    scores = _scores_by_kind(reference, current, num, cat, by, bins, quantile_method)
+    is_num = F.col("kind") == "num"
+    threshold = F.when(is_num, F.lit(float(numeric_threshold))).otherwise(F.lit(float(categorical_threshold)))
+    # One pass over the scored rows for both methods; the flag uses the unrounded score.
+    out = scores.select(
+        *by,
+        "feature",
+        F.when(is_num, F.lit("PSI")).otherwise(F.lit("TVD")).alias("method"),
+        (F.bround("score", 6) + F.lit(0.0)).alias("score"),
+        threshold.alias("threshold"),
+        (F.col("score") >= threshold).alias("drift_detected"),
+    )
+    return out, missing
 
 
 def drift_summary(report: DataFrame, missing_columns: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
