@@ -325,7 +325,7 @@ def prediction_drift(
               f"column '{target_col}' not found in the reference table", None, None)],
             schema,
         )
-    r, _ = category_counts(reference, reference.limit(0), [target_col])
+    r = reference_shares(reference, [target_col], "_r")
     ref_map = r.agg(F.map_from_entries(F.collect_list(F.struct("value", "_r"))).alias("reference_distribution"))
     if target_col not in current.columns:
         return ref_map.select(
