@@ -100,3 +100,13 @@ def test_global_running_total_over_the_single_task_limit(spark):
     out = {r["o"]: (r["cum_v"], r["total_v"]) for r in running_totals(df, [], "o", ["v"], single_task_rows=500).collect()}
     assert len(out) == 5000
     assert all(out[float(i)] == (2 * (i + 1), 10000) for i in range(5000))
+
+
+def test_hot_null_group_is_split_null_safely(spark):
+    # The oversized group has a NULL key: the semi / anti split must match it null-safely.
+    rows = [(None, float(i), 1) for i in range(1200)] + [("a", float(i), 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, o double, v long").repartition(3)
+    got = {(r["g"], r["o"]): (r["cum_v"], r["total_v"]) for r in running_totals(df, ["g"], "o", ["v"], single_task_rows=100).collect()}
+    assert len(got) == 1240
+    assert got[(None, 1199.0)] == (1200, 1200) and got[(None, 0.0)] == (1, 1200)
+    assert got[("a", 39.0)] == (120, 120)
