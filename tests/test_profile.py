@@ -114,3 +114,14 @@ def test_distinct_and_nulls(spark):
     assert n["s"] == 1 and n["*total"] == 1 and n["*rows_with_null"] == 1
     sp = Q.schema_profile(df).collect()
     assert [(r["column"], r["type"], r["non_null"]) for r in sp] == [("i", "int", 3), ("s", "string", 2)]
+
+
+def test_grouped_describe_gives_null_group_its_quantiles(spark):
+    import numpy as np
+
+    from veritab.operators.profile import describe
+
+    rows = [(None, float(i)) for i in range(11)] + [("a", float(i) * 2) for i in range(5)]
+    d = {r["g"]: r for r in describe(spark.createDataFrame(rows, "g string, x double"), ["x"], by=["g"]).collect()}
+    assert d[None]["count"] == 11 and d[None]["p50"] == 5.0 and d[None]["p25"] == float(np.quantile(range(11), 0.25))
+    assert d["a"]["p75"] == 6.0

@@ -81,3 +81,17 @@ def test_batch_size_rule(spark):
     df = df.unionByName(spark.createDataFrame([(9,)], "req long"))
     got = {r["req"]: (r["n_records"], r["batch_ok"]) for r in V.batch_sizes(df, "req").collect()}
     assert got[0] == (103, False) and got[9] == (1, True)
+
+
+def test_folds_and_exact_split_keep_null_label_rows(spark):
+    from veritab.operators.sampling import stratified_folds, stratified_split
+
+    rows = [(i, None if i % 10 == 0 else ("x" if i % 3 else "y")) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, lab string")
+    folds = stratified_folds(df, "lab", ["k"], 5, 42, exact=True)
+    assert folds.count() == 300
+    per = {(r["lab"], r["fold"]): r["count"] for r in folds.groupBy("lab", "fold").count().collect()}
+    assert sorted(v for (lab, _), v in per.items() if lab is None) == [6, 6, 6, 6, 6]
+    split = stratified_split(df, "lab", ["k"], 0.2, 42, exact=True)
+    assert split.count() == 300
+    assert split.where(F.col("lab").isNull() & (F.col("split") == "test")).count() == 6

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from veritab.functions.search import count_less_than
+from veritab.operators.joins import join_null_safe
 from veritab.session import checkpoint_dir, shuffle_partitions
 
 _BOUNDS_ACCURACY = 10000
@@ -63,17 +64,6 @@ def _window_running(src: DataFrame, by: list[str], order: str, values: list[str]
     )
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
-                    broadcast_right: bool = False) -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL (a NULL group key is a group like any other)."""
-    keys = list(keys)
-    r = right.select(*[F.col(f"`{c}`").alias(f"_nk_{c}") if c in keys else F.col(f"`{c}`") for c in right.columns])
-    if broadcast_right:
-        r = F.broadcast(r)
-    cond = [F.col(f"`{k}`").eqNullSafe(F.col(f"_nk_{k}")) for k in keys]
-    return left.join(r, cond, how).drop(*[f"_nk_{k}" for k in keys])
-
-
 def _bucketed_running(src: DataFrame, by: list[str], order: str, values: list[str], b: int, n_groups: int,
                       prefix: str, total_prefix: str) -> DataFrame:
     """Running sums with each group cut into ``b`` buckets at approximate quantiles of ``order``."""
@@ -85,7 +75,7 @@ def _bucketed_running(src: DataFrame, by: list[str], order: str, values: list[st
     if by:
         schema = src.select(*by).schema.add("_bounds", ArrayType(DoubleType()))
         bounds = spark.createDataFrame([tuple(r[c] for c in by) + (r["_bounds"],) for r in rows], schema)
-        tagged = _join_null_safe(src, bounds, by, broadcast_right=True)  # bounded: one row per group, checked above
+        tagged = join_null_safe(src, bounds, by, broadcast_right=True)  # bounded: one row per group, checked above
     else:
         arr = rows[0]["_bounds"] if rows else []
         tagged = src.withColumn("_bounds", F.array(*[F.lit(float(x)) for x in arr]).cast("array<double>"))
@@ -105,7 +95,7 @@ def _bucketed_running(src: DataFrame, by: list[str], order: str, values: list[st
         *[F.sum(f"_b_{v}").over(wg).alias(f"{total_prefix}{v}") for v in values],
     )
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = _join_null_safe(tagged, offsets, keys)
+    out = join_null_safe(tagged, offsets, keys)
     return out.select(
         *[c for c in tagged.columns if c != "_bucket"],
         *[(F.col(f"_o_{v}") + F.sum(v).over(w)).alias(f"{prefix}{v}") for v in values],

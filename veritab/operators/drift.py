@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from veritab.functions.columns import clip_lower, hash_hex, hash_threshold_hex, strip
 from veritab.functions.search import count_less_than
 from veritab.operators.cumulative import exact_quantiles
+from veritab.operators.joins import join_null_safe
 from veritab.operators.sampling import weighted_choice
 from veritab.session import checkpoint_dir
 from veritab.spec import CREDIT_SPEC, TableSpec
@@ -139,12 +140,12 @@ def _scores_from_counts(counts: DataFrame, edges: DataFrame | None, by: Sequence
     term = F.when(is_num, _f(r, c) - _f(r, F.lit(0.0))).otherwise(F.abs(r - c) - r)
     corr = (
         cur.where(keyed)
-        .join(c_tot, by + k)
+        .transform(lambda d: join_null_safe(d, c_tot, by + k))
         .join(r_share, k + ["key"], "left")
         .groupBy(*by, *k)
         .agg(F.sum(term).alias("_corr"))
     )
-    out = c_tot.join(r_tot, k, "left").join(s_ref, k, "left").join(corr, by + k, "left")
+    out = join_null_safe(c_tot.join(r_tot, k, "left").join(s_ref, k, "left"), corr, by + k, "left")
     if edges is not None:
         out = out.join(edges.select("feature", "_ne"), "feature", "left")
     else:
@@ -212,7 +213,7 @@ def category_counts(reference: DataFrame, current: DataFrame, cols: Sequence[str
         F.count(F.lit(1)).alias("_n")
     )
     cur_tot = cur.groupBy(*by, "feature").agg(F.sum("_n").alias("_t"))
-    c = cur.join(cur_tot, by + ["feature"]).select(*by, "feature", "value", (F.col("_n") / F.col("_t")).alias("_c"))
+    c = join_null_safe(cur, cur_tot, by + ["feature"]).select(*by, "feature", "value", (F.col("_n") / F.col("_t")).alias("_c"))
     return r, c
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritab.operators.cumulative import running_totals
+from veritab.operators.joins import join_null_safe
 
 
 def _d(c: Column) -> Column:
@@ -87,7 +88,7 @@ def classification_metrics(
     if y_prob is not None:
         rk = ranking_metrics(df, y_true, y_prob, positive, by)
         if by:
-            out = out.join(rk, by, "left")
+            out = join_null_safe(out, rk, by, "left")
         else:
             out = out.select(*out.columns, rk.select("roc_auc").scalar().alias("roc_auc"), rk.select("avg_precision").scalar().alias("avg_precision"))
     p = f"{prefix}_" if prefix else ""

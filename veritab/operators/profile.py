@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions.stats import chi2_sf, sample_excess_kurtosis, sample_skewness
 from veritab.operators.cumulative import exact_quantiles, quantiles_from_counts, value_counts_table
+from veritab.operators.joins import join_null_safe
 from veritab.session import checkpoint_dir
 
 MAX_PIVOT_VALUES = 10000
@@ -76,7 +77,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), quantil
     q = quantiles_from_counts(counts, g, quantiles, out="_q", materialize=not materialized)
     names = [f"p{int(round(p * 100))}" for p in quantiles]
     q = q.select(*g, *[F.element_at("_q", i + 1).alias(nm) for i, nm in enumerate(names)])
-    out = first.join(q, g, "left")
+    out = join_null_safe(first, q, g, "left")
     return out.select(*by, "column", "count", "mean", "std", "min", *names, "max")
 
 
@@ -252,7 +253,7 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float =
     vals = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).select(*by, F.col(col).cast("double").alias("_x"))
     if by:
         q = exact_quantiles(vals, by, "_x", [0.25, 0.5, 0.75], out="_q")
-        j = vals.join(q, by)
+        j = join_null_safe(vals, q, by)
     else:
         qc = exact_quantiles(vals, [], "_x", [0.25, 0.5, 0.75], out="_q").select("_q").scalar()
         j = vals.withColumn("_q", qc)
@@ -277,7 +278,7 @@ def box_outliers(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float
     x = F.col(col).cast("double")
     if by:
         q = exact_quantiles(df.select(*by, x.alias("_x")), by, "_x", [0.25, 0.75], out="_q")
-        j = df.join(q, by)
+        j = join_null_safe(df, q, by)
     else:
         qc = exact_quantiles(df.select(x.alias("_x")), [], "_x", [0.25, 0.75], out="_q").select("_q").scalar()
         j = df.withColumn("_q", qc)

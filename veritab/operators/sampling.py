@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions.columns import hash_below, hash_hex, hash_threshold_hex
 from veritab.operators.cumulative import running_totals
+from veritab.operators.joins import join_null_safe
 
 
 def hash_sample(df: DataFrame, fraction: float, seed: int, key_cols: Sequence[str]) -> DataFrame:
@@ -66,7 +67,7 @@ def stratified_split(
     cut = rt.where((F.col("cum___n") >= want) & (F.col("cum___n") - F.col("__n") < want)).select(
         label, F.col("__h").alias("__hstar"), (want - (F.col("cum___n") - F.col("__n"))).alias("__take")
     )
-    j = tagged.join(cut, label, "left")  # one row per class
+    j = join_null_safe(tagged, cut, [label], "left")  # one row per class
     clear = j.where(F.col("__hstar").isNull() | (F.col("__h") != F.col("__hstar"))).withColumn(
         out, F.when(F.col("__h") < F.col("__hstar"), F.lit("test")).otherwise(F.lit("train"))
     )
@@ -93,4 +94,4 @@ def stratified_folds(
     tagged = df.withColumn("__h", h)
     counts = tagged.groupBy(label, "__h").agg(F.count(F.lit(1)).alias("__n"))
     rt = running_totals(counts, [label], "__h", ["__n"]).select(label, "__h", (F.pmod(F.col("cum___n") - 1, F.lit(k))).cast("int").alias(out))
-    return tagged.join(rt, [label, "__h"]).drop("__h")
+    return join_null_safe(tagged, rt, [label, "__h"]).drop("__h")
