@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
                    broadcast_right: bool = False) -> DataFrame:
-    """Join on ``keys`` (present on both sides) with NULL-safe equality; the output keeps the left keys."""
+    """Join on ``keys`` (present on both sides) with NULL-safe equality; the output keeps the left keys.
+    Keys that are non-nullable on both sides take a plain equi-join."""
     keys = list(keys)
+    if not any(left.schema[k].nullable or right.schema[k].nullable for k in keys):
+        return left.join(F.broadcast(right) if broadcast_right else right, keys, how)
     r = right.select(*[F.col(f"`{c}`").alias(f"_nk_{c}") if c in keys else F.col(f"`{c}`") for c in right.columns])
     if broadcast_right:
         r = F.broadcast(r)
