@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import hilbert, mixing
+from veritab.llm import hilbert, mixing, vptree, wumanber
 from veritab.plans.registry import table
 
 QUERIES = {}
@@ -32,3 +32,28 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = hilbert.shard_documents(table(spark, sf_dir, "documents"), shards=8)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+_OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
+    AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+u AS (SELECT vec_id, min(v) AS v FROM v GROUP BY vec_id),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v) AS score
+      FROM u q JOIN u x ON q.vec_id % 20 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@_register("op7_vantage_point_search", _OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, relax=1.0)
+
+
+@_register("op10_wu_manber_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return wumanber.digest(wumanber.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"]))
