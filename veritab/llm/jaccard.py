@@ -330,7 +330,8 @@ def jaccard_classes(docs: DataFrame, keep: list[str], shingle: int = 4, percent:
     met = cells.groupBy("key").agg(F.min("fp").alias("root"), F.max("fp").alias("last")).where("root <> last")
     edges = cells.join(met.select("key", "root"), "key").where("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b")).distinct()
     clusters = materialize(connected_components(edges).join(member, F.col("id") == F.col("fp")).select("fp", "__key", "n_shingles", F.col("root").alias("cluster")), "clusters")
-    texts = src.select("__key", "__text").join(clusters.select("__key", "fp"), "__key")
+    # a shuffle join at every size: the members of clusters grow with the corpus, so they are never broadcast
+    texts = src.select("__key", "__text").join(clusters.select("__key", "fp").hint("merge"), "__key")
     sets = texts.select("fp", "__text").mapInArrow(_sets(shingle), "fp binary, tokens binary")
     work = _tasks(clusters, percent).join(sets, "fp").select("task", "side", "fp", "tokens")
     links = work.repartition("task").sortWithinPartitions("task").mapInArrow(_connect(percent), "a binary, b binary")
