@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import chat, hilbert, jaccard, mixing, repeats, urls, vptree, wumanber
+from veritab.llm import chat, hilbert, jaccard, mixing, quality, repeats, urls, vptree, wumanber
 from veritab.plans.registry import table
 
 QUERIES = {}
@@ -40,6 +40,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(repeats.remove_repeats(docs, ["doc_id"], length=200))
 
 
+@_register("op3_ordinal_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.grade_documents(docs, docs, table(spark, sf_dir, "labels"), ["doc_id"])
+
+
 _OP4_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, role, text FROM conversations
