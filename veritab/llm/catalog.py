@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import chat, hilbert, jaccard, mixing, quality, repeats, urls, vptree, wumanber
+from veritab.llm import chat, hilbert, jaccard, licenses, mixing, quality, repeats, urls, vptree, wumanber
 from veritab.plans.registry import table
 
 QUERIES = {}
@@ -34,6 +34,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@_register("op1_license_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+
+
 @_register("op2_run_length_repeats")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
