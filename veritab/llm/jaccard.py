@@ -34,7 +34,7 @@ from veritab.llm.store import materialize
 BAND_ROWS = 4
 MISS = 1e-10
 BLOCK_MEMBERS = 2048
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 1_000_000
 LEAF_MEMBERS = 32
 LEAF_TOKENS = 1 << 16
 FANOUT = 4
@@ -326,10 +326,12 @@ def jaccard_classes(docs: DataFrame, keep: list[str], shingle: int = 4, percent:
     sketched = materialize(src.mapInArrow(_sketch(names, shingle, bands, BAND_ROWS), f"{types}, n_shingles long, fp binary, bands array<bigint>"), "sketch")
     # one member per set: the row with the smallest key stands for it
     member = materialize(sketched.where("fp IS NOT NULL").groupBy("fp").agg(F.min("__key").alias("__key"), F.max("n_shingles").alias("n_shingles")), "members")
-    cells = sketched.join(member.select("fp", "__key"), ["fp", "__key"], "left_semi").select("fp", F.explode("bands").alias("key"))
-    met = cells.groupBy("key").agg(F.min("fp").alias("root"), F.max("fp").alias("last")).where("root <> last")
-    edges = cells.join(met.select("key", "root"), "key").where("fp <> root").select(F.col("fp").alias("a"), F.col("root").alias("b")).distinct()
-    clusters = materialize(connected_components(edges).join(member, F.col("id") == F.col("fp")).select("fp", "__key", "n_shingles", F.col("root").alias("cluster")), "clusters")
+    # candidate clusters only group work, so 64 bits name a member here; two members of one name share a cluster
+    short = F.xxhash64("fp")
+    cells = sketched.join(member.select("fp", "__key"), ["fp", "__key"], "left_semi").select(short.alias("id"), F.explode("bands").alias("key"))
+    met = cells.groupBy("key").agg(F.min("id").alias("root"), F.max("id").alias("last")).where("root <> last")
+    edges = cells.join(met.select("key", "root"), "key").where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+    clusters = materialize(connected_components(edges).join(member.withColumn("id", short), "id").select("fp", "__key", "n_shingles", F.col("root").alias("cluster")), "clusters")
     # a shuffle join at every size: the members of clusters grow with the corpus, so they are never broadcast
     texts = src.select("__key", "__text").join(clusters.select("__key", "fp").hint("merge"), "__key")
     sets = texts.select("fp", "__text").mapInArrow(_sets(shingle), "fp binary, tokens binary")

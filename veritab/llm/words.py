@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
