@@ -149,7 +149,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
     base = materialize(base, "mix-sizes")
     per = materialize(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")), weights, max_repeats), "mix-targets")
     blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    plan = per.withColumn("blocks", blocks).withColumn("slots", F.least(F.round(F.col("target") * share * F.col("blocks") / F.col("source_size")), F.col("blocks") * max_repeats).cast("long"))
+    plan = per.withColumn("blocks", blocks).withColumn("slots", F.least(F.round(F.col("target") * share * F.try_divide("blocks", "source_size")), F.col("blocks") * max_repeats).cast("long"))
     plan = plan.withColumn("slots", F.coalesce("slots", F.lit(0)))
     small = {r["pos"]: (r["slots"], r["blocks"]) for r in plan.select("pos", "slots", "blocks").where("slots > 0").collect()}  # a row per source
     wanted = {p: s for p, (s, _) in small.items()}
