@@ -3,8 +3,8 @@
 Every byte covered by a string of ``length`` bytes that also starts anywhere else (any text, the same one
 included) is removed.
 
-1. Anchors. Each window of ``length`` bytes is assigned the position of the smallest hash among its GRAM-byte
-   substrings, a choice that depends on the window's content only. Consecutive windows with the same anchor
+1. Anchors. Each window of ``length`` bytes is assigned the position of the smallest hash among its substrings
+   of two fifths of that length, a choice that depends on the window's content only. Consecutive windows with the same anchor
    form one segment. Equal windows have equal anchor substrings, so only segments whose anchor substring
    occurs at least twice in the corpus can hold a repeated window; the others are done.
 2. Segments that remain are cut from the texts and equal ones are counted once with their number (map-side
@@ -34,11 +34,16 @@ from pyspark.sql import functions as F
 from veritab.llm import words as wd
 from veritab.llm.store import materialize
 
-GRAM = 40
 CHUNK = 1 << 20
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 GROUP_SEGMENTS = 4096
 
+
+def gram_for(length: int) -> int:
+    """Bytes of an anchor substring: long ones are rarely shared by chance, short ones give longer segments."""
+    return max(1, length * 2 // 5)
+
+
 _CODES = wd.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _POSITION = np.uint64((1 << 22) - 1)
 
@@ -71,10 +76,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     if len(data) < length:
         z = np.zeros(0, dtype=np.int64)
         return z, z, z, z.astype(np.uint64)
-    h = rolling(data, GRAM)
+    gram = gram_for(length)
+    h = rolling(data, gram)
     with np.errstate(over="ignore"):
         packed = (h & ~_POSITION) | np.arange(len(h), dtype=np.uint64)
-    at = (_window_min(packed, length - GRAM + 1) & _POSITION).astype(np.int64)  # by window start
+    at = (_window_min(packed, length - gram + 1) & _POSITION).astype(np.int64)  # by window start
     lens = np.diff(offsets)
     row = np.repeat(np.arange(len(lens)), np.maximum(lens - length + 1, 0))
     start = np.arange(len(row)) - np.repeat(np.cumsum(np.maximum(lens - length + 1, 0)) - np.maximum(lens - length + 1, 0), np.maximum(lens - length + 1, 0)) + offsets[row]
@@ -134,7 +140,7 @@ class RunLengthIndex:
         _, inv = np.unique(key[pos], return_inverse=True)
         rank[pos] = inv + 1
         self.levels, step, most = [(7, rank)], 7, int(self.lens.max()) if len(self.lens) else 0
-        while step < most:
+        while step < most and len(inv) and inv.max() + 1 < len(pos):
             after = pos + step
             ok = after < self.end[pos]
             second = np.zeros(len(pos), dtype=np.int64)
@@ -193,7 +199,8 @@ class RunLengthIndex:
 def repeated_windows(strings: list[bytes], counts: list[int], length: int) -> list[list[tuple[int, int]]]:
     """Per string the runs [first, last] of window starts that also start elsewhere."""
     out = []
-    for s, c, ms in zip(strings, counts, RunLengthIndex(strings).matching_statistics() if strings else []):
+    matches = RunLengthIndex(strings).matching_statistics() if min(counts, default=2) < 2 else [None] * len(strings)
+    for s, c, ms in zip(strings, counts, matches):
         windows = max(0, len(s) - length + 1)
         marked = np.ones(windows, dtype=bool) if c > 1 else ms[:windows] >= length
         edge = np.flatnonzero(np.diff(np.concatenate(([False], marked, [False])).astype(np.int8)))
@@ -213,18 +220,34 @@ def _index(length: int):
         return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()), pa.array([k[1] for k in keep], pa.binary()), pa.array([k[2] for k in keep], pa.list_(_RUN))], names=["key", "sid", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held, last = [], 0, None
+        group, open_rows, sure_rows, held = [], [], [], 0
+
+        def close():
+            # a group whose segments all occur more than once is marked whole; a single one has no other to match
+            nonlocal held, group
+            if all(r[3] > 1 for r in group):
+                sure_rows.extend(group)
+            elif len(group) > 1:
+                open_rows.extend(group)
+                held += sum(len(r[2]) for r in group)
+            group = []
+
         for b in batches:
             t = b.to_pydict()
-            for key, sid, s, c in zip(t["key"], t["sid"], t["s"], t["n"]):
-                if key != last and held >= BATCH_BYTES:
-                    yield marks(rows)
-                    rows, held = [], 0
-                last = key
-                rows.append((key, sid, s, c))
-                held += len(s)
-        if rows:
-            yield marks(rows)
+            for row in zip(t["key"], t["sid"], t["s"], t["n"]):
+                if group and row[0] != group[0][0]:
+                    close()
+                    if held >= BATCH_BYTES:
+                        yield marks(open_rows)
+                        open_rows, held = [], 0
+                group.append(row)
+            if sure_rows:
+                yield marks(sure_rows)
+                sure_rows = []
+        close()
+        for rows in (open_rows, sure_rows):
+            if rows:
+                yield marks(rows)
 
     return run
 
@@ -251,14 +274,14 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
     occurs twice is repeated as a whole, which its windows' counts show."""
     seg = materialize(texts.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "h binary, low long, high long, key long"), "segments")
     often = seg.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    left = seg.join(often, "key").groupBy("h", "low", "high", "key").agg(F.count("*").alias("copies"))
-    # the copies of one text carry the same rows, counted here once per text
-    per_text = left.groupBy("h").agg(F.max("copies").alias("copies"), F.collect_list(F.struct("low", "high", "key")).alias("parts"))
+    # copies of a text bring the same segments once more each, which gives their number
+    left = seg.join(often, "key").groupBy("h").agg(F.collect_set(F.struct("low", "high", "key")).alias("parts"), F.count("*").alias("rows"))
+    per_text = left.select("h", "parts", F.expr("rows div size(parts)").alias("copies"))
     one_text = texts.groupBy("h").agg(F.first("text").alias("text"))
     cut = per_text.join(one_text, "h").select("h", "copies", F.col("text").cast("binary").alias("raw"), F.explode("parts").alias("p"))
     cut = cut.select("h", "copies", F.col("p.low").alias("low"), F.col("p.key").alias("key"), F.expr(f"substring(raw, int(p.low) + 1, int(p.high - p.low) + {length})").alias("s"))
     cut = materialize(cut.withColumn("sid", F.unhex(F.md5("s"))), "cut")
-    distinct = materialize(cut.groupBy("key", "sid", "s").agg(F.sum("copies").alias("n")), "distinct-segments")
+    distinct = cut.groupBy("key", "sid", "s").agg(F.sum("copies").alias("n"))
     crowd = distinct.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > GROUP_SEGMENTS).select("key")
     calm = distinct.join(crowd, "key", "left_anti")
     marks = calm.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_index(length), "key long, sid binary, runs array<struct<a:long,b:long>>")
