@@ -27,8 +27,8 @@ from veritab.llm import words as wd
 from veritab.llm.store import materialize
 
 BITS = 44  # hashed feature space; the model holds the few slots with a weight, so collisions do not matter
-SAMPLE_ROWS = 12_000
-SAMPLE_BYTES = 40 << 20
+SAMPLE_ROWS = 8_000
+SAMPLE_BYTES = 20 << 20
 
 
 @dataclass
@@ -164,14 +164,15 @@ def fit(texts: pa.Array, grades: np.ndarray, levels: int, bits: int = BITS, epoc
     Words of fewer than ``min_rows`` labelled rows get no weight, nor do words whose first weight stays below
     ``relevant``: thousands of tiny weights would add up to noise in long texts."""
     n = len(grades)
-    slots, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    slots, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
     for first, s, o in features(texts, bits):
-        slots.append(s)
-        owners.append(o + first)
-    slot, owner = np.concatenate(slots), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    slot, owner = slot[order], owner[order]
-    names, slot, rows = np.unique(slot, return_inverse=True, return_counts=True)
+        by_row = np.argsort(o, kind="stable")  # pieces come in row order
+        slots.append(s[by_row])
+        owners.append((o[by_row] + first).astype(np.int32))
+    owner = np.concatenate(owners)
+    names, slot, rows = np.unique(np.concatenate(slots), return_inverse=True, return_counts=True)
+    slot = slot.astype(np.int32)
+    del slots, owners
     shape = names >= 1 << bits
     wanted = (rows >= min_rows) | shape
     batch = min(batch, max(16, n // 32))
@@ -179,7 +180,7 @@ def fit(texts: pa.Array, grades: np.ndarray, levels: int, bits: int = BITS, epoc
     for _ in range(2):
         keep = wanted[slot]
         value = np.where(shape, SHAPE_VALUE, 1.0)[slot[keep]]
-        w, t = _descend(slot[keep], np.searchsorted(owner[keep], np.arange(n + 1)), value, grades, levels, len(names), epochs, rate, l1, batch, seed)
+        w, t = _descend(slot[keep], np.searchsorted(owner[keep], np.arange(n + 1, dtype=np.int32)), value, grades, levels, len(names), epochs, rate, l1, batch, seed)
         wanted = (np.abs(w) >= relevant) | shape
     w[shape] *= SHAPE_VALUE
     held = np.flatnonzero(w)
