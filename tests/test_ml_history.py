@@ -83,7 +83,7 @@ def test_random_search_query_picks_best_trial(spark):
     import __spark_entry__ as E
 
     rows = E.queries()["m8_random_search_orders"](spark, SF_SMALL).collect()
-    assert len(rows) == 4
+    assert len(rows) == 30
     best = [r for r in rows if r["best"]]
     assert len(best) == 1
     assert best[0]["cv_auc_mean"] == max(r["cv_auc_mean"] for r in rows)

@@ -38,6 +38,21 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return col.isNull()
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """The column with NaN read as NULL (other types unchanged): the one rule for missing values."""
+    col = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        return F.when(~F.isnan(col), col)
+    return col
+
+
+def with_known(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
+    """``df`` with NaN turned into NULL in the named (default: all) floating-point columns."""
+    names = df.columns if names is None else names
+    floats = [c for c in dict.fromkeys(names) if isinstance(df.schema[c].dataType, (DoubleType, FloatType))]
+    return df.withColumns({c: known(df, c) for c in floats}) if floats else df
+
+
 def safe_ratio(num: str | Column, den: str | Column) -> Column:
     """``num / den`` with 0.0 where the denominator is 0 or either side is missing."""
     q = F.try_divide(_c(num).cast("double"), _c(den).cast("double"))

@@ -25,11 +25,12 @@ def pad_sorted(arr: Column, max_len: int) -> tuple[Column, int]:
 def count_less_than(df: DataFrame, arr_col: str, value: Column, max_len: int, out: str) -> DataFrame:
     """Add ``out`` = number of entries of the sorted array ``arr_col`` strictly below ``value``.
 
-    ``max_len`` bounds the array length; arrays are padded here.
+    ``max_len`` bounds the array length. The array must be padded already (:func:`pad_sorted` on the small
+    table it comes from), so that no row copies it.
     """
-    padded, k = pad_sorted(F.col(arr_col), max_len)
-    tmp_arr, tmp_v = f"__{out}_arr", f"__{out}_v"
-    df = df.withColumn(tmp_arr, padded).withColumn(tmp_v, value.cast("double")).withColumn(out, F.lit(0))
+    k = max(1, int(max_len).bit_length())
+    tmp_arr, tmp_v = arr_col, f"__{out}_v"
+    df = df.withColumn(tmp_v, value.cast("double")).withColumn(out, F.lit(0))
     step = 2 ** (k - 1)
     while step >= 1:
         nxt = F.col(out) + F.lit(step)
@@ -38,4 +39,4 @@ def count_less_than(df: DataFrame, arr_col: str, value: Column, max_len: int, ou
             F.when(F.element_at(F.col(tmp_arr), nxt) < F.col(tmp_v), nxt).otherwise(F.col(out)),
         )
         step //= 2
-    return df.drop(tmp_arr, tmp_v)
+    return df.drop(tmp_v)

@@ -77,7 +77,7 @@ def encode_target_sorted(df: DataFrame, target: str, out: str | None = None):
     out = out or target
     tmp = f"__{target}_idx"
     model = StringIndexer(inputCol=target, outputCol=tmp, stringOrderType="alphabetAsc", handleInvalid="keep").fit(df)
-    enc = model.transform(df).withColumn(tmp, F.col(tmp).cast("int"))
+    enc = model.transform(df).withColumn(tmp, F.when(F.col(target).isNotNull(), F.col(tmp).cast("int")))  # missing stays missing
     if out == target:
         enc = enc.drop(target).withColumnRenamed(tmp, target).select(*df.columns)
     else:

@@ -3,10 +3,9 @@
 A running total over a global order is usually written as an unpartitioned window, which moves every
 row into one task. Here the order range of each group is cut into ``B`` buckets at approximate
 quantiles of the ordering column; bucket totals (``groups × B`` rows, tiny) give each bucket its
-offset, and the final window runs per ``(group, bucket)``. No task holds more than about ``1/B`` of
-a group, however large or skewed the group is. The bucket boundaries are fetched once (a bounded
-``groups × B`` array) so every later evaluation assigns rows to the same bucket; the results are
-exact because buckets only split the order, they never approximate it.
+offset, and the final window runs per ``(group, bucket)``. ``B`` follows the measured size of the
+largest group. The bucket boundaries are checkpointed once so every later evaluation assigns rows to
+the same bucket; the results are exact because buckets only split the order, they never approximate it.
 
 Exact quantiles are read off the running counts of distinct values, again without holding a group's
 values in memory (built-in exact ``percentile`` keeps a value→count map per group in one buffer).
@@ -18,39 +17,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
-from veritab.functions.search import count_less_than
+from veritab.functions.search import count_less_than, pad_sorted
 from veritab.operators.joins import join_null_safe
-from veritab.session import checkpoint_dir, shuffle_partitions
+from veritab.session import checkpoint_dir
 
 _BOUNDS_ACCURACY = 10000
-_MAX_BOUND_ROWS = 100_000  # groups whose bucket bounds are fetched in one go
 # A group measured at or below this many (pre-aggregated) rows is ordered inside one task, a few tens
-# of MB; larger groups are split into buckets.
+# of MB; larger groups are split into buckets of about half this size.
 SINGLE_TASK_ROWS = 1_000_000
-_BOUNDS_BUDGET = 4_000_000  # bucket bounds (doubles) fetched and broadcast at most, ~32 MB
+_BROADCAST_GROUPS = 100_000  # tables with one row per hot group are broadcast up to this measured number
 
 
-def default_buckets(df: DataFrame) -> int:
-    """Buckets per group: follow the shuffle parallelism, within [8, 1024]."""
-    return max(8, min(1024, shuffle_partitions(df.sparkSession)))
+def buckets_for(rows: int, limit: int) -> int:
+    """Buckets for a group of ``rows`` rows: about half the single-task limit each, as many as the sketch can cut."""
+    return max(2, min(_BOUNDS_ACCURACY, -(-2 * int(rows) // max(1, limit))))
 
 
-def _bucket_bounds(df: DataFrame, by: Sequence[str], order: str, buckets: int):
-    """Rows per group and approximate ``1/B`` quantiles of ``order``, materialised as a small local table."""
+def _bucket_bounds(df: DataFrame, by: Sequence[str], order: str, buckets: int) -> DataFrame:
+    """``by…, _bounds``: approximate ``1/B`` quantiles of ``order`` per group, padded for the search.
+
+    Written once to the shared folder, so every later read assigns a row to the same bucket; the table stays
+    a table, whatever the number of groups."""
     probs = [i / buckets for i in range(1, buckets)]
-    q = F.percentile_approx(F.col(order).cast("double"), probs, _BOUNDS_ACCURACY)
-    rows = (
-        df.where(F.col(order).isNotNull())
-        .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.array_sort(q).alias("_bounds"))
-        .limit(_MAX_BOUND_ROWS + 1)
-        .collect()
-    )
-    if len(rows) > _MAX_BOUND_ROWS:
-        raise ValueError(f"running totals support at most {_MAX_BOUND_ROWS} groups; got more")
-    return rows
+    q = F.array_sort(F.percentile_approx(F.col(order).cast("double"), probs, _BOUNDS_ACCURACY))
+    padded, _ = pad_sorted(F.col("_q"), buckets - 1)
+    bounds = df.where(F.col(order).isNotNull()).groupBy(*by).agg(q.alias("_q")).select(*by, padded.alias("_bounds"))
+    return bounds.checkpoint(eager=True)
 
 
 def _window_running(src: DataFrame, by: list[str], order: str, values: list[str], prefix: str, total_prefix: str) -> DataFrame:
@@ -67,18 +60,12 @@ def _window_running(src: DataFrame, by: list[str], order: str, values: list[str]
 def _bucketed_running(src: DataFrame, by: list[str], order: str, values: list[str], b: int, n_groups: int,
                       prefix: str, total_prefix: str) -> DataFrame:
     """Running sums with each group cut into ``b`` buckets at approximate quantiles of ``order``."""
-    spark = src.sparkSession
-    # The bounds table (groups × (B − 1) doubles) is collected and broadcast: keep it within a fixed
-    # budget by using fewer buckets when there are many groups.
-    b = max(2, min(b, _BOUNDS_BUDGET // max(1, n_groups)))
-    rows = _bucket_bounds(src, by, order, b)
+    b = max(2, b)
+    bounds = _bucket_bounds(src, by, order, b)
     if by:
-        schema = src.select(*by).schema.add("_bounds", ArrayType(DoubleType()))
-        bounds = spark.createDataFrame([tuple(r[c] for c in by) + (r["_bounds"],) for r in rows], schema)
-        tagged = join_null_safe(src, bounds, by, broadcast_right=True)  # bounded: one row per group, checked above
+        tagged = join_null_safe(src, bounds, by, broadcast_right=n_groups <= _BROADCAST_GROUPS)
     else:
-        arr = rows[0]["_bounds"] if rows else []
-        tagged = src.withColumn("_bounds", F.array(*[F.lit(float(x)) for x in arr]).cast("array<double>"))
+        tagged = src.withColumn("_bounds", bounds.select("_bounds").scalar())
     tagged = count_less_than(tagged, "_bounds", F.col(order), b - 1, "_bucket").drop("_bounds")
 
     keys = by + ["_bucket"]
@@ -103,25 +90,24 @@ def _bucketed_running(src: DataFrame, by: list[str], order: str, values: list[st
     )
 
 
-def split_by_size(df: DataFrame, by: Sequence[str], limit: int) -> tuple[int, DataFrame | None, DataFrame | None]:
-    """Measure groups against ``limit`` rows: ``(number of groups above it, small-group rows, large-group rows)``.
+def split_by_size(df: DataFrame, by: Sequence[str], limit: int) -> tuple[int, int, DataFrame | None, DataFrame | None]:
+    """Measure groups against ``limit`` rows: ``(groups above it, rows of the largest, small-group rows, large-group rows)``.
 
-    Only the count of oversized groups reaches the driver (one row), so any number of groups is fine.
-    Without oversized groups both frames are None. Otherwise the rows are split by a semi / anti join
-    on the oversized keys (null-safe); those keys are broadcast because their number is measured and
-    bounded (each holds more than ``limit`` rows)."""
+    Only two numbers reach the driver, so any number of groups is fine. Without oversized groups both
+    frames are None. Otherwise the rows are split by a semi / anti join on the oversized keys (null-safe);
+    those keys are broadcast while their measured number is small, else joined by a shuffle."""
     by = list(by)
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    n_big = sizes.where(F.col("_rows") > limit).select(F.count(F.lit(1))).first()[0]
+    r = sizes.where(F.col("_rows") > limit).agg(F.count(F.lit(1)).alias("n"), F.max("_rows").alias("most")).first()
+    n_big = r["n"]
     if n_big == 0:
-        return 0, None, None
-    if n_big > _MAX_BOUND_ROWS:
-        raise ValueError(f"more than {_MAX_BOUND_ROWS} groups hold over {limit} rows each; raise the limit")
+        return 0, 0, None, None
     if not by:
-        return n_big, None, df
-    big = F.broadcast(sizes.where(F.col("_rows") > limit).select(*[F.col(k).alias(f"_bk_{k}") for k in by]))
+        return n_big, r["most"], None, df
+    big = sizes.where(F.col("_rows") > limit).select(*[F.col(k).alias(f"_bk_{k}") for k in by])
+    big = F.broadcast(big) if n_big <= _BROADCAST_GROUPS else big
     cond = [F.col(k).eqNullSafe(F.col(f"_bk_{k}")) for k in by]
-    return n_big, df.join(big, cond, "left_anti"), df.join(big, cond, "left_semi")
+    return n_big, r["most"], df.join(big, cond, "left_anti"), df.join(big, cond, "left_semi")
 
 
 def running_totals(
@@ -146,7 +132,6 @@ def running_totals(
     by = list(by)
     values = list(values)
     spark = df.sparkSession
-    b = buckets or default_buckets(df)
     src = df.where(F.col(order).isNotNull())
     if materialize and checkpoint_dir(spark):
         # The input (usually pre-aggregated, far smaller than the raw table) is read by the size check
@@ -154,12 +139,13 @@ def running_totals(
         # re-running the upstream scan and shuffle; this also cuts the lineage for task retries.
         src = src.checkpoint(eager=True)
     if buckets is not None:
-        return _bucketed_running(src, by, order, values, b, len(group_sizes(src, by)), prefix, total_prefix)
+        n_groups = src.select(*by).distinct().count() if by else 1
+        return _bucketed_running(src, by, order, values, buckets, n_groups, prefix, total_prefix)
     limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    n_big, small, large = split_by_size(src, by, limit)
+    n_big, most, small, large = split_by_size(src, by, limit)
     if n_big == 0:
         return _window_running(src, by, order, values, prefix, total_prefix)
-    out = _bucketed_running(large, by, order, values, b, n_big, prefix, total_prefix)
+    out = _bucketed_running(large, by, order, values, buckets_for(most, limit), n_big, prefix, total_prefix)
     if small is not None:
         out = _window_running(small, by, order, values, prefix, total_prefix).unionByName(out)
     return out
@@ -167,9 +153,8 @@ def running_totals(
 
 def value_counts_table(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """``by…, _v, _n``: occurrences of each non-null value (as double) per group, combined map-side."""
-    return df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    v = F.col(value).cast("double")
+    return df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*by, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def exact_quantiles(
@@ -189,14 +174,6 @@ def exact_quantiles(
     return quantiles_from_counts(value_counts_table(df, by, value), by, probs, buckets, out)
 
 
-def group_sizes(df: DataFrame, by: Sequence[str]) -> list:
-    """Rows per group (a bounded, checked list of at most ``_MAX_BOUND_ROWS`` groups)."""
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows")).limit(_MAX_BOUND_ROWS + 1).collect()
-    if len(sizes) > _MAX_BOUND_ROWS:
-        raise ValueError(f"running totals support at most {_MAX_BOUND_ROWS} groups; got more")
-    return sizes
-
-
 def quantiles_from_counts(
     counts: DataFrame,
     by: Sequence[str],
@@ -208,31 +185,16 @@ def quantiles_from_counts(
     """:func:`exact_quantiles` from a :func:`value_counts_table` (``materialize=False`` when the
     counts are already checkpointed).
 
-    Groups measured to hold at most :data:`SINGLE_TASK_ROWS` distinct values take one aggregate: the
-    built-in ``percentile`` weighted by the counts (same linear interpolation), whose buffer per group
-    is that bounded value→count map. Larger groups (and every group when ``buckets`` is given) take the
-    bucketed running-count path, where no task holds more than about ``1/B`` of a group."""
-    by = list(by)
-    probs = [float(p) for p in probs]
-    spark = counts.sparkSession
-    if buckets is not None:
-        return _quantiles_by_running_counts(counts, by, probs, buckets, out, materialize)
-    if materialize and checkpoint_dir(spark):
-        counts = counts.checkpoint(eager=True)  # read by the size check and by the quantile jobs
-    n_big, small, large = split_by_size(counts, by, SINGLE_TASK_ROWS)
-    q = F.percentile(F.col("_v"), F.array(*[F.lit(p) for p in probs]), F.col("_n")).alias(out)
-    if n_big == 0:
-        return counts.groupBy(*by).agg(q)
-    res = _quantiles_by_running_counts(large, by, probs, None, out, False)
-    if small is not None:
-        res = small.groupBy(*by).agg(q).unionByName(res)
-    return res
+    The two order statistics around each wanted rank are read off running counts, and one formula
+    interpolates between them, so the value does not depend on the group's size, on ``buckets`` or on how
+    :func:`running_totals` splits the group."""
+    return _quantiles_by_running_counts(counts, list(by), [float(p) for p in probs], buckets, out, materialize)
 
 
 def _quantiles_by_running_counts(counts: DataFrame, by: list[str], probs: list[float], buckets: int | None, out: str,
                                  materialize: bool) -> DataFrame:
     """Quantiles read off running counts of distinct values (groups cut into buckets)."""
-    rt = running_totals(counts, by, "_v", ["_n"], buckets=buckets or default_buckets(counts), materialize=materialize)
+    rt = running_totals(counts, by, "_v", ["_n"], buckets=buckets, materialize=materialize)
     # Each distinct value covers ranks [cum - n, cum); find which wanted ranks it covers.
     n_all = F.col("total__n")
     wanted = F.transform(
@@ -271,16 +233,6 @@ def _quantiles_by_running_counts(counts: DataFrame, by: list[str], probs: list[f
     return agg.select(*by, F.transform("_pq", lambda s: s["_q"]).alias(out))
 
 
-def exact_quantiles_long(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], buckets: int | None = None
-) -> DataFrame:
-    """As :func:`exact_quantiles` but one row per (group, p): ``by, p, q``."""
-    arr = exact_quantiles(df, by, value, probs, buckets, out="_qs")
-    return arr.select(*by, F.posexplode("_qs").alias("_i", "q")).select(
-        *by, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i") + 1).alias("p"), "q"
-    )
-
-
 def exact_quantile_column(df: DataFrame, value: str, p: float, buckets: int | None = None) -> Column:
     """The exact ``p``-quantile of ``value`` over the whole DataFrame as a scalar-subquery column."""
     q = exact_quantiles(df, [], value, [p], buckets, out="_qs")

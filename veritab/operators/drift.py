@@ -19,8 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritab.functions.columns import clip_lower, hash_hex, hash_threshold_hex, strip
-from veritab.functions.search import count_less_than
+from veritab.functions.columns import clip_lower, hash_hex, hash_threshold_hex, known, strip
+from veritab.functions.search import count_less_than, pad_sorted
 from veritab.operators.cumulative import exact_quantiles
 from veritab.operators.joins import join_null_safe
 from veritab.operators.sampling import weighted_choice
@@ -50,7 +50,7 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str], value: Column |
     if kind == "numeric":
         prep = [F.col(c).cast("double").alias(c) for c in cols]
     else:
-        prep = [F.coalesce(strip(F.col(c).cast("string")), F.lit(MISSING_CATEGORY)).alias(c) for c in cols]
+        prep = [F.coalesce(strip(known(df, c).cast("string")), F.lit(MISSING_CATEGORY)).alias(c) for c in cols]
     wide = df.select(*[F.col(b) for b in by], *prep)
     return wide.unpivot(list(by), list(cols), "feature", "value")
 
@@ -87,7 +87,7 @@ def _side_long(df: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequen
         for c in num
     ] + [
         F.struct(F.lit(c).alias("feature"), F.lit("cat").alias("kind"), F.lit(None).cast("double").alias("x"),
-                 F.coalesce(strip(F.col(c).cast("string")), F.lit(MISSING_CATEGORY)).alias("s"))
+                 F.coalesce(strip(known(df, c).cast("string")), F.lit(MISSING_CATEGORY)).alias("s"))
         for c in cat
     ]
     keys = [F.col(b) if side == "cur" else F.lit(None).cast(by_types[b]).alias(b) for b in by]
@@ -104,8 +104,9 @@ def _side_counts(reference: DataFrame, current: DataFrame, num, cat, by, bins: i
     edges = None
     if num:
         edges = _edges(reference, num, bins, quantile_method)
-        long = long.join(edges, "feature", "left")
-        long = count_less_than(long, "_e", F.col("x"), bins + 1, "_lt")
+        padded, _ = pad_sorted(F.col("_e"), bins + 1)
+        long = long.join(F.broadcast(edges.withColumn("_pad", padded)), "feature", "left")
+        long = count_less_than(long, "_pad", F.col("x"), bins + 1, "_lt")
         in_range = (
             (F.col("_ne") >= 3) & F.col("x").isNotNull()
             & (F.col("x") >= F.element_at("_e", 1)) & (F.col("x") <= F.element_at("_e", -1))
@@ -119,12 +120,14 @@ def _side_counts(reference: DataFrame, current: DataFrame, num, cat, by, bins: i
     return counts, edges
 
 
-def _scores_from_counts(counts: DataFrame, edges: DataFrame | None, by: Sequence[str]) -> DataFrame:
+def _scores_from_counts(counts: DataFrame, edges: DataFrame | None, by: Sequence[str], num: Sequence[str], cat: Sequence[str]) -> DataFrame:
     """PSI (numeric) and TVD (categorical) per ``(by…, feature, kind)`` from the shared counts, through
     one chain of totals, shares and corrections for both kinds.
 
     A share is rows of a key over the side's keyed rows (PSI: in-range values; TVD: every row, missing
     being the ``<NA>`` category). Reference totals are per feature only (the reference has no run keys).
+    Every requested feature is scored for every run of the current table; without run keys also when the
+    current table is empty (PSI 0, TVD half the reference's shares).
     """
     k = ["feature", "kind"]
     keyed = F.col("key").isNotNull()
@@ -136,6 +139,13 @@ def _scores_from_counts(counts: DataFrame, edges: DataFrame | None, by: Sequence
     is_num = F.col("kind") == "num"
     s_ref = r_share.groupBy(*k).agg(F.sum(F.when(is_num, _f(F.col("_r"), F.lit(0.0))).otherwise(F.col("_r"))).alias("_sref"))
     c_tot = cur.groupBy(*by, *k).agg(F.sum(F.when(keyed, F.col("_rows"))).alias("_cin"), F.sum("_nx").alias("_call"))
+    spark = counts.sparkSession
+    asked = F.broadcast(spark.createDataFrame([(f, "num") for f in num] + [(f, "cat") for f in cat], "feature string, kind string"))
+    if by:
+        # the runs that have any row of a feature have all of them: the unpivot lists every feature per row
+        wanted = c_tot.select(*by, *k)
+    else:
+        wanted = asked
     r, c = F.coalesce(F.col("_r"), F.lit(0.0)), F.coalesce(F.try_divide(F.col("_rows"), F.col("_cin")), F.lit(0.0))
     term = F.when(is_num, _f(r, c) - _f(r, F.lit(0.0))).otherwise(F.abs(r - c) - r)
     corr = (
@@ -145,13 +155,14 @@ def _scores_from_counts(counts: DataFrame, edges: DataFrame | None, by: Sequence
         .groupBy(*by, *k)
         .agg(F.sum(term).alias("_corr"))
     )
-    out = join_null_safe(c_tot.join(r_tot, k, "left").join(s_ref, k, "left"), corr, by + k, "left")
+    base = join_null_safe(wanted, c_tot, by + k, "left")
+    out = join_null_safe(base.join(r_tot, k, "left").join(s_ref, k, "left"), corr, by + k, "left")
     if edges is not None:
         out = out.join(edges.select("feature", "_ne"), "feature", "left")
     else:
         out = out.withColumn("_ne", F.lit(None).cast("int"))
     total = F.coalesce(F.col("_sref"), F.lit(0.0)) + F.coalesce(F.col("_corr"), F.lit(0.0))
-    usable = (F.coalesce(F.col("_ne"), F.lit(0)) >= 3) & (F.col("_call") > 0) & (F.coalesce(F.col("_rall"), F.lit(0)) > 0)
+    usable = (F.coalesce(F.col("_ne"), F.lit(0)) >= 3) & (F.coalesce(F.col("_call"), F.lit(0)) > 0) & (F.coalesce(F.col("_rall"), F.lit(0)) > 0)
     score = F.when(is_num, F.when(usable, total).otherwise(F.lit(0.0))).otherwise(F.lit(0.5) * total)
     return out.select(*by, "feature", "kind", score.alias("score"))
 
@@ -166,7 +177,7 @@ def _scores_by_kind(reference: DataFrame, current: DataFrame, num: Sequence[str]
         # them by side, and those filters would otherwise be pushed below the aggregation, giving each
         # branch its own scan of the inputs. Written once, the inputs are scanned once.
         counts = counts.checkpoint(eager=True)
-    return _scores_from_counts(counts, edges, by)
+    return _scores_from_counts(counts, edges, by, list(num), list(cat))
 
 
 def drift_scores(reference: DataFrame, current: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequence[str] = (),
@@ -419,12 +430,12 @@ def drift_decisions(
         .agg(F.max(F.col("drift_detected") & F.coalesce(F.col("_prev"), F.lit(False))).alias("retrain"))
     )
     out = summ.join(crit, run_cols, "left").withColumn("retrain", F.coalesce(F.col("retrain"), F.lit(False)))
-    ratio = F.bround(F.col("features_with_drift") / F.col("features_evaluated"), 4)
+    ratio = F.col("features_with_drift") / F.col("features_evaluated")  # the rules test the unrounded ratio
     return out.select(
         *run_cols,
         "features_evaluated",
         "features_with_drift",
-        ratio.alias("drift_ratio"),
+        F.bround(ratio, 4).alias("drift_ratio"),
         (ratio > F.lit(incident_ratio)).alias("incident"),
         "retrain",
         F.when(ratio > F.lit(incident_ratio), "incident")

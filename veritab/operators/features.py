@@ -7,10 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.functions.columns import clip_lower, indicator, right_closed_bands, safe_ratio, smoothed_ratio
+from veritab.functions.columns import clip_lower, indicator, known, right_closed_bands, safe_ratio, smoothed_ratio, with_known
 from veritab.operators.cumulative import exact_quantile_column
 
-MAX_DUMMY_CATEGORIES = 1000
 
 
 def add_financial_features(
@@ -48,7 +47,7 @@ def add_smoothed_ratios(df: DataFrame, income: str = "income_annum", loan: str =
 def flag_above_median(df: DataFrame, col: str, out: str) -> DataFrame:
     """``out`` = 1 where ``col`` exceeds its exact global median, else 0 (median as a scalar subquery)."""
     med = exact_quantile_column(df, col, 0.5)
-    return df.withColumn(out, (F.col(col) > med).cast("int"))
+    return df.withColumn(out, F.coalesce(known(df, col) > med, F.lit(False)).cast("int"))
 
 
 def add_indicators(df: DataFrame, spec: Mapping[str, tuple[str, object]]) -> DataFrame:
@@ -61,29 +60,32 @@ def add_bands(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[
     return df.withColumn(out, right_closed_bands(col, edges, labels))
 
 
-def category_values(df: DataFrame, col: str, max_categories: int = MAX_DUMMY_CATEGORIES) -> list[str]:
-    """Sorted distinct non-null values of a low-cardinality column (guarded)."""
-    vals = [r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().limit(max_categories + 1).collect()]
-    if len(vals) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} categories")
-    return sorted(vals)
+def category_values(df: DataFrame, col: str) -> list[str]:
+    """Sorted distinct non-null values of a column (each becomes a column of its own, so they are few by design)."""
+    return sorted(r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
 
 
 def one_hot_dummies(df: DataFrame, col: str, categories: Sequence[str] | None = None, drop_first: bool = True, keep: bool = False) -> DataFrame:
     """0/1 columns ``<col>_<category>`` over sorted categories; the first is dropped by default."""
-    cats = list(categories) if categories is not None else category_values(df, col)
-    cats = sorted(cats)[1:] if drop_first else sorted(cats)
+    every = sorted(categories if categories is not None else category_values(df, col))
+    cats = every[1:] if drop_first else every
+    if categories is not None:  # a value outside the given list is an error, not a row of zeros
+        c = F.col(col)
+        unseen = c.isNotNull() & ~c.isin(*every)
+        df = df.withColumn(col, F.when(unseen, F.raise_error(F.concat(F.lit(f"unseen category in {col}: "), c.cast("string"))).cast(df.schema[col].dataType)).otherwise(c))
     out = df.withColumns({f"{col}_{v}": indicator(col, v) for v in cats})
     return out if keep else out.drop(col)
 
 
 def standardize(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """``(x − mean) / population std``; zero-variance columns give 0. Stats are scalar subqueries of
+    """``(x − mean) / population std``; zero-variance columns give 0; missing values (NULL, NaN) are left out of
+    the statistics and stay NULL. Stats are scalar subqueries of
     one aggregate (merged by the optimizer into a single pass)."""
+    df = with_known(df, cols)
     stats = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)], *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)])
     new = {}
     for i, c in enumerate(cols):
         m = stats.select(f"m_{i}").scalar()
         s = stats.select(f"s_{i}").scalar()
-        new[f"{c}{suffix}"] = F.when(s == 0, F.lit(0.0)).otherwise((F.col(c) - m) / s)
+        new[f"{c}{suffix}"] = F.when((s == 0) & F.col(c).isNotNull(), F.lit(0.0)).otherwise((F.col(c) - m) / s)
     return df.withColumns(new)

@@ -32,7 +32,6 @@ RANDOM_STATE = 42
 RANDOM_FOREST_PARAMS = {"n_estimators": 100, "max_depth": 8}
 XGBOOST_PARAMS = {"n_estimators": 100, "max_depth": 6, "learning_rate": 0.1}
 LOGISTIC_REGRESSION_PARAMS = {"max_iter": 1000}
-SVM_PARAMS = {"kernel": "rbf", "probability": True}
 SEARCH_SPACES = {
     "random_forest": {"n_estimators": (50, 300), "max_depth": (3, 15), "min_samples_split": (2, 10),
                       "min_samples_leaf": (1, 5), "max_features": ["sqrt", "log2"]},
@@ -41,6 +40,8 @@ SEARCH_SPACES = {
     "logistic_regression": {"C": (0.01, 10.0), "penalty": ["l1", "l2"], "solver": ["liblinear", "saga"]},
     "svm": {"C": (0.1, 10.0), "gamma": ["scale", "auto"], "kernel": ["rbf", "poly"]},
 }
+# Settings of the spaces above that Spark's estimators have no counterpart for: never sampled, never reported.
+NOT_APPLIED = {"min_samples_split", "reg_alpha", "reg_lambda", "solver", "kernel"}
 N_TRIALS = 30
 CV_FOLDS = 5
 TEST_SIZE = 0.2
@@ -181,11 +182,18 @@ def evaluate_model(model, df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def prepare_labelled(df: DataFrame, target: str, positive, negative) -> DataFrame:
-    """Numeric label 1/0 from the target text; rows with another value are dropped."""
+    """Numeric label 1/0 from the target text; rows with another value take no part (:func:`unlabelled_rows`
+    counts them, and the trainers report that number)."""
     lab = F.when(F.col(target) == F.lit(positive), F.lit(1)).when(F.col(target) == F.lit(negative), F.lit(0))
     return df.withColumn(LABEL, lab).where(F.col(LABEL).isNotNull())
 
 
+def unlabelled_rows(df: DataFrame, target: str, positive, negative) -> int:
+    """Rows whose target is neither value (or missing), which no model is trained or tested on."""
+    named = F.col(target).isin(positive, negative)
+    return df.agg(F.count_if(~F.coalesce(named, F.lit(False)))).first()[0]
+
+
 def train_baseline_models(df: DataFrame, target: str, key_cols: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
                           positive="Approved", negative="Rejected", lr_params=None, rf_params=None) -> dict:
     """Logistic regression (balanced weights) and random forest baselines on a stratified 80/20 split.
@@ -193,7 +201,7 @@ def train_baseline_models(df: DataFrame, target: str, key_cols: Sequence[str], n
     Returns ``models``, a ``metrics`` DataFrame ``(model, accuracy, f1, recall, roc_auc)`` and ``test_size``.
     """
     lab = prepare_labelled(df, target, positive, negative)
-    split = stratified_split(lab, LABEL, key_cols, TEST_SIZE, RANDOM_STATE).cache()
+    split = stratified_split(lab, LABEL, key_cols, TEST_SIZE, RANDOM_STATE, exact=True).cache()
     train = add_balanced_weights(split.where(F.col("split") == "train"), LABEL, "__w")
     test = split.where(F.col("split") == "test")
     n_train = train.count()
@@ -207,7 +215,8 @@ def train_baseline_models(df: DataFrame, target: str, key_cols: Sequence[str], n
     for name, m in models.items():
         row = evaluate_model(m, test).select(F.lit(name).alias("model"), "*")
         metrics = row if metrics is None else metrics.unionByName(row)
-    return {"models": models, "metrics": metrics, "test_size": test.count(), "split": split}
+    return {"models": models, "metrics": metrics, "test_size": test.count(), "split": split,
+            "unlabelled_rows": unlabelled_rows(df, target, positive, negative)}
 
 
 def cross_validated_auc(pipeline: Pipeline, df: DataFrame, k: int = CV_FOLDS, fold_col: str = "fold") -> tuple[float, float, list[float]]:
@@ -303,6 +312,8 @@ def sample_params(name: str, n_trials: int = N_TRIALS, seed: int = RANDOM_STATE)
     for _ in range(n_trials):
         p = {}
         for k, v in space.items():
+            if k in NOT_APPLIED:
+                continue
             if isinstance(v, list):
                 p[k] = rng.choice(v)
             elif k == "C":
@@ -384,7 +395,7 @@ def train_simple(df: DataFrame, target: str, key_cols, numeric, categorical, pat
                  positive="Approved", negative="Rejected") -> tuple[PipelineModel, float]:
     """GBT pipeline on an 80/20 split; returns the model and its test ROC AUC, saving it when a path is given (M11)."""
     lab = prepare_labelled(df, target, positive, negative)
-    split = stratified_split(lab, LABEL, key_cols, TEST_SIZE, RANDOM_STATE)
+    split = stratified_split(lab, LABEL, key_cols, TEST_SIZE, RANDOM_STATE, exact=True)
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
     model = model_pipeline(make_estimator("xgboost", XGBOOST_PARAMS), numeric, categorical).fit(train)
     auc = evaluate_model(model, test).first()["roc_auc"]

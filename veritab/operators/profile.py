@@ -9,16 +9,24 @@ cell) are ever grouped into one place.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritab.functions.columns import known, with_known
 from veritab.functions.stats import chi2_sf, sample_excess_kurtosis, sample_skewness
 from veritab.operators.cumulative import exact_quantiles, quantiles_from_counts, value_counts_table
 from veritab.operators.joins import join_null_safe
 from veritab.session import checkpoint_dir
 
-MAX_PIVOT_VALUES = 10000
+BROADCAST_GROUPS = 100_000  # a table with one row per group is broadcast up to this measured number of rows
+
+
+def _per_group(table: DataFrame) -> tuple[DataFrame, bool]:
+    """A one-row-per-group table written once, and whether it was measured small enough to broadcast."""
+    table = table.checkpoint(eager=True)
+    return table, table.count() <= BROADCAST_GROUPS
 
 
 def _stack(wide: DataFrame, pairs: Sequence[tuple[str, str]], key: str, value: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -27,23 +35,29 @@ def _stack(wide: DataFrame, pairs: Sequence[tuple[str, str]], key: str, value: s
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """Distinct non-null values per column: ``(column, n_unique)``; ``approx`` uses HyperLogLog++."""
+    """Distinct non-missing values per column: ``(column, n_unique)``; ``approx`` uses HyperLogLog++ in one pass.
+
+    Exact counts read each column by itself (a pruned scan) and de-duplicate it map-side, so no row is
+    expanded into one copy per column."""
     cols = list(cols or df.columns)
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    wide = df.agg(*[fn(F.col(f"`{c}`")).alias(c) for c in cols])
-    return _stack(wide, [(c, c) for c in cols], "column", "n_unique")
+    df = with_known(df, cols)
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(c) for c in cols])
+        return _stack(wide, [(c, c) for c in cols], "column", "n_unique")
+    one = [df.select(F.col(f"`{c}`").alias("v")).where("v IS NOT NULL").distinct().agg(F.count(F.lit(1)).alias("n_unique")).select(F.lit(c).alias("column"), "n_unique") for c in cols]
+    return reduce(DataFrame.unionByName, one)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """``(value, count, share)`` with NULLs excluded; share = count / non-null rows."""
-    vc = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    vc = df.select(known(df, col).alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("count"))
     total = vc.select(F.sum("count")).scalar()  # from the aggregated counts, not another scan of the table
     return vc.withColumn("share", F.col("count") / total)
 
 
 def majority_share(df: DataFrame, col: str, places: int = 4) -> DataFrame:
     """Top normalised frequency of ``col`` (one row ``majority_share``)."""
-    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    vc = df.select(known(df, col).alias("v")).where("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n"))
     return vc.agg(F.bround(F.max("n") / F.sum("n"), places).alias("majority_share"))
 
 
@@ -104,13 +118,15 @@ def moments(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataF
     )
     return agg.select(
         *by, "column", "n",
-        sample_skewness(F.col("g1"), F.col("n")).alias("skewness"),
-        sample_excess_kurtosis(F.col("g2"), F.col("n")).alias("kurtosis"),
+        # a constant column has no spread: both are 0
+        sample_skewness(F.coalesce(F.nanvl("g1", F.lit(0.0)), F.lit(0.0)), F.col("n")).alias("skewness"),
+        F.when(F.isnan("g2") | F.col("g2").isNull(), F.when(F.col("n") >= 4, F.lit(0.0))).otherwise(sample_excess_kurtosis(F.col("g2"), F.col("n"))).alias("kurtosis"),
     )
 
 
 def grouped_means(df: DataFrame, by: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(*[F.avg(c).alias(c) for c in cols])
+    """Mean of each column per group, missing values (NULL, NaN) left out."""
+    return with_known(df, cols).groupBy(*by).agg(*[F.avg(c).alias(c) for c in cols])
 
 
 def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -197,6 +213,7 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = 0.05, yates:
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair (pairwise-complete rows), long form ``(column_a, column_b, corr)``."""
+    df = with_known(df, cols)
     pairs = [(x, y) for i, x in enumerate(cols) for y in cols[i:]]
     wide = df.agg(*[F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"{x}|{y}") for x, y in pairs])
     arr = []
@@ -210,6 +227,7 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target (target itself excluded), strongest first."""
+    df = with_known(df, [*cols, target])
     feats = [c for c in cols if c != target]
     wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in feats])
     return _stack(wide, [(c, c) for c in feats], "column", "corr").orderBy(F.abs("corr").desc_nulls_last(), "column")
@@ -230,17 +248,14 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = ()) -
         F.least(F.floor((F.col(col).cast("double") - lo) * (F.lit(float(bins)) / span)) + 1, F.lit(bins))
     )
     counts = vals.groupBy(*by, idx.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    if by:
-        return counts.select(
-            *by, "bin",
-            (lo + (F.col("bin") - 1) * (span / bins)).alias("lower"),
-            F.when(F.col("bin") == bins, hi).otherwise(lo + F.col("bin") * (span / bins)).alias("upper"),
-            "count",
-        )
-    grid = stats.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))  # bounded: `bins` rows
-    out = grid.join(counts, "bin", "left")
+    if by:  # every bin of every group that has a value: `bins` rows per group
+        grid = counts.select(*by).distinct().select(*by, F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))
+        out = join_null_safe(grid, counts, [*by, "bin"], "left")
+    else:
+        grid = stats.select(F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin"))  # bounded: `bins` rows
+        out = grid.join(counts, "bin", "left")
     return out.select(
-        "bin",
+        *by, "bin",
         (lo + (F.col("bin") - 1) * (span / bins)).alias("lower"),
         F.when(F.col("bin") == bins, hi).otherwise(lo + F.col("bin") * (span / bins)).alias("upper"),
         F.coalesce(F.col("count"), F.lit(0)).alias("count"),
@@ -252,8 +267,8 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float =
     by = list(by)
     vals = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).select(*by, F.col(col).cast("double").alias("_x"))
     if by:
-        q = exact_quantiles(vals, by, "_x", [0.25, 0.5, 0.75], out="_q")
-        j = join_null_safe(vals, q, by)
+        q, small = _per_group(exact_quantiles(vals, by, "_x", [0.25, 0.5, 0.75], out="_q"))
+        j = join_null_safe(vals, q, by, broadcast_right=small)
     else:
         qc = exact_quantiles(vals, [], "_x", [0.25, 0.5, 0.75], out="_q").select("_q").scalar()
         j = vals.withColumn("_q", qc)
@@ -275,10 +290,10 @@ def box_stats(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float =
 def box_outliers(df: DataFrame, col: str, by: Sequence[str] = (), whisker: float = 1.5) -> DataFrame:
     """The rows lying outside the 1.5·IQR fences of their group."""
     by = list(by)
-    x = F.col(col).cast("double")
+    x = known(df, col).cast("double")
     if by:
-        q = exact_quantiles(df.select(*by, x.alias("_x")), by, "_x", [0.25, 0.75], out="_q")
-        j = join_null_safe(df, q, by)
+        q, small = _per_group(exact_quantiles(df.select(*by, x.alias("_x")), by, "_x", [0.25, 0.75], out="_q"))
+        j = join_null_safe(df, q, by, broadcast_right=small)
     else:
         qc = exact_quantiles(df.select(x.alias("_x")), [], "_x", [0.25, 0.75], out="_q").select("_q").scalar()
         j = df.withColumn("_q", qc)

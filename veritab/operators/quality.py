@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
 
-from veritab.functions.columns import is_missing
+from veritab.functions.columns import is_missing, known
 from veritab.spec import CREDIT_SPEC
 
 TABLE = "*"
@@ -100,7 +100,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def schema_profile(df: DataFrame) -> DataFrame:
     """Column, Spark type and non-null count, in column order (A21)."""
-    aggs = [F.count(F.col(f"`{c}`")).alias(c) for c in df.columns]
+    aggs = [F.count(known(df, c)).alias(c) for c in df.columns]
     wide = df.agg(*aggs)
     stack = [
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(f"`{c}`").alias("non_null"))

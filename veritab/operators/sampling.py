@@ -16,6 +16,9 @@ from veritab.operators.cumulative import running_totals
 from veritab.operators.joins import join_null_safe
 
 
+BROADCAST_CLASSES = 100_000  # the one-row-per-class table is broadcast up to this measured size
+
+
 def hash_sample(df: DataFrame, fraction: float, seed: int, key_cols: Sequence[str]) -> DataFrame:
     """About ``fraction`` of the rows, without replacement, chosen by key hash."""
     return df.where(hash_below(seed, key_cols, fraction))
@@ -67,7 +70,8 @@ def stratified_split(
     cut = rt.where((F.col("cum___n") >= want) & (F.col("cum___n") - F.col("__n") < want)).select(
         label, F.col("__h").alias("__hstar"), (want - (F.col("cum___n") - F.col("__n"))).alias("__take")
     )
-    j = join_null_safe(tagged, cut, [label], "left")  # one row per class
+    cut = cut.checkpoint(eager=True)  # one row per class
+    j = join_null_safe(tagged, cut, [label], "left", broadcast_right=cut.count() <= BROADCAST_CLASSES)
     clear = j.where(F.col("__hstar").isNull() | (F.col("__h") != F.col("__hstar"))).withColumn(
         out, F.when(F.col("__h") < F.col("__hstar"), F.lit("test")).otherwise(F.lit("train"))
     )

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.functions.columns import is_missing, strip
+from veritab.functions.columns import is_missing, known, strip
 
 
 class GateError(ValueError):
@@ -82,8 +82,8 @@ class Rule:
     hi_inclusive: bool = True
     allowed: tuple[str, ...] = ()
 
-    def violated(self):
-        c = F.col(self.column)
+    def violated(self, df: DataFrame):
+        c = known(df, self.column)  # NaN is missing, like NULL
         if self.kind == "required":
             return c.isNull()
         if self.kind == "domain":
@@ -124,7 +124,7 @@ def validate_records(df: DataFrame, rules: Sequence[Rule] = CREDIT_REQUEST_RULES
     missing = [r.column for r in rs if r.column not in df.columns]
     if missing:
         raise GateError(f"missing required columns: {sorted(set(missing))}")
-    flags = F.array(*[F.when(r.violated(), F.lit(r.name)) for r in rs])
+    flags = F.array(*[F.when(r.violated(df), F.lit(r.name)) for r in rs])
     v = F.filter(flags, lambda x: x.isNotNull())
     return df.withColumn("violations", v).withColumn("is_valid", F.size("violations") == 0)
 
@@ -139,9 +139,3 @@ def batch_sizes(df: DataFrame, request_col: str, lo: int = 1, hi: int = 100) ->
     """Per request: number of records and whether it lies within [lo, hi]."""
     g = df.groupBy(request_col).agg(F.count(F.lit(1)).alias("n_records"))
     return g.withColumn("batch_ok", F.col("n_records").between(lo, hi))
-
-
-def tag_batch_size(df: DataFrame, request_col: str, lo: int = 1, hi: int = 100) -> DataFrame:
-    """Every record with its request's size check (aggregate then join: a hot request never becomes a
-    single window partition; adaptive skew handling splits it on the join)."""
-    return df.join(batch_sizes(df, request_col, lo, hi), request_col, "left")

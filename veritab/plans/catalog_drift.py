@@ -43,6 +43,26 @@ def d4_feature_drift_orders(spark, sf):
     return report
 
 
+_NONE = "AND o_orderkey < 0"
+_EMPTY_SQL = " UNION ALL ".join(
+    ["SELECT 'o_totalprice' AS feature, 'PSI' AS method, 0.0::DOUBLE AS score, 0.2::DOUBLE AS threshold, false AS drift_detected"]
+    + [tvd_sql(c, _ref(c), f"{_cur(c)} {_NONE}") for c in CAT]
+)
+
+
+@register("d4_empty_current_orders", _EMPTY_SQL)
+def d4_empty_current_orders(spark, sf):
+    """A current table without rows: PSI 0 and TVD half the reference's shares, so drift is reported."""
+    ref, cur = orders_split(spark, sf)
+    report, _ = D.drift_report(ref, cur.where("o_orderkey < 0"), NUM, CAT)
+    return report
+
+
+@register("d4_empty_current_summary_orders", "SELECT 'drift_detectado' AS status, 3::BIGINT AS total_features_evaluated, 2::BIGINT AS features_with_drift, 0.6667::DOUBLE AS drift_ratio FROM (SELECT count(*) FROM orders)")
+def d4_empty_current_summary_orders(spark, sf):
+    return D.drift_summary(d4_empty_current_orders(spark, sf)).drop("missing_columns")
+
+
 @register(
     "d4_drift_summary_orders",
     f"""WITH rep AS ({DRIFT_ORDERS_SQL})
@@ -160,10 +180,10 @@ def d8_monthly_drift_history_orders(spark, sf):
 crit AS (SELECT month, drift_detected AND coalesce(lag(drift_detected) OVER (ORDER BY month), false) AS both_runs
          FROM rep WHERE feature = 'o_orderstatus'),
 summ AS (SELECT month, count(*) AS features_evaluated, CAST(count_if(drift_detected) AS BIGINT) AS features_with_drift,
-                round(count_if(drift_detected) / count(*), 4) AS drift_ratio FROM rep GROUP BY month)
-SELECT s.month, features_evaluated, features_with_drift, drift_ratio, drift_ratio > 0.3 AS incident,
+                round(count_if(drift_detected) / count(*), 4) AS drift_ratio, count_if(drift_detected) / count(*) AS unrounded FROM rep GROUP BY month)
+SELECT s.month, features_evaluated, features_with_drift, drift_ratio, unrounded > 0.3 AS incident,
   coalesce(c.both_runs, false) AS retrain,
-  CASE WHEN drift_ratio > 0.3 THEN 'incident' WHEN coalesce(c.both_runs, false) THEN 'retrain'
+  CASE WHEN unrounded > 0.3 THEN 'incident' WHEN coalesce(c.both_runs, false) THEN 'retrain'
        WHEN features_with_drift = 0 THEN 'keep' ELSE 'monitor' END AS decision
 FROM summ s LEFT JOIN crit c ON s.month = c.month""",
 )

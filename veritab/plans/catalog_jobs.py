@@ -198,6 +198,6 @@ def m9_compare_runs_f1_orders(spark, sf):
 def m8_random_search_orders(spark, sf):
     """Seeded random search over the logistic-regression space by cross-validated ROC AUC, best refit."""
     train, _ = _split(spark, sf)
-    best, auc, _, trials = ML.random_search("logistic_regression", train, NUMERIC, CATEGORICAL, KEYS, n_trials=4, k=3)
+    best, auc, _, trials = ML.random_search("logistic_regression", train, NUMERIC, CATEGORICAL, KEYS)  # 30 trials x 5 folds
     rows = [(i, str(sorted(p.items())), float(m), float(sd), p == best) for i, (p, m, sd) in enumerate(trials)]
     return spark.createDataFrame(rows, "trial int, params string, cv_auc_mean double, cv_auc_std double, best boolean")

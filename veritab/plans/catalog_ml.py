@@ -54,7 +54,7 @@ def t16_preprocessed_features_orders(spark, sf):
 def _split(spark, sf):
     from veritab.operators.sampling import stratified_split
 
-    s = stratified_split(labelled(spark, sf), ML.LABEL, KEYS, ML.TEST_SIZE, ML.RANDOM_STATE)
+    s = stratified_split(labelled(spark, sf), ML.LABEL, KEYS, ML.TEST_SIZE, ML.RANDOM_STATE, exact=True)
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 

@@ -183,8 +183,9 @@ b AS (SELECT {g}CAST(CASE WHEN s.hi = s.lo THEN 1 ELSE least(floor(({col} - s.lo
 c AS (SELECT {g}bin, count(*) AS n FROM b GROUP BY ALL)"""
     if by:
         return body + f"""
-SELECT {by}, bin, round(s.lo + (bin - 1) * ((s.hi - s.lo) / {bins}), 6) AS lower,
-  round(CASE WHEN bin = {bins} THEN s.hi ELSE s.lo + bin * ((s.hi - s.lo) / {bins}) END, 6) AS upper, n AS count FROM c, s"""
+SELECT k.{by}, CAST(g.bin AS INTEGER) AS bin, round(s.lo + (g.bin - 1) * ((s.hi - s.lo) / {bins}), 6) AS lower,
+  round(CASE WHEN g.bin = {bins} THEN s.hi ELSE s.lo + g.bin * ((s.hi - s.lo) / {bins}) END, 6) AS upper, coalesce(c.n, 0) AS count
+FROM (SELECT DISTINCT {by} FROM c) k CROSS JOIN range(1, {bins} + 1) g(bin) CROSS JOIN s LEFT JOIN c ON c.bin = g.bin AND c.{by} = k.{by}"""
     return body + f"""
 SELECT CAST(g.bin AS INTEGER) AS bin, round(s.lo + (g.bin - 1) * ((s.hi - s.lo) / {bins}), 6) AS lower,
   round(CASE WHEN g.bin = {bins} THEN s.hi ELSE s.lo + g.bin * ((s.hi - s.lo) / {bins}) END, 6) AS upper, coalesce(c.n, 0) AS count

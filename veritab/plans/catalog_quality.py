@@ -102,10 +102,10 @@ def a1_quality_report_customer(spark, sf):
 
 @register(
     "a2_duplicates_lineitem",
-    "SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem)) AS duplicate_rows",
+    "SELECT (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM (SELECT DISTINCT * FROM lineitem)) AS duplicate_rows",
 )
 def a2_duplicates_lineitem(spark, sf):
-    return Q.duplicate_count(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+    return Q.duplicate_count(table(spark, sf, "lineitem"))
 
 
 _ETL_PROCESSED = f"(SELECT {STRIP.format(c='c_name')} AS c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN 0 ELSE c_acctbal END AS c_acctbal, {STRIP.format(c='c_mktsegment')} AS c_mktsegment FROM customer)"

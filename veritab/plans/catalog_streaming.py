@@ -54,18 +54,18 @@ def st_window_tvd_events(spark, sf):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"streaming query failed: {q.exception()}")
-    res = spark.read.parquet(out).drop("batch_id")
+    res = spark.read.schema("window_start timestamp, window_end timestamp, feature string, score double, drift_detected boolean").parquet(out).drop("batch_id")
     return res.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 @register("st_quarantine_orders", QUARANTINE_SQL)
 def st_quarantine_orders(spark, sf):
-    """Record rules on a stream of orders (one file per micro-batch): valid rows and quarantined rows
+    """Record rules on a stream of orders: valid rows and quarantined rows
     with their violations go to two sinks; the quarantine sink is read back."""
     cols = ["o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus"]
     source = scratch_path(spark, "orders-stream-src")
-    table(spark, sf, "orders").select(*cols).repartition(4).write.parquet(source)
-    stream = spark.readStream.schema(spark.read.parquet(source).schema).option("maxFilesPerTrigger", 1).parquet(source)
+    table(spark, sf, "orders").select(*cols).write.parquet(source)
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
     valid, quarantine = scratch_path(spark, "orders-valid"), scratch_path(spark, "orders-quarantine")
     q = monitor.write_valid_and_quarantine(stream, ORDER_RULES, valid, quarantine, scratch_path(spark, "orders-stream-ckpt"))
     q.awaitTermination()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 from pyspark.errors import AnalysisException
 
@@ -29,17 +30,46 @@ CREDIT_SCHEMA = StructType(
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = CREDIT_SCHEMA, header: bool = True) -> DataFrame:
-    """Read a headed CSV with an explicit schema (no inference pass); a missing path raises
-    ``FileNotFoundError``. With ``schema=None`` the header names are kept and every column is text."""
+    """Read a CSV with an explicit schema (no inference pass); a missing path raises ``FileNotFoundError``.
+
+    With a header, columns are taken by their stripped header names, whatever their order; a schema column
+    that the header lacks raises ``ValueError``. A value that does not fit its type becomes NULL
+    (:func:`cast_failures` counts them). Without a header the schema applies by position. With
+    ``schema=None`` the header names are kept and every column is text."""
     reader = spark.read.option("header", header).option("mode", "PERMISSIVE")
-    if schema is not None:
+    if schema is not None and not header:
         reader = reader.schema(schema)
     try:
-        return reader.csv(path)
+        raw = reader.csv(path)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(path) from e
         raise
+    if schema is None or not header:
+        return raw
+    text = _by_name(raw, schema)
+    return text.select(*[_cast(f).alias(f.name) for f in schema.fields])
+
+
+def _by_name(raw: DataFrame, schema: StructType) -> DataFrame:
+    names = {c.strip(): c for c in raw.columns}
+    lacking = [f.name for f in schema.fields if f.name not in names]
+    if lacking:
+        raise ValueError(f"the CSV header lacks {lacking}")
+    return raw.select(*[F.col(f"`{names[f.name]}`").alias(f.name) for f in schema.fields])
+
+
+def _cast(field: StructField):
+    c = F.col(f"`{field.name}`")
+    return c if isinstance(field.dataType, StringType) else F.trim(c).try_cast(field.dataType)
+
+
+def cast_failures(spark: SparkSession, path: str, schema: StructType = CREDIT_SCHEMA) -> DataFrame:
+    """``(column, failed)``: non-empty CSV values per typed column that do not fit the schema's type (one scan)."""
+    text = _by_name(read_csv(spark, path, None), schema)
+    typed = [f for f in schema.fields if not isinstance(f.dataType, StringType)]
+    counts = text.agg(*[F.count_if((F.trim(f"`{f.name}`") != "") & _cast(f).isNull()).alias(f.name) for f in typed])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("failed")) for f in typed])))
 
 
 def read_monitoring_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
