@@ -4,7 +4,7 @@ Every byte covered by a string of ``length`` bytes that also starts anywhere els
 included) is removed.
 
 1. Anchors. Each window of ``length`` bytes is assigned the position of the smallest hash among its substrings
-   of two fifths of that length, a choice that depends on the window's content only. Consecutive windows with the same anchor
+   of a third of that length, a choice that depends on the window's content only. Consecutive windows with the same anchor
    form one segment. Equal windows have equal anchor substrings, so only segments whose anchor substring
    occurs at least twice in the corpus can hold a repeated window; the others are done.
 2. Segments that remain are cut from the texts and equal ones are counted once with their number (map-side
@@ -41,7 +41,7 @@ GROUP_SEGMENTS = 4096
 
 def gram_for(length: int) -> int:
     """Bytes of an anchor substring: long ones are rarely shared by chance, short ones give longer segments."""
-    return max(1, length * 2 // 5)
+    return max(1, length // 3)
 
 
 _CODES = wd.mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
@@ -272,7 +272,8 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
 
     ``texts`` has h (128-bit hash of the text) and text. Texts shorter than ``length`` have none; a text that
     occurs twice is repeated as a whole, which its windows' counts show."""
-    seg = materialize(texts.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "h binary, low long, high long, key long"), "segments")
+    # read twice, for the counts and for the join: finding anchors again costs less than writing them all
+    seg = texts.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "h binary, low long, high long, key long")
     often = seg.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     # copies of a text bring the same segments once more each, which gives their number
     left = seg.join(often, "key").groupBy("h").agg(F.collect_set(F.struct("low", "high", "key")).alias("parts"), F.count("*").alias("rows"))
