@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from veritab.llm.store import materialize
 
-SUBCELL_ROWS = 20_000
+SUBCELL_ROWS = 1_000  # least size aimed at; larger tables aim at the square root of their rows
 
 
 def hilbert_index(coords: list[Column], bits: int) -> Column:
@@ -65,7 +65,9 @@ def shard_by_curve(df: DataFrame, cells: dict[str, Column], order: list[Column],
     curve = curve.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(1 << 30)))
     # few cells: 2**(bits * dimensions) at most
     sizes = curve.groupBy("__cell").agg(F.count("*").alias("__n"))
-    split = sizes.select("__cell", F.ceil(F.col("__n") / SUBCELL_ROWS).cast("int").alias("__subs"))
+    # sub-cells of about sqrt(rows) rows: the window of a sub-cell and the table of sub-cells both stay small
+    aim = F.greatest(F.lit(float(SUBCELL_ROWS)), F.sqrt(sizes.agg(F.sum("__n").cast("double")).scalar()))
+    split = sizes.select("__cell", F.ceil(F.col("__n") / aim).cast("int").alias("__subs"))
     # cells are bounded by 2**(bits * dimensions), so the table of splits can be broadcast
     rows = curve.join(F.broadcast(split) if bits * len(names) <= 14 else split, "__cell").withColumn("__sub", F.floor(F.col("__salt") * F.col("__subs") / (1 << 30)).cast("int"))
     rows = materialize(rows.drop("__subs"), "curve")
