@@ -21,7 +21,7 @@ from veritab.llm.store import materialize
 from veritab.llm.words import mix
 
 WORDS = r"[^\x20\x09-\x0D]+"
-GROUP_ROWS = 20_000
+GROUP_ROWS = 1_000  # least size aimed at; larger tables aim at the square root of their rows
 BROADCAST_SOURCES = 100_000  # tables with a row per source are broadcast up to this measured size
 
 
@@ -83,10 +83,11 @@ def _small(per_source: DataFrame, sources: int) -> DataFrame:
 def packed(docs: DataFrame, block_words: int, seed: int, sources: int) -> DataFrame:
     """Add ``first_word`` to (row, source, size): the position of each document's first word in its source's
     sequence. Documents come in a keyed pseudorandom order; a source is cut into hash groups of about
-    GROUP_ROWS documents, whose totals give the groups' first positions, so a source with a third of all
+    sqrt(rows) documents (GROUP_ROWS at least), whose totals give the groups' first positions, so a source with a third of all
     rows is spread over many tasks."""
     salt = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_hash"), F.lit(1 << 30))
-    per_source = docs.groupBy("source").agg(F.count("*").alias("rows")).select(F.col("source").alias("s"), F.ceil(F.col("rows") / GROUP_ROWS).cast("int").alias("groups"))
+    total = docs.count()
+    per_source = docs.groupBy("source").agg(F.count("*").alias("rows")).select(F.col("source").alias("s"), F.ceil(F.col("rows") / max(GROUP_ROWS, total**0.5)).cast("int").alias("groups"))
     rows = docs.withColumn("salt", salt).join(_small(per_source, sources), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rows = rows.withColumn("grp", F.floor(F.col("salt") * F.col("groups") / (1 << 30)).cast("int")).drop("groups")
     totals = rows.groupBy("source", "grp").agg(F.sum("size").alias("words"))
