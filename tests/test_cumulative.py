@@ -110,3 +110,17 @@ def test_hot_null_group_is_split_null_safely(spark):
     assert len(got) == 1240
     assert got[(None, 1199.0)] == (1200, 1200) and got[(None, 0.0)] == (1, 1200)
     assert got[("a", 39.0)] == (120, 120)
+
+
+def test_quantiles_are_bit_equal_for_any_forced_size(spark, monkeypatch):
+    import veritab.operators.cumulative as C
+
+    rng = np.random.default_rng(3)
+    df = spark.createDataFrame([(int(g), float(v)) for g, v in zip(rng.integers(0, 3, 900), rng.lognormal(size=900) * 1e5)], "g int, v double")
+    probs = [i / 37 for i in range(38)]
+    want = None
+    for limit in (1_000_000, 200, 7):
+        monkeypatch.setattr(C, "SINGLE_TASK_ROWS", limit)
+        got = {r["g"]: r["quantiles"] for r in C.exact_quantiles(df, ["g"], "v", probs).collect()}
+        want = got if want is None else want
+        assert got == want

@@ -72,7 +72,7 @@ def test_run_store_and_registry(spark, tmp_path):
     stages2 = {r["version"]: r["stage"] for r in registry_job(store, "m", n=1, at=dt.datetime(2024, 2, 1)).collect()}
     assert stages2[5] == "Production" and stages2[1] == "Archived"
     tags = store.read(H.VERSIONS).where("version = 1").first()["tags"]
-    assert tags["roc_auc"] == "0.9700" and tags["run_id"] == "r1"
+    assert tags["test_roc_auc"] == "0.9700" and tags["run_id"] == "r1"
     card = H.model_card(store.read(H.RUNS), store.read(H.PARAMS), store.read(H.METRICS), "r1").first()
     assert card["metrics"]["test_roc_auc"] == 0.97 and card["params"]["C"] == "1"
     with pytest.raises(LookupError):

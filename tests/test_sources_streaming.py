@@ -98,3 +98,18 @@ def test_scoring_runs_on_a_stream(spark, tmp_path):
     q.awaitTermination(120)
     out = spark.sql("select * from scored")
     assert out.count() == 40 and set(out.columns) == {"x", "prediction", "probability", "label_text"}
+
+
+def test_csv_columns_by_stripped_header_name(spark, tmp_path):
+    from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+
+    from veritab.sources import files
+
+    (tmp_path / "t.csv").write_text(" b , a,c\n 1.5 ,7, x\nbad,8,y\n,9,\n")
+    schema = StructType([StructField("a", LongType()), StructField("b", DoubleType()), StructField("c", StringType())])
+    rows = [tuple(r) for r in files.read_csv(spark, str(tmp_path / "t.csv"), schema).orderBy("a").collect()]
+    assert rows == [(7, 1.5, " x"), (8, None, "y"), (9, None, None)]
+    failed = {r["column"]: r["failed"] for r in files.cast_failures(spark, str(tmp_path / "t.csv"), schema).collect()}
+    assert failed == {"a": 0, "b": 1}
+    with pytest.raises(ValueError):
+        files.read_csv(spark, str(tmp_path / "t.csv"), StructType([StructField("zz", LongType())]))

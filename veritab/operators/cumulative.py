@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions.search import count_less_than, pad_sorted
 from veritab.operators.joins import join_null_safe
-from veritab.session import checkpoint_dir
+from veritab.session import require_checkpoint_dir
 
 _BOUNDS_ACCURACY = 10000
 # A group measured at or below this many (pre-aggregated) rows is ordered inside one task, a few tens
@@ -133,7 +133,8 @@ def running_totals(
     values = list(values)
     spark = df.sparkSession
     src = df.where(F.col(order).isNotNull())
-    if materialize and checkpoint_dir(spark):
+    require_checkpoint_dir(spark)
+    if materialize:
         # The input (usually pre-aggregated, far smaller than the raw table) is read by the size check
         # and again by the final plan: write it once to the shared checkpoint folder instead of
         # re-running the upstream scan and shuffle; this also cuts the lineage for task retries.

@@ -24,7 +24,7 @@ from veritab.functions.search import count_less_than, pad_sorted
 from veritab.operators.cumulative import exact_quantiles
 from veritab.operators.joins import join_null_safe
 from veritab.operators.sampling import weighted_choice
-from veritab.session import checkpoint_dir
+from veritab.session import require_checkpoint_dir
 from veritab.spec import CREDIT_SPEC, TableSpec
 
 # Thresholds, smoothing constant and report labels of the drift rules.
@@ -172,11 +172,11 @@ def _scores_by_kind(reference: DataFrame, current: DataFrame, num: Sequence[str]
     """``(by…, feature, kind, score)`` for every requested column (see :func:`drift_scores`)."""
     by = list(by)
     counts, edges = _side_counts(reference, current, list(num), list(cat), by, bins, quantile_method)
-    if checkpoint_dir(reference.sparkSession):
-        # The counts (sides × runs × features × bins/categories) are small; every score branch filters
-        # them by side, and those filters would otherwise be pushed below the aggregation, giving each
-        # branch its own scan of the inputs. Written once, the inputs are scanned once.
-        counts = counts.checkpoint(eager=True)
+    require_checkpoint_dir(reference.sparkSession)
+    # The counts (sides × runs × features × bins/categories) are small; every score branch filters
+    # them by side, and those filters would otherwise be pushed below the aggregation, giving each
+    # branch its own scan of the inputs. Written once, the inputs are scanned once.
+    counts = counts.checkpoint(eager=True)
     return _scores_from_counts(counts, edges, by, list(num), list(cat))
 
 

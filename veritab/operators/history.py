@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +45,10 @@ class RunStore:
     def read(self, name: str) -> DataFrame:
         try:
             return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
-        except Exception:  # noqa: BLE001 - nothing written yet
-            return self.spark.createDataFrame([], SCHEMAS[name])
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):  # nothing written yet
+                return self.spark.createDataFrame([], SCHEMAS[name])
+            raise
 
     def append(self, name: str, df: DataFrame) -> None:
         df.select(*[f.name for f in self.spark.createDataFrame([], SCHEMAS[name]).schema]).write.mode("append").parquet(self.path(name))
@@ -74,8 +77,12 @@ def metrics_wide(metrics: DataFrame, keys: Sequence[str]) -> DataFrame:
     return metrics.where(F.col("key").isin(*keys)).groupBy("run_id").pivot("key", list(keys)).agg(F.max("value"))
 
 
-def best_runs(runs: DataFrame, metrics: DataFrame, metric: str = "test_roc_auc", n: int = 4, status: str = STATUS_OK) -> DataFrame:
-    """Successful runs ordered by ``metric`` (best first), top ``n`` (H1). Raise when there is none."""
+def best_runs(runs: DataFrame, metrics: DataFrame, metric: str = "test_roc_auc", n: int = 4, status: str = STATUS_OK,
+              experiment: str | None = None) -> DataFrame:
+    """Successful runs (of one experiment, when named) ordered by ``metric`` (best first), top ``n`` (H1). Raise when
+    there is none."""
+    if experiment is not None:
+        runs = runs.where(F.col("experiment") == experiment)
     m = metrics.where(F.col("key") == metric).groupBy("run_id").agg(F.max("value").alias(metric))
     ok = runs.where(F.col("status") == status).join(m, "run_id")
     if ok.isEmpty():
@@ -96,12 +103,12 @@ def register_versions(versions: DataFrame, candidates: DataFrame, order: Sequenc
 
 
 def version_tags(model_type: str, roc_auc, f1, run_id, at=None):
-    """Tag map: model type, AUC and F1 to 4 places, registration time, run id (H3)."""
+    """Tag map: model type (a text or a column), test AUC and F1 to 4 places, registration time, run id (H3)."""
     at = at if at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     return F.create_map(
-        F.lit("model_type"), F.lit(model_type),
-        F.lit("roc_auc"), F.format_number(F.bround(roc_auc, 4), 4),
-        F.lit("f1"), F.format_number(F.bround(f1, 4), 4),
+        F.lit("model_type"), F.lit(model_type) if isinstance(model_type, str) else model_type,
+        F.lit("test_roc_auc"), F.format_number(F.bround(roc_auc, 4), 4),
+        F.lit("test_f1"), F.format_number(F.bround(f1, 4), 4),
         F.lit("registered_at"), at,
         F.lit("run_id"), run_id,
     )

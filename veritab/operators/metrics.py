@@ -108,6 +108,9 @@ def per_class_recall(df: DataFrame, y_true: str, y_pred: str) -> DataFrame:
     )
 
 
+BROADCAST_CLASSES = 100_000
+
+
 def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
     """``(label, n, weight)`` with weight = n_rows / (n_classes · n_class)."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
@@ -117,6 +120,7 @@ def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def add_balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Per-row balanced class weight (the class table is joined back; its size is the class count)."""
-    w = balanced_class_weights(df, label).select(label, F.col("weight").alias(out))
-    return df.join(w, label, "left")
+    """Per-row balanced class weight. The one-row-per-class table is written once and broadcast when measured
+    small, so rows are not shuffled by their class."""
+    w = balanced_class_weights(df, label).select(label, F.col("weight").alias(out)).checkpoint(eager=True)
+    return df.join(F.broadcast(w) if w.count() <= BROADCAST_CLASSES else w, label, "left")

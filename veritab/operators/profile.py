@@ -18,7 +18,7 @@ from veritab.functions.columns import known, with_known
 from veritab.functions.stats import chi2_sf, sample_excess_kurtosis, sample_skewness
 from veritab.operators.cumulative import exact_quantiles, quantiles_from_counts, value_counts_table
 from veritab.operators.joins import join_null_safe
-from veritab.session import checkpoint_dir
+from veritab.session import require_checkpoint_dir
 
 BROADCAST_GROUPS = 100_000  # a table with one row per group is broadcast up to this measured number of rows
 
@@ -85,10 +85,8 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), quantil
         F.max("value").alias("max"),
     )
     counts = value_counts_table(long, g, "value")
-    materialized = bool(checkpoint_dir(df.sparkSession))
-    if materialized:
-        counts = counts.checkpoint(eager=True)
-    q = quantiles_from_counts(counts, g, quantiles, out="_q", materialize=not materialized)
+    require_checkpoint_dir(df.sparkSession)
+    q = quantiles_from_counts(counts.checkpoint(eager=True), g, quantiles, out="_q", materialize=False)
     names = [f"p{int(round(p * 100))}" for p in quantiles]
     q = q.select(*g, *[F.element_at("_q", i + 1).alias(nm) for i, nm in enumerate(names)])
     out = join_null_safe(first, q, g, "left")
@@ -172,8 +170,8 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = 0.05, yates:
     read that small table instead of each re-running the scan.
     """
     cells = crosstab_long(df, a, b)
-    if checkpoint_dir(df.sparkSession):
-        cells = cells.checkpoint(eager=True)
+    require_checkpoint_dir(df.sparkSession)
+    cells = cells.checkpoint(eager=True)
     rows = cells.groupBy(a).agg(F.sum("count").alias("_rt"))
     cols = cells.groupBy(b).agg(F.sum("count").alias("_ct"))
     n = cells.select(F.sum("count")).scalar()

@@ -5,6 +5,7 @@ from veritab.plans import (  # noqa: F401
     catalog_features,
     catalog_history,
     catalog_jobs,
+    catalog_missing,
     catalog_ml,
     catalog_profile,
     catalog_quality,

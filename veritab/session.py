@@ -62,6 +62,14 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str | No
     return None
 
 
+def require_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder; operators that write intermediate tables fail without one."""
+    current = checkpoint_dir(spark)
+    if not current:
+        raise RuntimeError("spark.checkpoint.dir is not set; this operator writes intermediate tables to a shared folder")
+    return current
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

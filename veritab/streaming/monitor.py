@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veritab.operators import validate as V
 from veritab.operators.drift import MISSING_CATEGORY
 from veritab.functions.columns import strip
-from veritab.session import checkpoint_dir
+from veritab.session import require_checkpoint_dir
 
 
 def validated_stream(stream: DataFrame, rules: Sequence[V.Rule] = V.CREDIT_REQUEST_RULES) -> DataFrame:
@@ -75,10 +75,10 @@ def write_window_drift(stream: DataFrame, ts_col: str, cols: Sequence[str], refe
     appended to ``out_path``. Window state is kept by the streaming aggregation and dropped after the
     watermark passes; each micro-batch holds only the windows that closed in it."""
     counts = windowed_category_counts(stream, ts_col, cols, window, watermark)
-    if checkpoint_dir(reference_shares.sparkSession):
-        # Small (features × categories) but derived from the whole reference table: written once to the
-        # shared folder so that micro-batches do not rescan the reference.
-        reference_shares = reference_shares.checkpoint(eager=True)
+    require_checkpoint_dir(reference_shares.sparkSession)
+    # Small (features × categories) but derived from the whole reference table: written once to the
+    # shared folder so that micro-batches do not rescan the reference.
+    reference_shares = reference_shares.checkpoint(eager=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         window_tvd(batch, reference_shares, threshold).write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
