@@ -125,7 +125,25 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.smallest_of_class(rows).select("doc_id", "n_shingles", "component_id")
 
 
-@_register("op10_wu_manber_decontamination")
+_WORDS10 = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_OP10_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS10} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS10} AS w FROM benchmark),
+k AS (SELECT item_id, w, least(10, len(w)) AS m, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS j FROM b WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, m, array_to_string(w[j:j + m - 1], ' ') AS g FROM k),
+n AS (SELECT DISTINCT m FROM p),
+x AS (SELECT r, m, unnest(range(1, len(w) - m + 2)) AS i, w FROM d, n WHERE len(w) >= m),
+h AS (SELECT x.r, x.i, x.m, p.item_id FROM x JOIN p ON p.m = x.m AND p.g = array_to_string(x.w[x.i:x.i + x.m - 1], ' ')),
+c AS (SELECT r, count(DISTINCT pos) AS n FROM (SELECT r, unnest(range(i, i + m)) AS pos FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT r, item_id FROM h) GROUP BY r)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(c.n, 0)::BIGINT AS n_hit, coalesce(t.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(t.ids, '')) AS items_sha256, coalesce(c.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN c ON d.r = c.r LEFT JOIN t ON d.r = t.r
+"""
+
+
+@_register("op10_wu_manber_decontamination", _OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return wumanber.digest(wumanber.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"]))
