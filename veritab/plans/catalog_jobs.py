@@ -83,7 +83,8 @@ def m7_cv_metrics_orders(spark, sf):
 
     train, _ = _split(spark, sf)
     folded = stratified_folds(train, ML.LABEL, KEYS, ML.CV_FOLDS, ML.RANDOM_STATE, exact=True)
-    n = train.count()
+    folded = folded.checkpoint(eager=True)  # every fold's fit and metrics read it
+    n = folded.count()
     pipe = ML.model_pipeline(ML.make_estimator("logistic_regression", ML.LOGISTIC_REGRESSION_PARAMS, n), NUMERIC, CATEGORICAL, n)
     return ML.cross_validate_metrics(pipe, folded, ML.CV_FOLDS)
 
