@@ -19,9 +19,10 @@ def _digest(edges: DataFrame) -> tuple[int, int]:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    # repeated edges may come out; the small star that follows drops them
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    return both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    return both.where(F.col("b") > F.col("a")).join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
