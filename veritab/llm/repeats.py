@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.llm import words as wd
-from veritab.llm.store import materialize
+from veritab.llm.store import materialize, release_finished
 
 CHUNK = 1 << 20
 BATCH_BYTES = 1 << 18
@@ -267,6 +267,19 @@ def _hot_windows(length: int):
     return run
 
 
+def _indexed(segments: DataFrame, length: int) -> DataFrame:
+    """Marks of the segments by the run-length index, whole anchor groups together."""
+    return segments.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_index(length), "key long, sid binary, runs array<struct<a:long,b:long>>")
+
+
+def _counted(segments: DataFrame, length: int) -> DataFrame:
+    """Marks of crowded groups by window counts."""
+    windows = segments.mapInArrow(_hot_windows(length), "key long, sid binary, o long, w1 long, w2 long, n long")
+    twice = windows.groupBy("key", "w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("key", "w1", "w2")
+    found = windows.drop("n").join(twice, ["key", "w1", "w2"]).groupBy("key", "sid")
+    return found.agg(F.transform(F.array_sort(F.collect_set("o")), lambda o: F.struct(o.alias("a"), o.alias("b"))).alias("runs"))
+
+
 def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
     """(h, spans) for every different text with a repeated string: maximal byte runs [a, b) to remove.
 
@@ -282,14 +295,16 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
     cut = per_text.join(one_text, "h").select("h", "copies", F.col("text").cast("binary").alias("raw"), F.explode("parts").alias("p"))
     cut = cut.select("h", "copies", F.col("p.low").alias("low"), F.col("p.key").alias("key"), F.expr(f"substring(raw, int(p.low) + 1, int(p.high - p.low) + {length})").alias("s"))
     cut = materialize(cut.withColumn("sid", F.unhex(F.md5("s"))), "cut")
+    release_finished(texts.sparkSession)
     distinct = cut.groupBy("key", "sid", "s").agg(F.sum("copies").alias("n"))
-    crowd = distinct.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > GROUP_SEGMENTS).select("key")
-    calm = distinct.join(crowd, "key", "left_anti")
-    marks = calm.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_index(length), "key long, sid binary, runs array<struct<a:long,b:long>>")
-    windows = distinct.join(crowd, "key").mapInArrow(_hot_windows(length), "key long, sid binary, o long, w1 long, w2 long, n long")
-    twice = windows.groupBy("key", "w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("key", "w1", "w2")
-    hot = windows.drop("n").join(twice, ["key", "w1", "w2"]).groupBy("key", "sid").agg(F.transform(F.array_sort(F.collect_set("o")), lambda o: F.struct(o.alias("a"), o.alias("b"))).alias("runs"))
-    spans = cut.select("h", "low", "key", "sid").join(marks.unionByName(hot), ["key", "sid"])
+    # the crowded groups are found without their strings; most corpora have none
+    crowd = cut.select("key", "sid").distinct().groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > GROUP_SEGMENTS).select("key")
+    crowd = materialize(crowd, "crowded")
+    if crowd.isEmpty():
+        marks = _indexed(distinct, length)
+    else:
+        marks = _indexed(distinct.join(crowd, "key", "left_anti"), length).unionByName(_counted(distinct.join(crowd, "key"), length))
+    spans = cut.select("h", "low", "key", "sid").join(marks, ["key", "sid"])
     spans = spans.select("h", F.transform("runs", lambda r: F.struct((F.col("low") + r["a"]).alias("a"), (F.col("low") + r["b"] + length).alias("b"))).alias("s"))
     return spans.groupBy("h").agg(F.flatten(F.collect_list("s")).alias("spans"))
 
