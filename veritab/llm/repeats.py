@@ -306,7 +306,9 @@ def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
         marks = _indexed(distinct.join(crowd, "key", "left_anti"), length).unionByName(_counted(distinct.join(crowd, "key"), length))
     spans = cut.select("h", "low", "key", "sid").join(marks, ["key", "sid"])
     spans = spans.select("h", F.transform("runs", lambda r: F.struct((F.col("low") + r["a"]).alias("a"), (F.col("low") + r["b"] + length).alias("b"))).alias("s"))
-    return spans.groupBy("h").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    spans = materialize(spans.groupBy("h").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    release_finished(texts.sparkSession)
+    return spans
 
 
 def merge(spans) -> list[tuple[int, int]]:
