@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from veritab.llm import quality
 
@@ -69,3 +70,29 @@ def test_edges(spark):
     assert quality.grade_documents(empty, df, labels, ["doc_id"]).count() == 0
     with pytest.raises(ValueError):
         quality.grade_documents(df.withColumnRenamed("lang", "tails"), df, labels, ["tails"])
+
+
+def _graded(spark, grades):
+    docs = frame(spark, [f"w{i} some words {i % 7}" for i in range(len(grades))])
+    return docs, spark.createDataFrame(list(enumerate(grades)), "doc_id long, grade int")
+
+
+def test_sample_takes_every_row_of_a_rare_grade(spark):
+    docs, labels = _graded(spark, [0 if i % 100 == 0 else 2 for i in range(1000)])
+    rows = quality.labelled_sample(docs, labels, F.col("grade"), 100).collect()
+    assert sum(r["grade"] == 0 for r in rows) == 10 and 60 < len(rows) < 130
+    assert quality.quotas({0: 10, 1: 400, 2: 590}, 100) == {0: 10, 1: 45, 2: 45}
+
+
+def test_thinning_to_nothing_fails(spark):
+    docs, labels = _graded(spark, [i % 3 for i in range(30)])
+    with pytest.raises(RuntimeError):
+        quality.train(docs, labels, F.col("grade"), 3, sample_features=1)
+
+
+def test_features_of_the_executors_give_the_same_fit(spark):
+    texts, grades = _data(200)
+    docs, labels = frame(spark, texts), spark.createDataFrame(list(enumerate(grades.tolist())), "doc_id long, grade int")
+    a, b = quality.train(docs, labels, F.col("grade"), 3), quality.fit(pa.array(texts), grades, 3)
+    scores = lambda m: m.tails(np.concatenate([m.scores(s, o, int(o.max()) + 1) for _, s, o in quality.features(pa.array(texts))]))
+    assert ((scores(a) > 0.5) == (scores(b) > 0.5)).mean() > 0.98

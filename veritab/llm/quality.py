@@ -9,8 +9,9 @@ describe the text's shape in steps (share of words without letters, of words equ
 repeated lines and words, of words with several marks, and the length). A text of any length is read whole. The weights have an L1
 penalty, so words that carry no signal stay at zero and long clean texts do not collect noise.
 
-The model is fitted on at most ``sample_rows`` labelled rows (smallest key hashes first); labels need not cover
-the corpus. Scoring reads every text once, without a shuffle.
+The model is fitted on about ``sample_rows`` labelled rows, an equal number of every grade as far as there are so
+many (smallest key hashes first); labels need not cover the corpus. Their features are found by the executors; no
+text comes to the driver. Scoring reads every text once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from veritab.llm import words as wd
 from veritab.llm.store import materialize
 
 BITS = 44  # hashed feature space; the model holds the few slots with a weight, so collisions do not matter
-SAMPLE_ROWS = 8_000
-SAMPLE_BYTES = 20 << 20
+SAMPLE_ROWS = 12_000
+SAMPLE_FEATURES = 8_000_000  # feature slots (8 bytes each) that the driver takes at once
 
 
 @dataclass
@@ -163,16 +164,22 @@ def fit(texts: pa.Array, grades: np.ndarray, levels: int, bits: int = BITS, epoc
 
     Words of fewer than ``min_rows`` labelled rows get no weight, nor do words whose first weight stays below
     ``relevant``: thousands of tiny weights would add up to noise in long texts."""
-    n = len(grades)
-    slots, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+    slots, owners = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for first, s, o in features(texts, bits):
         by_row = np.argsort(o, kind="stable")  # pieces come in row order
         slots.append(s[by_row])
-        owners.append((o[by_row] + first).astype(np.int32))
-    owner = np.concatenate(owners)
-    names, slot, rows = np.unique(np.concatenate(slots), return_inverse=True, return_counts=True)
+        owners.append(o[by_row] + first)
+    lens = np.bincount(np.concatenate(owners), minlength=len(grades))
+    return fit_slots(np.concatenate(slots), lens, grades, levels, bits, epochs, rate, l1, batch, seed, min_rows, relevant)
+
+
+def fit_slots(slots: np.ndarray, lens: np.ndarray, grades: np.ndarray, levels: int, bits: int = BITS, epochs: int = 30, rate: float = 0.5, l1: float = 1e-3, batch: int = 512, seed: int = 5, min_rows: int = 4, relevant: float = 0.3) -> OrdinalModel:
+    """``fit`` on feature slots, row after row, ``lens`` of them in each row."""
+    n = len(grades)
+    owner = np.repeat(np.arange(n, dtype=np.int32), lens)
+    names, slot, rows = np.unique(slots, return_inverse=True, return_counts=True)
     slot = slot.astype(np.int32)
-    del slots, owners
+    del slots
     shape = names >= 1 << bits
     wanted = (rows >= min_rows) | shape
     batch = min(batch, max(16, n // 32))
@@ -187,30 +194,69 @@ def fit(texts: pa.Array, grades: np.ndarray, levels: int, bits: int = BITS, epoc
     return OrdinalModel(names[held], w[held], t, bits)
 
 
+def quotas(present: dict[int, int], rows: int) -> dict[int, int]:
+    """Rows to take of every grade: equal shares of ``rows``; what a rare grade does not have, the others get."""
+    out, left = {}, rows
+    for i, (g, n) in enumerate(sorted(present.items(), key=lambda p: (p[1], p[0]))):
+        out[g] = min(n, left // (len(present) - i))
+        left -= out[g]
+    return out
+
+
+def _thinned(rows: DataFrame, key: Column, share: dict[int, float]) -> DataFrame:
+    """The smallest key hashes of every grade, up to the grade's share."""
+    limit = F.create_map(*[F.lit(x) for g, part in share.items() for x in (g, int((1 << 30) * part))])
+    return rows.where(F.pmod(key, F.lit(1 << 30)) < limit[F.col("grade")])
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, grade: Column, sample_rows: int = SAMPLE_ROWS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(text, grade) of about ``sample_rows`` labelled rows, by key hash; null keys and grades are left out.
+    """(text, grade) of about ``sample_rows`` labelled rows, stratified by grade and chosen by key hash; null keys and
+    grades are left out, as are labels without a document.
 
     The sample's keys are bounded, so they are broadcast to the documents."""
     rated = labels.select(F.col(key).alias("__k"), grade.cast("int").alias("grade")).where("__k IS NOT NULL AND grade IS NOT NULL")
-    total = rated.count()
-    if total > sample_rows:
-        rated = rated.where(F.pmod(F.xxhash64("__k"), F.lit(1 << 30)) < int((1 << 30) * (sample_rows / total)))
-    rated = rated.groupBy("__k").agg(F.max("grade").alias("grade"))
+    rated = rated.groupBy("__k").agg(F.max("grade").alias("grade")).join(docs.select(F.col(key).alias("__k")), "__k", "left_semi")
+    rated = materialize(rated, "rated")
+    present = {r["grade"]: r["n"] for r in rated.groupBy("grade").agg(F.count("*").alias("n")).collect()}  # a row per grade
+    if sum(present.values()) > sample_rows:
+        rated = _thinned(rated, F.xxhash64("__k"), {g: n / present[g] for g, n in quotas(present, sample_rows).items()})
     return docs.select(F.col(key).alias("__k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(rated), "__k").select("text", "grade")
 
 
-def train(docs: DataFrame, labels: DataFrame, grade: Column, levels: int, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES, text: str = "text", key: str = "doc_id", **settings) -> OrdinalModel | None:
-    """Fit on the bounded labelled sample (rows and bytes); None when no labelled row has a text.
+def _slots(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found, lens = [np.zeros(0, np.int64)], np.zeros(b.num_rows, dtype=np.int64)
+            for first, s, o in features(b.column("text"), bits):
+                found.append(s[np.argsort(o, kind="stable")])
+                lens += np.bincount(o + first, minlength=b.num_rows)
+            offsets = pa.array(np.concatenate(([0], np.cumsum(lens))), pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column("grade"), b.column("mark"), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found)))], names=["grade", "mark", "slots"])
+
+    return run
+
 
-    Whole texts are used; a sample beyond ``sample_bytes`` is thinned by rows, never cut inside a text."""
-    sample = materialize(labelled_sample(docs, labels, grade, sample_rows, text, key), "labelled")
-    held = sample.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).first()["b"]
-    if held > sample_bytes:
-        sample = sample.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int((1 << 30) * (sample_bytes / held)))
-    table = sample.toArrow().sort_by([("grade", "ascending"), ("text", "ascending")])
-    if table.num_rows == 0:
+def train(docs: DataFrame, labels: DataFrame, grade: Column, levels: int, sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES, text: str = "text", key: str = "doc_id", bits: int = BITS, **settings) -> OrdinalModel | None:
+    """Fit on the bounded labelled sample; None when no labelled row has a document.
+
+    Whole texts are used; a sample beyond ``sample_features`` slots is thinned by rows, the same part of every
+    grade, never cut inside a text. Fails when a bound leaves no row of a grade that has labelled rows."""
+    sample = labelled_sample(docs, labels, grade, sample_rows, text, key).withColumn("mark", F.xxhash64("text"))
+    sample = materialize(sample.mapInArrow(_slots(bits), "grade int, mark long, slots array<bigint>"), "labelled")
+    held = sample.groupBy("grade").agg(F.sum(F.size("slots")).alias("n")).collect()  # a row per grade
+    total = sum(r["n"] for r in held)
+    if total > sample_features:
+        sample = _thinned(sample, F.col("mark"), {r["grade"]: sample_features / total for r in held})
+    table = sample.toArrow().sort_by([("grade", "ascending"), ("mark", "ascending")])
+    grades = table.column("grade").to_numpy().astype(np.int64)
+    rated = labels.select(grade.cast("int").alias("grade"), F.col(key).alias("__k")).where("__k IS NOT NULL AND grade IS NOT NULL")
+    if table.num_rows == 0 and not held and rated.join(docs.select(F.col(key).alias("__k")), "__k", "left_semi").isEmpty():
         return None
-    return fit(table.column("text").combine_chunks(), table.column("grade").to_numpy().astype(np.int64), levels, **settings)
+    if not held or {r["grade"] for r in held} - set(grades.tolist()):
+        raise RuntimeError(f"sample_rows={sample_rows} and sample_features={sample_features} leave no row of a labelled grade; raise them")
+    slots = table.column("slots").combine_chunks()
+    lens = np.diff(slots.offsets.to_numpy())
+    return fit_slots(slots.flatten().to_numpy(), lens, grades, levels, bits, **settings)
 
 
 def _score(model: OrdinalModel, keep: list[str], text: str):
