@@ -88,3 +88,22 @@ def test_edges(spark):
     assert jaccard.jaccard_classes(spark.createDataFrame([], DOCS), ["doc_id"]).count() == 0
     with pytest.raises(ValueError):
         jaccard.jaccard_classes(frame(spark, ["a"]).withColumnRenamed("lang", "class"), ["class"])
+
+
+def brute_links(texts, k=4, percent=85):
+    sets = []
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", lower(t))
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set()))
+    near = lambda a, b: bool(a & b) and 100 * len(a & b) >= percent * len(a | b)
+    return {i: sum(near(a, b) for j, b in enumerate(sets) if i != j) for i, a in enumerate(sets)}
+
+
+@pytest.mark.parametrize("block", [2048, 3])
+def test_every_link_is_counted(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK_MEMBERS", block)
+    monkeypatch.setattr(jaccard, "LEAF_MEMBERS", 2)
+    texts = copies(5) + some_texts()
+    texts += texts[:9]
+    got = {r["doc_id"]: r["links"] for r in jaccard.jaccard_classes(frame(spark, texts), ["doc_id"]).collect()}
+    assert got == brute_links(texts) and max(got.values()) > 2

@@ -10,11 +10,13 @@
 3. Inside a cluster a signature tree is built: members are ordered by size, leaves hold a few members, and
    every node holds the OR of its members' token bitmaps, the range of their set sizes and the largest number
    of tokens that share a bit. A dual traversal walks pairs of nodes and drops a pair when the sizes cannot
-   match or the largest possible overlap is too small, and skips a pair whose members are already connected.
-   Pairs of leaves that remain are compared by exact set intersection.
+   match or the largest possible overlap is too small. Pairs of leaves that remain are compared by exact set
+   intersection, also where their members are connected already, so every link is found. A task gives each
+   member's number of links, weighted by the copies of the other set, not the pairs: their number would grow
+   with the square of a group.
    A cluster beyond BLOCK_MEMBERS or BLOCK_TOKENS is cut by size class and hash into blocks, and every pair of
    blocks whose sizes can match is one task of its own; blocks are all compared, none is skipped.
-4. Components of the accepted links give the classes.
+4. Components of the accepted links give the classes; the tasks' link counts add up to a row's ``links``.
 """
 
 from __future__ import annotations
@@ -121,7 +123,7 @@ class Union:
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
         for x, y in zip(a.tolist(), b.tolist()):
             p, q = self.label[x], self.label[y]
-            if p != q:
+            if p != q:  # few: callers leave out pairs that were connected before
                 self.label[self.label == max(p, q)] = min(p, q)
 
 
@@ -206,18 +208,22 @@ class SignatureTree:
         return out.T
 
     def connect(self, percent: int, cross: np.ndarray | None = None) -> np.ndarray:
-        """Component label of every set under links of Jaccard similarity >= percent/100.
+        """Component label of every set under links of Jaccard similarity >= percent/100."""
+        return self.links(percent, cross)[0]
 
-        With ``cross`` (a side per set) only sets of different sides need comparing."""
+    def links(self, percent: int, cross: np.ndarray | None = None, copies: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(component label, links) of every set under links of Jaccard similarity >= percent/100; a link counts as
+        often as the other set has ``copies`` (1 each when not given).
+
+        With ``cross`` (a side per set) only sets of different sides are linked."""
         union = Union(len(self.sizes))
+        copies = np.ones(len(self.sizes), dtype=np.int64) if copies is None else copies
+        number = np.zeros(len(self.sizes), dtype=np.int64)
         todo = [(self.root, self.root)] if self.root else []
         while todo:
             a, b = todo.pop()
             if a is not b and not self.possible(a, b, percent):
                 continue
-            la, lb = union.label[self.order[a.low : a.high]], union.label[self.order[b.low : b.high]]
-            if la[0] == lb[0] and (la == la[0]).all() and (lb == la[0]).all():
-                continue
             if a.children or b.children:
                 left, right = a.children or [a], b.children or [b]
                 if a is b:
@@ -233,59 +239,64 @@ class SignatureTree:
                 link &= cross[ma][:, None] != cross[mb][None, :]
             if a is b:
                 link = np.triu(link, 1)
-            i, j = np.nonzero(link)
+            number[ma] += link @ copies[mb]
+            number[mb] += copies[ma] @ link
+            i, j = np.nonzero(link & (union.label[ma][:, None] != union.label[mb][None, :]))
             union.join(ma[i], mb[j])
-        return union.label
+        return union.label, number
 
 
 def _connect(percent: int):
-    """Rows (task, side, fp, tokens) sorted by task: links (member, smallest connected member) of every task."""
+    """Rows (task, side, fp, copies, tokens) sorted by task: (member, smallest connected member, links) of every
+    member with links in a task. No pair of members is compared in two tasks, so a member's links add up."""
 
-    def solve(prints: list[bytes], sides: list[int], sets: list[bytes]) -> tuple[list[bytes], list[bytes]]:
-        members = {p: (s, t) for p, s, t in zip(prints, sides, sets)}  # a repeated row counts once
+    def solve(prints: list[bytes], sides: list[int], copies: list[int], sets: list[bytes]) -> tuple[list[bytes], list[bytes], list[int]]:
+        members = {p: r for p, *r in zip(prints, sides, copies, sets)}  # a repeated row counts once
         if len(members) < 2:
-            return [], []
+            return [], [], []
         names = list(members)
-        tokens = np.frombuffer(b"".join(t for _, t in members.values()), dtype=np.uint64)
-        sizes = np.array([len(t) // 8 for _, t in members.values()], dtype=np.int64)
+        tokens = np.frombuffer(b"".join(t for _, _, t in members.values()), dtype=np.uint64)
+        sizes = np.array([len(t) // 8 for _, _, t in members.values()], dtype=np.int64)
         first = np.concatenate(([0], np.cumsum(sizes)))
         _, ids = np.unique(tokens, return_inverse=True)
         lead = ids[np.minimum(first[:-1], len(ids) - 1)]
         tree = SignatureTree(ids, first, np.lexsort((lead, sizes)))
-        side = np.array([s for s, _ in members.values()])
-        label = tree.connect(percent, side if len(set(side.tolist())) > 1 else None)
-        linked = np.flatnonzero(label != np.arange(len(label)))
-        return [names[i] for i in linked], [names[label[i]] for i in linked]
+        side = np.array([s for s, _, _ in members.values()])
+        # sides 1 and 2 are two blocks, also when the other one has no member: pairs inside a block have their own task
+        label, number = tree.links(percent, side if side.any() else None, np.array([n for _, n, _ in members.values()], dtype=np.int64))
+        linked = np.flatnonzero(number)
+        return [names[i] for i in linked], [names[label[i]] for i in linked], number[linked].tolist()
+
+    def found(a: list[bytes], b: list[bytes], n: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], names=["a", "b", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, prints, sides, sets = None, [], [], []
-        a, b = [], []
+        last, held = None, ([], [], [], [])
+        out = ([], [], [])
         for batch in batches:
             t = batch.to_pydict()
-            for task, side, fp, tokens in zip(t["task"], t["side"], t["fp"], t["tokens"]):
+            for task, *row in zip(t["task"], t["side"], t["copies"], t["tokens"], t["fp"]):
                 if task != last:
-                    x, y = solve(prints, sides, sets)
-                    a, b = a + x, b + y
-                    last, prints, sides, sets = task, [], [], []
-                prints.append(fp)
-                sides.append(side)
-                sets.append(tokens)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
-            a, b = [], []
-        x, y = solve(prints, sides, sets)
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()), pa.array(y, pa.binary())], names=["a", "b"])
+                    for all_, new in zip(out, solve(held[3], *held[:3])):
+                        all_ += new
+                    last, held = task, ([], [], [], [])
+                for column, value in zip(held, row):
+                    column.append(value)
+            yield found(*out)
+            out = ([], [], [])
+        yield found(*solve(held[3], *held[:3]))
 
     return run
 
 
 def _tasks(members: DataFrame, percent: int) -> DataFrame:
-    """(task, side, fp): members of every comparison task of every candidate cluster.
+    """(task, side, fp, copies): members of every comparison task of every candidate cluster.
 
     A cluster within the block limits is one task. A larger one is cut by size class (sets whose sizes can
     match are in the same or in neighbouring classes) and hash, and every pair of blocks is a task."""
     whole = members.groupBy("cluster").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("held"))
     small = (F.col("docs") <= BLOCK_MEMBERS) & (F.col("held") <= BLOCK_TOKENS)
-    one = members.join(whole.where(small).select("cluster"), "cluster").select(F.hex("cluster").alias("task"), F.lit(0).alias("side"), "fp")
+    one = members.join(whole.where(small).select("cluster"), "cluster").select(F.hex("cluster").alias("task"), F.lit(0).alias("side"), "fp", "copies")
     width = math.log(100 / percent) * 1.0001 if percent < 100 else 1e-9
     big = members.join(whole.where(~small).select("cluster"), "cluster").withColumn("cls", F.floor(F.log("n_shingles") / width).cast("long"))
     per = big.groupBy("cluster", "cls").agg(F.count("*").alias("docs"), F.sum("n_shingles").alias("held"))
@@ -304,18 +315,19 @@ def _tasks(members: DataFrame, percent: int) -> DataFrame:
     same = F.transform(upto(F.col("k")), lambda j: pair(name(cls, F.least(s, j), cls, F.greatest(s, j)), F.when(j == s, 0).when(s < j, 1).otherwise(2)))
     up = F.transform(upto(F.col("above")), lambda j: pair(name(cls, s, cls + 1, j), 1))
     down = F.transform(upto(F.col("below")), lambda j: pair(name(cls - 1, j, cls, s), 2))
-    many = placed.select("fp", F.explode(F.concat(same, up, down)).alias("t")).select("t.task", "t.side", "fp")
+    many = placed.select("fp", "copies", F.explode(F.concat(same, up, down)).alias("t")).select("t.task", "t.side", "fp", "copies")
     return one.unionByName(many)
 
 
 def jaccard_classes(docs: DataFrame, keep: list[str], shingle: int = 4, percent: int = 85, text: str = "text") -> DataFrame:
-    """``keep`` columns of every row with n_shingles (set size), fp (fingerprint of the set, null when empty) and
-    class (the smallest fingerprint reachable by links of Jaccard similarity >= percent/100; null when empty).
+    """``keep`` columns of every row with n_shingles (set size), fp (fingerprint of the set, null when empty),
+    class (the smallest fingerprint reachable by links of Jaccard similarity >= percent/100; null when empty) and
+    links (the number of other rows whose set has that similarity to the row's, rows with an equal set included).
 
     Words are runs of non-space bytes with A-Z lower-cased. A text with fewer than ``shingle`` words is one
     shingle; null and empty texts have an empty set and are linked with nothing. Rows with equal sets are in
     one class. Repeated rows stay. Extra columns are ignored."""
-    clash = {"n_shingles", "fp", "class"} & set(keep)
+    clash = {"n_shingles", "fp", "class", "links"} & set(keep)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are made by this operator")
     bands = bands_for(percent / 100)
@@ -325,20 +337,24 @@ def jaccard_classes(docs: DataFrame, keep: list[str], shingle: int = 4, percent:
     names = [*keep, "__key"]
     sketched = materialize(src.mapInArrow(_sketch(names, shingle, bands, BAND_ROWS), f"{types}, n_shingles long, fp binary, bands array<bigint>"), "sketch")
     # one member per set: the row with the smallest key stands for it
-    member = materialize(sketched.where("fp IS NOT NULL").groupBy("fp").agg(F.min("__key").alias("__key"), F.max("n_shingles").alias("n_shingles")), "members")
+    member = materialize(sketched.where("fp IS NOT NULL").groupBy("fp").agg(F.min("__key").alias("__key"), F.max("n_shingles").alias("n_shingles"), F.count("*").alias("copies")), "members")
     # candidate clusters only group work, so 64 bits name a member here; two members of one name share a cluster
     short = F.xxhash64("fp")
     cells = sketched.join(member.select("fp", "__key"), ["fp", "__key"], "left_semi").select(short.alias("id"), F.explode("bands").alias("key"))
     met = cells.groupBy("key").agg(F.min("id").alias("root"), F.max("id").alias("last")).where("root <> last")
     edges = cells.join(met.select("key", "root"), "key").where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
-    clusters = materialize(connected_components(edges).join(member.withColumn("id", short), "id").select("fp", "__key", "n_shingles", F.col("root").alias("cluster")), "clusters")
+    clusters = materialize(connected_components(edges).join(member.withColumn("id", short), "id").select("fp", "__key", "n_shingles", "copies", F.col("root").alias("cluster")), "clusters")
     # a shuffle join at every size: the members of clusters grow with the corpus, so they are never broadcast
     texts = src.select("__key", "__text").join(clusters.select("__key", "fp").hint("merge"), "__key")
     sets = texts.select("fp", "__text").mapInArrow(_sets(shingle), "fp binary, tokens binary")
-    work = _tasks(clusters, percent).join(sets, "fp").select("task", "side", "fp", "tokens")
-    links = work.repartition("task").sortWithinPartitions("task").mapInArrow(_connect(percent), "a binary, b binary")
-    classes = connected_components(links).withColumnRenamed("id", "fp")
-    return sketched.select(*keep, "n_shingles", "fp").join(classes, "fp", "left").select(*keep, "n_shingles", "fp", F.coalesce("root", "fp").alias("class"))
+    work = _tasks(clusters, percent).join(sets, "fp").select("task", "side", "fp", "copies", "tokens")
+    links = materialize(work.repartition("task").sortWithinPartitions("task").mapInArrow(_connect(percent), "a binary, b binary, n long"), "links")
+    number = links.groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("others"))
+    classes = connected_components(links.select("a", "b")).withColumnRenamed("id", "fp")
+    of_set = member.select("fp", "copies").join(classes, "fp", "left").join(number, "fp", "left")
+    of_set = of_set.select("fp", "root", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("links"))
+    out = sketched.select(*keep, "n_shingles", "fp").join(of_set, "fp", "left")
+    return out.select(*keep, "n_shingles", "fp", F.coalesce("root", "fp").alias("class"), F.coalesce("links", F.lit(0)).cast("long").alias("links"))
 
 
 def smallest_of_class(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
