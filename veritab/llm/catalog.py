@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import chat, hilbert, jaccard, licenses, mixing, quality, repeats, urls, vptree, wumanber
+from veritab.llm import chat, hilbert, jaccard, licenses, mixing, quality, repeats, sketching, urls, vptree, wumanber
 from veritab.plans.registry import table
 
 QUERIES = {}
@@ -147,3 +147,24 @@ FROM d LEFT JOIN c ON d.r = c.r LEFT JOIN t ON d.r = t.r
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return wumanber.digest(wumanber.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, keep=["doc_id"]))
+
+
+_OP13_SQL = f"""
+WITH RECURSIVE w AS (SELECT doc_id, coalesce({_WORDS9}, []) AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i+2], ' '))) END AS s FROM w),
+x AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS shared FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id
+  AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n) GROUP BY ALL),
+e AS (SELECT a, b FROM p WHERE 100 * shared >= 85 * (na + nb - shared)),
+l AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT s.doc_id, len(s)::BIGINT AS n_shingles, m.component_id, s.doc_id = m.component_id AS kept
+FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON s.doc_id = m.a
+"""
+
+
+@_register("op13_fast_sketch_dedup", _OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sketching.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, percent=85)
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

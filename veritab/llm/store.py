@@ -34,3 +34,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """:func:`materialize` with the folder, for a step that calls :func:`drop_table` when the table is used up."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table of :func:`write_table` that no later step reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
