@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veritab.llm import chat, hilbert, jaccard, licenses, mixing, quality, repeats, sketching, urls, vptree, wumanber
+from veritab.llm import audit, chat, hilbert, jaccard, licenses, mixing, phrases, quality, repeats, sketching, urls, vptree, wumanber
 from veritab.plans.registry import table
 
 QUERIES = {}
@@ -168,3 +168,54 @@ FROM s JOIN (SELECT a, min(b) AS component_id FROM r GROUP BY a) m ON s.doc_id =
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sketching.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, percent=85)
     return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+_OP11_SQL = r"""
+WITH RECURSIVE letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (SELECT '' AS o UNION ALL SELECT o || f FROM orders, letters WHERE NOT contains(o, f)),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+  min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT d.part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic,
+  CASE WHEN len(w) < 100 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN d.doc_id > least THEN 'E' ELSE '' END AS fails
+  FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+g AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+s AS (SELECT g.*, o AS filter_order, step, substr(o, step, 1) AS f,
+  coalesce(list_min(list_filter([strpos(o, x) FOR x IN string_split(fails, '')], lambda p: p > 0 AND fails <> '')), 6) AS gone
+  FROM g, (SELECT o, unnest(range(1, 6)) AS step FROM orders WHERE len(o) = 5)),
+r AS (SELECT part, filter_order, step::INT AS step, f, coalesce(sum(n) FILTER (gone > step), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (gone = step), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (contains(fails, f) AND gone < step), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (gone = step), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (gone = step), 0)::BIGINT AS toxic_lost FROM s GROUP BY ALL)
+SELECT * EXCLUDE (f), sum(removed) OVER (PARTITION BY part, f)::BIGINT AS shapley FROM r
+"""
+
+
+@_register("op11_filter_audit", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+  string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(p), '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase FROM p, (SELECT unnest([1, 2, 3]) AS k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+b AS (SELECT lang, part, max(a) AS longer FROM (SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS part, a FROM c WHERE k = 3) GROUP BY ALL),
+q AS (SELECT c.* FROM c LEFT JOIN b ON c.k = 2 AND b.lang = c.lang AND b.part = c.phrase WHERE b.longer IS NULL OR 100 * b.longer < 50 * c.a),
+t AS (SELECT q.lang, phrase, a, cut, array_to_string(w[1:cut], ' ') AS lp, array_to_string(w[cut + 1:], ' ') AS rp FROM q, (SELECT unnest([1, 2]) AS cut) WHERE cut < k),
+s AS (SELECT t.lang, t.phrase, t.a, cut, fl.a AS l, fr.a AS r, ((1000000::HUGEINT * t.a * t.a) // (fl.a::HUGEINT * fr.a))::BIGINT AS score
+  FROM t JOIN f fl ON fl.lang = t.lang AND fl.phrase = lp JOIN f fr ON fr.lang = t.lang AND fr.phrase = rp),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+r AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM m)
+SELECT r.lang, rank::INTEGER AS rank, phrase, a, l, r, n, score FROM r JOIN n ON r.lang = n.lang WHERE rank <= 2000
+"""
+
+
+@_register("op12_dynamic_phrases", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
