@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veritab.functions.columns import clip_lower, hash_hex, hash_threshold_hex, known, strip
-from veritab.functions.search import count_less_than, pad_sorted
 from veritab.operators.cumulative import exact_quantiles
 from veritab.operators.joins import join_null_safe
 from veritab.operators.sampling import weighted_choice
@@ -55,15 +54,8 @@ def _long(df: DataFrame, cols: Sequence[str], by: Sequence[str], value: Column |
     return wide.unpivot(list(by), list(cols), "feature", "value")
 
 
-def _f(r: Column, c: Column) -> Column:
-    return (c - r) * F.log((c + F.lit(EPSILON)) / (r + F.lit(EPSILON)))
-
-
-def _edges(reference: DataFrame, cols: Sequence[str], bins: int, quantile_method: str) -> DataFrame:
-    """De-duplicated reference quantile edges per numeric column: ``feature, _e, _ne``.
-
-    One row of at most bins+1 edges per requested column: fetched once, so the quantile job runs once
-    however many branches use the edges, and broadcast with a size bounded by the column list."""
+def _edges(reference: DataFrame, cols: Sequence[str], bins: int, quantile_method: str) -> dict[str, list[float]]:
+    """De-duplicated reference quantile edges per numeric column with a value: at most bins+1 numbers a column."""
     probs = [i / bins for i in range(bins + 1)]
     ref = _long(reference, cols, [], None, "numeric").where(F.col("value").isNotNull() & ~F.isnan("value"))
     if quantile_method == "exact":
@@ -72,98 +64,78 @@ def _edges(reference: DataFrame, cols: Sequence[str], bins: int, quantile_method
         q = ref.groupBy("feature").agg(F.percentile_approx("value", probs, 100000).alias("_q"))
     else:
         raise ValueError("quantile_method must be 'exact' or 'approx'")
-    rows = q.select("feature", F.array_distinct(F.array_sort(F.col("_q").cast("array<double>"))).alias("_e")).collect()
-    spark = reference.sparkSession
-    return F.broadcast(
-        spark.createDataFrame([(r["feature"], r["_e"]) for r in rows], "feature string, _e array<double>").withColumn("_ne", F.size("_e"))
+    return {r["feature"]: sorted(set(r["_q"])) for r in q.select("feature", "_q").collect()}
+
+
+def _bin_key(x: str, edges: Sequence[float]) -> str:
+    """SQL text of the PSI bin of a value (right-closed, the first closed on both sides); NULL when missing, out of
+    range, or with fewer than three edges."""
+    if len(edges) < 3:
+        return "CAST(NULL AS STRING)"
+    number = [f"double('{e!r}')" for e in edges]
+    above = " + ".join(f"if({x} > {e}, 1, 0)" for e in number[1:])
+    return f"if({x} >= {number[0]} AND {x} <= {number[-1]}, CAST(1 + {above} AS STRING), NULL)"
+
+
+def _side_long(df: DataFrame, edges: dict[str, list[float]], num: Sequence[str], cat: Sequence[str], by: Sequence[str], side: str, by_types) -> DataFrame:
+    """One long form per side for numeric and categorical columns together: ``_side, by…, feature, kind, key, nx``
+    (``nx``: 1 for a known number); the reference side has NULL run keys."""
+    wide = df.select(
+        *[F.col(b) if side == "cur" else F.lit(None).cast(by_types[b]).alias(b) for b in by],
+        *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"_num{i}") for i, c in enumerate(num)],
+        *[F.coalesce(strip(known(df, c).cast("string")), F.lit(MISSING_CATEGORY)).alias(f"_cat{i}") for i, c in enumerate(cat)],
     )
-
-
-def _side_long(df: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequence[str], side: str, by_types) -> DataFrame:
-    """One long form per side for numeric and categorical columns together:
-    ``_side, by…, feature, kind, x (double), s (cleaned text)``; the reference side has NULL run keys."""
-    structs = [
-        F.struct(F.lit(c).alias("feature"), F.lit("num").alias("kind"), F.col(c).cast("double").alias("x"), F.lit(None).cast("string").alias("s"))
-        for c in num
-    ] + [
-        F.struct(F.lit(c).alias("feature"), F.lit("cat").alias("kind"), F.lit(None).cast("double").alias("x"),
-                 F.coalesce(strip(known(df, c).cast("string")), F.lit(MISSING_CATEGORY)).alias("s"))
-        for c in cat
-    ]
-    keys = [F.col(b) if side == "cur" else F.lit(None).cast(by_types[b]).alias(b) for b in by]
-    out = df.select(F.lit(side).alias("_side"), *keys, F.inline(F.array(*structs)))
-    return out.withColumn("x", F.when(~F.isnan("x"), F.col("x")))
+    structs = [F.struct(F.lit(c).alias("feature"), F.expr("'num' AS kind"), F.expr(f"{_bin_key(f'_num{i}', edges.get(c, []))} AS key"), F.expr(f"int(_num{i} IS NOT NULL) AS nx")) for i, c in enumerate(num)]
+    structs += [F.struct(F.lit(c).alias("feature"), F.expr("'cat' AS kind"), F.expr(f"_cat{i} AS key"), F.expr("0 AS nx")) for i, c in enumerate(cat)]
+    return wide.select(F.lit(side).alias("_side"), *by, F.inline(F.array(*structs)))
 
 
 def _side_counts(reference: DataFrame, current: DataFrame, num, cat, by, bins: int, quantile_method: str):
     """The only aggregation over the input rows: counts per ``(_side, by…, feature, kind, key)`` where
     key is the PSI bin (as text; NULL when missing or out of range) or the category. Every score
-    below derives from this one shuffle, which the planner reuses across branches."""
+    below derives from this one shuffle. Also returns the features with enough edges to score."""
     by_types = {b: current.schema[b].dataType for b in by}
-    long = _side_long(reference, num, cat, by, "ref", by_types).unionByName(_side_long(current, num, cat, by, "cur", by_types))
-    edges = None
-    if num:
-        edges = _edges(reference, num, bins, quantile_method)
-        padded, _ = pad_sorted(F.col("_e"), bins + 1)
-        long = long.join(F.broadcast(edges.withColumn("_pad", padded)), "feature", "left")
-        long = count_less_than(long, "_pad", F.col("x"), bins + 1, "_lt")
-        in_range = (
-            (F.col("_ne") >= 3) & F.col("x").isNotNull()
-            & (F.col("x") >= F.element_at("_e", 1)) & (F.col("x") <= F.element_at("_e", -1))
-        )
-        key = F.when(F.col("kind") == "num", F.when(in_range, F.greatest(F.col("_lt"), F.lit(1)).cast("string"))).otherwise(F.col("s"))
-    else:
-        key = F.col("s")
-    counts = long.groupBy("_side", *by, "feature", "kind", key.alias("key")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.count("x").alias("_nx")
-    )
-    return counts, edges
+    edges = _edges(reference, num, bins, quantile_method) if num else {}
+    long = _side_long(reference, edges, num, cat, by, "ref", by_types).unionByName(_side_long(current, edges, num, cat, by, "cur", by_types))
+    counts = long.groupBy("_side", *by, "feature", "kind", "key").agg(F.count(F.lit(1)).alias("_rows"), F.sum("nx").alias("_nx"))
+    return counts, [c for c in num if len(edges.get(c, [])) >= 3]
 
 
-def _scores_from_counts(counts: DataFrame, edges: DataFrame | None, by: Sequence[str], num: Sequence[str], cat: Sequence[str]) -> DataFrame:
-    """PSI (numeric) and TVD (categorical) per ``(by…, feature, kind)`` from the shared counts, through
-    one chain of totals, shares and corrections for both kinds.
+def _scores_from_counts(counts: DataFrame, edged: Sequence[str], by: Sequence[str], num: Sequence[str], cat: Sequence[str]) -> DataFrame:
+    """PSI (numeric) and TVD (categorical) per ``(by…, feature, kind)`` from the shared counts, in one chain for both
+    kinds: totals, a look at the reference's share of each key, and one sum of terms.
 
     A share is rows of a key over the side's keyed rows (PSI: in-range values; TVD: every row, missing
-    being the ``<NA>`` category). Reference totals are per feature only (the reference has no run keys).
-    Every requested feature is scored for every run of the current table; without run keys also when the
-    current table is empty (PSI 0, TVD half the reference's shares).
+    being the ``<NA>`` category). A reference row contributes its own term (f(r, 0), or r), a row of a run the
+    correction for its key. Every requested feature is scored for every run of the current table; without run keys
+    also when the current table is empty (PSI 0, TVD half the reference's shares).
     """
     k = ["feature", "kind"]
-    keyed = F.col("key").isNotNull()
-    ref = counts.where(F.col("_side") == "ref")
-    cur = counts.where(F.col("_side") == "cur")
-    r_tot = ref.groupBy(*k).agg(F.sum(F.when(keyed, F.col("_rows"))).alias("_rin"), F.sum("_nx").alias("_rall"))
-    r_share = ref.where(keyed).join(r_tot, k).select(*k, "key", (F.col("_rows") / F.col("_rin")).alias("_r"))
-    # Reference-only part: Σ f(r, 0) for PSI, Σ r for TVD.
-    is_num = F.col("kind") == "num"
-    s_ref = r_share.groupBy(*k).agg(F.sum(F.when(is_num, _f(F.col("_r"), F.lit(0.0))).otherwise(F.col("_r"))).alias("_sref"))
-    c_tot = cur.groupBy(*by, *k).agg(F.sum(F.when(keyed, F.col("_rows"))).alias("_cin"), F.sum("_nx").alias("_call"))
-    spark = counts.sparkSession
-    asked = F.broadcast(spark.createDataFrame([(f, "num") for f in num] + [(f, "cat") for f in cat], "feature string, kind string"))
-    if by:
-        # the runs that have any row of a feature have all of them: the unpivot lists every feature per row
-        wanted = c_tot.select(*by, *k)
-    else:
-        wanted = asked
-    r, c = F.coalesce(F.col("_r"), F.lit(0.0)), F.coalesce(F.try_divide(F.col("_rows"), F.col("_cin")), F.lit(0.0))
-    term = F.when(is_num, _f(r, c) - _f(r, F.lit(0.0))).otherwise(F.abs(r - c) - r)
-    corr = (
-        cur.where(keyed)
-        .transform(lambda d: join_null_safe(d, c_tot, by + k))
-        .join(r_share, k + ["key"], "left")
-        .groupBy(*by, *k)
-        .agg(F.sum(term).alias("_corr"))
-    )
-    base = join_null_safe(wanted, c_tot, by + k, "left")
-    out = join_null_safe(base.join(r_tot, k, "left").join(s_ref, k, "left"), corr, by + k, "left")
-    if edges is not None:
-        out = out.join(edges.select("feature", "_ne"), "feature", "left")
+    is_ref, is_num, keyed = F.col("_side") == "ref", F.col("kind") == "num", F.col("key").isNotNull()
+    totals = counts.groupBy("_side", *by, *k).agg(F.sum(F.when(keyed, F.col("_rows"))).alias("_in"), F.sum("_nx").alias("_all"))
+    rows = join_null_safe(counts.where(keyed), totals.drop("_all"), ["_side", *by, *k])
+    share = F.try_divide(F.col("_rows"), F.col("_in"))
+    # a key has one reference row and at most one per run
+    same_key = Window.partitionBy(*k, "key")
+    rows = rows.select("_side", *by, *k, share.alias("_s"), F.coalesce(F.max(F.when(is_ref, share)).over(same_key), F.lit(0.0)).alias("_r"))
+    # own term of a reference row; correction of a run's row
+    psi = lambda r, c: f"(({c} - {r}) * ln(({c} + {EPSILON!r}D) / ({r} + {EPSILON!r}D)))"
+    cur_s = "coalesce(_s, 0D)"
+    term = f"CASE WHEN _side = 'ref' AND kind = 'num' THEN {psi('_r', '0D')} WHEN _side = 'ref' THEN _r WHEN kind = 'num' THEN {psi('_r', cur_s)} - {psi('_r', '0D')} ELSE abs(_r - {cur_s}) - _r END"
+    terms = rows.groupBy("_side", *by, *k).agg(F.expr(f"sum({term})").alias("_t"))
+    both = join_null_safe(totals, terms, ["_side", *by, *k], "left")
+    ref_t, ref_all = F.when(is_ref, F.col("_t")), F.when(is_ref, F.col("_all"))
+    cur_t, cur_all = F.when(~is_ref, F.col("_t")), F.when(~is_ref, F.col("_all"))
+    if by:  # the runs that have any row of a feature have all of them: the unpivot lists every feature per row
+        runs = Window.partitionBy(*k)  # a row per run and one of the reference
+        out = both.select("_side", *by, *k, F.max(ref_t).over(runs).alias("_sref"), F.max(ref_all).over(runs).alias("_rall"), cur_t.alias("_corr"), cur_all.alias("_call")).where(~is_ref)
     else:
-        out = out.withColumn("_ne", F.lit(None).cast("int"))
-    total = F.coalesce(F.col("_sref"), F.lit(0.0)) + F.coalesce(F.col("_corr"), F.lit(0.0))
-    usable = (F.coalesce(F.col("_ne"), F.lit(0)) >= 3) & (F.coalesce(F.col("_call"), F.lit(0)) > 0) & (F.coalesce(F.col("_rall"), F.lit(0)) > 0)
-    score = F.when(is_num, F.when(usable, total).otherwise(F.lit(0.0))).otherwise(F.lit(0.5) * total)
+        out = both.groupBy(*k).agg(F.max(ref_t).alias("_sref"), F.max(ref_all).alias("_rall"), F.max(cur_t).alias("_corr"), F.max(cur_all).alias("_call"))
+        asked = counts.sparkSession.createDataFrame([(f, "num") for f in num] + [(f, "cat") for f in cat], "feature string, kind string")
+        out = asked.join(out, k, "left")
+    scored = F.col("feature").isin(list(edged))
+    score = F.expr("if(kind = 'num', if(_scored AND coalesce(_call, 0) > 0 AND coalesce(_rall, 0) > 0, 1D, 0D), 0.5D) * (coalesce(_sref, 0D) + coalesce(_corr, 0D))")
+    out = out.withColumn("_scored", scored)
     return out.select(*by, "feature", "kind", score.alias("score"))
 
 
@@ -171,13 +143,13 @@ def _scores_by_kind(reference: DataFrame, current: DataFrame, num: Sequence[str]
                     bins: int, quantile_method: str) -> DataFrame:
     """``(by…, feature, kind, score)`` for every requested column (see :func:`drift_scores`)."""
     by = list(by)
-    counts, edges = _side_counts(reference, current, list(num), list(cat), by, bins, quantile_method)
+    counts, edged = _side_counts(reference, current, list(num), list(cat), by, bins, quantile_method)
     require_checkpoint_dir(reference.sparkSession)
     # The counts (sides × runs × features × bins/categories) are small; every score branch filters
     # them by side, and those filters would otherwise be pushed below the aggregation, giving each
     # branch its own scan of the inputs. Written once, the inputs are scanned once.
     counts = counts.checkpoint(eager=True)
-    return _scores_from_counts(counts, edges, by, list(num), list(cat))
+    return _scores_from_counts(counts, edged, by, list(num), list(cat))
 
 
 def drift_scores(reference: DataFrame, current: DataFrame, num: Sequence[str], cat: Sequence[str], by: Sequence[str] = (),

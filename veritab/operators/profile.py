@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from veritab.functions.columns import known, with_known
 from veritab.functions.stats import chi2_sf, sample_excess_kurtosis, sample_skewness
-from veritab.operators.cumulative import exact_quantiles, quantiles_from_counts, value_counts_table
+from veritab.operators.cumulative import exact_quantiles
 from veritab.operators.joins import join_null_safe
 from veritab.session import require_checkpoint_dir
 
@@ -70,9 +70,8 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), quantil
     """count, mean, sample std, min, exact linear-interpolated quantiles, max per (by…, column).
 
     Moments are one aggregate over the raw values (plain double summation, as pandas and SQL engines
-    do; a sum over distinct-value products rounds differently at exact ties). Quantiles come from a
-    table of value counts per column, combined map-side and checkpointed when a shared folder is
-    configured, then ranked by running counts.
+    do; a sum over distinct-value products rounds differently at exact ties). Quantiles are found by selection
+    (:func:`exact_quantiles`), so a column's values are not shuffled.
     """
     by = list(by)
     g = by + ["column"]
@@ -84,9 +83,7 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), quantil
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    counts = value_counts_table(long, g, "value")
-    require_checkpoint_dir(df.sparkSession)
-    q = quantiles_from_counts(counts.checkpoint(eager=True), g, quantiles, out="_q", materialize=False)
+    q = exact_quantiles(long, g, "value", quantiles, out="_q")
     names = [f"p{int(round(p * 100))}" for p in quantiles]
     q = q.select(*g, *[F.element_at("_q", i + 1).alias(nm) for i, nm in enumerate(names)])
     out = join_null_safe(first, q, g, "left")
