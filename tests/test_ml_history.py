@@ -45,7 +45,8 @@ def test_train_model_cv_and_scoring(spark, loans):
     scored = ML.score(r.model, lab, keep=["loan_id"])
     summ = ML.batch_summary(scored).first()
     assert summ["total"] == 60 and summ["approved"] + summ["rejected"] == 60
-    assert set(scored.columns) == {"loan_id", "prediction", "probability", "label_text"}
+    assert set(scored.columns) == {"loan_id", "prediction", "approved", "probability", "label_text"}
+    assert ML.score(r.model, lab, carry="cibil_score").where("score IS NULL OR approved <> (prediction = 1)").count() == 0
     with pytest.raises(ValueError):
         ML.make_estimator("nope")
 

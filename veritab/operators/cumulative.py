@@ -198,8 +198,10 @@ def bracketed_counts(df: DataFrame, by: list[str], value: str, probs: list[float
 
     One sketch per group gives every wanted rank a bracket of values; the second pass counts values inside the
     brackets one by one. No distinct value outside them is shuffled. None when there are too many groups for their
-    brackets to pass through the driver."""
+    brackets to pass through the driver, or so many ranks that their brackets would hold most values."""
     require_checkpoint_dir(df.sparkSession)
+    if 2 * len(probs) * abs(_RANK_ERROR) > 0.5:  # brackets around so many ranks hold most values
+        return None
     v = F.col(value).cast("double")
     rows = df.select(*by, v.alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     sketch = rows.groupBy(*by).agg(F.kll_sketch_agg_double("_v", SKETCH_SIZE).alias("_s"))

@@ -1,9 +1,10 @@
 """Distributed model building with ``pyspark.ml`` (T14–T17, M1–M12, A20, H7).
 
 The preprocessor is a fitted ``Pipeline`` (indexers → one-hot → assembler → scaler → assembler) so
-the same object scores batch and streaming DataFrames. Metrics come from :mod:`veritab.operators.metrics`
-(exact ROC AUC with ties, not the binned evaluator). Cross-validation loops over folds on the driver
-— k small model fits — while every fit and every metric is a distributed job.
+the same object scores batch and streaming DataFrames. Forests and boosting are the level-wise ensembles of
+:mod:`veritab.operators.trees`; all folds and trials of a cross-validation grow in common passes. Metrics come from
+:mod:`veritab.operators.metrics` (exact ROC AUC with ties, not the binned evaluator): all folds of all trials are scored
+into one long table and evaluated by one grouped aggregate.
 """
 
 from __future__ import annotations
@@ -14,15 +15,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veritab.operators import trees as T
 from veritab.operators.metrics import add_balanced_weights, classification_metrics, evaluation_report
 from veritab.operators.sampling import stratified_folds, stratified_split
+from veritab.plans.scratch import drop_path
 
 LABEL = "label"
 FEATURES = "features"
@@ -40,12 +43,13 @@ SEARCH_SPACES = {
     "logistic_regression": {"C": (0.01, 10.0), "penalty": ["l1", "l2"], "solver": ["liblinear", "saga"]},
     "svm": {"C": (0.1, 10.0), "gamma": ["scale", "auto"], "kernel": ["rbf", "poly"]},
 }
-# Settings of the spaces above that Spark's estimators have no counterpart for: never sampled, never reported.
-NOT_APPLIED = {"min_samples_split", "reg_alpha", "reg_lambda", "solver", "kernel"}
+# Settings of the spaces above without a counterpart here: never sampled, never reported.
+NOT_APPLIED = {"solver", "kernel"}
+MODELS = ("random_forest", "xgboost", "logistic_regression", "svm")
+CV_METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 N_TRIALS = 30
 CV_FOLDS = 5
 TEST_SIZE = 0.2
-SPARK_MAX_DEPTH = 30
 
 
 def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str], n_rows: int | None = None, out: str = FEATURES) -> list:
@@ -133,35 +137,28 @@ class RffSvmModel(Model):
         return p.select(*cols, "rawPrediction", "probability", "prediction")
 
 
-def make_estimator(name: str, params: Mapping | None = None, n_train: int | None = None, weight_col: str | None = None):
-    """Spark estimator for a model name of the source project; unknown names raise."""
+def tree_settings(name: str, params: Mapping):
+    """Settings of a forest or of boosting from the parameter names of the search spaces."""
+    known = {"random_forest": ("n_estimators", "max_depth", "min_samples_split", "min_samples_leaf", "max_features", "class_weight", "seed"),
+             "xgboost": ("n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "reg_alpha", "reg_lambda", "min_child_weight", "seed")}[name]
+    unknown = sorted(set(params) - set(known))
+    if unknown:
+        raise ValueError(f"unknown settings of {name}: {unknown}")
+    return (T.Forest if name == "random_forest" else T.Boosting)(**{"seed": RANDOM_STATE, **params})
+
+
+def make_estimator(name: str, params: Mapping | None = None, n_train: int | None = None, weight_col: str | None = None, key_cols: Sequence[str] = ()):
+    """Estimator for a model name of the source project; unknown names raise. ``key_cols`` name the rows for the row
+    samples of forests and boosting."""
     params = dict(params or {})
-    common = {"featuresCol": FEATURES, "labelCol": LABEL}
     if name == "logistic_regression":
         C = float(params.get("C", 1.0))
         l1 = params.get("penalty", "l2") == "l1"
-        lr = LogisticRegression(maxIter=int(params.get("max_iter", 1000)), standardization=False,
-                                regParam=(1.0 / (C * n_train)) if n_train else 0.0, elasticNetParam=1.0 if l1 else 0.0, **common)
+        lr = LogisticRegression(maxIter=int(params.get("max_iter", 1000)), standardization=False, tol=float(params.get("tol", 1e-6)),
+                                regParam=(1.0 / (C * n_train)) if n_train else 0.0, elasticNetParam=1.0 if l1 else 0.0, featuresCol=FEATURES, labelCol=LABEL)
         return lr.setWeightCol(weight_col) if weight_col else lr
-    if name == "random_forest":
-        depth = params.get("max_depth")
-        rf = RandomForestClassifier(
-            numTrees=int(params.get("n_estimators", 100)),
-            maxDepth=min(int(depth), SPARK_MAX_DEPTH) if depth is not None else SPARK_MAX_DEPTH,
-            minInstancesPerNode=int(params.get("min_samples_leaf", 1)),
-            featureSubsetStrategy=str(params.get("max_features", "sqrt")),
-            seed=RANDOM_STATE, maxMemoryInMB=1024, cacheNodeIds=True, **common,
-        )
-        return rf.setWeightCol(weight_col) if weight_col else rf
-    if name == "xgboost":
-        colsample = params.get("colsample_bytree")
-        gbt = GBTClassifier(
-            maxIter=int(params.get("n_estimators", 100)), maxDepth=int(params.get("max_depth", 6)),
-            stepSize=float(params.get("learning_rate", 0.1)), subsamplingRate=float(params.get("subsample", 1.0)),
-            featureSubsetStrategy=str(colsample) if colsample is not None else "all", seed=RANDOM_STATE,
-            maxMemoryInMB=1024, cacheNodeIds=True, **common,
-        )
-        return gbt.setWeightCol(weight_col) if weight_col else gbt
+    if name in ("random_forest", "xgboost"):
+        return T.TreeClassifier(tree_settings(name, params), FEATURES, LABEL, weight_col, key_cols)
     if name == "svm":
         return RffSvm(C=float(params.get("C", 1.0)), gamma=params.get("gamma", "scale"), n_train=n_train)
     raise ValueError(f"unknown model name: {name}")
@@ -188,6 +185,12 @@ def prepare_labelled(df: DataFrame, target: str, positive, negative) -> DataFram
     return df.withColumn(LABEL, lab).where(F.col(LABEL).isNotNull())
 
 
+def prepare_against_rest(df: DataFrame, target: str, positive) -> DataFrame:
+    """Numeric label: 1 where the target is ``positive``, 0 where it is any other known value; rows without a target
+    take no part."""
+    return df.withColumn(LABEL, (F.col(target) == F.lit(positive)).cast("int")).where(F.col(LABEL).isNotNull())
+
+
 def unlabelled_rows(df: DataFrame, target: str, positive, negative) -> int:
     """Rows whose target is neither value (or missing), which no model is trained or tested on."""
     named = F.col(target).isin(positive, negative)
@@ -196,7 +199,8 @@ def unlabelled_rows(df: DataFrame, target: str, positive, negative) -> int:
 
 def train_baseline_models(df: DataFrame, target: str, key_cols: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
                           positive="Approved", negative="Rejected", lr_params=None, rf_params=None) -> dict:
-    """Logistic regression (balanced weights) and random forest baselines on a stratified 80/20 split.
+    """Logistic regression (balanced weights) and random forest (classes balanced in every tree's bag) baselines on a
+    stratified 80/20 split.
 
     Returns ``models``, a ``metrics`` DataFrame ``(model, accuracy, f1, recall, roc_auc)`` and ``test_size``.
     """
@@ -206,7 +210,7 @@ def train_baseline_models(df: DataFrame, target: str, key_cols: Sequence[str], n
     test = split.where(F.col("split") == "test")
     n_train = train.count()
     lr = make_estimator("logistic_regression", {"max_iter": 2000, **(lr_params or {})}, n_train, "__w")
-    rf = make_estimator("random_forest", {"n_estimators": 300, "max_depth": None, **(rf_params or {})}, n_train, "__w")
+    rf = make_estimator("random_forest", {"n_estimators": 300, "max_depth": None, "class_weight": "balanced_subsample", **(rf_params or {})}, key_cols=key_cols)
     models = {
         "logistic_regression": model_pipeline(lr, numeric, categorical, n_train).fit(train),
         "random_forest": model_pipeline(rf, numeric, categorical, n_train).fit(train),
@@ -219,16 +223,55 @@ def train_baseline_models(df: DataFrame, target: str, key_cols: Sequence[str], n
             "unlabelled_rows": unlabelled_rows(df, target, positive, negative)}
 
 
-def cross_validated_auc(pipeline: Pipeline, df: DataFrame, k: int = CV_FOLDS, fold_col: str = "fold") -> tuple[float, float, list[float]]:
-    """Mean and population std of the per-fold ROC AUC (``df`` carries ``fold_col``)."""
-    scores = []
-    for i in range(k):
-        m = pipeline.fit(df.where(F.col(fold_col) != i))
-        ev = evaluate_model(m, df.where(F.col(fold_col) == i)).first()
-        scores.append(float(ev["roc_auc"]) if ev["roc_auc"] is not None else float("nan"))
-    mean = sum(scores) / len(scores)
-    std = math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores))
-    return mean, std, scores
+def fold_scores(name: str, trials: Sequence[Mapping], folded: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key_cols: Sequence[str],
+                k: int = CV_FOLDS, refit: bool = False) -> tuple[DataFrame, list[PipelineModel]]:
+    """``(trial, fold, side, y, p)``: every row of ``folded`` (with its ``fold``) scored by every trial's model of
+    every fold; ``side`` is ``val`` for the rows the model was not fitted on. With ``refit``, also each trial's model
+    fitted on all rows.
+
+    All trials and folds of a forest or of boosting grow in common passes over one binned table and are scored in
+    one pass. Their preprocessing is fitted once: cuts of a tree do not change under a per-fold scaling."""
+    n = folded.count()
+    if name in ("random_forest", "xgboost"):
+        pre = Pipeline(stages=build_preprocessor(numeric, categorical, n)).fit(folded)
+        made = [T.TreeClassifier(tree_settings(name, p), FEATURES, LABEL, None, key_cols) for p in trials]
+        table, path, edges = made[0].prepare(pre.transform(folded), "fold")
+        wanted = [(i, f) for i in range(len(trials)) for f in [*range(k), *([None] if refit else [])]]
+        grown = T.grow(table, edges, [(made[i].how, f) for i, f in wanted])
+        tested = [(g, w) for g, w in zip(grown, wanted) if w[1] is not None]
+        scores = T.score_models(table, [g for g, _ in tested], [w for _, w in tested]).checkpoint(eager=True)
+        drop_path(folded.sparkSession, path)
+        whole = [PipelineModel([*pre.stages, T.TreeClassifierModel(g, made[i].how, FEATURES)]) for g, (i, f) in zip(grown, wanted) if f is None]
+        return scores, whole
+    scores, whole = None, []
+    for i, p in enumerate(trials):
+        pipe = model_pipeline(make_estimator(name, p, n), numeric, categorical, n)
+        for f in range(k):
+            model = pipe.fit(folded.where(F.col("fold") != f))
+            side = F.when(F.col("fold") == f, "val").otherwise("train")
+            rows = positive_probability(model.transform(folded)).select(F.lit(i).alias("trial"), F.lit(f).alias("fold"), side.alias("side"), F.col(LABEL).alias("y"), F.col("p1").alias("p"))
+            scores = rows if scores is None else scores.unionByName(rows)
+        if refit:
+            whole.append(pipe.fit(folded))
+    return scores.checkpoint(eager=True), whole
+
+
+def fold_metrics(scores: DataFrame, by: Sequence[str] = ("trial", "fold", "side"), threshold: float = 0.5) -> DataFrame:
+    """The five cross-validation metrics of every group of a long score table, in one grouped job."""
+    flagged = scores.withColumn("__pred", (F.col("p") > threshold).cast("int"))
+    return classification_metrics(flagged, "y", "__pred", "p", by=by).select(*by, *CV_METRICS)
+
+
+def cv_summary(per_fold: DataFrame, by: Sequence[str] = ("trial",)) -> DataFrame:
+    """``(by…, metric, train_mean, val_mean, val_std)`` over the folds; ``val_std`` is the population std (M7)."""
+    side = lambda s: F.when(F.col("side") == s, F.col("value"))
+    long = per_fold.unpivot([*by, "fold", "side"], list(CV_METRICS), "metric", "value")
+    return long.groupBy(*by, "metric").agg(F.avg(side("train")).alias("train_mean"), F.avg(side("val")).alias("val_mean"), F.stddev_pop(side("val")).alias("val_std"))
+
+
+def fold_rows(train: DataFrame, key_cols: Sequence[str], k: int = CV_FOLDS) -> DataFrame:
+    """Training rows with exact stratified folds, written once: every fold's fit reads them."""
+    return stratified_folds(train, LABEL, key_cols, k, RANDOM_STATE, exact=True).checkpoint(eager=True)
 
 
 @dataclass
@@ -240,68 +283,39 @@ class TrainResult:
     fold_scores: list
 
 
-def auc_evaluator() -> "BinaryClassificationEvaluator":
-    """ROC AUC on P(class 1) without binning (ties count half)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-
-    return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
-
+def train_model(name: str, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key_cols: Sequence[str],
+                params: Mapping | None = None, k: int = CV_FOLDS) -> TrainResult:
+    """CV ROC AUC over exact stratified folds (mean, population std) and a model fitted on all training rows (M6)."""
+    scores, whole = fold_scores(name, [params or {}], fold_rows(train, key_cols, k), numeric, categorical, key_cols, k, refit=True)
+    per_fold = [float("nan") if r["roc_auc"] is None else r["roc_auc"] for r in fold_metrics(scores).where("side = 'val'").orderBy("fold").collect()]
+    mean = sum(per_fold) / len(per_fold)
+    return TrainResult(name, whole[0], mean, math.sqrt(sum((x - mean) ** 2 for x in per_fold) / len(per_fold)), per_fold)
 
-def _param_map(name: str, est, p: Mapping, n: int) -> dict:
-    """Spark ParamMap for one trial of the source project's search space."""
-    if name == "logistic_regression":
-        return {est.regParam: 1.0 / (float(p["C"]) * n), est.elasticNetParam: 1.0 if p.get("penalty") == "l1" else 0.0}
-    if name == "random_forest":
-        return {est.numTrees: int(p["n_estimators"]), est.maxDepth: min(int(p["max_depth"]), SPARK_MAX_DEPTH),
-                est.minInstancesPerNode: int(p["min_samples_leaf"]), est.featureSubsetStrategy: str(p["max_features"])}
-    if name == "xgboost":
-        return {est.maxIter: int(p["n_estimators"]), est.maxDepth: int(p["max_depth"]), est.stepSize: float(p["learning_rate"]),
-                est.subsamplingRate: float(p["subsample"]), est.featureSubsetStrategy: str(p["colsample_bytree"])}
-    raise NotImplementedError(name)
 
+def cross_validate_metrics(name: str, train: DataFrame, numeric, categorical, key_cols, params: Mapping | None = None, k: int = CV_FOLDS) -> DataFrame:
+    """Five metrics over the folds: ``(metric, train_mean, val_mean, val_std)`` (M7)."""
+    scores, _ = fold_scores(name, [params or {}], fold_rows(train, key_cols, k), numeric, categorical, key_cols, k)
+    return cv_summary(fold_metrics(scores)).drop("trial")
 
-def _cross_validator(pipe: Pipeline, maps: list, k: int, parallelism: int):
-    from pyspark.ml.tuning import CrossValidator
 
-    return CrossValidator(estimator=pipe, estimatorParamMaps=maps, evaluator=auc_evaluator(), numFolds=k, foldCol="fold",
-                          parallelism=parallelism, seed=RANDOM_STATE)
+def run_experiment(name: str, train: DataFrame, test: DataFrame, numeric, categorical, key_cols, params: Mapping | None = None, k: int = CV_FOLDS,
+                   store=None, run_id: str | None = None) -> tuple[PipelineModel, DataFrame]:
+    """One model's experiment (M7): cross-validated metrics, a fit on all training rows, metrics on the test rows. Returns
+    the model and ``(metric, train_mean, val_mean, val_std, test)``; recorded as a run where a store is given."""
+    scores, whole = fold_scores(name, [params or {}], fold_rows(train, key_cols, k), numeric, categorical, key_cols, k, refit=True)
+    cv = cv_summary(fold_metrics(scores)).drop("trial")
+    tested = held_out_metrics(whole[0], test)
+    out = cv.join(tested.unpivot([], list(CV_METRICS), "metric", "test"), "metric").checkpoint(eager=True)  # five rows
+    if store is not None:
+        store.log_run(run_id or name, "baseline", name, params={f"model_{a}": b for a, b in (params or {}).items()}, tags={"model_type": name, "phase": "baseline"},
+                      metrics={f"{p}{r['metric']}{e}": r[c] for r in out.collect() for c, p, e in (("train_mean", "cv_train_", "_mean"), ("val_mean", "cv_val_", "_mean"), ("val_std", "cv_val_", "_std"), ("test", "test_", "")) if r[c] is not None})
+    return whole[0], out
 
 
-def train_model(name: str, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key_cols: Sequence[str],
-                params: Mapping | None = None, k: int = CV_FOLDS) -> TrainResult:
-    """CV ROC AUC over exact stratified folds (mean, population std) then a refit on all training rows
-    (M6). Uses ``CrossValidator`` with the fold column; the kernel-SVM approximation, which is not a
-    Params-based estimator, is cross-validated fold by fold."""
-    folded = stratified_folds(train, LABEL, key_cols, k, RANDOM_STATE, exact=True).cache()
-    n = folded.count()
-    pipe = model_pipeline(make_estimator(name, params, n), numeric, categorical, n)
-    if name == "svm":
-        mean, std, scores = cross_validated_auc(pipe, folded, k)
-        final = pipe.fit(train)
-    else:
-        cvm = _cross_validator(pipe, [{}], k, 1).fit(folded)
-        mean, std, scores = float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0]), []
-        final = cvm.bestModel
-    folded.unpersist()
-    return TrainResult(name, final, mean, std, scores)
-
-
-def cross_validate_metrics(pipeline: Pipeline, df: DataFrame, k: int = CV_FOLDS, fold_col: str = "fold") -> DataFrame:
-    """Per-fold train and validation metrics (accuracy, precision, recall, f1, roc_auc), then mean of
-    train, mean and population std of validation per metric (M7): ``(metric, train_mean, val_mean, val_std)``."""
-    rows = None
-    for i in range(k):
-        m = pipeline.fit(df.where(F.col(fold_col) != i))
-        for side, part in (("train", df.where(F.col(fold_col) != i)), ("val", df.where(F.col(fold_col) == i))):
-            s = positive_probability(m.transform(part)).withColumn("__pred", F.col("prediction").cast("int"))
-            met = classification_metrics(s, LABEL, "__pred", "p1").select("accuracy", "precision", "recall", "f1", "roc_auc")
-            long = met.unpivot([], met.columns, "metric", "value").select(F.lit(i).alias("fold"), F.lit(side).alias("side"), "metric", "value")
-            rows = long if rows is None else rows.unionByName(long)
-    return rows.groupBy("metric").agg(
-        F.avg(F.when(F.col("side") == "train", F.col("value"))).alias("train_mean"),
-        F.avg(F.when(F.col("side") == "val", F.col("value"))).alias("val_mean"),
-        F.stddev_pop(F.when(F.col("side") == "val", F.col("value"))).alias("val_std"),
-    )
+def held_out_metrics(model: PipelineModel, test: DataFrame) -> DataFrame:
+    """The five metrics of a fitted model on held-out rows (one row)."""
+    s = positive_probability(model.transform(test)).withColumn("__pred", F.col("prediction").cast("int"))
+    return classification_metrics(s, LABEL, "__pred", "p1").select(*CV_METRICS)
 
 
 def sample_params(name: str, n_trials: int = N_TRIALS, seed: int = RANDOM_STATE) -> list[dict]:
@@ -326,35 +340,40 @@ def sample_params(name: str, n_trials: int = N_TRIALS, seed: int = RANDOM_STATE)
     return out
 
 
-def random_search(name: str, train: DataFrame, numeric, categorical, key_cols, n_trials: int = N_TRIALS, k: int = CV_FOLDS,
-                  parallelism: int = 4):
-    """Maximise CV ROC AUC over seeded random trials of the model's search space; refit the best on all
-    rows (M8). Trials are ``ParamMap``s of one ``CrossValidator`` (fitted ``parallelism`` at a time).
+TREE_TRIALS = 8  # tree trials grown in common passes; a pass holds one margin a row for each of their folds
+
 
-    Returns (best params, best mean AUC, fitted model, [(params, mean AUC, std AUC)…])."""
-    trials_p = sample_params(name, n_trials)
-    folded = stratified_folds(train, LABEL, key_cols, k, RANDOM_STATE, exact=True).cache()
+def random_search(name: str, train: DataFrame, numeric, categorical, key_cols, n_trials: int = N_TRIALS, k: int = CV_FOLDS):
+    """Maximise CV ROC AUC over seeded random trials of the model's search space; refit the best on all
+    rows (M8). Returns (best params, best mean AUC, fitted model, [(params, mean AUC, std AUC)…])."""
+    params = sample_params(name, n_trials)
+    folded = fold_rows(train, key_cols, k)
+    group = TREE_TRIALS if name in ("random_forest", "xgboost") else 1
+    trials = []
+    for at in range(0, n_trials, group):
+        own = params[at : at + group]
+        scores, _ = fold_scores(name, own, folded, numeric, categorical, key_cols, k)
+        auc = fold_metrics(scores.where("side = 'val'")).groupBy("trial").agg(F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std"))
+        nan = float("nan")  # a fold of one class has no AUC
+        trials += [(own[r["trial"]], nan if r["mean"] is None else r["mean"], nan if r["std"] is None else r["std"]) for r in auc.orderBy("trial").collect()]
+    best = max(trials, key=lambda t: (t[1] if t[1] == t[1] else -1.0))
     n = folded.count()
-    if name == "svm":
-        trials = []
-        for p in trials_p:
-            pipe = model_pipeline(make_estimator(name, p, n), numeric, categorical, n)
-            mean, std, _ = cross_validated_auc(pipe, folded, k)
-            trials.append((p, mean, std))
-        best = max(trials, key=lambda t: (t[1] if t[1] == t[1] else -1.0))
-        model = model_pipeline(make_estimator(name, best[0], n), numeric, categorical, n).fit(train)
-    else:
-        est = make_estimator(name, {}, n)
-        pipe = model_pipeline(est, numeric, categorical, n)
-        maps = [_param_map(name, est, p, n) for p in trials_p]
-        cvm = _cross_validator(pipe, maps, k, parallelism).fit(folded)
-        trials = [(p, float(m), float(sd)) for p, m, sd in zip(trials_p, cvm.avgMetrics, cvm.stdMetrics)]
-        best = max(trials, key=lambda t: (t[1] if t[1] == t[1] else -1.0))
-        model = cvm.bestModel
-    folded.unpersist()
+    model = model_pipeline(make_estimator(name, best[0], n, key_cols=key_cols), numeric, categorical, n).fit(folded)
     return best[0], best[1], model, trials
 
 
+def tune_model(name: str, train: DataFrame, test: DataFrame, numeric, categorical, key_cols, n_trials: int = N_TRIALS, k: int = CV_FOLDS,
+               store=None, run_id: str | None = None) -> tuple[dict, PipelineModel, dict]:
+    """Search, refit of the best trial, test metrics, and the run's record: (best params, model, metrics with the
+    ``test_`` prefix, ``cv_roc_auc_best`` and ``n_trials``)."""
+    best, auc, model, _ = random_search(name, train, numeric, categorical, key_cols, n_trials, k)
+    metrics = {f"test_{m}": v for m, v in held_out_metrics(model, test).first().asDict().items() if v is not None}
+    metrics |= {"cv_roc_auc_best": auc, "n_trials": n_trials}
+    if store is not None:
+        store.log_run(run_id or f"{name}_best", "hyperopt", f"{name}_best", params=best, metrics=metrics, tags={"model_type": name, "phase": "hyperopt"})
+    return best, model, metrics
+
+
 def compare_models(metrics: DataFrame, by: str = "roc_auc") -> DataFrame:
     """Rank models by a metric, best first (M9)."""
     return metrics.orderBy(F.col(by).desc_nulls_last(), "model")
@@ -371,14 +390,18 @@ def rank_models(metrics: DataFrame, by: str = "roc_auc") -> DataFrame:
     return metrics.withColumn("rank", F.row_number().over(w))
 
 
-def score(model, df: DataFrame, positive_label: str = "Approved", negative_label: str = "Rejected", keep: Sequence[str] = ()) -> DataFrame:
-    """Predicted class, P(class 1) to 4 places and the text label (M10); works on streaming input too."""
+def score(model, df: DataFrame, positive_label: str = "Approved", negative_label: str = "Rejected", keep: Sequence[str] = (), carry: str | None = None) -> DataFrame:
+    """Predicted class, P(class 1) to 4 places, the decision as a boolean and the text label (M10), with the ``keep``
+    columns and, as ``score``, the column named by ``carry``; works on streaming input too."""
     s = positive_probability(model.transform(df))
+    positive = F.col("prediction") == 1
     return s.select(
         *keep,
         F.col("prediction").cast("int").alias("prediction"),
+        positive.alias("approved"),
         F.bround("p1", 4).alias("probability"),
-        F.when(F.col("prediction") == 1, F.lit(positive_label)).otherwise(F.lit(negative_label)).alias("label_text"),
+        F.when(positive, F.lit(positive_label)).otherwise(F.lit(negative_label)).alias("label_text"),
+        *([F.col(carry).alias("score")] if carry else []),
     )
 
 
@@ -392,23 +415,24 @@ def batch_summary(scored: DataFrame, label_col: str = "label_text", positive_lab
 
 
 def train_simple(df: DataFrame, target: str, key_cols, numeric, categorical, path: str | None = None,
-                 positive="Approved", negative="Rejected") -> tuple[PipelineModel, float]:
-    """GBT pipeline on an 80/20 split; returns the model and its test ROC AUC, saving it when a path is given (M11)."""
+                 positive="Approved", negative="Rejected", params: Mapping = XGBOOST_PARAMS) -> tuple[PipelineModel, float, int]:
+    """Boosting pipeline on an 80/20 split; returns the model, its test ROC AUC and the number of rows left out because
+    their target is neither value, saving the model when a path is given (M11)."""
     lab = prepare_labelled(df, target, positive, negative)
     split = stratified_split(lab, LABEL, key_cols, TEST_SIZE, RANDOM_STATE, exact=True)
     train, test = split.where(F.col("split") == "train"), split.where(F.col("split") == "test")
-    model = model_pipeline(make_estimator("xgboost", XGBOOST_PARAMS), numeric, categorical).fit(train)
+    model = model_pipeline(make_estimator("xgboost", params, key_cols=key_cols), numeric, categorical).fit(train)
     auc = evaluate_model(model, test).first()["roc_auc"]
     if path:
         model.write().overwrite().save(path)
-    return model, auc
+    return model, auc, unlabelled_rows(df, target, positive, negative)
 
 
 def model_info(spark, model: PipelineModel, name: str, stage: str) -> DataFrame:
     """Name, stage, estimator type, number of features and parameters as a string map (H7)."""
     est = model.stages[-1]
     n_features = getattr(est, "numFeatures", None)
-    params = {p.name: str(v) for p, v in est.extractParamMap().items()}
+    params = {k: str(v) for k, v in est.settings().items()} if isinstance(est, T.TreeClassifierModel) else {p.name: str(v) for p, v in est.extractParamMap().items()}
     return spark.createDataFrame(
         [(name, stage, type(est).__name__, n_features, params)],
         "model_name string, stage string, model_type string, n_features int, params map<string,string>",

@@ -13,11 +13,13 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from veritab.operators import history as H
 from veritab.operators import ml as ML
 from veritab.plans import jobs as J
-from veritab.plans.catalog_drift import DRIFT_ORDERS_SQL
+from veritab.plans.catalog_drift import DRIFT_ORDERS_SQL, _cur, _ref
 from veritab.plans.catalog_history import _MONTHLY_AUC_SQL, monthly_runs
-from veritab.plans.catalog_ml import CATEGORICAL, KEYS, NUMERIC, _split, labelled
+from veritab.operators.sampling import stratified_folds
+from veritab.plans.catalog_ml import CATEGORICAL, KEYS, NUMERIC, PARAMS, _split
+from veritab.plans.catalog_sampling import HASH15, scored_orders
 from veritab.plans.catalog_quality import CUSTOMER_SPEC
-from veritab.plans.oracle_sql import STRIP
+from veritab.plans.oracle_sql import STRIP, tvd_sql
 from veritab.plans.registry import register, table
 from veritab.plans.scratch import scratch_path
 from veritab.sources import files
@@ -59,6 +61,23 @@ def d6_monitoring_snapshot_orders(spark, sf):
     return J.monitoring_snapshot(ref, cur, spec, out_path=scratch_path(spark, "snapshot"))
 
 
+_SNAPSHOT_SQL = f"""WITH rep AS ({DRIFT_ORDERS_SQL}), p AS ({tvd_sql("o_orderstatus", _ref("o_orderstatus"), _cur("o_orderstatus"), threshold=0.1)})
+SELECT CASE WHEN count_if(rep.drift_detected) > 0 THEN 'drift_detectado' ELSE 'estable' END AS status, count(*) AS total, CAST(count_if(rep.drift_detected) AS BIGINT) AS with_drift,
+  round(count_if(rep.drift_detected) / count(*), 4) AS drift_ratio, string_agg(feature, ',' ORDER BY feature) FILTER (method = 'PSI') AS numeric_features,
+  string_agg(feature, ',' ORDER BY feature) FILTER (method = 'TVD') AS categorical_features, (SELECT CASE WHEN drift_detected THEN 'drift_detectado' ELSE 'estable' END FROM p) AS prediction_status,
+  (SELECT score FROM p) AS prediction_score FROM rep"""
+
+
+@register("d6_snapshot_fields_orders", _SNAPSHOT_SQL)
+def d6_snapshot_fields_orders(spark, sf):
+    """The monitoring snapshot's fields as one flat row."""
+    s = d6_monitoring_snapshot_orders(spark, sf)
+    names = lambda c: F.array_join(F.transform(c, lambda f: f["feature"]), ",")
+    return s.select("status", F.col("summary.total_features_evaluated").alias("total"), F.col("summary.features_with_drift").alias("with_drift"), F.col("summary.drift_ratio").alias("drift_ratio"),
+                    names("numeric_features").alias("numeric_features"), names("categorical_features").alias("categorical_features"),
+                    F.col("prediction_drift.status").alias("prediction_status"), F.col("prediction_drift.score").alias("prediction_score"))
+
+
 @register(
     "d9_retrain_due_orders",
     _MONTHLY_AUC_SQL
@@ -79,14 +98,35 @@ def m4_svm_orders(spark, sf):
 
 @register("m7_cv_metrics_orders")
 def m7_cv_metrics_orders(spark, sf):
-    from veritab.operators.sampling import stratified_folds
+    """All four models: cross-validated train and validation metrics, and metrics on the test split."""
+    train, test = _split(spark, sf)
+    out = None
+    for name in ML.MODELS:
+        rows = ML.run_experiment(name, train, test, NUMERIC, CATEGORICAL, KEYS, PARAMS[name])[1].select(F.lit(name).alias("model"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
-    train, _ = _split(spark, sf)
-    folded = stratified_folds(train, ML.LABEL, KEYS, ML.CV_FOLDS, ML.RANDOM_STATE, exact=True)
-    folded = folded.checkpoint(eager=True)  # every fold's fit and metrics read it
-    n = folded.count()
-    pipe = ML.model_pipeline(ML.make_estimator("logistic_regression", ML.LOGISTIC_REGRESSION_PARAMS, n), NUMERIC, CATEGORICAL, n)
-    return ML.cross_validate_metrics(pipe, folded, ML.CV_FOLDS)
+
+_FOLD_SQL = f"""WITH s AS (SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS y, floor(o_totalprice / 5000.0) / 100.0 AS p FROM orders),
+k AS (SELECT s.*, CAST((count(*) OVER (PARTITION BY y ORDER BY {HASH15.format(seed=42)}) - 1) % 5 AS INTEGER) AS own FROM s),
+f AS (SELECT y, p, CAST(p > 0.5 AS INTEGER) AS yhat, fold, CASE WHEN own = fold THEN 'val' ELSE 'train' END AS side FROM k, (SELECT unnest(range(0, 5)) AS fold)),
+c AS (SELECT fold, side, count_if(y = 1 AND yhat = 1) AS tp, count_if(y = 0 AND yhat = 1) AS fp, count_if(y = 1 AND yhat = 0) AS fn, count_if(y = 0 AND yhat = 0) AS tn FROM f GROUP BY ALL),
+a AS (SELECT fold, side, p, count_if(y = 1) AS pos, count_if(y = 0) AS neg FROM f GROUP BY ALL),
+r AS (SELECT *, sum(neg) OVER (PARTITION BY fold, side ORDER BY p ROWS UNBOUNDED PRECEDING) - neg AS below FROM a),
+u AS (SELECT fold, side, sum(pos * (below + 0.5 * neg)) / (sum(pos) * sum(neg)) AS roc_auc FROM r GROUP BY ALL),
+m AS (SELECT fold, side, (tp + tn) / (tp + fp + fn + tn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision, tp / (tp + fn) AS recall, 2 * tp / (2 * tp + fp + fn) AS f1, roc_auc FROM c JOIN u USING (fold, side)),
+l AS (UNPIVOT m ON accuracy, precision, recall, f1, roc_auc INTO NAME metric VALUE value)
+SELECT metric, round(avg(value) FILTER (side = 'train'), 6) AS train_mean, round(avg(value) FILTER (side = 'val'), 6) AS val_mean, round(stddev_pop(value) FILTER (side = 'val'), 6) AS val_std FROM l GROUP BY metric"""
+
+
+@register("m7_fold_metrics_orders", _FOLD_SQL)
+def m7_fold_metrics_orders(spark, sf):
+    """The stand-in score evaluated over five folds from one long score table."""
+    s = stratified_folds(scored_orders(spark, sf), "y", KEYS, ML.CV_FOLDS, ML.RANDOM_STATE, exact=True, out="own")
+    long = s.select("y", "p", "own", F.explode(F.sequence(F.lit(0), F.lit(ML.CV_FOLDS - 1))).alias("fold"))
+    long = long.select(F.lit(0).alias("trial"), "fold", F.when(F.col("own") == F.col("fold"), "val").otherwise("train").alias("side"), "y", "p")
+    out = ML.cv_summary(ML.fold_metrics(long)).drop("trial")
+    return out.select("metric", *[F.round(c, 6).alias(c) for c in ("train_mean", "val_mean", "val_std")])
 
 
 @register(
@@ -202,3 +242,16 @@ def m8_random_search_orders(spark, sf):
     best, auc, _, trials = ML.random_search("logistic_regression", train, NUMERIC, CATEGORICAL, KEYS)  # 30 trials x 5 folds
     rows = [(i, str(sorted(p.items())), float(m), float(sd), p == best) for i, (p, m, sd) in enumerate(trials)]
     return spark.createDataFrame(rows, "trial int, params string, cv_auc_mean double, cv_auc_std double, best boolean")
+
+
+@register("m8_tuned_models_orders")
+def m8_tuned_models_orders(spark, sf):
+    """Two trials of each of the four search spaces: the best is refitted, tested and recorded, and the run records
+    are read back: best parameters, ``cv_roc_auc_best``, ``n_trials`` and the test metrics."""
+    train, test = _split(spark, sf)
+    store = H.RunStore(spark, scratch_path(spark, "tuning"))
+    for name in ML.MODELS:
+        ML.tune_model(name, train, test, NUMERIC, CATEGORICAL, KEYS, n_trials=2, k=3, store=store)
+    params = store.read(H.PARAMS).select("run_id", F.lit("param").alias("kind"), "key", "value")
+    metrics = store.read(H.METRICS).select("run_id", F.lit("metric").alias("kind"), "key", F.round("value", 4).cast("string").alias("value"))
+    return params.unionByName(metrics)

@@ -15,3 +15,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not root:
         raise RuntimeError("spark.checkpoint.dir is not set; writing queries need a shared folder")
     return f"{root.rstrip('/')}/veritab-{name}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no later step reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
