@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -49,6 +50,7 @@ MODELS = ("random_forest", "xgboost", "logistic_regression", "svm")
 CV_METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 N_TRIALS = 30
 CV_FOLDS = 5
+FITS_AT_ONCE = 4  # fold models of logistic regression and SVM fitted side by side
 TEST_SIZE = 0.2
 
 
@@ -111,16 +113,17 @@ class RffSvm(Estimator):
 
 
 def _rff(df: DataFrame, col: str, W, b) -> DataFrame:
-    D = len(W)
-    x = vector_to_array(col)
-    wl = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in W])
-    bl = F.array(*[F.lit(float(v)) for v in b])
-    z = F.transform(
-        wl,
-        lambda w, i: F.lit(math.sqrt(2.0 / D))
-        * F.cos(F.aggregate(F.zip_with(w, x, lambda a, c: a * c), F.lit(0.0), lambda acc, v: acc + v) + F.element_at(bl, i + 1)),
-    )
-    return df.withColumn("__rff", array_to_vector(z))
+    """Add the random features of the vectors, a batch of rows at a time."""
+    import numpy as np
+    import pandas as pd
+
+    w, shift, scale = np.array(W).T, np.array(b), math.sqrt(2.0 / len(W))
+
+    @F.pandas_udf("array<double>")
+    def project(x):
+        return pd.Series(list(scale * np.cos(np.stack(x.to_numpy()) @ w + shift)) if len(x) else [], dtype=object)
+
+    return df.withColumn("__rff", array_to_vector(project(vector_to_array(col))))
 
 
 class RffSvmModel(Model):
@@ -243,17 +246,22 @@ def fold_scores(name: str, trials: Sequence[Mapping], folded: DataFrame, numeric
         drop_path(folded.sparkSession, path)
         whole = [PipelineModel([*pre.stages, T.TreeClassifierModel(g, made[i].how, FEATURES)]) for g, (i, f) in zip(grown, wanted) if f is None]
         return scores, whole
-    scores, whole = None, []
-    for i, p in enumerate(trials):
-        pipe = model_pipeline(make_estimator(name, p, n), numeric, categorical, n)
-        for f in range(k):
-            model = pipe.fit(folded.where(F.col("fold") != f))
+    wanted = [(i, f) for i in range(len(trials)) for f in [*range(k), *([None] if refit else [])]]
+
+    def fit(which):
+        i, f = which
+        pipe = model_pipeline(make_estimator(name, trials[i], n), numeric, categorical, n)
+        return pipe.fit(folded if f is None else folded.where(F.col("fold") != f))
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        models = list(pool.map(fit, wanted))
+    scores = None
+    for model, (i, f) in zip(models, wanted):
+        if f is not None:
             side = F.when(F.col("fold") == f, "val").otherwise("train")
             rows = positive_probability(model.transform(folded)).select(F.lit(i).alias("trial"), F.lit(f).alias("fold"), side.alias("side"), F.col(LABEL).alias("y"), F.col("p1").alias("p"))
             scores = rows if scores is None else scores.unionByName(rows)
-        if refit:
-            whole.append(pipe.fit(folded))
-    return scores.checkpoint(eager=True), whole
+    return scores.checkpoint(eager=True), [m for m, (_, f) in zip(models, wanted) if f is None]
 
 
 def fold_metrics(scores: DataFrame, by: Sequence[str] = ("trial", "fold", "side"), threshold: float = 0.5) -> DataFrame:
@@ -341,6 +349,7 @@ def sample_params(name: str, n_trials: int = N_TRIALS, seed: int = RANDOM_STATE)
 
 
 TREE_TRIALS = 8  # tree trials grown in common passes; a pass holds one margin a row for each of their folds
+OTHER_TRIALS = 3  # trials of other models evaluated together
 
 
 def random_search(name: str, train: DataFrame, numeric, categorical, key_cols, n_trials: int = N_TRIALS, k: int = CV_FOLDS):
@@ -348,7 +357,7 @@ def random_search(name: str, train: DataFrame, numeric, categorical, key_cols, n
     rows (M8). Returns (best params, best mean AUC, fitted model, [(params, mean AUC, std AUC)…])."""
     params = sample_params(name, n_trials)
     folded = fold_rows(train, key_cols, k)
-    group = TREE_TRIALS if name in ("random_forest", "xgboost") else 1
+    group = TREE_TRIALS if name in ("random_forest", "xgboost") else OTHER_TRIALS
     trials = []
     for at in range(0, n_trials, group):
         own = params[at : at + group]

@@ -185,7 +185,8 @@ def binned_table(df: DataFrame, features: str, label: str, edges, key: Sequence[
 
     path = scratch_path(df.sparkSession, "binned")
     schema = "h long, y double, w double, fold int, bins binary"
-    src.mapInArrow(run, schema).write.parquet(path)
+    # the passes to come read this table again and again: every core gets a part of it
+    src.mapInArrow(run, schema).repartition(df.sparkSession.sparkContext.defaultParallelism).write.parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path), path
 
 
@@ -431,7 +432,7 @@ def _refresh(state: DataFrame, pending: list[list[Tree]], width: int) -> tuple[D
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, margins.size + 1, margins.shape[1]), pa.int32()), pa.array(margins.ravel()))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("h", "y", "w", "fold", "bins")], flat], names=["h", "y", "w", "fold", "bins", "margins"])
 
-    path = scratch_path(state.sparkSession, "margins")
+    path = scratch_path(state.sparkSession, "margins")  # as many files as the table had parts
     schema = "h long, y double, w double, fold int, bins binary, margins array<double>"
     state.mapInArrow(run, schema).write.parquet(path)
     return state.sparkSession.read.schema(schema).parquet(path), path

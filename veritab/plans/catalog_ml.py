@@ -3,7 +3,7 @@
 Stand-in: label = status F against the rest, so every order takes part; numerics = price and order day number,
 categorical = priority. Fits that SQL can repeat (two rounds of boosting, a two-weight logistic regression, the
 bootstrap samples of a forest) have an oracle; larger fits and searches have none. The boosting queries over whole
-metrics grow ROUNDS trees instead of the operator's default hundred.
+metrics, and the forests, grow ROUNDS trees instead of the operators' default hundred.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ NUMERIC = ["o_totalprice", "order_day"]
 CATEGORICAL = ["o_orderpriority"]
 KEYS = ["o_orderkey"]
 ROUNDS = 20
-PARAMS = {"logistic_regression": ML.LOGISTIC_REGRESSION_PARAMS, "random_forest": ML.RANDOM_FOREST_PARAMS,
+PARAMS = {"logistic_regression": ML.LOGISTIC_REGRESSION_PARAMS, "random_forest": {**ML.RANDOM_FOREST_PARAMS, "n_estimators": ROUNDS},
           "xgboost": {**ML.XGBOOST_PARAMS, "n_estimators": ROUNDS}, "svm": {"C": 1.0}}
 
 
