@@ -49,6 +49,16 @@ def test_stages_take_empty_tables_and_extra_columns(spark, k):
         assert out.columns == df.columns
 
 
+@pytest.mark.parametrize("k", range(len(stages.STAGES) - 1))
+def test_stages_take_columns_named_like_their_own(spark, k):
+    extra = ["keep", "tails", "expected_grade", "p_good", "class", "links", "fp", "root", "bands", "n_shingles", "hit_runs", "spans", "size", "taken", "target", "text_hash", "times", "shard", "slot", "h"]
+    df = frame(spark, ["some words in a text", "other words in a text", None, ""])
+    df = df.withColumns({c: F.lit(i) for i, c in enumerate(extra)})
+    out = stages.STAGES[k][1](spark, df, SF_SMALL)
+    rows = out.collect()
+    assert out.columns == df.columns and rows and all(r[c] == i for r in rows for i, c in enumerate(extra))
+
+
 def test_pipeline_runs_and_is_registered(spark):
     import __spark_entry__ as entry
 
@@ -57,5 +67,5 @@ def test_pipeline_runs_and_is_registered(spark):
     sizes = sorted(r["n"] for r in out.groupBy("shard").agg(F.count("*").alias("n")).collect())
     assert len(sizes) == 8 and sizes[-1] - sizes[0] <= 1
     names = entry.queries()
-    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert "pipeline" in names and sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
     assert set(catalog.ORACLES) <= set(entry.oracle_sql())

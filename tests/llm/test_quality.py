@@ -96,3 +96,21 @@ def test_features_of_the_executors_give_the_same_fit(spark):
     a, b = quality.train(docs, labels, F.col("grade"), 3), quality.fit(pa.array(texts), grades, 3)
     scores = lambda m: m.tails(np.concatenate([m.scores(s, o, int(o.max()) + 1) for _, s, o in quality.features(pa.array(texts))]))
     assert ((scores(a) > 0.5) == (scores(b) > 0.5)).mean() > 0.98
+
+
+def test_train_equals_the_fit_in_one_place(spark):
+    texts, grades = _data(150, 4)
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(grades)], "doc_id long, grade int")
+    marks = [r[0] for r in docs.orderBy("doc_id").select(F.xxhash64("text")).collect()]
+    order = sorted(range(len(texts)), key=lambda i: (grades[i], marks[i]))
+    a, b = quality.train(docs, labels, F.col("grade"), 3), quality.fit(pa.array([texts[i] for i in order]), grades[order], 3)
+    assert (a.slots == b.slots).all() and (a.weights == b.weights).all() and (a.thresholds == b.thresholds).all()
+
+
+def test_rare_words_get_no_weight(spark):
+    texts, grades = _data(150, 4)
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(grades)], "doc_id long, grade int")
+    model = quality.train(docs, labels, F.col("grade"), 3, min_rows=10_000)
+    assert len(model.slots) and (model.slots >= 1 << quality.BITS).all()  # only the shape of the text is left

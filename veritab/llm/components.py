@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veritab.llm.store import materialize
+from veritab.llm.store import drop_table, write_table
 
 
 def _digest(edges: DataFrame) -> tuple[int, int]:
@@ -38,12 +38,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
     Null ends and self loops carry no link and are ignored; repeated edges count once. An empty edge table
     gives an empty result."""
     edges = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialize(edges, "edges")
+    edges, path = write_table(edges, "edges")
     before = _digest(edges)
     for _ in range(max_rounds):
         if before[0] == 0:
             break
-        edges = materialize(_small_star(_large_star(edges)), "edges")
+        used = path
+        edges, path = write_table(_small_star(_large_star(edges)), "edges")
+        drop_table(edges.sparkSession, used)
         now = _digest(edges)
         if now == before:
             break

@@ -10,8 +10,9 @@ repeated lines and words, of words with several marks, and the length). A text o
 penalty, so words that carry no signal stay at zero and long clean texts do not collect noise.
 
 The model is fitted on about ``sample_rows`` labelled rows, an equal number of every grade as far as there are so
-many (smallest key hashes first); labels need not cover the corpus. Their features are found by the executors; no
-text comes to the driver. Scoring reads every text once, without a shuffle.
+many (smallest key hashes first); labels need not cover the corpus. The executors find their features, count them and
+drop the rare ones; the descents over the bounded rest run in one task. Only the fitted weights come to the driver.
+Scoring reads every text once, without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from veritab.llm.store import materialize
 
 BITS = 44  # hashed feature space; the model holds the few slots with a weight, so collisions do not matter
 SAMPLE_ROWS = 12_000
-SAMPLE_FEATURES = 8_000_000  # feature slots (8 bytes each) that the driver takes at once
+SAMPLE_FEATURES = 8_000_000  # feature slots (4 bytes each) that the fitting task takes at once
+MIN_ROWS = 4  # words of fewer sampled rows get no weight
 
 
 @dataclass
@@ -159,7 +161,7 @@ def _descend(slot: np.ndarray, begin: np.ndarray, value: np.ndarray, grades: np.
     return w, t
 
 
-def fit(texts: pa.Array, grades: np.ndarray, levels: int, bits: int = BITS, epochs: int = 30, rate: float = 0.5, l1: float = 1e-3, batch: int = 512, seed: int = 5, min_rows: int = 4, relevant: float = 0.3) -> OrdinalModel:
+def fit(texts: pa.Array, grades: np.ndarray, levels: int, bits: int = BITS, epochs: int = 30, rate: float = 0.5, l1: float = 1e-3, batch: int = 512, seed: int = 5, min_rows: int = MIN_ROWS, relevant: float = 0.3) -> OrdinalModel:
     """Two descents: the first finds the features that matter, the second fits only those.
 
     Words of fewer than ``min_rows`` labelled rows get no weight, nor do words whose first weight stays below
@@ -173,15 +175,21 @@ def fit(texts: pa.Array, grades: np.ndarray, levels: int, bits: int = BITS, epoc
     return fit_slots(np.concatenate(slots), lens, grades, levels, bits, epochs, rate, l1, batch, seed, min_rows, relevant)
 
 
-def fit_slots(slots: np.ndarray, lens: np.ndarray, grades: np.ndarray, levels: int, bits: int = BITS, epochs: int = 30, rate: float = 0.5, l1: float = 1e-3, batch: int = 512, seed: int = 5, min_rows: int = 4, relevant: float = 0.3) -> OrdinalModel:
+def fit_slots(slots: np.ndarray, lens: np.ndarray, grades: np.ndarray, levels: int, bits: int = BITS, epochs: int = 30, rate: float = 0.5, l1: float = 1e-3, batch: int = 512, seed: int = 5, min_rows: int = MIN_ROWS, relevant: float = 0.3) -> OrdinalModel:
     """``fit`` on feature slots, row after row, ``lens`` of them in each row."""
+    names, slot, rows = np.unique(slots, return_inverse=True, return_counts=True)
+    common = (rows >= min_rows) | (names >= 1 << bits)
+    held = common[slot]
+    lens = np.bincount(np.repeat(np.arange(len(grades)), lens)[held], minlength=len(grades))
+    return fit_common(names[common], (np.cumsum(common) - 1)[slot[held]].astype(np.int32), lens, grades, levels, bits, epochs, rate, l1, batch, seed, relevant)
+
+
+def fit_common(names: np.ndarray, slot: np.ndarray, lens: np.ndarray, grades: np.ndarray, levels: int, bits: int = BITS, epochs: int = 30, rate: float = 0.5, l1: float = 1e-3, batch: int = 512, seed: int = 5, relevant: float = 0.3) -> OrdinalModel:
+    """``fit_slots`` on the common slots alone: ``slot`` holds their positions in the sorted ``names``."""
     n = len(grades)
     owner = np.repeat(np.arange(n, dtype=np.int32), lens)
-    names, slot, rows = np.unique(slots, return_inverse=True, return_counts=True)
-    slot = slot.astype(np.int32)
-    del slots
     shape = names >= 1 << bits
-    wanted = (rows >= min_rows) | shape
+    wanted = np.ones(len(names), dtype=bool)
     batch = min(batch, max(16, n // 32))
     epochs = max(epochs, -(-1200 * batch // max(n, 1)))  # small samples take more rounds
     for _ in range(2):
@@ -236,27 +244,77 @@ def _slots(bits: int):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, grade: Column, levels: int, sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES, text: str = "text", key: str = "doc_id", bits: int = BITS, **settings) -> OrdinalModel | None:
+def _positions(names):
+    """Every row's slots as positions in the broadcast sorted ``names``; other slots go."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = names.value
+        for b in batches:
+            lists = b.column("slots")
+            found = lists.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            at = np.searchsorted(known, found)
+            held = known[np.minimum(at, len(known) - 1)] == found if len(known) else np.zeros(len(found), dtype=bool)
+            offsets = np.concatenate(([0], np.cumsum(np.bincount(owner[held], minlength=b.num_rows))))
+            cut = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(at[held].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column("grade"), b.column("mark"), cut], names=["grade", "mark", "slots"])
+
+    return run
+
+
+MODEL = "slots array<bigint>, weights array<double>, thresholds array<double>, grades array<int>"
+
+
+def _fitted(names, levels: int, bits: int, settings: dict):
+    """One row: the model of the rows of this task, and the grades they hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not sum(b.num_rows for b in parts):
+            return
+        rows = pa.Table.from_batches(parts).sort_by([("grade", "ascending"), ("mark", "ascending")])
+        del parts
+        lists = rows.column("slots").combine_chunks()
+        if isinstance(lists, pa.ChunkedArray):
+            lists = pa.concat_arrays(lists.chunks)
+        grades = rows.column("grade").to_numpy().astype(np.int64)
+        model = fit_common(names.value, lists.flatten().to_numpy(), np.diff(lists.offsets.to_numpy()), grades, levels, bits, **settings)
+        arrays = [pa.array([x.tolist()], pa.list_(t)) for x, t in ((model.slots, pa.int64()), (model.weights, pa.float64()), (model.thresholds, pa.float64()), (np.unique(grades), pa.int32()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["slots", "weights", "thresholds", "grades"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, grade: Column, levels: int, sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES, text: str = "text", key: str = "doc_id", bits: int = BITS, min_rows: int = MIN_ROWS, **settings) -> OrdinalModel | None:
     """Fit on the bounded labelled sample; None when no labelled row has a document.
 
     Whole texts are used; a sample beyond ``sample_features`` slots is thinned by rows, the same part of every
-    grade, never cut inside a text. Fails when a bound leaves no row of a grade that has labelled rows."""
+    grade, never cut inside a text. Fails when a bound leaves no row of a grade that has labelled rows.
+
+    Slots of fewer than ``min_rows`` sampled rows are counted out before anything is fitted; at most
+    ``sample_features / min_rows`` names (8 bytes each) are left and broadcast. One task, repeated elsewhere if its
+    executor is lost, runs the descents."""
+    spark = docs.sparkSession
     sample = labelled_sample(docs, labels, grade, sample_rows, text, key).withColumn("mark", F.xxhash64("text"))
     sample = materialize(sample.mapInArrow(_slots(bits), "grade int, mark long, slots array<bigint>"), "labelled")
     held = sample.groupBy("grade").agg(F.sum(F.size("slots")).alias("n")).collect()  # a row per grade
     total = sum(r["n"] for r in held)
+    if not held:
+        rated = labels.select(grade.cast("int").alias("grade"), F.col(key).alias("__k")).where("__k IS NOT NULL AND grade IS NOT NULL")
+        if rated.join(docs.select(F.col(key).alias("__k")), "__k", "left_semi").isEmpty():
+            return None
     if total > sample_features:
         sample = _thinned(sample, F.col("mark"), {r["grade"]: sample_features / total for r in held})
-    table = sample.toArrow().sort_by([("grade", "ascending"), ("mark", "ascending")])
-    grades = table.column("grade").to_numpy().astype(np.int64)
-    rated = labels.select(grade.cast("int").alias("grade"), F.col(key).alias("__k")).where("__k IS NOT NULL AND grade IS NOT NULL")
-    if table.num_rows == 0 and not held and rated.join(docs.select(F.col(key).alias("__k")), "__k", "left_semi").isEmpty():
-        return None
-    if not held or {r["grade"] for r in held} - set(grades.tolist()):
+    counted = sample.select(F.explode("slots").alias("slot")).groupBy("slot").agg(F.count("*").alias("n"))
+    common = counted.where((F.col("n") >= min_rows) | (F.col("slot") >= F.lit(1 << bits))).select("slot")
+    names = spark.sparkContext.broadcast(np.sort(common.toArrow().column("slot").to_numpy()))
+    cut = sample.mapInArrow(_positions(names), "grade int, mark long, slots array<int>")
+    row = cut.repartition(1).mapInArrow(_fitted(names, levels, bits, settings), MODEL).toArrow().to_pylist()
+    names.unpersist()
+    if not row or {r["grade"] for r in held} - set(row[0]["grades"]):
         raise RuntimeError(f"sample_rows={sample_rows} and sample_features={sample_features} leave no row of a labelled grade; raise them")
-    slots = table.column("slots").combine_chunks()
-    lens = np.diff(slots.offsets.to_numpy())
-    return fit_slots(slots.flatten().to_numpy(), lens, grades, levels, bits, **settings)
+    found = row[0]
+    return OrdinalModel(np.array(found["slots"], np.int64), np.array(found["weights"], float), np.array(found["thresholds"], float), bits)
 
 
 def _score(model: OrdinalModel, keep: list[str], text: str):

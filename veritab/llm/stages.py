@@ -15,13 +15,22 @@ from veritab.plans.registry import table
 SHINGLE, PERCENT = 5, 80  # near-duplicates: five-word shingles, similarity 0.8 or more
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.col(f"`{c}`").alias(f"__doc_{c}") for c in docs.columns])
+
+
+def _unmarked(rows: DataFrame, cols: list[str]) -> DataFrame:
+    return rows.select(*[F.col(f"`__doc_{c}`").alias(c) for c in cols])
+
+
 def grade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of the top grade reaches quality.KEEP; toxic and junk documents go. The model is
     fitted on the labelled rows of the documents table."""
-    cols = docs.columns
-    # the text stays in the row: the scorer passes every column through
-    kept = quality.grade_documents(docs, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cols)
-    return kept.where("keep").select(*cols)
+    # the text stays in the row: the scorer passes every column through, under names that clash with none of its own
+    inner = _marked(docs)
+    rated = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("__doc_text"))
+    kept = quality.grade_documents(inner, rated, table(spark, sf_dir, "labels"), inner.columns, "__doc_text")
+    return _unmarked(kept.where("keep"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +52,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any occurrence of a ten-word window of a benchmark item."""
-    cols = docs.columns
-    found = wumanber.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10, keep=cols)
-    return found.where(F.size("hit_runs") == 0).select(*cols)
+    inner = _marked(docs)
+    found = wumanber.decontaminate(inner, table(spark, sf_dir, "benchmark"), window=10, keep=inner.columns, text="__doc_text")
+    return _unmarked(found.where(F.size("hit_runs") == 0), docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
