@@ -77,3 +77,11 @@ def test_mix(spark):
     assert mixing.mix_sources(spark.createDataFrame([], DOCS))[0].count() == 0
     none = mixing.mix_sources(spark.createDataFrame([(1, None, None, None, None), (2, " ", None, "a", None)], DOCS))[0].collect()
     assert [r["taken"] for r in none] == [0, 0]
+
+
+def test_small_sources_come_near_their_targets(spark):
+    rows = [(i, f"w{i} " * 50, None, f"s{i:02d}", None) for i in range(60)]
+    out, _ = mixing.mix_sources(spark.createDataFrame(rows, DOCS))
+    got = out.collect()
+    want = targets({r[3]: 50 for r in rows})
+    assert len(got) == 60 and all(abs(r["taken"] - want[r["source"]]) <= 3 and r["taken"] <= 150 for r in got)

@@ -1,6 +1,7 @@
 """Mix sources to target weights in fixed-length blocks.
 
-Each source's words, in a pseudorandom document order, are packed into blocks of ``block_words`` words. The
+Each source's words, in a pseudorandom document order, are packed into blocks of ``block_words`` words; a small
+source has shorter blocks, so that its target is BLOCKS_PER_TARGET blocks at least (one word each at the least). The
 mix is a table of slots: every output shard draws how many of its slots go to each source (multinomial draws
 from what the sources still have to give, so the totals meet the targets exactly), slot j of a source takes
 block ``perm(j mod blocks)`` of that source, where perm is a keyed pseudorandom permutation (a small Feistel
@@ -22,6 +23,7 @@ from veritab.llm.words import mix
 
 WORDS = r"[^\x20\x09-\x0D]+"
 GROUP_ROWS = 1_000  # least size aimed at; larger tables aim at the square root of their rows
+BLOCKS_PER_TARGET = 32
 BROADCAST_SOURCES = 100_000  # tables with a row per source are broadcast up to this measured size
 
 
@@ -80,7 +82,7 @@ def _small(per_source: DataFrame, sources: int) -> DataFrame:
     return F.broadcast(per_source) if sources <= BROADCAST_SOURCES else per_source
 
 
-def packed(docs: DataFrame, block_words: int, seed: int, sources: int) -> DataFrame:
+def packed(docs: DataFrame, seed: int, sources: int) -> DataFrame:
     """Add ``first_word`` to (row, source, size): the position of each document's first word in its source's
     sequence. Documents come in a keyed pseudorandom order; a source is cut into hash groups of about
     sqrt(rows) documents (GROUP_ROWS at least), whose totals give the groups' first positions, so a source with a third of all
@@ -149,8 +151,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
     base = docs.select("doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("text_hash"))
     base = materialize(base, "mix-sizes")
     per = materialize(source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")), weights, max_repeats), "mix-targets")
-    blocks = F.ceil(F.col("source_size") / block_words).cast("long")
-    plan = per.withColumn("blocks", blocks).withColumn("slots", F.least(F.round(F.col("target") * share * F.try_divide("blocks", "source_size")), F.col("blocks") * max_repeats).cast("long"))
+    length = F.greatest(F.lit(1), F.least(F.lit(block_words), F.floor(F.least("source_size", "target") / BLOCKS_PER_TARGET))).cast("long")
+    per = per.withColumn("len", length)
+    plan = per.withColumn("blocks", F.expr("(source_size + len - 1) div len")).withColumn("slots", F.least(F.round(F.col("target") * share * F.try_divide("blocks", "source_size")), F.col("blocks") * max_repeats).cast("long"))
     plan = plan.withColumn("slots", F.coalesce("slots", F.lit(0)))
     small = {r["pos"]: (r["slots"], r["blocks"]) for r in plan.select("pos", "slots", "blocks").where("slots > 0").collect()}  # a row per source
     wanted = {p: s for p, (s, _) in small.items()}
@@ -162,11 +165,11 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), m
     slots = draws.mapInPandas(_slot_rows(seed), SLOTS)
     times = slots.groupBy("pos", "block").agg(F.count("*").alias("times"))
     sources = per.count()
-    rows = packed(base, block_words, seed, sources).join(_small(per.select(F.col("source").alias("s"), "source_size", "target", "pos"), sources), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    rows = packed(base, seed, sources).join(_small(per.select(F.col("source").alias("s"), "source_size", "target", "pos", "len"), sources), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
-    last = F.expr(f"(first_word + size - 1) div {block_words}")
-    parts = rows.where("size > 0").select("row", "pos", "first_word", "size", F.explode(F.sequence(F.expr(f"first_word div {block_words}"), last)).alias("block"))
-    overlap = F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("first_word"), F.col("block") * block_words)
+    last = F.expr("(first_word + size - 1) div len")
+    parts = rows.where("size > 0").select("row", "pos", "first_word", "size", "len", F.explode(F.sequence(F.expr("first_word div len"), last)).alias("block"))
+    overlap = F.least(F.col("first_word") + F.col("size"), (F.col("block") + 1) * F.col("len")) - F.greatest(F.col("first_word"), F.col("block") * F.col("len"))
     taken = parts.withColumn("words", overlap).join(times, ["pos", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     out = rows.join(taken, "row", "left").select("doc_id", "text_hash", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     return out, slots
