@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veritab.functions.columns import clip_lower, strip
+from veritab.functions.columns import clip_lower, known, strip
+from veritab.session import require_checkpoint_dir
 from veritab.spec import CREDIT_SPEC, TableSpec
 
 
@@ -85,6 +87,40 @@ def encode_target_sorted(df: DataFrame, target: str, out: str | None = None):
     return enc, model
 
 
+def category_codes(df: DataFrame, col: str, descending: bool = False) -> DataFrame:
+    """``(value, code, n)``: every known value of a column, its position in sorted order from 0, and its rows.
+
+    For columns with any number of values: the distinct values are range-partitioned and sorted, a row's position is its
+    place in its partition plus the rows of the partitions before, so neither the driver nor one task holds them all."""
+    require_checkpoint_dir(df.sparkSession)
+    counts = df.select(known(df, col).alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    order = F.col("value").desc() if descending else F.col("value").asc()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the id holds the partition and the place in it; the checkpoint keeps both
+    placed = counts.repartitionByRange(parts, order).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    placed = placed.select("value", "n", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    rows = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    first = rows.select("_part", (F.sum("_rows").over(W.orderBy("_part")) - F.col("_rows")).alias("_first"))  # a row per partition
+    return placed.join(F.broadcast(first), "_part").select("value", (F.col("_first") + F.col("_at")).alias("code"), "n")
+
+
+def encode_categories(df: DataFrame, col: str, codes: DataFrame, out: str | None = None, unseen: str = "error") -> DataFrame:
+    """Replace (or add as ``out``) a column by its code in a dictionary of :func:`category_codes`.
+
+    Missing values stay missing. A value outside the dictionary raises, or is NULL with ``unseen="null"``. The join
+    is left to adaptive execution: broadcast by measured size, else sorted with hot values split."""
+    if unseen not in ("error", "null"):
+        raise ValueError(f"unseen={unseen!r}: 'error' or 'null'")
+    out = out or col
+    book = codes.select(F.col("value").alias("__value"), F.col("code").alias("__code"))
+    rows = df.withColumn("__known", known(df, col)).join(book, F.col("__known") == F.col("__value"), "left")
+    code = F.col("__code")
+    if unseen == "error":
+        code = F.when(F.col("__known").isNotNull() & code.isNull(), F.raise_error(F.concat(F.lit(f"unseen category in {col}: "), F.col("__known").cast("string"))).cast("long")).otherwise(code)
+    names = [c for c in df.columns if c != out] + [out] if out not in df.columns else df.columns
+    return rows.withColumn(out, code).select(*[F.col(f"`{c}`") for c in names])
+
+
 def map_target(df: DataFrame, target: str, positive: str = "Approved", negative: str = "Rejected", out: str | None = None) -> DataFrame:
     """positive → 1, negative → 0, anything else → NULL."""
     c = F.col(target)

@@ -60,9 +60,16 @@ def add_bands(df: DataFrame, col: str, edges: Sequence[float], labels: Sequence[
     return df.withColumn(out, right_closed_bands(col, edges, labels))
 
 
-def category_values(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct non-null values of a column (each becomes a column of its own, so they are few by design)."""
-    return sorted(r[0] for r in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
+MAX_CATEGORIES = 10_000  # each becomes a column of its own
+
+
+def category_values(df: DataFrame, col: str, most: int = MAX_CATEGORIES) -> list[str]:
+    """Sorted distinct non-null values of a column; more than ``most`` raise (:func:`clean.category_codes` has no such
+    bound)."""
+    rows = df.where(F.col(col).isNotNull()).select(col).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{col} has more than {most} values; encode it by category_codes")
+    return sorted(r[0] for r in rows)
 
 
 def one_hot_dummies(df: DataFrame, col: str, categories: Sequence[str] | None = None, drop_first: bool = True, keep: bool = False) -> DataFrame:

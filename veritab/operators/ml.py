@@ -27,6 +27,7 @@ from veritab.operators import trees as T
 from veritab.operators.metrics import add_balanced_weights, classification_metrics, evaluation_report
 from veritab.operators.sampling import stratified_folds, stratified_split
 from veritab.plans.scratch import drop_path
+from veritab.spec import CREDIT_SPEC
 
 LABEL = "label"
 FEATURES = "features"
@@ -54,9 +55,13 @@ FITS_AT_ONCE = 4  # fold models of logistic regression and SVM fitted side by si
 TEST_SIZE = 0.2
 
 
-def build_preprocessor(numeric: Sequence[str], categorical: Sequence[str], n_rows: int | None = None, out: str = FEATURES) -> list:
-    """Stages: standardise numerics (population std when ``n_rows`` is given), one-hot categoricals over
+def build_preprocessor(numeric: Sequence[str] | None = None, categorical: Sequence[str] | None = None, n_rows: int | None = None, out: str = FEATURES) -> list:
+    """None takes the credit table's own lists, ``[]`` means no column of that kind. Stages: standardise numerics (population std when ``n_rows`` is given), one-hot categoricals over
     sorted categories dropping the first (unseen categories raise), assemble into ``out``."""
+    numeric = list(CREDIT_SPEC.numeric) if numeric is None else numeric
+    categorical = list(CREDIT_SPEC.categorical) if categorical is None else categorical
+    if not numeric and not categorical:
+        raise ValueError("no column to assemble")
     stages: list = []
     parts: list[str] = []
     if numeric:

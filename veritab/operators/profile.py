@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veritab.functions.columns import known, with_known
@@ -206,11 +206,19 @@ def chi2_independence(df: DataFrame, a: str, b: str, alpha: float = 0.05, yates:
     )
 
 
+def _corr(x: str, y: str) -> Column:
+    """Pearson correlation over the rows where both are known; NULL where a side is constant there."""
+    x, y = F.col(x).cast("double"), F.col(y).cast("double")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair (pairwise-complete rows), long form ``(column_a, column_b, corr)``."""
+    """Pearson correlation of every pair (pairwise-complete rows), long form ``(column_a, column_b, corr)``; a pair
+    with a constant side has NULL. For more than a few dozen columns take :func:`correlation_matrix_wide`."""
     df = with_known(df, cols)
     pairs = [(x, y) for i, x in enumerate(cols) for y in cols[i:]]
-    wide = df.agg(*[F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias(f"{x}|{y}") for x, y in pairs])
+    wide = df.agg(*[_corr(x, y).alias(f"{x}|{y}") for x, y in pairs])
     arr = []
     for x, y in pairs:
         v = F.col(f"`{x}|{y}`")
@@ -220,11 +228,106 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*arr)))
 
 
+GRAM_TILE = 256  # columns of a block
+GRAM_PAIRS = 1 << 20  # column pairs whose six sums a task holds at once (48 bytes a pair)
+
+
+GRAM_SUMS = "a int, i int, b int, sums array<double>"
+
+
+def _gram(tiles: list[tuple[int, int, list[int], list[int]]], shift: list[float]):
+    """One task's sums of every pair of the tiles: a row per (tile a, column of a, tile b) with six blocks of values
+    over the columns of b: pairs seen, sums of x and y, of their squares, and of x * y."""
+    import numpy as np
+    import pyarrow as pa
+
+    at = np.array(shift)
+
+    def run(batches):
+        held: dict = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) - at
+            seen = ~np.isnan(x)
+            big = np.isinf(x)
+            value, mark = np.where(seen & ~big, x, 0.0), seen.astype(float)
+            square, odd = value * value, big.astype(float) if big.any() else None
+            for a, b, left, right in tiles:
+                va, ma, sa, vb, mb, sb = value[:, left], mark[:, left], square[:, left], value[:, right], mark[:, right], square[:, right]
+                new = np.stack([ma.T @ mb, va.T @ mb, ma.T @ vb, sa.T @ mb, ma.T @ sb, va.T @ vb])
+                if odd is not None:  # an infinite value leaves every pair it takes part in without a correlation
+                    new[5][(odd[:, left].T @ mb + ma.T @ odd[:, right]) > 0] = np.nan
+                held[a, b] = held[a, b] + new if (a, b) in held else new
+        for (a, b), sums in held.items():
+            n = sums.shape[1]
+            rows = pa.array(list(sums.transpose(1, 0, 2).reshape(n, -1)), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([pa.array([a] * n, pa.int32()), pa.array(range(n), pa.int32()), pa.array([b] * n, pa.int32()), rows], names=["a", "i", "b", "sums"])
+
+    return run
+
+
+def _add_sums(batches):
+    """Sums of the rows of a task by (a, i, b): its share of the pairs, however many tasks sent rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    held: dict = {}
+    for batch in batches:
+        sums = batch.column("sums")
+        for r, key in enumerate(zip(*[batch.column(k).to_pylist() for k in ("a", "i", "b")])):
+            new = sums[r].values.to_numpy()
+            held[key] = held[key] + new if key in held else new
+    for (a, i, b), total in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([a], pa.int32()), pa.array([i], pa.int32()), pa.array([b], pa.int32()), pa.array([total], pa.list_(pa.float64()))], names=["a", "i", "b", "sums"])
+
+
+def correlation_matrix_wide(df: DataFrame, cols: Sequence[str], tile: int = GRAM_TILE, pairs_at_once: int = GRAM_PAIRS) -> DataFrame:
+    """:func:`correlation_matrix` for hundreds or thousands of columns: ``(column_a, column_b, corr)`` of every
+    ordered pair over the rows where both are known.
+
+    The columns are cut into tiles; a task adds up blocked products of values and presence masks, and the tasks' sums
+    are added up by pair. One scan serves ``pairs_at_once`` pairs and reads only their columns. Values are shifted by an
+    early value of their column, so that large means cost no digits. NULL where a pair has under two rows or a constant
+    side; NaN where an infinite value takes part."""
+    cols = list(cols)
+    wide = with_known(df.select(*[F.col(f"`{c}`") for c in dict.fromkeys(cols)]), cols)
+    wide = wide.select(*[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
+    finite = [F.when(~F.isnan(f"c{i}") & (F.abs(f"c{i}") < float("inf")), F.col(f"c{i}")) for i in range(len(cols))]
+    early = wide.limit(1000).agg(*[F.first(c, ignorenulls=True).alias(f"c{i}") for i, c in enumerate(finite)]).first()  # one row; only shifts
+    shift = [v or 0.0 for v in early]
+    tiles = [range(i, min(i + tile, len(cols))) for i in range(0, len(cols), tile)]
+    todo = [(a, b) for a in range(len(tiles)) for b in range(a, len(tiles))]
+    parts, names = [], F.array(*[F.lit(c) for c in cols])
+    per_pass = max(1, pairs_at_once // (tile * tile))
+    for k in range(0, len(todo), per_pass):
+        some = todo[k : k + per_pass]
+        used = sorted({c for pair in some for t in pair for c in tiles[t]})
+        at = {c: j for j, c in enumerate(used)}
+        work = [(a, b, [at[c] for c in tiles[a]], [at[c] for c in tiles[b]]) for a, b in some]
+        sums = wide.select(*[f"c{c}" for c in used]).mapInArrow(_gram(work, [shift[c] for c in used]), GRAM_SUMS)
+        parts.append(sums.repartition("a", "i").mapInArrow(_add_sums, GRAM_SUMS))
+    width = (F.size("sums") / 6).cast("int")
+    rows = reduce(DataFrame.unionByName, parts).withColumn("w", width)
+    pick = [F.slice("sums", F.lit(1) + F.lit(j) * F.col("w"), F.col("w")).alias(f"s{j}") for j in range(6)]
+    cell = rows.select("a", "i", "b", F.posexplode(F.arrays_zip(*pick)).alias("j", "s")).select((F.col("a") * tile + F.col("i")).alias("x"), (F.col("b") * tile + F.col("j")).alias("y"), "s.*")
+    cell = cell.where("x <= y")
+    n = F.col("s0")
+    xx, yy = F.col("s3") - F.col("s1") * F.try_divide("s1", n), F.col("s4") - F.col("s2") * F.try_divide("s2", n)
+    xy = F.col("s5") - F.col("s1") * F.try_divide("s2", n)
+    flat = (xx <= F.col("s3") * 1e-13) | (yy <= F.col("s4") * 1e-13)
+    r = F.when(F.isnan("s5"), F.col("s5")).when((n < 2) | flat, F.lit(None)).when(F.col("x") == F.col("y"), F.lit(1.0)).otherwise(xy / F.sqrt(xx) / F.sqrt(yy))
+    cell = cell.select("x", "y", r.cast("double").alias("corr"))
+    both = F.when(F.col("x") == F.col("y"), F.array(F.struct("x", "y"))).otherwise(F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y"))))
+    out = cell.select("corr", F.inline(both))
+    return out.select(F.element_at(names, F.col("x") + 1).alias("column_a"), F.element_at(names, F.col("y") + 1).alias("column_b"), "corr")
+
+
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target (target itself excluded), strongest first."""
     df = with_known(df, [*cols, target])
     feats = [c for c in cols if c != target]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in feats])
+    wide = df.agg(*[_corr(c, target).alias(c) for c in feats])
     return _stack(wide, [(c, c) for c in feats], "column", "corr").orderBy(F.abs("corr").desc_nulls_last(), "column")
 
 

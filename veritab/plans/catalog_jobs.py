@@ -41,6 +41,33 @@ def s1_s3_csv_roundtrip_customer(spark, sf):
     return files.read_csv(spark, customer_csv(spark, sf), CUSTOMER_SCHEMA)
 
 
+_LINE = "concat_ws(',', CAST(o_orderkey AS {t}), {cust}, o_orderstatus{last})"
+_CUST = "CASE WHEN o_orderkey % 29 = 0 THEN 'n/a' ELSE CAST(o_custkey AS {t}) END"
+
+
+def _damaged_line(text_type: str) -> str:
+    """Orders as CSV lines: some without the last field, some with one too many, some with a number that is none."""
+    whole = _LINE.format(t=text_type, cust="CAST(o_custkey AS " + text_type + ")", last="{}")
+    bad = _LINE.format(t=text_type, cust=_CUST.format(t=text_type), last=", o_orderpriority")
+    return f"CASE WHEN o_orderkey % 17 = 0 THEN {whole.format('')} WHEN o_orderkey % 23 = 0 THEN {whole.format(', o_orderpriority')} || ',x' ELSE {bad} END"
+
+
+@register(
+    "s1_malformed_csv_orders",
+    f"""WITH l AS (SELECT *, {_damaged_line('VARCHAR')} AS line, CASE WHEN o_orderkey % 17 = 0 OR o_orderkey % 23 = 0 THEN 'columns'
+      WHEN o_orderkey % 29 = 0 THEN 'o_custkey' END AS problem FROM orders)
+    SELECT 'valid' AS sink, o_orderkey, o_custkey, o_orderstatus, o_orderpriority, CAST(NULL AS VARCHAR) AS record, CAST(NULL AS VARCHAR) AS problem FROM l WHERE problem IS NULL
+    UNION ALL SELECT 'quarantine', NULL, NULL, NULL, NULL, line, problem FROM l WHERE problem IS NOT NULL""",
+)
+def s1_malformed_csv_orders(spark, sf):
+    source, valid, bad = (scratch_path(spark, n) for n in ("damaged", "valid", "quarantine"))
+    table(spark, sf, "orders").select(F.expr(_damaged_line("STRING"))).write.text(source)
+    schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"
+    files.split_csv(spark, source, valid, bad, StructType.fromDDL(schema), header=False)
+    good = spark.read.parquet(valid).withColumn("sink", F.lit("valid"))
+    return good.unionByName(spark.read.parquet(bad).withColumn("sink", F.lit("quarantine")), allowMissingColumns=True)
+
+
 @register(
     "s5_etl_job_customer",
     f"""SELECT {STRIP.format(c='c_name')} AS c_name, c_nationkey, CASE WHEN c_acctbal < 0 THEN 0 ELSE c_acctbal END AS c_acctbal,

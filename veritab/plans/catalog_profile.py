@@ -164,6 +164,19 @@ def a16_correlation_lineitem(spark, sf):
     return _r6(P.correlation_matrix(table(spark, sf, "lineitem"), LI_NUM), ["corr"])
 
 
+LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LI_NUM]
+
+
+@register(
+    "a16_correlation_wide_lineitem",
+    " UNION ALL ".join(
+        f"(SELECT '{x}' AS column_a, '{y}' AS column_b, round(corr({x}, {y}), 6) AS corr FROM lineitem)" for x in LI_ALL for y in LI_ALL
+    ),
+)
+def a16_correlation_wide_lineitem(spark, sf):
+    return _r6(P.correlation_matrix_wide(table(spark, sf, "lineitem"), LI_ALL, tile=3), ["corr"])
+
+
 @register(
     "a17_target_correlation_lineitem",
     " UNION ALL ".join(

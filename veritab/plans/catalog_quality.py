@@ -56,6 +56,24 @@ def t4_label_encode_orders(spark, sf):
     return df
 
 
+@register(
+    "t4_category_codes_lineitem",
+    """SELECT value, row_number() OVER (ORDER BY value) - 1 AS code, n
+    FROM (SELECT CAST(l_partkey AS VARCHAR) AS value, count(*) AS n FROM lineitem GROUP BY 1)""",
+)
+def t4_category_codes_lineitem(spark, sf):
+    return C.category_codes(table(spark, sf, "lineitem").select(F.col("l_partkey").cast("string").alias("part")), "part")
+
+
+@register(
+    "t16_category_codes_customer",
+    "SELECT c_custkey, dense_rank() OVER (ORDER BY c_name DESC) - 1 AS c_name FROM customer",
+)
+def t16_category_codes_customer(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    return C.encode_categories(c, "c_name", C.category_codes(c, "c_name", descending=True))
+
+
 @register(
     "t5_map_target_orders",
     "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 END AS target FROM orders",

@@ -72,6 +72,33 @@ def cast_failures(spark: SparkSession, path: str, schema: StructType = CREDIT_SC
     return counts.select(F.inline(F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("failed")) for f in typed])))
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType = CREDIT_SCHEMA, header: bool = True) -> DataFrame:
+    """:func:`read_csv` with two more columns: ``record``, the line where it is malformed, and ``problem``: NULL for a good
+    row, ``columns`` where a line has too few or too many fields, else the names of the columns whose value does not fit.
+
+    The schema's columns are those the parser could read; with a header they are taken by name. A blank value is NULL,
+    not a problem."""
+    names = spark.read.option("header", True).csv(path).columns if header else schema.names
+    layout = StructType([StructField(n, StringType()) for n in [*names, "__record"]])
+    reader = spark.read.schema(layout).option("header", header).option("mode", "PERMISSIVE")
+    # without pruning every line is split whole, whichever columns a query takes
+    raw = reader.option("columnNameOfCorruptRecord", "__record").option("columnPruning", False).csv(path)
+    marked = raw.withColumn("__line", F.to_csv(F.struct(*[F.col(f"`{n}`") for n in names])))
+    text = _by_name(marked, StructType([*schema.fields, StructField("__record", StringType()), StructField("__line", StringType())]))
+    wrong = [F.when((F.trim(f"`{f.name}`") != "") & _cast(f).isNull(), F.lit(f.name)) for f in schema.fields if not isinstance(f.dataType, StringType)]
+    named = F.concat_ws(",", *wrong) if wrong else F.lit("")
+    problem = F.when(F.col("__record").isNotNull(), F.lit("columns")).when(named != "", named)
+    record = F.when(problem.isNotNull(), F.coalesce("__record", "__line"))
+    return text.select(*[_cast(f).alias(f.name) for f in schema.fields], record.alias("record"), problem.alias("problem"))
+
+
+def split_csv(spark: SparkSession, path: str, valid_path: str, quarantine_path: str, schema: StructType = CREDIT_SCHEMA, header: bool = True) -> None:
+    """Write the good rows of a CSV as Parquet and the malformed ones as ``(record, problem)`` Parquet (a scan each)."""
+    rows = read_csv_checked(spark, path, schema, header)
+    rows.where("problem IS NULL").drop("record", "problem").write.mode("overwrite").parquet(valid_path)
+    rows.where("problem IS NOT NULL").select("record", "problem").write.mode("overwrite").parquet(quarantine_path)
+
+
 def read_monitoring_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """Reference or current table for monitoring: CSV read with header names stripped."""
     df = read_csv(spark, path, schema)
