@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from veritab.operators import drift as D
 from veritab.plans.jobs import monitoring_snapshot
 
+# Inputs and expectations of the ported assertions.
 COLS = {
     "income_annum": [500000, 600000, 700000, 800000, 900000, 1000000],
     "loan_amount": [200000, 250000, 300000, 350000, 400000, 450000],

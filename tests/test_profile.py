@@ -125,3 +125,8 @@ def test_grouped_describe_gives_null_group_its_quantiles(spark):
     d = {r["g"]: r for r in describe(spark.createDataFrame(rows, "g string, x double"), ["x"], by=["g"]).collect()}
     assert d[None]["count"] == 11 and d[None]["p50"] == 5.0 and d[None]["p25"] == float(np.quantile(range(11), 0.25))
     assert d["a"]["p75"] == 6.0
+
+
+def test_value_counts_come_most_frequent_first(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "g string")
+    assert [(r["value"], r["count"]) for r in P.value_counts(df, "g").collect()] == [("c", 2), ("a", 1), ("b", 1)]

@@ -49,10 +49,10 @@ def distinct_counts(df: DataFrame, cols: Sequence[str] | None = None, approx: bo
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
-    """``(value, count, share)`` with NULLs excluded; share = count / non-null rows."""
+    """``(value, count, share)``, most frequent first (ties by value), NULLs excluded; share = count / non-null rows."""
     vc = df.select(known(df, col).alias("value")).where("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("count"))
     total = vc.select(F.sum("count")).scalar()  # from the aggregated counts, not another scan of the table
-    return vc.withColumn("share", F.col("count") / total)
+    return vc.withColumn("share", F.col("count") / total).orderBy(F.desc("count"), "value")
 
 
 def majority_share(df: DataFrame, col: str, places: int = 4) -> DataFrame:
