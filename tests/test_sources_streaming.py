@@ -97,7 +97,7 @@ def test_scoring_runs_on_a_stream(spark, tmp_path):
     q = ML.score(model, stream, keep=["x"]).writeStream.format("memory").queryName("scored").trigger(availableNow=True).start()
     q.awaitTermination(120)
     out = spark.sql("select * from scored")
-    assert out.count() == 40 and set(out.columns) == {"x", "prediction", "probability", "label_text"}
+    assert out.count() == 40 and set(out.columns) == {"x", "prediction", "approved", "probability", "label_text"}
 
 
 def test_csv_columns_by_stripped_header_name(spark, tmp_path):
