@@ -49,6 +49,22 @@ def test_crowded_anchor_groups_give_the_same(spark, monkeypatch):
     assert run(spark, texts, 60) == brute(texts, 60)
 
 
+def test_key_lists_instead_of_a_filter_give_the_same(spark, monkeypatch):
+    texts = corpus()
+    monkeypatch.setattr(repeats, "FILTER_BITS", 8)
+    assert run(spark, texts, 60) == brute(texts, 60)
+    monkeypatch.setattr(repeats, "GROUP_SEGMENTS", 2)
+    assert run(spark, texts, 60) == brute(texts, 60)
+
+
+def test_columns_named_like_inner_ones(spark):
+    texts = [t for t in corpus() if t][:8] * 2
+    df = frame(spark, texts).withColumnRenamed("lang", "h").withColumnRenamed("source", "spans")
+    got = repeats.remove_repeats(df.withColumn("key", df["h"]), ["doc_id", "h", "spans", "key", "text"], 60)
+    assert {"h", "spans", "key", "text"} < set(got.columns)
+    assert {r["doc_id"]: r["n_bytes"] - sum(s["b"] - s["a"] for s in r["removed"]) for r in got.collect()} == {k: v[0] - v[1] for k, v in brute(texts, 60).items()}
+
+
 def test_long_text_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(repeats, "CHUNK", 500)
     rng = random.Random(9)

@@ -7,9 +7,11 @@ included) is removed.
    of a third of that length, a choice that depends on the window's content only. Consecutive windows with the same anchor
    form one segment. Equal windows have equal anchor substrings, so only segments whose anchor substring
    occurs at least twice in the corpus can hold a repeated window; the others are done.
-2. Segments that remain are cut from the texts and equal ones are counted once with their number (map-side
-   combined, so groups of copies shrink before the shuffle). Segments with the same anchor substring meet in
-   one task, in bounded batches.
+2. The anchor substrings that occur twice become a bit filter, which goes to the tasks; segments that pass it are cut
+   where the texts are read, so no text is shuffled for that and only candidates are. More such substrings than
+   FILTER_BITS can tell apart are joined to the texts as lists of keys instead. Equal segments are counted once with
+   their number (combined in the task first; a task passes on a text at most twice, which is enough to know that it
+   repeats). Segments with the same anchor substring meet in one task, in bounded batches.
 3. Run-length index. For the batch's segments the Burrows-Wheeler transform is built and run-compressed, with
    suffix-array samples at the first and last row of every run. The longest match of a suffix with its
    predecessor (successor) in suffix order drops by exactly one per text position between samples, so only
@@ -18,25 +20,31 @@ included) is removed.
    and all windows of a segment that occurs more than once, are marked.
    An anchor group with more than GROUP_SEGMENTS different segments is not indexed in one task: its windows
    are counted by 128-bit hash instead (map-side combined), which marks the same windows.
-4. Marks go back to the texts that hold the segments and are merged into maximal runs.
+4. The places of the segments are found again where the texts are read, meet the marks, and the marks are merged into
+   maximal runs of each text. Texts shorter than ``length`` take no part in any join.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritab.llm import words as wd
-from veritab.llm.store import materialize, release_finished
+from veritab.llm.skew import bit_filter, in_filter, join_counted
+from veritab.llm.store import drop_table, write_table
 
 CHUNK = 1 << 20
 BATCH_BYTES = 1 << 18
 GROUP_SEGMENTS = 4096
+FILTER_BITS = 1 << 29  # 64 MB, the largest filter that is sent to the tasks
+BITS_PER_KEY = 4  # a filter with fewer lets too many other segments through
 
 
 def gram_for(length: int) -> int:
@@ -93,23 +101,104 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return row[begin], start[begin] - offsets[row[begin]], start[last] - offsets[row[last]], h[a[begin]]
 
 
-def _anchor_rows(length: int):
+def _segments(batches: Iterator[pa.RecordBatch], length: int, most: int) -> Iterator[tuple]:
+    """(batch, row, first window in the text, first and end byte in ``data``, anchor hash, data) of every piece's
+    segments. A text that the task has met ``most`` times already is left out."""
+    met: Counter = Counter()
+    for b in batches:
+        fresh = []
+        for h in b.column("__h").to_pylist():
+            met[h] += 1
+            fresh.append(met[h] <= most)
+        if not all(fresh):
+            b = b.filter(pa.array(fresh))
+        for first, data, offsets in wd.pieces(b.column("__text"), CHUNK):
+            if len(offsets) == 2 and offsets[1] > 2 * CHUNK:  # one very long text, in chunks that share length-1 bytes
+                parts = ((c, data[c : c + CHUNK + length - 1]) for c in range(0, int(offsets[1]) - length + 1, CHUNK))
+                cut = ((c, part, np.array([0, len(part)])) for c, part in parts)
+            else:
+                cut = ((0, data, offsets),)
+            for base, part, bounds in cut:
+                row, low, high, key = anchors(part, bounds, length)
+                begin = bounds[row] + low
+                yield b, row + first, low + base, begin, begin + (high - low) + length, key, part
+
+
+def _keys(length: int):
+    """Anchor hashes of the segments with their number in the piece."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column("h")
-            for first, data, offsets in wd.pieces(b.column("text"), CHUNK):
-                if len(offsets) == 2 and offsets[1] > 2 * CHUNK:  # one very long text, in chunks that share length-1 bytes
-                    for c in range(0, int(offsets[1]) - length + 1, CHUNK):
-                        part = data[c : c + CHUNK + length - 1]
-                        yield _segment_batch(ids, first, c, *anchors(part, np.array([0, len(part)]), length))
-                else:
-                    yield _segment_batch(ids, first, 0, *anchors(data, offsets, length))
+        for *_, key, _data in _segments(batches, length, 2):
+            one, n = np.unique(key.view(np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(n, pa.int64())], names=["key", "n"])
+
+    return run
+
+
+def _chosen(b: pa.RecordBatch, row: np.ndarray, key: np.ndarray, bits: Broadcast | None) -> np.ndarray:
+    """Which segments may repeat: by the filter, or by the list of keys that came with the text."""
+    if bits is not None:
+        return in_filter(bits.value, key.view(np.int64))
+    lists = b.column("__keys")
+    owner = np.repeat(np.arange(len(lists), dtype=np.uint64), lists.value_lengths().to_numpy(zero_copy_only=False))
+    listed = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+    return np.isin(key ^ wd.mix(row.astype(np.uint64)), listed ^ wd.mix(owner))
+
+
+def _names(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hash of every data[begin:end], as two numbers."""
+    power, inverse = wd._power(len(data) + 1)
+    out = []
+    for salt in (2, 3):
+        total = np.zeros(len(data) + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(wd.mix(_CODES + np.uint64(salt))[data] * power[: len(data)], out=total[1:])
+            out.append(wd.mix((total[end] - total[begin]) * inverse[begin] + (end - begin).astype(np.uint64)))
+    return out[0], out[1]
+
+
+def _strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.Array:
+    to = np.concatenate(([0], np.cumsum(end - begin)))
+    got = data[np.repeat(begin - to[:-1], end - begin) + np.arange(to[-1])]
+    return pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(to.astype(np.int32)), pa.py_buffer(got)])
+
+
+def _cut(length: int, bits: Broadcast | None):
+    """(key, s1, s2, s, n): segments that may repeat, equal ones of a piece together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, row, _low, begin, end, key, data in _segments(batches, length, 2):
+            ok = _chosen(b, row, key, bits)
+            key, begin, end = key[ok], begin[ok], end[ok]
+            s1, s2 = _names(data, begin, end)
+            _, at, n = np.unique(s1 ^ wd.mix(s2), return_index=True, return_counts=True)
+            for i in range(0, len(at), 4096):
+                a = at[i : i + 4096]
+                longs = [pa.array(x[a].view(np.int64)) for x in (key, s1, s2)]
+                yield pa.RecordBatch.from_arrays([*longs, _strings(data, begin[a], end[a]), pa.array(n[i : i + 4096], pa.int64())], names=["key", "s1", "s2", "s", "n"])
 
     return run
 
 
-def _segment_batch(ids: pa.Array, first: int, base: int, row: np.ndarray, low: np.ndarray, high: np.ndarray, key: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([ids.take(pa.array(row + first)), pa.array(low + base, pa.int64()), pa.array(high + base, pa.int64()), pa.array(key.view(np.int64))], names=["h", "low", "high", "key"])
+def _places(length: int, bits: Broadcast | None):
+    """(__h, key, s1, s2, lows): where a text has its segments that may repeat."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, row, low, begin, end, key, data in _segments(batches, length, 1):
+            ok = _chosen(b, row, key, bits)
+            row, low, key = row[ok], low[ok], key[ok]
+            if not len(row):
+                continue
+            s1, s2 = _names(data, begin[ok], end[ok])
+            name = s1 ^ wd.mix(s2)
+            order = np.lexsort((low, name, row))
+            head = np.flatnonzero(np.concatenate(([True], (row[order][1:] != row[order][:-1]) | (name[order][1:] != name[order][:-1]))))
+            a = order[head]
+            lows = pa.ListArray.from_arrays(pa.array(np.append(head, len(order)), pa.int32()), pa.array(low[order], pa.int64()))
+            longs = [pa.array(x[a].view(np.int64)) for x in (key, s1, s2)]
+            yield pa.RecordBatch.from_arrays([b.column("__h").take(pa.array(row[a])), *longs, lows], names=["__h", "key", "s1", "s2", "lows"])
+
+    return run
 
 
 class RunLengthIndex:
@@ -212,39 +301,51 @@ _RUN = pa.struct([("a", pa.int64()), ("b", pa.int64())])
 
 
 def _index(length: int):
-    """Segments sorted by key: batches of whole key groups go through one index each."""
+    """Segments sorted by key: batches of whole key groups go through one index each. A group of more than
+    GROUP_SEGMENTS different segments gives one row without ``runs`` instead."""
+
+    def marks(rows: list[tuple]) -> pa.RecordBatch:
+        runs = repeated_windows([r[3] for r in rows], [r[4] for r in rows], length)
+        return table([(*r[:3], [{"a": a, "b": b} for a, b in u]) for r, u in zip(rows, runs) if u])
 
-    def marks(rows: list[tuple[int, bytes, bytes, int]]) -> pa.RecordBatch:
-        runs = repeated_windows([r[2] for r in rows], [r[3] for r in rows], length)
-        keep = [(r[0], r[1], [{"a": a, "b": b} for a, b in u]) for r, u in zip(rows, runs) if u]
-        return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keep], pa.int64()), pa.array([k[1] for k in keep], pa.binary()), pa.array([k[2] for k in keep], pa.list_(_RUN))], names=["key", "sid", "runs"])
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        longs = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
+        return pa.RecordBatch.from_arrays([*longs, pa.array([r[3] for r in rows], pa.list_(_RUN))], names=["key", "s1", "s2", "runs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, open_rows, sure_rows, held = [], [], [], 0
+        group, size, open_rows, sure_rows, held = [], 0, [], [], 0
 
-        def close():
+        def close() -> list[tuple]:
             # a group whose segments all occur more than once is marked whole; a single one has no other to match
-            nonlocal held, group
-            if all(r[3] > 1 for r in group):
+            nonlocal held, group, size
+            crowded = [(group[0][0], None, None, None)] if size > GROUP_SEGMENTS else []
+            if not crowded and all(r[4] > 1 for r in group):
                 sure_rows.extend(group)
-            elif len(group) > 1:
+            elif not crowded and size > 1:
                 open_rows.extend(group)
-                held += sum(len(r[2]) for r in group)
-            group = []
+                held += sum(len(r[3]) for r in group)
+            group, size = [], 0
+            return crowded
 
         for b in batches:
-            t = b.to_pydict()
-            for row in zip(t["key"], t["sid"], t["s"], t["n"]):
+            t, crowded = b.to_pydict(), []
+            for row in zip(t["key"], t["s1"], t["s2"], t["s"], t["n"]):
                 if group and row[0] != group[0][0]:
-                    close()
+                    crowded += close()
                     if held >= BATCH_BYTES:
                         yield marks(open_rows)
                         open_rows, held = [], 0
-                group.append(row)
+                size += 1
+                if size <= GROUP_SEGMENTS:
+                    group.append(row)
+            if crowded:
+                yield table(crowded)
             if sure_rows:
                 yield marks(sure_rows)
                 sure_rows = []
-        close()
+        crowded = close() if group else []
+        if crowded:
+            yield table(crowded)
         for rows in (open_rows, sure_rows):
             if rows:
                 yield marks(rows)
@@ -253,62 +354,86 @@ def _index(length: int):
 
 
 def _hot_windows(length: int):
-    """(key, sid, offset, w1, w2, n): every window of a segment with its 128-bit hash."""
+    """(key, s1, s2, offset, w1, w2, n): every window of a segment with its 128-bit hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t = b.to_pydict()
-            for key, sid, s, c in zip(t["key"], t["sid"], t["s"], t["n"]):
+            for key, s1, s2, s, c in zip(t["key"], t["s1"], t["s2"], t["s"], t["n"]):
                 data = np.frombuffer(s, dtype=np.uint8)
                 one, two = rolling(data, length).view(np.int64), rolling(data, length, 1).view(np.int64)
                 m = len(one)
-                yield pa.RecordBatch.from_arrays([pa.array([key] * m, pa.int64()), pa.array([sid] * m, pa.binary()), pa.array(np.arange(m)), pa.array(one), pa.array(two), pa.array([c] * m, pa.int64())], names=["key", "sid", "o", "w1", "w2", "n"])
+                same = [pa.array([x] * m, pa.int64()) for x in (key, s1, s2)]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(np.arange(m)), pa.array(one), pa.array(two), pa.array([c] * m, pa.int64())], names=["key", "s1", "s2", "o", "w1", "w2", "n"])
 
     return run
 
 
-def _indexed(segments: DataFrame, length: int) -> DataFrame:
-    """Marks of the segments by the run-length index, whole anchor groups together."""
-    return segments.repartition("key").sortWithinPartitions("key", "sid").mapInArrow(_index(length), "key long, sid binary, runs array<struct<a:long,b:long>>")
+_SEGMENT = ["key", "s1", "s2"]
+
+
+def _distinct(texts: DataFrame, length: int, bits: Broadcast | None) -> DataFrame:
+    cut = texts.mapInArrow(_cut(length, bits), "key long, s1 long, s2 long, s binary, n long")
+    return cut.groupBy(*_SEGMENT, "s").agg(F.sum("n").alias("n"))
 
 
 def _counted(segments: DataFrame, length: int) -> DataFrame:
     """Marks of crowded groups by window counts."""
-    windows = segments.mapInArrow(_hot_windows(length), "key long, sid binary, o long, w1 long, w2 long, n long")
+    windows = segments.mapInArrow(_hot_windows(length), "key long, s1 long, s2 long, o long, w1 long, w2 long, n long")
     twice = windows.groupBy("key", "w1", "w2").agg(F.sum("n").alias("n")).where("n > 1").select("key", "w1", "w2")
-    found = windows.drop("n").join(twice, ["key", "w1", "w2"]).groupBy("key", "sid")
+    found = windows.drop("n").join(twice, ["key", "w1", "w2"]).groupBy(*_SEGMENT)
     return found.agg(F.transform(F.array_sort(F.collect_set("o")), lambda o: F.struct(o.alias("a"), o.alias("b"))).alias("runs"))
 
 
 def repeated_spans(texts: DataFrame, length: int = 200) -> DataFrame:
-    """(h, spans) for every different text with a repeated string: maximal byte runs [a, b) to remove.
-
-    ``texts`` has h (128-bit hash of the text) and text. Texts shorter than ``length`` have none; a text that
-    occurs twice is repeated as a whole, which its windows' counts show."""
-    # read twice, for the counts and for the join: finding anchors again costs less than writing them all
-    seg = texts.where(F.octet_length("text") >= length).mapInArrow(_anchor_rows(length), "h binary, low long, high long, key long")
-    often = seg.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    # copies of a text bring the same segments once more each, which gives their number
-    left = seg.join(often, "key").groupBy("h").agg(F.collect_set(F.struct("low", "high", "key")).alias("parts"), F.count("*").alias("rows"))
-    per_text = left.select("h", "parts", F.expr("rows div size(parts)").alias("copies"))
-    one_text = texts.groupBy("h").agg(F.first("text").alias("text"))
-    cut = per_text.join(one_text, "h").select("h", "copies", F.col("text").cast("binary").alias("raw"), F.explode("parts").alias("p"))
-    cut = cut.select("h", "copies", F.col("p.low").alias("low"), F.col("p.key").alias("key"), F.expr(f"substring(raw, int(p.low) + 1, int(p.high - p.low) + {length})").alias("s"))
-    cut = materialize(cut.withColumn("sid", F.unhex(F.md5("s"))), "cut")
-    release_finished(texts.sparkSession)
-    distinct = cut.groupBy("key", "sid", "s").agg(F.sum("copies").alias("n"))
-    # the crowded groups are found without their strings; most corpora have none
-    crowd = cut.select("key", "sid").distinct().groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > GROUP_SEGMENTS).select("key")
-    crowd = materialize(crowd, "crowded")
-    if crowd.isEmpty():
-        marks = _indexed(distinct, length)
+    """(__h, __spans) for every different text with a repeated string: byte runs [a, b) to remove.
+
+    ``texts`` has __h (128-bit hash of the text) and __text. Texts shorter than ``length`` have none; a text that
+    occurs twice is repeated as a whole, which its segments' counts show."""
+    spark, used = texts.sparkSession, []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        out, path = write_table(df, name)
+        used.append(path)
+        return out
+
+    # the texts are read three times: finding anchors again costs less than writing them all
+    texts = texts.where(F.octet_length("__text") >= length)
+    counts = texts.mapInArrow(_keys(length), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    often = kept(counts.where("n > 1").select("key"), "anchors")
+    bits = None
+    if often.count() * BITS_PER_KEY <= FILTER_BITS:
+        bits = spark.sparkContext.broadcast(bit_filter(often, "key", FILTER_BITS))
     else:
-        marks = _indexed(distinct.join(crowd, "key", "left_anti"), length).unionByName(_counted(distinct.join(crowd, "key"), length))
-    spans = cut.select("h", "low", "key", "sid").join(marks, ["key", "sid"])
-    spans = spans.select("h", F.transform("runs", lambda r: F.struct((F.col("low") + r["a"]).alias("a"), (F.col("low") + r["b"] + length).alias("b"))).alias("s"))
-    spans = materialize(spans.groupBy("h").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
-    release_finished(texts.sparkSession)
-    return spans
+        each = texts.mapInArrow(_text_keys(length), "__h binary, key long").join(often, "key").groupBy("__h").agg(F.collect_set("key").alias("__keys"))
+        one = texts.groupBy("__h").agg(F.first("__text").alias("__text"), F.least(F.count("*"), F.lit(2)).alias("__n"))
+        texts = kept(one.join(each, "__h").withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int")))), "candidates")
+    sorted_ = _distinct(texts, length, bits).repartition("key").sortWithinPartitions(*_SEGMENT)
+    marks = kept(sorted_.mapInArrow(_index(length), "key long, s1 long, s2 long, runs array<struct<a:long,b:long>>"), "marks")
+    crowd = marks.where("runs is null").select("key")
+    marks = marks.where("runs is not null")
+    if not crowd.isEmpty():
+        few = bits if bits is None else spark.sparkContext.broadcast(bit_filter(crowd, "key", FILTER_BITS))
+        marks = marks.unionByName(_counted(_distinct(texts, length, few).join(crowd, "key"), length))
+    places = texts.mapInArrow(_places(length, bits), "__h binary, key long, s1 long, s2 long, lows array<long>")
+    met = places.join(marks, _SEGMENT)
+    spans = F.flatten(F.transform("lows", lambda low: F.transform("runs", lambda r: F.struct((low + r["a"]).alias("a"), (low + r["b"] + length).alias("b")))))
+    # copies of a text bring equal spans, which count once
+    out, _ = write_table(met.select("__h", spans.alias("s")).groupBy("__h").agg(F.flatten(F.collect_set("s")).alias("__spans")), "spans")
+    for path in used:
+        drop_table(spark, path)
+    return out
+
+
+def _text_keys(length: int):
+    """(__h, key) of every segment, each pair once per piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, row, _low, _begin, _end, key, _data in _segments(batches, length, 1):
+            pairs = np.unique(np.stack([row.astype(np.int64), key.view(np.int64)]), axis=1)
+            yield pa.RecordBatch.from_arrays([b.column("__h").take(pa.array(pairs[0])), pa.array(pairs[1])], names=["__h", "key"])
+
+    return run
 
 
 def merge(spans) -> list[tuple[int, int]]:
@@ -325,7 +450,7 @@ def merge(spans) -> list[tuple[int, int]]:
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         n, runs, digest = [], [], []
-        for text, spans in zip(b.column("text"), b.column("spans").to_pylist()):
+        for text, spans in zip(b.column("__text"), b.column("__spans").to_pylist()):
             raw = text.as_buffer() if text.is_valid else None
             view = memoryview(raw) if raw is not None else memoryview(b"")
             merged, at, h = merge(spans or ()), 0, hashlib.sha256()
@@ -336,8 +461,8 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n.append(len(view))
             runs.append([{"a": a, "b": z} for a, z in merged])
             digest.append(h.hexdigest())
-        keep = [b.column(c) for c in b.schema.names if c not in ("text", "spans")]
-        names = [c for c in b.schema.names if c not in ("text", "spans")]
+        keep = [b.column(c) for c in b.schema.names if c not in ("__text", "__spans")]
+        names = [c for c in b.schema.names if c not in ("__text", "__spans")]
         yield pa.RecordBatch.from_arrays([*keep, pa.array(n, pa.int64()), pa.array(runs, pa.list_(_RUN)), pa.array(digest)], names=[*names, "n_bytes", "removed", "kept_sha256"])
 
 
@@ -349,11 +474,17 @@ def remove_repeats(docs: DataFrame, keep: list[str], length: int = 200, text: st
     clash = {"n_bytes", "removed", "kept_sha256"} & set(keep)
     if clash:
         raise ValueError(f"columns {sorted(clash)} are made by this operator")
-    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.unhex(F.md5("text")))
-    spans = repeated_spans(rows.select("h", "text"), length)
+    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).withColumn("__h", F.unhex(F.md5("__text")))
+    long, short = rows.where(F.octet_length("__text") >= length), rows.where(F.octet_length("__text") < length)
+    spans = repeated_spans(rows.select("__h", "__text"), length)
+    # a text that a large share of the rows hold is joined in several tasks
+    copies = long.groupBy("__h").agg(F.count("*").alias("__n"))
+    placed = long.withColumn("__row", F.monotonically_increasing_id())
+    joined = join_counted(placed, spans.join(copies, "__h"), "__h", "__n", ["__row"], docs.count())
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    joined = rows.join(spans, "h", "left").select(*keep, "text", "spans")
-    return joined.mapInArrow(_removed, f"{kinds}, n_bytes long, removed array<struct<a:long,b:long>>, kept_sha256 string")
+    none = F.lit(None).cast("array<struct<a:long,b:long>>").alias("__spans")
+    both = joined.select(*keep, "__text", "__spans").unionByName(short.select(*keep, "__text", none))
+    return both.mapInArrow(_removed, f"{kinds}, n_bytes long, removed array<struct<a:long,b:long>>, kept_sha256 string")
 
 
 def digest(found: DataFrame) -> DataFrame:
