@@ -21,14 +21,6 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/veritab-llm/{name}-{uuid.uuid4().hex}"
 
 
-def release_finished(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps now.
-
-    Shuffle files go when the driver's JVM collects the plans that made them, which may be long after a table was
-    written; an operator that shuffles texts in several steps asks for that between them."""
-    spark.sparkContext._jvm.System.gc()
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return the table as read back."""
     path = shared_path(df.sparkSession, name)
