@@ -40,3 +40,12 @@ def test_few_rows_and_empty(spark):
     assert hilbert.shard_documents(spark.createDataFrame([], DOCS)).count() == 0
     bare = spark.createDataFrame([(1, "x"), (1, "x")], "doc_id long, text string")
     assert sorted(r["shard"] for r in hilbert.shard_documents(bare).collect()) == [0, 4]
+
+
+@pytest.mark.parametrize("subcell", [1, 20_000])
+def test_shards_follow_the_curve(spark, monkeypatch, subcell):
+    monkeypatch.setattr(hilbert, "SUBCELL_ROWS", subcell)
+    out = hilbert.shard_documents(frame(spark, some_texts(n=120) + ["hot"] * 150))
+    place = hilbert.hilbert_index(list(hilbert.document_cells().values()), 4)
+    cells = [r["place"] for r in out.withColumn("place", place).orderBy("shard", "slot").collect()]
+    assert cells == sorted(cells) and len(set(cells)) > 8
