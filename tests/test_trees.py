@@ -155,3 +155,22 @@ def test_search_and_experiment(spark, loans, tmp_path, monkeypatch, name):
     assert {r["key"] for r in store.read(H.PARAMS).collect()} == set(best)
     with pytest.raises(ValueError):
         ML.make_estimator(name, {"depth": 3})
+
+
+def test_equal_rows_are_combined(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(3000, 2)))
+    y = (x[:, 0] + rng.normal(size=3000) > 0).astype(int)
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], int(y[i]), i % 3) for i in range(3000)], "id long, x array<double>, label int, fold int")
+    edges = T.bin_edges(df, "x", 16)
+    table, _ = T.binned_table(df, "x", "label", edges, ["id"], fold="fold")
+    models = [(T.Boosting(n_estimators=3, max_depth=3), None), (T.Boosting(n_estimators=3, max_depth=3), 1),
+              (T.Forest(n_estimators=4, max_depth=5, min_samples_leaf=3, class_weight="balanced_subsample"), 0), (T.Forest(n_estimators=2), None)]
+    rows, path = T.combine(table, edges, [how for how, _ in models])
+    got = rows.agg({"n": "sum", "y": "count"}).first()
+    assert path and got["sum(n)"] == 3000 and got["count(y)"] == table.select("y", "w", "fold", "bins").distinct().count() < 750
+    bins = T.bin_matrix(x, edges)
+    for a, b in zip(T.grow(table, edges, models), T.grow(rows, edges, models, bagged=table)):
+        assert [t.feature for t in a.trees] == [t.feature for t in b.trees] and [t.cut for t in a.trees] == [t.cut for t in b.trees]
+        assert np.allclose(T.probability_of(a.kind, a.trees, bins), T.probability_of(b.kind, b.trees, bins), atol=1e-12)
+    assert T.combine(table, edges, [T.Boosting(subsample=0.5)])[1] is None

@@ -21,13 +21,18 @@ def _d(c: Column) -> Column:
     return c.cast("double")
 
 
-def confusion_counts(df: DataFrame, y_true: str, y_pred: str, positive=1, by: Sequence[str] = ()) -> DataFrame:
+def _rows_where(condition: Column, n: str | None) -> Column:
+    """Rows that meet a condition; a row stands for as many as the column ``n`` says."""
+    return F.count_if(condition) if n is None else F.coalesce(F.sum(F.when(condition, F.col(n))), F.lit(0))
+
+
+def confusion_counts(df: DataFrame, y_true: str, y_pred: str, positive=1, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
     y, p = F.col(y_true) == F.lit(positive), F.col(y_pred) == F.lit(positive)
     return df.groupBy(*by).agg(
-        F.count_if(y & p).alias("tp"),
-        F.count_if(~y & p).alias("fp"),
-        F.count_if(y & ~p).alias("fn"),
-        F.count_if(~y & ~p).alias("tn"),
+        _rows_where(y & p, n).alias("tp"),
+        _rows_where(~y & p, n).alias("fp"),
+        _rows_where(y & ~p, n).alias("fn"),
+        _rows_where(~y & ~p, n).alias("tn"),
     )
 
 
@@ -44,12 +49,12 @@ def _metric_cols(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Co
     }
 
 
-def ranking_metrics(df: DataFrame, y_true: str, y_prob: str, positive=1, by: Sequence[str] = ()) -> DataFrame:
+def ranking_metrics(df: DataFrame, y_true: str, y_prob: str, positive=1, by: Sequence[str] = (), n: str | None = None) -> DataFrame:
     """``by…, roc_auc, avg_precision`` (NULL when a class is absent)."""
     by = list(by)
     y = F.col(y_true) == F.lit(positive)
     by_score = df.where(F.col(y_prob).isNotNull()).groupBy(*by, F.col(y_prob).cast("double").alias("_s")).agg(
-        F.count_if(y).alias("_pos"), F.count_if(~y).alias("_neg")
+        _rows_where(y, n).alias("_pos"), _rows_where(~y, n).alias("_neg")
     )
     rt = running_totals(by_score, by, "_s", ["_pos", "_neg"])
     P, N = _d(F.col("total__pos")), _d(F.col("total__neg"))
@@ -74,19 +79,20 @@ def ranking_metrics(df: DataFrame, y_true: str, y_prob: str, positive=1, by: Seq
 
 
 def classification_metrics(
-    df: DataFrame, y_true: str, y_pred: str, y_prob: str | None = None, prefix: str = "", positive=1, by: Sequence[str] = ()
+    df: DataFrame, y_true: str, y_pred: str, y_prob: str | None = None, prefix: str = "", positive=1, by: Sequence[str] = (),
+    n: str | None = None,
 ) -> DataFrame:
     """accuracy, precision, recall, f1, mcc (+ roc_auc, avg_precision when ``y_prob`` is given).
 
     One row, or one per ``by`` group. Zero denominators give 0 (MCC too). ``prefix`` prepends
-    ``<prefix>_`` to every metric name.
+    ``<prefix>_`` to every metric name. With ``n``, a row counts as often as that column says.
     """
     by = list(by)
-    cm = confusion_counts(df, y_true, y_pred, positive, by)
+    cm = confusion_counts(df, y_true, y_pred, positive, by, n)
     cols = _metric_cols(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn"))
     out = cm.select(*by, *[v.alias(k) for k, v in cols.items()])
     if y_prob is not None:
-        rk = ranking_metrics(df, y_true, y_prob, positive, by)
+        rk = ranking_metrics(df, y_true, y_prob, positive, by, n)
         if by:
             out = join_null_safe(out, rk, by, "left")
         else:

@@ -233,9 +233,9 @@ def train_baseline_models(df: DataFrame, target: str, key_cols: Sequence[str], n
 
 def fold_scores(name: str, trials: Sequence[Mapping], folded: DataFrame, numeric: Sequence[str], categorical: Sequence[str], key_cols: Sequence[str],
                 k: int = CV_FOLDS, refit: bool = False) -> tuple[DataFrame, list[PipelineModel]]:
-    """``(trial, fold, side, y, p)``: every row of ``folded`` (with its ``fold``) scored by every trial's model of
-    every fold; ``side`` is ``val`` for the rows the model was not fitted on. With ``refit``, also each trial's model
-    fitted on all rows.
+    """``(trial, fold, side, y, p, n)``: every row of ``folded`` (with its ``fold``) scored by every trial's model of
+    every fold; ``side`` is ``val`` for the rows the model was not fitted on, ``n`` the number of rows with that score
+    that the row stands for. With ``refit``, also each trial's model fitted on all rows.
 
     All trials and folds of a forest or of boosting grow in common passes over one binned table and are scored in
     one pass. Their preprocessing is fitted once: cuts of a tree do not change under a per-fold scaling."""
@@ -245,10 +245,13 @@ def fold_scores(name: str, trials: Sequence[Mapping], folded: DataFrame, numeric
         made = [T.TreeClassifier(tree_settings(name, p), FEATURES, LABEL, None, key_cols) for p in trials]
         table, path, edges = made[0].prepare(pre.transform(folded), "fold")
         wanted = [(i, f) for i in range(len(trials)) for f in [*range(k), *([None] if refit else [])]]
-        grown = T.grow(table, edges, [(made[i].how, f) for i, f in wanted])
+        rows, combined = T.combine(table, edges, [m.how for m in made])
+        grown = T.grow(rows, edges, [(made[i].how, f) for i, f in wanted], bagged=table)
         tested = [(g, w) for g, w in zip(grown, wanted) if w[1] is not None]
-        scores = T.score_models(table, [g for g, _ in tested], [w for _, w in tested]).checkpoint(eager=True)
-        drop_path(folded.sparkSession, path)
+        scores = T.score_models(rows, [g for g, _ in tested], [w for _, w in tested]).checkpoint(eager=True)
+        for p in (path, combined):
+            if p:
+                drop_path(folded.sparkSession, p)
         whole = [PipelineModel([*pre.stages, T.TreeClassifierModel(g, made[i].how, FEATURES)]) for g, (i, f) in zip(grown, wanted) if f is None]
         return scores, whole
     wanted = [(i, f) for i in range(len(trials)) for f in [*range(k), *([None] if refit else [])]]
@@ -264,15 +267,16 @@ def fold_scores(name: str, trials: Sequence[Mapping], folded: DataFrame, numeric
     for model, (i, f) in zip(models, wanted):
         if f is not None:
             side = F.when(F.col("fold") == f, "val").otherwise("train")
-            rows = positive_probability(model.transform(folded)).select(F.lit(i).alias("trial"), F.lit(f).alias("fold"), side.alias("side"), F.col(LABEL).alias("y"), F.col("p1").alias("p"))
+            rows = positive_probability(model.transform(folded)).select(F.lit(i).alias("trial"), F.lit(f).alias("fold"), side.alias("side"), F.col(LABEL).alias("y"), F.col("p1").alias("p"), F.lit(1).cast("long").alias("n"))
             scores = rows if scores is None else scores.unionByName(rows)
     return scores.checkpoint(eager=True), [m for m, (_, f) in zip(models, wanted) if f is None]
 
 
 def fold_metrics(scores: DataFrame, by: Sequence[str] = ("trial", "fold", "side"), threshold: float = 0.5) -> DataFrame:
-    """The five cross-validation metrics of every group of a long score table, in one grouped job."""
+    """The five cross-validation metrics of every group of a long score table, in one grouped job. A column ``n``
+    says how many rows a row stands for."""
     flagged = scores.withColumn("__pred", (F.col("p") > threshold).cast("int"))
-    return classification_metrics(flagged, "y", "__pred", "p", by=by).select(*by, *CV_METRICS)
+    return classification_metrics(flagged, "y", "__pred", "p", by=by, n="n" if "n" in scores.columns else None).select(*by, *CV_METRICS)
 
 
 def cv_summary(per_fold: DataFrame, by: Sequence[str] = ("trial",)) -> DataFrame:

@@ -1,8 +1,10 @@
 """Tree ensembles grown level by level: regularised boosting (M3) and balanced random forests (M2).
 
 Features are cut into at most MAX_BINS bins at exact quantiles and stored as bytes next to label, weight, fold and a
-hash of the row's key. One pass over that table serves every tree that is growing, of all models being trained
-(folds of a cross-validation, trials of a search, trees of a forest):
+hash of the row's key. Rows with the same bins, label, weight and fold are the same to every tree but for their row
+samples, so they are combined into one row with their number and their number in each bag (``combine``). One pass over
+that table serves every tree that is growing, of all models being trained (folds of a cross-validation, trials of a
+search, trees of a forest):
 
 * tasks sum gradient, Hessian and rows per (tree, node, feature, bin) in arrays of bounded size, and one grouped
   aggregate adds them up; MOST_CELLS bounds the sums of a pass, on tasks and on the driver;
@@ -37,6 +39,9 @@ MAX_BINS = 64
 MOST_CELLS = 1 << 20  # cells (node x feature x bin) summed in one pass; further nodes wait for the next pass
 REFRESH = 10  # finished trees of a model that tasks add to the stored margins before the margins are written anew
 
+WORTH_COMBINING = 4  # rows per combined row from which the combined table is used
+COMBINED_ROWS = 1 << 18  # rows a task combines at once
+
 # Smallest Hessian sum of a child, smallest gain of a cut.
 MIN_CHILD_WEIGHT = 1.0
 MIN_GAIN = 1e-8
@@ -210,6 +215,90 @@ def bootstrap_counts(table: DataFrame, n_trees: int, seed: int = 42) -> DataFram
     return counts.withColumn("weight", F.sum("bag").over(w) / (F.count(F.lit(1)).over(w) * F.col("bag")))
 
 
+_GROUP = ("y", "w", "fold", "bins")
+
+
+def _same_rows(columns: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """A row of every group of equal rows, and the group of every row."""
+    rows = np.concatenate([np.ascontiguousarray(c).view(np.uint8).reshape(len(columns["y"]), -1) for c in columns.values()], axis=1)
+    _, first, group = np.unique(np.ascontiguousarray(rows).view(np.dtype((np.void, rows.shape[1]))).ravel(), return_index=True, return_inverse=True)
+    return first, group.ravel()
+
+
+def _bag_sums(width: int, seed: int, n_trees: int):
+    """Rows of the binned table, or combined rows, -> combined rows: ``n`` rows, and for every tree of a forest how
+    many of them its bag holds, repeated ones counted again (``bags``) or once (``hits``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[dict, np.ndarray]] = []
+
+        def flush() -> tuple[dict, np.ndarray]:
+            keys = {c: np.concatenate([k[c] for k, _ in held]) for c in _GROUP}
+            first, group = _same_rows(keys)
+            total = np.zeros((len(first), 1 + 2 * n_trees), dtype=np.int64)
+            at = 0
+            for k, own in held:
+                rows = group[at : at + len(own)]
+                order = np.argsort(rows, kind="stable")
+                begin = np.flatnonzero(np.diff(rows[order], prepend=-1))
+                total[rows[order][begin]] += np.add.reduceat(own[order], begin, axis=0, dtype=np.int64)
+                at += len(own)
+            return {c: v[first] for c, v in keys.items()}, total
+
+        def emit(keys, total) -> pa.RecordBatch:
+            size = len(total)
+            cut = lambda m: pa.array([r.tobytes() for r in np.ascontiguousarray(m)], pa.binary())
+            cols = [*[pa.array(keys[c]) for c in ("y", "w", "fold")], cut(keys["bins"]), pa.array(total[:, 0].copy()), cut(total[:, 1 : 1 + n_trees]), cut(total[:, 1 + n_trees :])]
+            return pa.RecordBatch.from_arrays(cols, names=[*_GROUP, "n", "bags", "hits"]).slice(0, size)
+
+        for b in batches:
+            if not len(b):
+                continue
+            keys = dict(zip(("y", "w", "fold"), _columns(b, "y", "w", "fold"))) | {"bins": _matrix(b.column("bins"), width)}
+            if "h" in b.schema.names:
+                h = b.column("h").to_numpy()
+                own = np.ones((len(b), 1 + 2 * n_trees), dtype=np.uint8)
+                for t in range(n_trees):
+                    own[:, 1 + t] = bag_counts(h, seed, t)
+                own[:, 1 + n_trees :] = own[:, 1 : 1 + n_trees] > 0
+            else:
+                own = np.concatenate([b.column("n").to_numpy()[:, None], _totals(b.column("bags"), n_trees), _totals(b.column("hits"), n_trees)], axis=1)
+            held.append((keys, own))
+            if sum(len(o) for _, o in held) >= COMBINED_ROWS:
+                held = [flush()]
+                if len(held[0][1]) > COMBINED_ROWS // WORTH_COMBINING:
+                    yield emit(*held.pop())
+        if held:
+            yield emit(*flush())
+
+    return run
+
+
+def _totals(column, n_trees: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.int64).reshape(len(column), n_trees)
+
+
+def combine(table: DataFrame, edges, settings: Sequence[Boosting | Forest]) -> tuple[DataFrame, str | None]:
+    """The binned table with equal rows combined, and its path; ``table`` itself and None where fewer than
+    WORTH_COMBINING rows share one, or where rows must be told apart (row samples of boosting, bags of several seeds).
+    Ensembles grown on either are the same up to the order of the sums."""
+    forests = [h for h in settings if isinstance(h, Forest)]
+    if any(isinstance(h, Boosting) and h.subsample < 1.0 for h in settings) or len({h.seed for h in forests}) > 1:
+        return table, None
+    spark = table.sparkSession
+    n_trees = max([h.n_estimators for h in forests], default=0)
+    rows, apart = table.agg(F.count(F.lit(1)), F.approx_count_distinct(F.struct(*_GROUP))).first()
+    if rows < WORTH_COMBINING * apart:
+        return table, None
+    schema = "y double, w double, fold int, bins binary, n long, bags binary, hits binary"
+    run = _bag_sums(len(edges), forests[0].seed if forests else 0, n_trees)
+    parts = spark.sparkContext.defaultParallelism
+    path = scratch_path(spark, "combined")
+    # a group's rows meet in one part, which holds a share of the groups
+    table.mapInArrow(run, schema).repartition(parts, *_GROUP).mapInArrow(run, schema).write.parquet(path)
+    return spark.read.schema(schema).parquet(path), path
+
+
 class _Grower:
     """A tree in the making: its open nodes with their depth, and the features a cut may use."""
 
@@ -258,16 +347,24 @@ class _Grower:
                 self.open[child] = depth + 1
 
 
-def _row_weights(task: dict, h, y, w, fold) -> np.ndarray:
+def _row_weights(task: dict, b: pa.RecordBatch, y, w, fold) -> tuple[np.ndarray, np.ndarray]:
+    """Weight of every row of the table for a tree, and how many rows it stands for."""
     out = w if task["fold"] is None else np.where(fold != task["fold"], w, 0.0)
-    how = task["how"]
+    how, combined = task["how"], "n" in b.schema.names
     if isinstance(how, Forest):
-        out = out * bag_counts(h, how.seed, task["number"])
+        if combined:
+            at = slice(8 * task["number"], 8 * task["number"] + 8)
+            bag, n = (np.frombuffer(b"".join([x[at] for x in b.column(c).to_pylist()]), dtype=np.int64) for c in ("bags", "hits"))
+        else:
+            bag, n = bag_counts(b.column("h").to_numpy(), how.seed, task["number"]), np.ones(len(b), dtype=np.int64)
+        out = out * bag
         if task["weights"]:
             out = out * np.where(y == 1, task["weights"].get(1.0, 1.0), task["weights"].get(0.0, 1.0))
-    elif how.subsample < 1.0:
-        out = np.where(row_draw(h, how.seed, task["number"]) < how.subsample, out, 0.0)
-    return out
+        return out, n
+    n = b.column("n").to_numpy() if combined else np.ones(len(b), dtype=np.int64)
+    if how.subsample < 1.0:
+        out = np.where(row_draw(b.column("h").to_numpy(), how.seed, task["number"]) < how.subsample, out, 0.0)
+    return out * n, n
 
 
 def _sums(work: list[dict], pending: list[list[Tree]], width: int, slots: int):
@@ -278,17 +375,17 @@ def _sums(work: list[dict], pending: list[list[Tree]], width: int, slots: int):
         for b in batches:
             if not len(b):
                 continue
-            h, y, w, fold = _columns(b, "h", "y", "w", "fold")
+            y, w, fold = _columns(b, "y", "w", "fold")
             bins = _matrix(b.column("bins"), width)
             margins = None
             for task, total in zip(work, held):
-                weight = _row_weights(task, h, y, w, fold)
+                weight, number = _row_weights(task, b, y, w, fold)
                 rows = np.flatnonzero(weight > 0)
                 place = np.full(len(task["tree"].feature), -1)
                 place[task["nodes"]] = np.arange(len(task["nodes"]))
                 at = place[task["tree"].leaves(bins[rows])]
                 rows, at = rows[at >= 0], at[at >= 0]
-                own, label = weight[rows], y[rows]
+                own, label, number = weight[rows], y[rows], number[rows]
                 if isinstance(task["how"], Boosting):
                     if margins is None:
                         margins = np.array(b.column("margins").flatten().to_numpy()).reshape(len(b), -1)
@@ -303,7 +400,7 @@ def _sums(work: list[dict], pending: list[list[Tree]], width: int, slots: int):
                 for f in range(width):
                     use = task["mask"][at, f]
                     cell = at[use] * slots + bins[rows[use], f]
-                    for i, v in enumerate((g[use], hess[use], None)):
+                    for i, v in enumerate((g[use], hess[use], number[use])):
                         total[:, f, :, i] += np.bincount(cell, v, size).reshape(len(task["nodes"]), slots)
         for i, (task, total) in enumerate(zip(work, held)):
             node, f, bin_ = np.nonzero(total[..., 2])
@@ -345,8 +442,9 @@ def best_cuts(sums: np.ndarray, allowed: np.ndarray, how: Boosting | Forest) ->
     return out
 
 
-def grow(table: DataFrame, edges, models: Sequence[tuple[Boosting | Forest, int | None]], progress=None) -> list[Ensemble]:
-    """Train every model of ``models`` ((settings, fold left out or None)) on the binned table in common passes."""
+def grow(table: DataFrame, edges, models: Sequence[tuple[Boosting | Forest, int | None]], progress=None, bagged: DataFrame | None = None) -> list[Ensemble]:
+    """Train every model of ``models`` ((settings, fold left out or None)) on the binned table in common passes; where
+    that is a combined one, ``bagged`` is the table it comes from, which balanced forests count their bags on."""
     spark = table.sparkSession
     width, slots = len(edges), max([len(e) for e in edges], default=0) + 2
     finished: list[dict[int, Tree]] = [{} for _ in models]
@@ -359,7 +457,8 @@ def grow(table: DataFrame, edges, models: Sequence[tuple[Boosting | Forest, int
                 growing.append(_Grower(i, 0, how, fold, width))
             continue
         if how.class_weight == "balanced_subsample" and (how.seed, how.n_estimators, fold) not in bags:
-            used = table if fold is None else table.where(F.col("fold") != fold)
+            source = table if bagged is None else bagged
+            used = source if fold is None else source.where(F.col("fold") != fold)
             bag: dict = {}
             for r in bootstrap_counts(used, how.n_estimators, how.seed).collect():  # two rows per tree
                 bag.setdefault(r["tree"], {})[r["y"]] = r["weight"]
@@ -367,6 +466,8 @@ def grow(table: DataFrame, edges, models: Sequence[tuple[Boosting | Forest, int
         bag = bags.get((how.seed, how.n_estimators, fold), {}) if how.class_weight == "balanced_subsample" else {}
         growing += [_Grower(i, t, how, fold, width, bag.get(t)) for t in range(how.n_estimators)]
     state, old = table.withColumn("margins", F.array_repeat(F.lit(0.0), len(models))), None
+    if "n" in table.columns:
+        state = state.drop(*([] if any(isinstance(how, Forest) for how, _ in models) else ["bags", "hits"]))
     passes = 0
     while growing:
         work, cells = [], 0
@@ -430,17 +531,19 @@ def _refresh(state: DataFrame, pending: list[list[Tree]], width: int) -> tuple[D
                 for t in trees:
                     margins[:, i] += t.values(bins)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(0, margins.size + 1, margins.shape[1]), pa.int32()), pa.array(margins.ravel()))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ("h", "y", "w", "fold", "bins")], flat], names=["h", "y", "w", "fold", "bins", "margins"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in others], flat], names=[*others, "margins"])
 
+    others = [c for c in state.columns if c != "margins"]
     path = scratch_path(state.sparkSession, "margins")  # as many files as the table had parts
-    schema = "h long, y double, w double, fold int, bins binary, margins array<double>"
+    schema = state.schema
     state.mapInArrow(run, schema).write.parquet(path)
     return state.sparkSession.read.schema(schema).parquet(path), path
 
 
 def score_models(table: DataFrame, ensembles: Sequence[Ensemble], names: Sequence[tuple]) -> DataFrame:
-    """(trial, fold, side, y, p) of every row of the binned table under every model, in one pass; ``names`` gives
-    each model's (trial, fold left out or None): rows of that fold are its ``val`` side."""
+    """(trial, fold, side, y, p, n) of every row of the binned table under every model, in one pass; ``names`` gives
+    each model's (trial, fold left out or None): rows of that fold are its ``val`` side. ``n`` is the number of rows
+    that a combined row stands for, else 1."""
     width = len(ensembles[0].edges)
     kinds, trees = [e.kind for e in ensembles], [e.trees for e in ensembles]
 
@@ -450,12 +553,13 @@ def score_models(table: DataFrame, ensembles: Sequence[Ensemble], names: Sequenc
                 continue
             y, fold = _columns(b, "y", "fold")
             bins = _matrix(b.column("bins"), width)
+            n = b.column("n") if "n" in b.schema.names else pa.array(np.ones(len(b), dtype=np.int64))
             for kind, own, (trial, left_out) in zip(kinds, trees, names):
                 side = np.where(fold == (-2 if left_out is None else left_out), "val", "train")
-                cols = [pa.array(np.full(len(b), trial, dtype=np.int32)), pa.array(np.full(len(b), -1 if left_out is None else left_out, dtype=np.int32)), pa.array(side), pa.array(y.astype(np.int32)), pa.array(probability_of(kind, own, bins))]
-                yield pa.RecordBatch.from_arrays(cols, names=["trial", "fold", "side", "y", "p"])
+                cols = [pa.array(np.full(len(b), trial, dtype=np.int32)), pa.array(np.full(len(b), -1 if left_out is None else left_out, dtype=np.int32)), pa.array(side), pa.array(y.astype(np.int32)), pa.array(probability_of(kind, own, bins)), n]
+                yield pa.RecordBatch.from_arrays(cols, names=["trial", "fold", "side", "y", "p", "n"])
 
-    return table.mapInArrow(run, "trial int, fold int, side string, y int, p double")
+    return table.mapInArrow(run, "trial int, fold int, side string, y int, p double, n long")
 
 
 class TreeClassifier(Estimator):
@@ -475,8 +579,12 @@ class TreeClassifier(Estimator):
 
     def _fit(self, df: DataFrame) -> "TreeClassifierModel":
         table, path, edges = self.prepare(df)
-        ensemble = grow(table, edges, [(self.how, None)])[0]
-        drop_path(df.sparkSession, path)
+        rows, combined = combine(table, edges, [self.how])
+        balanced = isinstance(self.how, Forest) and self.how.class_weight == "balanced_subsample"
+        ensemble = grow(rows, edges, [(self.how, None)], bagged=table if balanced else None)[0]
+        for p in (path, combined):
+            if p:
+                drop_path(df.sparkSession, p)
         return TreeClassifierModel(ensemble, self.how, self.featuresCol)
 
 
