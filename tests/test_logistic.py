@@ -43,3 +43,16 @@ def test_only_the_asked_side_is_scored(folded):
 def test_one_class(folded):
     scores, _ = ML.fold_scores("logistic_regression", [{}], folded.where("label = 1"), ["a", "b"], ["c"], ["id"], 3, sides=("val",))
     assert {r["p"] for r in scores.select("p").distinct().collect()} == {1.0}
+
+
+def test_svm_margin_without_a_column_of_random_features(folded):
+    est = ML.make_estimator("svm", {"C": 1.0}, 1200)
+    est.maxIter, est.n_components = 5, 20
+    model = ML.model_pipeline(est, ["a", "b"], ["c"], 1200).fit(folded)
+    own = model.stages[-1]
+    src = model.transform(folded).drop("rawPrediction", "probability", "prediction")
+    long = own.svm.transform(ML._rff(src, ML.FEATURES, own.W, own.b)).select("id", vector_to_array("rawPrediction")[1].alias("m"))
+    short = ML._with_margin(src, ML.FEATURES, own.W, own.b, own.svm).select("id", vector_to_array("__m")[0].alias("m"))
+    a, b = (np.array([r["m"] for r in d.orderBy("id").collect()]) for d in (long, short))
+    assert len(a) == 1200 and np.allclose(a, b, atol=1e-12)
+    assert "__rff" not in model.transform(folded).columns
