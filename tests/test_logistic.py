@@ -56,3 +56,48 @@ def test_svm_margin_without_a_column_of_random_features(folded):
     a, b = (np.array([r["m"] for r in d.orderBy("id").collect()]) for d in (long, short))
     assert len(a) == 1200 and np.allclose(a, b, atol=1e-12)
     assert "__rff" not in model.transform(folded).columns
+
+
+def test_svms_of_all_folds_in_common_passes(folded, monkeypatch):
+    """Every fold and trial as Spark's own linear SVM fits it on stored random features, one at a time."""
+    from pyspark.ml.classification import LinearSVC, LinearSVCModel
+
+    trials = [{"C": 1.0}, {"C": 0.2, "gamma": "auto"}]
+    make = ML.make_estimator
+
+    def small(*a, **k):
+        est = make(*a, **k)
+        est.maxIter, est.n_components = 12, 20
+        return est
+
+    monkeypatch.setattr(ML, "make_estimator", small)
+    passes = []
+    monkeypatch.setattr(ML.S, "_summed", lambda *a, own=ML.S._summed: passes.append(len(a[1])) or own(*a))
+    scores, (whole, _) = ML.fold_scores("svm", trials, folded, ["a", "b"], ["c"], ["id"], 3, refit=True)
+    assert max(passes) == 8 and len(passes) < 30  # not passes of their own for each of the eight models
+    got = {(r["trial"], r["fold"], r["side"]): r["p"] for r in scores.groupBy("trial", "fold", "side").agg(F.sort_array(F.collect_list("p")).alias("p")).collect()}
+    assert len(got) == 12
+    for i, f in ((0, 1), (1, 2), (0, None)):
+        est = small("svm", trials[i], 1200)
+        used = folded if f is None else folded.where(F.col("fold") != f)
+        pre = ML.Pipeline(stages=ML.build_preprocessor(["a", "b"], ["c"], 1200)).fit(used)
+        src = pre.transform(used)
+        d = 4
+        var = src.select(F.explode(vector_to_array("features")).alias("v")).agg(F.var_pop("v")).first()[0]
+        W, b = ML.S.random_projection(d, 20, 1 / d if i else 1 / (d * var), est.seed)
+        svm = LinearSVC(featuresCol="__rff", regParam=1 / (est.C * 1200), maxIter=12).fit(ML._rff(src, "features", W, b))
+        platt = ML.LogisticRegression(featuresCol="__m", maxIter=100).fit(ML._with_margin(src, "features", W, b, svm))
+        if f is None:
+            own = whole.stages[-1]
+            assert isinstance(own.svm, LinearSVCModel) and np.allclose(own.svm.coefficients.toArray(), svm.coefficients.toArray(), atol=1e-8) and abs(own.svm.intercept - svm.intercept) < 1e-8
+            continue
+        val = pre.transform(folded.where(F.col("fold") == f))
+        p = [r[0] for r in platt.transform(ML._with_margin(val, "features", W, b, svm)).select(vector_to_array("probability")[1]).collect()]
+        assert np.allclose(sorted(p), got[i, f, "val"], atol=1e-6)
+
+
+def test_svm_of_a_constant_feature(folded):
+    est = ML.make_estimator("svm", {"C": 1.0})
+    est.maxIter, est.n_components = 3, 5
+    model = ML.model_pipeline(est, ["a"], [], None).fit(folded.withColumn("a", F.lit(7.0)))
+    assert not model.stages[-1].svm.coefficients.toArray().any()
