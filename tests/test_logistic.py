@@ -101,3 +101,35 @@ def test_svm_of_a_constant_feature(folded):
     est.maxIter, est.n_components = 3, 5
     model = ML.model_pipeline(est, ["a"], [], None).fit(folded.withColumn("a", F.lit(7.0)))
     assert not model.stages[-1].svm.coefficients.toArray().any()
+
+
+def test_validation_aucs_match_ranked_scores(folded, monkeypatch):
+    trials = [{"C": 0.05, "penalty": "l1"}, {"C": 5.0}]
+    tied = folded.withColumn("a", F.round("a")).withColumn("b", F.round(F.col("b") / 50))
+    scores, _ = ML.fold_scores("logistic_regression", trials, tied, ["a", "b"], ["c"], ["id"], 3, sides=("val",))
+    want = {(r["trial"], r["fold"]): r["roc_auc"] for r in ML.fold_metrics(scores).collect()}
+    monkeypatch.setattr(ML, "LOGISTIC_TRIALS", 1)
+    for part, held in ((1 << 19, 1 << 22), (37, 100)):
+        monkeypatch.setattr(ML.L, "PART_SCORES", part)
+        monkeypatch.setattr(ML.L, "SCORES_HELD", held)
+        got = ML.logistic_search(trials, tied, ["a", "b"], ["c"], 3)
+        assert all(abs(got[i][f] - want[i, f]) < 1e-12 for i in range(2) for f in range(3))
+    assert ML.logistic_search(trials[:1], tied.where("label = 1"), ["a", "b"], ["c"], 3) == [[None] * 3]
+
+
+def test_trials_of_a_fold_share_passes(folded, monkeypatch):
+    """Weights of weakly penalised trials without passes of their own are those of fits one at a time."""
+    tables = []
+    block_table = ML.B.block_table
+    monkeypatch.setattr(ML.B, "block_table", lambda *a: tables.append(block_table(*a)) or tables[-1])
+    trials = [{"C": 10.0 + i, "penalty": "l1" if i % 2 else "l2"} for i in range(6)]
+    evaluated = []
+    monkeypatch.setattr(ML.L, "_sums", lambda w, f, own=ML.L._sums: evaluated.append(len(w)) or own(w, f))
+    asked = [(i, f) for i in range(6) for f in range(3)]
+    table, _, weights = ML.logistic_folds(trials, asked, folded, ["a", "b"], ["c"], 10_000_000)
+    assert max(evaluated) == 3  # one model a fold, not eighteen
+    for m in (4, 17):
+        i, f = asked[m]
+        penalty = (1.0 / (trials[i]["C"] * 10_000_000), trials[i]["penalty"] == "l1")
+        alone = ML.L.fit_folds(table, [f], [penalty], 2, (10_000_000 / 9_999_999) ** 0.5)
+        assert np.allclose(alone[0], weights[m], atol=1e-6)
