@@ -119,17 +119,30 @@ def test_validation_aucs_match_ranked_scores(folded, monkeypatch):
 
 def test_trials_of_a_fold_share_passes(folded, monkeypatch):
     """Weights of weakly penalised trials without passes of their own are those of fits one at a time."""
-    tables = []
-    block_table = ML.B.block_table
-    monkeypatch.setattr(ML.B, "block_table", lambda *a: tables.append(block_table(*a)) or tables[-1])
+    rows = ML.FoldedRows(folded, ["a", "b"], ["c"], ["id"])
+    rows.n = 10_000_000  # the penalties follow it
     trials = [{"C": 10.0 + i, "penalty": "l1" if i % 2 else "l2"} for i in range(6)]
     evaluated = []
     monkeypatch.setattr(ML.L, "_sums", lambda w, f, own=ML.L._sums: evaluated.append(len(w)) or own(w, f))
     asked = [(i, f) for i in range(6) for f in range(3)]
-    table, _, weights = ML.logistic_folds(trials, asked, folded, ["a", "b"], ["c"], 10_000_000)
+    weights = ML.logistic_folds(trials, asked, rows)
     assert max(evaluated) == 3  # one model a fold, not eighteen
     for m in (4, 17):
         i, f = asked[m]
         penalty = (1.0 / (trials[i]["C"] * 10_000_000), trials[i]["penalty"] == "l1")
-        alone = ML.L.fit_folds(table, [f], [penalty], 2, (10_000_000 / 9_999_999) ** 0.5)
+        alone = ML.L.fit_folds(rows.blocks, [f], [penalty], 2, rows.factor)
         assert np.allclose(alone[0], weights[m], atol=1e-6)
+
+
+def test_models_share_what_is_made_from_the_folds(folded, monkeypatch):
+    rows = ML.FoldedRows(folded, ["a", "b"], ["c"], ["id"])
+    made = []
+    for module, name in ((ML.B, "block_table"), (ML.T, "binned_table")):
+        monkeypatch.setattr(module, name, lambda *a, own=getattr(module, name), name=name, **k: made.append(name) or own(*a, **k))
+    small = {"xgboost": {"n_estimators": 3}, "random_forest": {"n_estimators": 2, "max_depth": 2}, "logistic_regression": {}}
+    shared = {m: ML.train_model(m, folded, ["a", "b"], ["c"], ["id"], p, 3, folded=rows).fold_scores for m, p in small.items()}
+    assert sorted(made) == ["binned_table", "block_table"]
+    rows.drop()
+    own, _ = ML.fold_scores("xgboost", [small["xgboost"]], folded, ["a", "b"], ["c"], ["id"], 3)
+    alone = [r["roc_auc"] for r in ML.fold_metrics(own).where("side = 'val'").orderBy("fold").collect()]
+    assert np.allclose(alone, shared["xgboost"], atol=1e-12)
