@@ -141,6 +141,9 @@ def test_models_share_what_is_made_from_the_folds(folded, monkeypatch):
         monkeypatch.setattr(module, name, lambda *a, own=getattr(module, name), name=name, **k: made.append(name) or own(*a, **k))
     small = {"xgboost": {"n_estimators": 3}, "random_forest": {"n_estimators": 2, "max_depth": 2}, "logistic_regression": {}}
     shared = {m: ML.train_model(m, folded, ["a", "b"], ["c"], ["id"], p, 3, folded=rows).fold_scores for m, p in small.items()}
+    tested = ML.run_experiment("logistic_regression", folded, folded, ["a", "b"], ["c"], ["id"], {}, 3, folded=rows)[1]
+    val = {r["metric"]: r["val_mean"] for r in tested.collect()}
+    assert abs(val["roc_auc"] - np.mean(shared["logistic_regression"])) < 1e-12 and len(val) == 5
     assert sorted(made) == ["binned_table", "block_table"]
     rows.drop()
     own, _ = ML.fold_scores("xgboost", [small["xgboost"]], folded, ["a", "b"], ["c"], ["id"], 3)
